@@ -32,9 +32,10 @@ def bad_width_rows(lines: DataFrame, width: int = 9, line_col: str = "value") ->
 
 def to_columns(lines: DataFrame, names: list[str] = RAW_COLUMNS, line_col: str = "value") -> DataFrame:
     """Name the fields of each line by position."""
-    parts = _fields(line_col)
-    # ``get`` gives NULL past the end of a short line instead of raising under ANSI mode
-    return lines.select(*[F.get(parts, i).alias(n) for i, n in enumerate(names)])
+    # split once into an array column (the optimizer keeps it: inlining would repeat the split per
+    # field); ``get`` gives NULL past the end of a short line instead of raising under ANSI mode
+    parts = lines.select(_fields(line_col).alias("_fields"))
+    return parts.select(*[F.get(F.col("_fields"), i).alias(n) for i, n in enumerate(names)])
 
 
 def exclude_lines(lines: DataFrame, bad: DataFrame, line_col: str = "value") -> DataFrame:

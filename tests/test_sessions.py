@@ -132,3 +132,21 @@ def test_connect_pairs_small(spark):
     # a3 touches no surviving pair (its start / end differ from a1's and a2's) and stays.
     assert got == [(T0, T0 + timedelta(seconds=200), 170), (T0 + timedelta(seconds=230), T0 + timedelta(seconds=300), 70),
                    (T0 + timedelta(seconds=1000), T0 + timedelta(seconds=1100), 100)]
+
+
+def test_folds_across_small_arrow_batches(spark):
+    """Groups straddling Arrow batch boundaries: only the open group's first/last rows are carried."""
+    rows = [enriched("A" if i % 5 else "B", f"r{i:03d}", i * 50 - (i % 3) * 40, i * 50 + 45, 0.5 + (i % 7))
+            for i in range(200)]
+    df = spark.createDataFrame(rows, ENRICHED_SCHEMA).repartition(2)
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        got = _rows(S.remove_overlaps_and_connect(df, bucket_s=86400))
+        kept = _rows(S.remove_overlaps(df, bucket_s=86400))
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    expect = sorted(py_connect(py_remove_overlaps(rows)))
+    assert kept == sorted(py_remove_overlaps(rows))
+    assert [r[:9] + (r[10],) for r in got] == [r[:9] + (r[10],) for r in expect]
+    assert all(abs(a[9] - b[9]) < 1e-9 for a, b in zip(got, expect))

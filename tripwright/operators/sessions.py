@@ -2,9 +2,10 @@
 connection (D03), plus the distance / duration enrichment between them.
 
 D01 and D02 are greedy folds (the state after a dropped trip differs from the state after a kept one),
-so they cannot be written as ``lag`` or a running max. They run as Python UDTFs over
-``TABLE(...) PARTITION BY ... ORDER BY ...``: one hash exchange plus a local sort, rows streamed with O(1)
-state, no ``.rdd`` barrier.
+so they cannot be written as ``lag`` or a running max. They run as one hash exchange, a sort within
+partitions and a fold over the partition's Arrow batches (``mapInArrow``): rows stream through with O(1)
+state (the open group's first and last rows), output is built with vectorized ``take``, no ``.rdd``
+barrier.
 
 A vehicle is never handled as one unit. Its trips are first cut into islands: a trip that starts after
 every earlier trip of the vehicle has ended (plus the connection gap) is kept and opens a new group
@@ -20,14 +21,13 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.functions import udtf
 from pyspark.sql.types import StructType
 
 from ..functions.geo import haversine_km
 from ..functions.timefmt import duration_s, epoch_seconds
 from ..schema import CLEAN_COLUMNS, CONNECT_GAP_S, CONNECT_MAX_KM, ENRICHED_COLUMNS, TRIP_ORDER
 
-ISLAND_BUCKET_S = 3600
+ISLAND_BUCKET_S = 86400
 _UNB = Window.unboundedPreceding
 
 
@@ -50,25 +50,30 @@ def island_groups(df: DataFrame, breaks: Callable[[Column, Column], Column], veh
     """Adds ``_grp``: the time bucket in which the row's island starts.
 
     A row opens an island when no earlier trip of its vehicle exists or ``breaks(start, max earlier end)``
-    holds. Rows of one vehicle with the same ``_grp`` form whole islands, in order.
-    """
-    t = df.withColumn("_b", _bucket(start, bucket_s))
-    across = Window.partitionBy(vehicle).orderBy("_b").rowsBetween(_UNB, -1)
-    carry_end = t.groupBy(vehicle, "_b").agg(F.max(end).alias("_bmax")).select(
-        vehicle, "_b", F.max("_bmax").over(across).alias("_carry"))
-    t = t.join(carry_end, [vehicle, "_b"], "left")
+    holds; ``breaks`` must grow with ``start`` and shrink with the earlier end. Rows of one vehicle with the
+    same ``_grp`` form whole islands, in order.
 
+    One window pass per (vehicle, bucket) gives, per row, the max end of earlier rows in the bucket and the
+    latest start that breaks against them. Since a row breaks iff it breaks against both the earlier rows
+    of its bucket and the carry (max end of all earlier buckets), a per-bucket aggregate of that pass is all
+    the cross-bucket step needs: a window per vehicle over its buckets (one row per active bucket).
+    """
     local = Window.partitionBy(vehicle, "_b").orderBy(*order)
-    prev_max = F.greatest(F.max(end).over(local.rowsBetween(_UNB, -1)), F.col("_carry"))
-    t = t.withColumn("_pmax", prev_max)
-    t = t.withColumn("_brk", (F.col("_pmax").isNull() | breaks(F.col(start), F.col("_pmax"))).cast("int"))
-    t = t.withColumn("_seen", F.max("_brk").over(local.rowsBetween(_UNB, 0)))
+    w = df.withColumn("_b", _bucket(start, bucket_s))
+    w = w.withColumn("_lp", F.max(end).over(local.rowsBetween(_UNB, -1)))
+    w = w.withColumn("_ls", F.max(F.when(F.col("_lp").isNull() | breaks(F.col(start), F.col("_lp")), F.col(start)))
+                     .over(local.rowsBetween(_UNB, 0)))
+
+    across = Window.partitionBy(vehicle).orderBy("_b").rowsBetween(_UNB, -1)
+    per_bucket = w.groupBy(vehicle, "_b").agg(F.max(end).alias("_bmax"), F.max("_ls").alias("_bls"))
+    per_bucket = per_bucket.withColumn("_carry", F.max("_bmax").over(across))
+    opens = F.col("_carry").isNull() | breaks(F.col("_bls"), F.col("_carry"))
+    per_bucket = per_bucket.withColumn("_prevb", F.max(F.when(opens, F.col("_b"))).over(across))
 
-    last_open = t.groupBy(vehicle, "_b").agg(F.max("_brk").alias("_has")).select(
-        vehicle, "_b", F.max(F.when(F.col("_has") == 1, F.col("_b"))).over(across).alias("_prevb"))
-    t = t.join(last_open, [vehicle, "_b"], "left")
-    grp = F.when(F.col("_seen") == 1, F.col("_b")).otherwise(F.col("_prevb"))
-    return t.withColumn("_grp", grp).drop("_b", "_carry", "_pmax", "_brk", "_seen", "_prevb")
+    t = w.join(per_bucket.select(vehicle, "_b", "_carry", "_prevb"), [vehicle, "_b"], "left")
+    seen = F.col("_carry").isNull() | breaks(F.col("_ls"), F.col("_carry"))
+    grp = F.when(seen, F.col("_b")).otherwise(F.col("_prevb"))
+    return t.withColumn("_grp", grp).drop("_b", "_lp", "_ls", "_carry", "_prevb")
 
 
 def _overlap_break(start: Column, prev_max: Column) -> Column:
@@ -79,93 +84,106 @@ def _gap_break(gap_s: int) -> Callable[[Column, Column], Column]:
     return lambda start, prev_max: start > prev_max + F.expr(f"INTERVAL '{int(gap_s)}' SECOND")
 
 
-# ---------------------------------------------------------------- folds (plain Python, O(1) state)
+# ---------------------------------------------------------------- folds over Arrow batches
 
-class _OverlapFold:
-    """Keep a trip unless the last *kept* trip ends after it starts; dropped trips leave the state."""
+class _FoldState:
+    """State of the fold at the end of a batch; only the open group's first and last rows are kept."""
 
-    __slots__ = ("last_end",)
+    __slots__ = ("key", "last_end", "km", "dur", "prev_end", "carry")
 
     def __init__(self):
-        self.last_end = None
-
-    def keep(self, start, end) -> bool:
-        if self.last_end is not None and start is not None and self.last_end > start:
-            return False
-        self.last_end = end
-        return True
-
-
-class _ConnectFold:
-    """A trip joins the open group iff it starts at most ``gap_s`` after the previous trip ended and
-    the group's distance so far is below ``max_km``. A closed group is its first trip with the last
-    trip's end time and end point, and the summed duration and distance of its members."""
-
-    __slots__ = ("gap_s", "max_km", "first", "total_dur", "total_km", "prev_end", "end_lat", "end_lon")
-
-    def __init__(self, gap_s: float, max_km: float):
-        self.gap_s, self.max_km = gap_s, max_km
-        self.first = None
-
-    def _open(self, r: dict):
-        self.first = r
-        self.total_dur, self.total_km = r["duration_s"], r["distance"]
-        self.prev_end, self.end_lat, self.end_lon = r["END_TIME"], r["LATITUDE_END"], r["LONGITUDE_END"]
-
-    def close(self):
-        if self.first is None:
-            return None
-        out = dict(self.first)
-        out.update(END_TIME=self.prev_end, LATITUDE_END=self.end_lat, LONGITUDE_END=self.end_lon,
-                   duration_s=self.total_dur, distance=self.total_km)
-        self.first = None
-        return out
-
-    def add(self, r: dict):
-        if self.first is not None and (r["START_TIME"] - self.prev_end).total_seconds() <= self.gap_s \
-                and self.total_km < self.max_km:
-            self.total_dur += r["duration_s"]
-            self.total_km += r["distance"]
-            self.prev_end, self.end_lat, self.end_lon = r["END_TIME"], r["LATITUDE_END"], r["LONGITUDE_END"]
-            return None
-        done = self.close()
-        self._open(r)
-        return done
-
-
-def _make_udtf(kind: str, out_cols: list[str], schema: StructType, gap_s: float, max_km: float):
-    class _Fold:
-        def __init__(self):
-            self.overlap = _OverlapFold() if kind in ("overlap", "both") else None
-            self.connect = _ConnectFold(gap_s, max_km) if kind in ("connect", "both") else None
-
-        def eval(self, row):
-            r = row.asDict()
-            if self.overlap is not None and not self.overlap.keep(r["START_TIME"], r["END_TIME"]):
-                return
-            if self.connect is None:
-                yield tuple(r[c] for c in out_cols)
-                return
-            done = self.connect.add(r)
-            if done is not None:
-                yield tuple(done[c] for c in out_cols)
-
-        def terminate(self):
-            if self.connect is not None:
-                done = self.connect.close()
-                if done is not None:
-                    yield tuple(done[c] for c in out_cols)
-
-    return udtf(_Fold, returnType=schema)
+        self.key = None
+        self.last_end = None      # D01: end of the last kept trip (micros)
+        self.km = self.dur = self.prev_end = None
+        self.carry = None         # pyarrow table with the open group's first and last rows
+
+
+def _fold_kernel(kind: str, vehicles, groups, starts, ends, dist, dur, n_carry: int, st: _FoldState,
+                 gap_us: int, max_km: float):
+    """One pass over a batch (carried rows first). Returns the kept row indices (D01 only) or the closed
+    groups as (first index, last index, km, duration) lists; leaves the open group in ``st``."""
+    overlap, connect = kind in ("overlap", "both"), kind in ("connect", "both")
+    kept, firsts, lasts, kms, durs = [], [], [], [], []
+    first = 0 if (connect and n_carry) else None
+    last = n_carry - 1 if (connect and n_carry) else None
+    for i in range(n_carry, len(starts)):
+        key = (vehicles[i], groups[i])
+        s, e = starts[i], ends[i]
+        if key != st.key:
+            if first is not None:
+                firsts.append(first), lasts.append(last), kms.append(st.km), durs.append(st.dur)
+            st.key, st.last_end, first, last = key, None, None, None
+        if overlap:
+            if st.last_end is not None and s is not None and st.last_end > s:
+                continue
+            st.last_end = e
+        if not connect:
+            kept.append(i)
+            continue
+        if first is not None and s is not None and st.prev_end is not None \
+                and s - st.prev_end <= gap_us and st.km < max_km:
+            st.km += dist[i]
+            st.dur += dur[i]
+            st.prev_end, last = e, i
+            continue
+        if first is not None:
+            firsts.append(first), lasts.append(last), kms.append(st.km), durs.append(st.dur)
+        first, last, st.km, st.dur, st.prev_end = i, i, dist[i], dur[i], e
+    return kept, (firsts, lasts, kms, durs), (first, last)
+
+
+def _fold_partitions(kind: str, out_cols: list[str], gap_s: float, max_km: float):
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    gap_us = int(round(gap_s * 1_000_000))
+
+    def emit(table, firsts, lasts, kms, durs):
+        out = table.take(pa.array(firsts, pa.int64())).select(out_cols)
+        ends = table.take(pa.array(lasts, pa.int64()))
+        for c in ("END_TIME", "LATITUDE_END", "LONGITUDE_END"):
+            out = out.set_column(out.schema.get_field_index(c), c, ends.column(c))
+        out = out.set_column(out.schema.get_field_index("distance"), "distance", pa.array(kms, pa.float64()))
+        out = out.set_column(out.schema.get_field_index("duration_s"), "duration_s", pa.array(durs, pa.int64()))
+        return out.to_batches()
+
+    def run(batches):
+        st = _FoldState()
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            n_carry = 0
+            if st.carry is not None:
+                n_carry = st.carry.num_rows
+                table = pa.concat_tables([st.carry, table.select(st.carry.column_names)])
+            ts = lambda c: pc.cast(table.column(c), pa.int64()).to_pylist()
+            connect = kind != "overlap"
+            kept, groups, (first, last) = _fold_kernel(
+                kind, table.column("VEHICLE_ID").to_pylist(), table.column("_grp").to_pylist(),
+                ts("START_TIME"), ts("END_TIME"),
+                table.column("distance").to_pylist() if connect else None,
+                table.column("duration_s").to_pylist() if connect else None,
+                n_carry, st, gap_us, max_km)
+            if not connect:
+                if kept:
+                    yield from table.take(pa.array(kept, pa.int64())).select(out_cols).to_batches()
+                continue
+            if groups[0]:
+                yield from emit(table, *groups)
+            st.carry = table.take(pa.array([first, last], pa.int64())) if first is not None else None
+        if st.carry is not None:
+            yield from emit(st.carry, [0], [1], [st.km], [st.dur])
+
+    return run
 
 
 def _run_fold(df: DataFrame, kind: str, breaks, out_cols: list[str], gap_s: float = CONNECT_GAP_S,
               max_km: float = CONNECT_MAX_KM, bucket_s: int = ISLAND_BUCKET_S) -> DataFrame:
+    """Island split, then one hash exchange on (vehicle, island bucket), a sort within partitions in
+    trip order, and the fold over Arrow batches of each partition."""
     staged = island_groups(df.select(*out_cols), breaks, bucket_s=bucket_s)
     schema = StructType([df.schema[c] for c in out_cols])
-    fold = _make_udtf(kind, out_cols, schema, gap_s, max_km)
-    table = staged.asTable().partitionBy("VEHICLE_ID", "_grp").orderBy(*[F.col(c) for c in TRIP_ORDER])
-    return fold(table)
+    ordered = staged.repartition("VEHICLE_ID", "_grp").sortWithinPartitions("VEHICLE_ID", "_grp", *TRIP_ORDER)
+    return ordered.mapInArrow(_fold_partitions(kind, out_cols, gap_s, max_km), schema)
 
 
 def remove_overlaps(df: DataFrame, bucket_s: int = ISLAND_BUCKET_S) -> DataFrame:

@@ -20,7 +20,7 @@ def obt(spark):
 
 @pytest.fixture(scope="module")
 def star(obt):
-    return {k: materialize(v, f"test-{k}") for k, v in model.build_star(obt).items()}
+    return {k: materialize(v, f"test-{k}") for k, v in model.build_star(obt, trip_id="dense").items()}
 
 
 def _set(df, cols=None, digits=6):

@@ -48,8 +48,19 @@ def every_nth(df: DataFrame, key: str, n: int = 2, remainder: int = 0) -> DataFr
     return ranked.filter(F.col("_rn") % n == remainder).select(key)
 
 
-def trip_ids(df: DataFrame, id_col: str = "TRIP_ID", keys=("REQUEST_ID", "VEHICLE_ID", "DT_START")) -> DataFrame:
-    """Stable trip key (W04): dense in natural-key order, unlike ``monotonically_increasing_id``."""
+def trip_ids(df: DataFrame, id_col: str = "TRIP_ID", keys=("REQUEST_ID", "VEHICLE_ID", "DT_START"),
+             method: str = "dense") -> DataFrame:
+    """Trip key (W04).
+
+    ``dense``: 1..N in natural-key order; costs a range shuffle of the whole table, the result does not
+    depend on file layout. ``scan``: unique 64-bit id from the scan position (partition index, row index),
+    no shuffle; stable as long as ``df`` is a stored table read with the same file layout, which is what
+    the model build reads.
+    """
+    if method == "scan":
+        return df.withColumn(id_col, F.monotonically_increasing_id())
+    if method != "dense":
+        raise ValueError(f"unknown trip id method {method!r}")
     return dense_ids(df, list(keys), id_col)
 
 

@@ -16,7 +16,7 @@ from ..session import materialize
 from ..sinks import with_year_month
 from ..sources import fixtures as fx
 from . import model, oracle, queries as Q
-from .cleaning import clean_trips, typed_trips
+from .cleaning import clean_sample_csv, clean_trips, typed_trips
 
 VEHICLE = "veh7"
 PREFIX = "req12"
@@ -74,7 +74,7 @@ def _obt(spark, sf):
 
 
 def _star(spark, sf):
-    return model.build_star(materialize(_obt(spark, sf), "obt"))
+    return model.build_star(materialize(_obt(spark, sf), "obt"), trip_id="dense")
 
 
 def _jleft_right(spark, sf):
@@ -148,6 +148,8 @@ def spark_queries() -> dict[str, Query]:
         "m04_fact_trips": lambda s, d: round6(_star(s, d)["fact_trips"]),
         "m05_obt": lambda s, d: round6(_obt(s, d)),
         "m06_clean_trips": lambda s, d: round6(clean_trips(_lines(s, d), b(s))),
+        "m06_clean_sample_csv": lambda s, d: round6(clean_sample_csv(_sample(s, d), b(s))),
+        "a05_row_count": lambda s, d: _obt(s, d).agg(F.count(F.lit(1)).alias("n_rows")),
         "q1_obt": lambda s, d: round6(Q.q1_obt(_obt(s, d))),
         "q2_obt": lambda s, d: Q.q2_obt(_obt(s, d)),
         "q3_obt": lambda s, d: Q.q3_obt(_obt(s, d)),
@@ -274,6 +276,10 @@ def oracle_queries() -> dict[str, str]:
         "m05_obt": S(obt, obt_sel),
         "m06_clean_trips": S([*typed, *O.d01("typed", "k1"), O.enrich("k1", "e1"), *O.d02("e1", "g2")],
                              f"SELECT {_r6(ENR_COLS, {'distance'})} FROM g2 WHERE distance > 1"),
+        "m06_clean_sample_csv": S([sample, parsed, _sample_typed(), *O.inside_points("spts", "sin"), _sample_in(),
+                                   *O.d01("styped", "k1"), O.enrich("k1", "e1"), *O.d02("e1", "g2")],
+                                  f"SELECT {_r6(ENR_COLS, {'distance'})} FROM g2 WHERE distance > 1"),
+        "a05_row_count": S(obt, "SELECT count(*) AS n_rows FROM obt"),
         "q1_obt": S(obt, "SELECT VEHICLE_ID, CAST(month(DT_START) AS INTEGER) AS Month, round(avg(distance_km), 6) AS "
                          "average_distance_per_month, round(avg(duration_s), 6) AS average_duration_per_month FROM obt GROUP BY 1, 2"),
         "q2_obt": S(obt, "SELECT LATITUDE_PICKUP AS latitude_pickup, LONGITUDE_PICKUP AS longitude_pickup, count(*) AS num_pickups FROM obt GROUP BY 1, 2"),
@@ -310,6 +316,23 @@ def oracle_queries() -> dict[str, str]:
     }
 
 
+def _sample_typed() -> str:
+    return ("s8 AS (SELECT VEHICLE_ID, DRIVER_ID, REQUEST_ID, DT_START AS START_TIME, DT_END AS END_TIME, "
+            "TRY_CAST(LATITUDE_PICKUP AS DECIMAL(11,8)) AS LATITUDE_PICKUP, TRY_CAST(LONGITUDE_PICKUP AS DECIMAL(11,8)) AS LONGITUDE_PICKUP, "
+            "TRY_CAST(LATITUDE_END AS DECIMAL(11,8)) AS LATITUDE_END, TRY_CAST(LONGITUDE_END AS DECIMAL(11,8)) AS LONGITUDE_END "
+            "FROM parsed WHERE DT_START IS NOT NULL AND DT_END IS NOT NULL), "
+            "s12 AS (SELECT * FROM s8 WHERE LATITUDE_PICKUP IS NOT NULL AND LONGITUDE_PICKUP IS NOT NULL "
+            "AND LATITUDE_END IS NOT NULL AND LONGITUDE_END IS NOT NULL AND VEHICLE_ID IS NOT NULL "
+            "AND DRIVER_ID IS NOT NULL AND REQUEST_ID IS NOT NULL), "
+            "spts AS (SELECT LATITUDE_PICKUP AS lat, LONGITUDE_PICKUP AS lon FROM s12 UNION SELECT LATITUDE_END, LONGITUDE_END FROM s12)")
+
+
+def _sample_in() -> str:
+    cols = ", ".join("s12." + c for c in oracle.COLS.split(", "))
+    return (f"styped AS (SELECT {cols} FROM s12 JOIN sin a ON a.lat = s12.LATITUDE_PICKUP AND a.lon = s12.LONGITUDE_PICKUP "
+            "JOIN sin b ON b.lat = s12.LATITUDE_END AND b.lon = s12.LONGITUDE_END WHERE a.w = 1 AND b.w = 1)")
+
+
 def _d03_select() -> str:
     """The pairwise connection in SQL, with the LAG ordered by (t1 start, t1 end, t1 request, t2 ...)."""
     return """, tp AS (

@@ -55,3 +55,18 @@ def clean_trips(lines: DataFrame, boundary: Boundary, counts: StageCounts | None
         typed = materialize(typed, "typed")
     folded = tap(sessions.remove_overlaps_and_connect(typed), "d02_connected")
     return tap(validate.drop_short(folded), "v20_min_distance")
+
+
+def clean_sample_csv(df: DataFrame, boundary: Boundary,
+                     formats: dict[str, str] | None = None, stage: bool = True) -> DataFrame:
+    """The CSV-sample variant of M06: a headed CSV whose start and end use their own patterns (V06),
+    stray ``Unnamed`` columns dropped (V19), coordinates cast, rows with a NULL in any column dropped
+    (V12) instead of the width / shape / epoch checks, then boundary, folds and minimum distance."""
+    formats = formats or {"DT_START": "yyyy-MM-dd HH:mm:ss", "DT_END": "yyyy-dd-MM HH:mm:ss"}
+    out = validate.drop_columns_like(df, "^Unnamed")
+    out = validate.parse_timestamps(out, formats, rename={"DT_START": "START_TIME", "DT_END": "END_TIME"})
+    out = validate.drop_any_null(validate.cast_coords(out))
+    typed = sessions.add_distance_duration(validate.keep_inside(out, boundary))
+    if stage:
+        typed = materialize(typed, "typed-sample")
+    return validate.drop_short(sessions.remove_overlaps_and_connect(typed))

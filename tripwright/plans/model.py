@@ -43,10 +43,11 @@ def build_dim_time(obt: DataFrame, side: str) -> DataFrame:
     return dense_ids(ts, [dt], id_col).select(dt, "year", "month", "day", id_col)
 
 
-def build_fact(obt: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
-    """``fact_trips``: trip id plus four left joins to the location and time dimensions.
-    A NULL natural key finds no dimension row and keeps a NULL id."""
-    f = trip_ids(obt)
+def build_fact(obt: DataFrame, dims: dict[str, DataFrame], trip_id: str = "dense") -> DataFrame:
+    """``fact_trips``: trip id (``operators.ids.trip_ids`` method) plus four left joins to the location and
+    time dimensions (M04). A NULL natural key finds no dimension row and keeps a NULL id. The joins are
+    plain equi-joins: AQE broadcasts a dimension that turns out small and splits skewed keys."""
+    f = trip_ids(obt, method=trip_id)
     pl, dl = dims["dim_pickup_location"], dims["dim_dropoff_location"]
     pt, dt = dims["dim_pickup_time"], dims["dim_dropoff_time"]
     f = f.join(pl, (f["LATITUDE_PICKUP"] == pl["LATITUDE_PICKUP"]) & (f["LONGITUDE_PICKUP"] == pl["LONGITUDE_PICKUP"]), "left") \
@@ -60,8 +61,9 @@ def build_fact(obt: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     )
 
 
-def build_star(obt: DataFrame) -> dict[str, DataFrame]:
-    """All seven tables of the star schema."""
+def build_star(obt: DataFrame, trip_id: str = "scan") -> dict[str, DataFrame]:
+    """All seven tables of the star schema. ``obt`` should be the stored wide table; with the default
+    ``scan`` trip ids the fact is numbered where it is read, without sorting it."""
     dims = {
         "dim_vehicle": build_dim(obt, "VEHICLE_ID"),
         "dim_driver": build_dim(obt, "DRIVER_ID"),
@@ -70,4 +72,4 @@ def build_star(obt: DataFrame) -> dict[str, DataFrame]:
         "dim_pickup_time": build_dim_time(obt, "pickup"),
         "dim_dropoff_time": build_dim_time(obt, "dropoff"),
     }
-    return {"fact_trips": build_fact(obt, dims), **dims}
+    return {"fact_trips": build_fact(obt, dims, trip_id), **dims}

@@ -68,7 +68,7 @@ def q5_obt(t: DataFrame) -> DataFrame:
 def q6_obt(t: DataFrame) -> DataFrame:
     """All trips of every second vehicle (ranked by id). The distinct vehicle list is a semi-join side."""
     sampled = every_nth(t.select("VEHICLE_ID"), "VEHICLE_ID", 2)
-    return t.join(sampled, "VEHICLE_ID", "left_semi")
+    return t.join(sampled, "VEHICLE_ID", "left_semi").select(*t.columns)
 
 
 def q7_obt(t: DataFrame, day: int = 12) -> DataFrame:
@@ -131,7 +131,7 @@ def q5_star(s: Star) -> DataFrame:
 
 def q6_star(s: Star) -> DataFrame:
     sampled = every_nth(s["dim_vehicle"], "VEHICLE_ID", 2)
-    return trip_records(s).join(sampled, "VEHICLE_ID", "left_semi")
+    return trip_records(s).join(sampled, "VEHICLE_ID", "left_semi").select(*TRIP_RECORD_COLUMNS)
 
 
 def q7_star(s: Star, day: int = 12) -> DataFrame:

@@ -150,3 +150,19 @@ def test_folds_across_small_arrow_batches(spark):
     assert kept == sorted(py_remove_overlaps(rows))
     assert [r[:9] + (r[10],) for r in got] == [r[:9] + (r[10],) for r in expect]
     assert all(abs(a[9] - b[9]) < 1e-9 for a, b in zip(got, expect))
+
+
+def test_folds_with_copies(spark):
+    """Exact copies are combined before the shuffle; the folds still see every copy."""
+    base = [enriched("A", "a1", 0, 100, 2.0), enriched("A", "a2", 130, 130, 0.0), enriched("A", "a3", 150, 150, 2.5),
+            enriched("A", "a4", 400, 500, 1.0), enriched("B", "b1", 0, 0, 0.0), enriched("B", "b2", 10, 10, 7.0)]
+    rows = base[:1] * 5 + base[1:2] * 4 + base[2:3] * 6 + base[3:4] + base[4:5] * 50 + base[5:6] * 3
+    df = spark.createDataFrame(rows, ENRICHED_SCHEMA).repartition(3)
+    assert _rows(S.remove_overlaps(df)) == sorted(py_remove_overlaps(rows))
+    expect = sorted(py_connect(py_remove_overlaps(rows)))
+    got = _rows(S.remove_overlaps_and_connect(df))
+    assert [r[:9] + (r[10],) for r in got] == [r[:9] + (r[10],) for r in expect]
+    assert all(abs(a[9] - b[9]) < 1e-9 for a, b in zip(got, expect))
+    got2 = _rows(S.connect_trips(df))
+    expect2 = sorted(py_connect(rows))
+    assert [r[:9] + (r[10],) for r in got2] == [r[:9] + (r[10],) for r in expect2]

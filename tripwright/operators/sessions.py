@@ -98,17 +98,22 @@ class _FoldState:
         self.carry = None         # pyarrow table with the open group's first and last rows
 
 
-def _fold_kernel(kind: str, vehicles, groups, starts, ends, dist, dur, n_carry: int, st: _FoldState,
+def _fold_kernel(kind: str, vehicles, groups, starts, ends, dist, dur, mult, n_carry: int, st: _FoldState,
                  gap_us: int, max_km: float):
-    """One pass over a batch (carried rows first). Returns the kept row indices (D01 only) or the closed
-    groups as (first index, last index, km, duration) lists; leaves the open group in ``st``."""
+    """One pass over a batch (carried rows first). Each row stands for ``mult[i]`` identical copies.
+
+    Returns the kept (row, copies) pairs (D01 only) or the closed groups as (first index, last index, km,
+    duration) lists, and leaves the open group in ``st``. Copies of a trip with positive duration overlap
+    each other, so D01 keeps one; otherwise all are kept and D02 takes them one after the other (all at
+    once when they add no distance).
+    """
     overlap, connect = kind in ("overlap", "both"), kind in ("connect", "both")
     kept, firsts, lasts, kms, durs = [], [], [], [], []
     first = 0 if (connect and n_carry) else None
     last = n_carry - 1 if (connect and n_carry) else None
     for i in range(n_carry, len(starts)):
         key = (vehicles[i], groups[i])
-        s, e = starts[i], ends[i]
+        s, e, n = starts[i], ends[i], mult[i]
         if key != st.key:
             if first is not None:
                 firsts.append(first), lasts.append(last), kms.append(st.km), durs.append(st.dur)
@@ -117,21 +122,49 @@ def _fold_kernel(kind: str, vehicles, groups, starts, ends, dist, dur, n_carry:
             if st.last_end is not None and s is not None and st.last_end > s:
                 continue
             st.last_end = e
+            if n > 1 and s is not None and e is not None and e > s:
+                n = 1
         if not connect:
-            kept.append(i)
-            continue
-        if first is not None and s is not None and st.prev_end is not None \
-                and s - st.prev_end <= gap_us and st.km < max_km:
-            st.km += dist[i]
-            st.dur += dur[i]
-            st.prev_end, last = e, i
+            kept.append((i, n))
             continue
-        if first is not None:
-            firsts.append(first), lasts.append(last), kms.append(st.km), durs.append(st.dur)
-        first, last, st.km, st.dur, st.prev_end = i, i, dist[i], dur[i], e
+        d, u = dist[i], dur[i]
+        while n > 0:
+            if first is not None and s is not None and st.prev_end is not None \
+                    and s - st.prev_end <= gap_us and st.km < max_km:
+                if d == 0 and e is not None and s - e <= gap_us:
+                    st.dur += u * n        # every remaining copy joins this group
+                    st.prev_end, last, n = e, i, 0
+                    break
+                st.km += d
+                st.dur += u
+                st.prev_end, last, n = e, i, n - 1
+                continue
+            if first is not None:
+                firsts.append(first), lasts.append(last), kms.append(st.km), durs.append(st.dur)
+            first, last, st.km, st.dur, st.prev_end, n = i, i, d, u, e, n - 1
     return kept, (firsts, lasts, kms, durs), (first, last)
 
 
+_EMIT_ROWS = 65536
+
+
+def _repeat_take(table, pairs, cols):
+    """Rows ``i`` repeated ``n`` times for each (i, n), in bounded batches."""
+    import pyarrow as pa
+
+    idx = []
+    for i, n in pairs:
+        while n > 0:
+            k = min(n, _EMIT_ROWS - len(idx))
+            idx.extend([i] * k)
+            n -= k
+            if len(idx) >= _EMIT_ROWS:
+                yield from table.take(pa.array(idx, pa.int64())).select(cols).to_batches()
+                idx = []
+    if idx:
+        yield from table.take(pa.array(idx, pa.int64())).select(cols).to_batches()
+
+
 def _fold_partitions(kind: str, out_cols: list[str], gap_s: float, max_km: float):
     import pyarrow as pa
     import pyarrow.compute as pc
@@ -139,16 +172,19 @@ def _fold_partitions(kind: str, out_cols: list[str], gap_s: float, max_km: float
     gap_us = int(round(gap_s * 1_000_000))
 
     def emit(table, firsts, lasts, kms, durs):
-        out = table.take(pa.array(firsts, pa.int64())).select(out_cols)
-        ends = table.take(pa.array(lasts, pa.int64()))
-        for c in ("END_TIME", "LATITUDE_END", "LONGITUDE_END"):
-            out = out.set_column(out.schema.get_field_index(c), c, ends.column(c))
-        out = out.set_column(out.schema.get_field_index("distance"), "distance", pa.array(kms, pa.float64()))
-        out = out.set_column(out.schema.get_field_index("duration_s"), "duration_s", pa.array(durs, pa.int64()))
-        return out.to_batches()
+        for lo in range(0, len(firsts), _EMIT_ROWS):
+            hi = lo + _EMIT_ROWS
+            out = table.take(pa.array(firsts[lo:hi], pa.int64())).select(out_cols)
+            ends = table.take(pa.array(lasts[lo:hi], pa.int64()))
+            for c in ("END_TIME", "LATITUDE_END", "LONGITUDE_END"):
+                out = out.set_column(out.schema.get_field_index(c), c, ends.column(c))
+            out = out.set_column(out.schema.get_field_index("distance"), "distance", pa.array(kms[lo:hi], pa.float64()))
+            out = out.set_column(out.schema.get_field_index("duration_s"), "duration_s", pa.array(durs[lo:hi], pa.int64()))
+            yield from out.to_batches()
 
     def run(batches):
         st = _FoldState()
+        connect = kind != "overlap"
         for batch in batches:
             table = pa.Table.from_batches([batch])
             n_carry = 0
@@ -156,16 +192,14 @@ def _fold_partitions(kind: str, out_cols: list[str], gap_s: float, max_km: float
                 n_carry = st.carry.num_rows
                 table = pa.concat_tables([st.carry, table.select(st.carry.column_names)])
             ts = lambda c: pc.cast(table.column(c), pa.int64()).to_pylist()
-            connect = kind != "overlap"
             kept, groups, (first, last) = _fold_kernel(
                 kind, table.column("VEHICLE_ID").to_pylist(), table.column("_grp").to_pylist(),
                 ts("START_TIME"), ts("END_TIME"),
                 table.column("distance").to_pylist() if connect else None,
                 table.column("duration_s").to_pylist() if connect else None,
-                n_carry, st, gap_us, max_km)
+                table.column("_n").to_pylist(), n_carry, st, gap_us, max_km)
             if not connect:
-                if kept:
-                    yield from table.take(pa.array(kept, pa.int64())).select(out_cols).to_batches()
+                yield from _repeat_take(table, kept, out_cols)
                 continue
             if groups[0]:
                 yield from emit(table, *groups)
@@ -178,9 +212,10 @@ def _fold_partitions(kind: str, out_cols: list[str], gap_s: float, max_km: float
 
 def _run_fold(df: DataFrame, kind: str, breaks, out_cols: list[str], gap_s: float = CONNECT_GAP_S,
               max_km: float = CONNECT_MAX_KM, bucket_s: int = ISLAND_BUCKET_S) -> DataFrame:
-    """Island split, then one hash exchange on (vehicle, island bucket), a sort within partitions in
-    trip order, and the fold over Arrow batches of each partition."""
-    staged = island_groups(df.select(*out_cols), breaks, bucket_s=bucket_s)
+    """Copies collapsed (map-side combined count), island split, then one hash exchange on (vehicle,
+    island bucket), a sort within partitions in trip order, and the fold over Arrow batches."""
+    rows = df.select(*out_cols).groupBy(*out_cols).agg(F.count(F.lit(1)).alias("_n"))
+    staged = island_groups(rows, breaks, bucket_s=bucket_s)
     schema = StructType([df.schema[c] for c in out_cols])
     ordered = staged.repartition("VEHICLE_ID", "_grp").sortWithinPartitions("VEHICLE_ID", "_grp", *TRIP_ORDER)
     return ordered.mapInArrow(_fold_partitions(kind, out_cols, gap_s, max_km), schema)

@@ -82,3 +82,67 @@ def test_sql_function_registration(spark, boundary):
     register_functions(spark, boundary)
     r = spark.sql("SELECT haversine_distance(1.3, 103.8, 1.35, 103.9) AS d, within_boundary(1.25, 103.65) AS w").first()
     assert abs(r.d - _py_hav(1.3, 103.8, 1.35, 103.9)) < 1e-9 and r.w == 1
+
+
+def _py_inside(px, py, polys):
+    """Strict even-odd containment in any polygon (list of rings of (x, y)); edges count as outside."""
+    for rings in polys:
+        xs = [x for x, _ in rings[0]]
+        ys = [y for _, y in rings[0]]
+        if not (min(xs) < px < max(xs) and min(ys) < py < max(ys)):
+            continue
+        crossings, on_edge = 0, False
+        for ring in rings:
+            for (x1, y1), (x2, y2) in zip(ring, ring[1:] + ring[:1]):
+                if (x2 - x1) * (py - y1) - (y2 - y1) * (px - x1) == 0 and min(x1, x2) <= px <= max(x1, x2) \
+                        and min(y1, y2) <= py <= max(y1, y2):
+                    on_edge = True
+                if (y1 > py) != (y2 > py) and px < (x2 - x1) * (py - y1) / (y2 - y1) + x1:
+                    crossings += 1
+        if not on_edge and crossings % 2 == 1:
+            return 1
+    return 0
+
+
+def test_large_boundary_matches_brute_force(spark):
+    import json
+    import math
+    import random
+    from decimal import Decimal
+
+    from tripwright.sources import boundary_from_text
+
+    rnd = random.Random(7)
+    n = 600
+    outer = [(round(103.8 + (0.1 + 0.08 * rnd.random()) * math.cos(2 * math.pi * i / n), 6),
+              round(1.35 + (0.1 + 0.08 * rnd.random()) * math.sin(2 * math.pi * i / n), 6)) for i in range(n)]
+    hole = [(103.79, 1.34), (103.81, 1.34), (103.81, 1.36), (103.79, 1.36)]
+    polys = [[outer, hole]]
+    gj = {"type": "FeatureCollection", "features": [{"type": "Feature", "geometry": {
+        "type": "Polygon", "coordinates": [[list(p) for p in r + r[:1]] for r in polys[0]]}}]}
+    b = boundary_from_text(spark, json.dumps(gj))
+    pts = [(round(1.35 + rnd.uniform(-0.2, 0.2), 6), round(103.8 + rnd.uniform(-0.2, 0.2), 6)) for _ in range(3000)]
+    pts += [(y, x) for x, y in outer[:50]] + [((y1 + y2) / 2, (x1 + x2) / 2) for (x1, y1), (x2, y2) in zip(outer, outer[1:])][:50]
+    df = spark.createDataFrame([(Decimal(repr(a)), Decimal(repr(o))) for a, o in pts], "lat decimal(11,8), lon decimal(11,8)")
+    got = [r.w for r in df.select(within_boundary("lat", "lon", b).alias("w")).collect()]
+    back = [(float(r.lat), float(r.lon)) for r in df.collect()]
+    expect = [_py_inside(lon, lat, polys) for lat, lon in back]
+    assert got == expect
+    assert 0 < sum(got) < len(got)
+
+
+def test_join_path_equals_literal_path(spark, boundary):
+    from tripwright.functions.geo import within_boundary_join
+    from tripwright.operators.validate import keep_inside
+    from tripwright.sources import fixtures
+
+    from conftest import SF0001
+
+    t = fixtures.clean_trips(spark, SF0001)
+    lit = t.withColumn("w", within_boundary("LATITUDE_END", "LONGITUDE_END", boundary))
+    joined = within_boundary_join(t, "LATITUDE_END", "LONGITUDE_END", boundary, "w", cell_deg=0.03)
+    key = lambda df: sorted((r.REQUEST_ID, r.w) for r in df.select("REQUEST_ID", "w").collect())
+    assert key(lit) == key(joined)
+    a = sorted(r.REQUEST_ID for r in keep_inside(t, boundary).collect())
+    b = sorted(r.REQUEST_ID for r in keep_inside(t, boundary, max_literal_edges=0).collect())
+    assert a == b and 0 < len(a) < t.count()

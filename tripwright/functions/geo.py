@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import TYPE_CHECKING
 
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schema import EARTH_RADIUS_KM
@@ -26,39 +26,73 @@ def haversine_km(lat1, lon1, lat2, lon2) -> Column:
     return F.lit(EARTH_RADIUS_KM) * (F.lit(2.0) * F.atan2(F.sqrt(a), F.sqrt(F.lit(1.0) - a)))
 
 
+def _crosses(e, x, y):
+    x_at = (e["x2"] - e["x1"]) * (y - e["y1"]) / F.nullif(e["y2"] - e["y1"], F.lit(0.0)) + e["x1"]
+    return ((e["y1"] > y) != (e["y2"] > y)) & (x < x_at)
+
+
+def _on_edge(e, x, y):
+    cross = (e["x2"] - e["x1"]) * (y - e["y1"]) - (e["y2"] - e["y1"]) * (x - e["x1"])
+    return (
+        (cross == 0)
+        & x.between(F.least(e["x1"], e["x2"]), F.greatest(e["x1"], e["x2"]))
+        & y.between(F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"]))
+    )
+
+
+def polygon_contains(p, x: Column, y: Column) -> Column:
+    """Strict containment of (x, y) in polygon struct ``p`` (bbox + edges of all rings): strict bounding
+    box, on no edge, odd number of ray crossings."""
+    in_box = (x > p["xmin"]) & (x < p["xmax"]) & (y > p["ymin"]) & (y < p["ymax"])
+    n_cross = F.aggregate(p["edges"], F.lit(0), lambda acc, e: acc + F.when(_crosses(e, x, y), 1).otherwise(0))
+    return in_box & ~F.exists(p["edges"], lambda e: _on_edge(e, x, y)) & (n_cross % 2 == 1)
+
+
 def within_boundary(lat, lon, boundary: "Boundary") -> Column:
     """1 if any polygon of ``boundary`` strictly contains (lon, lat), else 0; NULL coordinate -> NULL.
 
     Even-odd ray casting over all rings of a polygon (so holes count), after a strict bounding-box test.
     A point on any edge of a polygon is not contained by it. The polygons are a literal array inside the
-    expression, so there is no join and no Python in the row path.
+    expression, so there is no join and no Python in the row path; the lambdas compile to a loop of about
+    a nanosecond per edge. Boundaries above ``MAX_LITERAL_EDGES`` edges use ``within_boundary_join``.
     """
     polys = boundary.literal()
-
-    def crosses(e, x, y):
-        x_at = (e["x2"] - e["x1"]) * (y - e["y1"]) / F.nullif(e["y2"] - e["y1"], F.lit(0.0)) + e["x1"]
-        return ((e["y1"] > y) != (e["y2"] > y)) & (x < x_at)
-
-    def on_edge(e, x, y):
-        cross = (e["x2"] - e["x1"]) * (y - e["y1"]) - (e["y2"] - e["y1"]) * (x - e["x1"])
-        return (
-            (cross == 0)
-            & x.between(F.least(e["x1"], e["x2"]), F.greatest(e["x1"], e["x2"]))
-            & y.between(F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"]))
-        )
-
-    def contains(p, x, y):
-        in_box = (x > p["xmin"]) & (x < p["xmax"]) & (y > p["ymin"]) & (y < p["ymax"])
-        n_cross = F.aggregate(p["edges"], F.lit(0), lambda acc, e: acc + F.when(crosses(e, x, y), 1).otherwise(0))
-        return in_box & ~F.exists(p["edges"], lambda e: on_edge(e, x, y)) & (n_cross % 2 == 1)
-
     # the point is bound once as a lambda variable, so the coordinate casts are not repeated in every
     # edge expression (keeps the generated code of the stage small)
     point = F.array(F.struct(_d(lon).alias("x"), _d(lat).alias("y")))
-    inside = F.exists(point, lambda q: F.exists(polys, lambda p: contains(p, q["x"], q["y"])))
+    inside = F.exists(point, lambda q: F.exists(polys, lambda p: polygon_contains(p, q["x"], q["y"])))
     return F.when(_d(lon).isNull() | _d(lat).isNull(), F.lit(None).cast("int")).otherwise(inside.cast("int"))
 
 
+def within_boundary_join(df: DataFrame, lat: str, lon: str, boundary: "Boundary", out: str,
+                         cell_deg: float = 0.05) -> DataFrame:
+    """F01 as a spatial join, for boundaries too large to put into the expression.
+
+    Polygons are listed under every grid cell their bounding box covers; the distinct points of ``df``
+    (copies of a point are combined first) join them on the cell, an equi-join that AQE broadcasts or
+    shuffles and splits when a cell is hot. Each (point, candidate polygon) pair runs the same strict test;
+    a point is inside when any candidate contains it. Adds ``out`` with the same values as
+    ``within_boundary``.
+    """
+    cell = lambda v: F.floor(v / F.lit(cell_deg)).cast("long")
+    polys = boundary.polygons
+    cells = polys.select(
+        "xmin", "ymin", "xmax", "ymax", "edges",
+        F.explode(F.sequence(cell(F.col("xmin")), cell(F.col("xmax")))).alias("_cx"),
+    ).select("*", F.explode(F.sequence(cell(F.col("ymin")), cell(F.col("ymax")))).alias("_cy"))
+    pts = df.select(F.col(lat).alias("_lat"), F.col(lon).alias("_lon")).where(
+        F.col("_lat").isNotNull() & F.col("_lon").isNotNull()).distinct()
+    pts = pts.withColumn("_x", _d("_lon")).withColumn("_y", _d("_lat")) \
+        .withColumn("_cx", cell(F.col("_x"))).withColumn("_cy", cell(F.col("_y")))
+    cand = pts.join(cells, ["_cx", "_cy"])
+    hit = polygon_contains(F.struct("xmin", "ymin", "xmax", "ymax", "edges"), F.col("_x"), F.col("_y"))
+    flags = cand.groupBy("_lat", "_lon").agg(F.max(hit.cast("int")).alias("_hit"))
+    joined = df.join(flags, (df[lat] == flags["_lat"]) & (df[lon] == flags["_lon"]), "left")
+    value = F.when(F.col(lat).isNull() | F.col(lon).isNull(), F.lit(None).cast("int")).otherwise(
+        F.coalesce(F.col("_hit"), F.lit(0)))
+    return joined.withColumn(out, value).drop("_lat", "_lon", "_hit")
+
+
 def register_functions(spark: SparkSession, boundary: "Boundary | None" = None) -> None:
     """SQL names for F02 (a SQL function, inlined into plans) and, given a boundary, F01."""
     spark.sql(

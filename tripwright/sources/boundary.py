@@ -55,10 +55,20 @@ class Boundary:
     def __init__(self, polygons: DataFrame):
         self.polygons = polygons
         self._literal_sql: str | None = None
+        self._edges: int | None = None
+
+    def edge_count(self) -> int:
+        if self._edges is None:
+            self._edges = int(self.polygons.select(F.coalesce(F.sum(F.size("edges")), F.lit(0))).first()[0])
+        return self._edges
+
+    def fits_literal(self, max_edges: int | None = None) -> bool:
+        """Whether the boundary is small enough (checked edge count) to be a literal in the expression."""
+        return self.edge_count() <= (MAX_LITERAL_EDGES if max_edges is None else max_edges)
 
     def _load(self) -> str:
         if self._literal_sql is None:
-            n_edges = self.polygons.select(F.coalesce(F.sum(F.size("edges")), F.lit(0))).first()[0]
+            n_edges = self.edge_count()
             if n_edges > MAX_LITERAL_EDGES:
                 raise ValueError(
                     f"boundary has {n_edges} edges, more than {MAX_LITERAL_EDGES}; simplify it or raise the bound"

@@ -166,3 +166,20 @@ def test_folds_with_copies(spark):
     got2 = _rows(S.connect_trips(df))
     expect2 = sorted(py_connect(rows))
     assert [r[:9] + (r[10],) for r in got2] == [r[:9] + (r[10],) for r in expect2]
+
+
+def test_folds_independent_of_partitioning(spark):
+    rows = [enriched("ABCDE"[i % 5], f"r{i:03d}", (i * 7919) % 20000, (i * 7919) % 20000 + 30 + (i * 31) % 900,
+                     (i % 9) * 0.8) for i in range(400)]
+    expect = sorted(py_connect(py_remove_overlaps(rows)))
+    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")}
+    try:
+        for parts, aqe in ((1, "true"), (7, "false"), (200, "false")):
+            spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+            spark.conf.set("spark.sql.adaptive.enabled", aqe)
+            df = spark.createDataFrame(rows[::-1], ENRICHED_SCHEMA).repartition(parts)
+            got = _rows(S.remove_overlaps_and_connect(df))
+            assert [r[:9] + (r[10],) for r in got] == [r[:9] + (r[10],) for r in expect], parts
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)

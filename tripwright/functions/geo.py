@@ -41,11 +41,13 @@ def _on_edge(e, x, y):
 
 
 def polygon_contains(p, x: Column, y: Column) -> Column:
-    """Strict containment of (x, y) in polygon struct ``p`` (bbox + edges of all rings): strict bounding
-    box, on no edge, odd number of ray crossings."""
+    """Strict containment of (x, y) in polygon struct ``p`` (bbox, band height ``h``, band count ``nb``,
+    ``bands`` of edges): strict bounding box, on no edge of the point's band, odd number of crossings."""
     in_box = (x > p["xmin"]) & (x < p["xmax"]) & (y > p["ymin"]) & (y < p["ymax"])
-    n_cross = F.aggregate(p["edges"], F.lit(0), lambda acc, e: acc + F.when(_crosses(e, x, y), 1).otherwise(0))
-    return in_box & ~F.exists(p["edges"], lambda e: _on_edge(e, x, y)) & (n_cross % 2 == 1)
+    k = F.coalesce(F.floor((y - p["ymin"]) / F.nullif(p["h"], F.lit(0.0))), F.lit(0))
+    edges = F.element_at(p["bands"], F.least(F.greatest(k, F.lit(0)), p["nb"] - 1).cast("int") + 1)
+    n_cross = F.aggregate(edges, F.lit(0), lambda acc, e: acc + F.when(_crosses(e, x, y), 1).otherwise(0))
+    return in_box & ~F.exists(edges, lambda e: _on_edge(e, x, y)) & (n_cross % 2 == 1)
 
 
 def within_boundary(lat, lon, boundary: "Boundary") -> Column:
@@ -53,8 +55,10 @@ def within_boundary(lat, lon, boundary: "Boundary") -> Column:
 
     Even-odd ray casting over all rings of a polygon (so holes count), after a strict bounding-box test.
     A point on any edge of a polygon is not contained by it. The polygons are a literal array inside the
-    expression, so there is no join and no Python in the row path; the lambdas compile to a loop of about
-    a nanosecond per edge. Boundaries above ``MAX_LITERAL_EDGES`` edges use ``within_boundary_join``.
+    expression, so there is no join and no Python in the row path. Higher-order functions run
+    interpreted, so only the edges of the point's latitude band are tested
+    (``sources.boundary.with_bands``). Boundaries above ``MAX_LITERAL_EDGES`` edges use
+    ``within_boundary_join``.
     """
     polys = boundary.literal()
     # the point is bound once as a lambda variable, so the coordinate casts are not repeated in every
@@ -77,7 +81,7 @@ def within_boundary_join(df: DataFrame, lat: str, lon: str, boundary: "Boundary"
     cell = lambda v: F.floor(v / F.lit(cell_deg)).cast("long")
     polys = boundary.polygons
     cells = polys.select(
-        "xmin", "ymin", "xmax", "ymax", "edges",
+        "xmin", "ymin", "xmax", "ymax", "h", "nb", "bands",
         F.explode(F.sequence(cell(F.col("xmin")), cell(F.col("xmax")))).alias("_cx"),
     ).select("*", F.explode(F.sequence(cell(F.col("ymin")), cell(F.col("ymax")))).alias("_cy"))
     pts = df.select(F.col(lat).alias("_lat"), F.col(lon).alias("_lon")).where(
@@ -85,7 +89,7 @@ def within_boundary_join(df: DataFrame, lat: str, lon: str, boundary: "Boundary"
     pts = pts.withColumn("_x", _d("_lon")).withColumn("_y", _d("_lat")) \
         .withColumn("_cx", cell(F.col("_x"))).withColumn("_cy", cell(F.col("_y")))
     cand = pts.join(cells, ["_cx", "_cy"])
-    hit = polygon_contains(F.struct("xmin", "ymin", "xmax", "ymax", "edges"), F.col("_x"), F.col("_y"))
+    hit = polygon_contains(F.struct("xmin", "ymin", "xmax", "ymax", "h", "nb", "bands"), F.col("_x"), F.col("_y"))
     flags = cand.groupBy("_lat", "_lon").agg(F.max(hit.cast("int")).alias("_hit"))
     joined = df.join(flags, (df[lat] == flags["_lat"]) & (df[lon] == flags["_lon"]), "left")
     value = F.when(F.col(lat).isNull() | F.col(lon).isNull(), F.lit(None).cast("int")).otherwise(

@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 # A boundary is a small, fixed input (a map), not data that grows with the trips. Its edges are put
 # into the expression of every task, so their number is checked against this bound first.
 MAX_LITERAL_EDGES = 200_000
+# Each polygon's edges are split into horizontal bands so a point only tests the edges of its band
+# (the lambdas run interpreted, at a few hundred ns per edge, so the edge count per point is what counts).
+EDGES_PER_BAND = 4
+MAX_BANDS = 4096
 
 _FEATURES = "features array<struct<geometry:struct<type:string,coordinates:string>>>"
 _POLYGON = "array<array<array<double>>>"
@@ -39,7 +43,7 @@ def _polygons_from_text(text_df: DataFrame) -> DataFrame:
         )
 
     outer = F.col("rings")[0]
-    return polys.select(
+    polys = polys.select(
         F.monotonically_increasing_id().alias("poly_id"),
         F.array_min(F.transform(outer, lambda p: p[0])).alias("xmin"),
         F.array_min(F.transform(outer, lambda p: p[1])).alias("ymin"),
@@ -47,6 +51,24 @@ def _polygons_from_text(text_df: DataFrame) -> DataFrame:
         F.array_max(F.transform(outer, lambda p: p[1])).alias("ymax"),
         F.flatten(F.transform("rings", ring_edges)).alias("edges"),
     )
+    return with_bands(polys)
+
+
+def with_bands(polys: DataFrame) -> DataFrame:
+    """Adds ``nb`` bands of height ``h`` from ``ymin``; band k holds every edge whose latitude range meets
+    [ymin + k h, ymin + (k + 1) h], widened by a hair so rounding at a band border never loses an edge.
+    The crossing and the on-edge tests only involve edges whose range contains the point's latitude, so
+    testing the point's band alone gives the same answer as testing all edges."""
+    nb = F.greatest(F.lit(1), F.least(F.lit(MAX_BANDS), F.ceil(F.size("edges") / F.lit(EDGES_PER_BAND)).cast("int")))
+    polys = polys.withColumn("nb", nb).withColumn("h", (F.col("ymax") - F.col("ymin")) / F.col("nb"))
+    eps = F.col("h") * F.lit(1e-9) + F.lit(1e-12)
+
+    def band(k):
+        lo = F.col("ymin") + k * F.col("h") - eps
+        hi = F.col("ymin") + (k + 1) * F.col("h") + eps
+        return F.filter("edges", lambda e: (F.least(e["y1"], e["y2"]) <= hi) & (F.greatest(e["y1"], e["y2"]) >= lo))
+
+    return polys.withColumn("bands", F.transform(F.sequence(F.lit(0), F.col("nb") - 1), band))
 
 
 class Boundary:
@@ -58,8 +80,10 @@ class Boundary:
         self._edges: int | None = None
 
     def edge_count(self) -> int:
+        """Edges as they are put into the plan: summed over all bands."""
         if self._edges is None:
-            self._edges = int(self.polygons.select(F.coalesce(F.sum(F.size("edges")), F.lit(0))).first()[0])
+            banded = F.aggregate("bands", F.lit(0), lambda acc, b: acc + F.size(b))
+            self._edges = int(self.polygons.select(F.coalesce(F.sum(banded), F.lit(0))).first()[0])
         return self._edges
 
     def fits_literal(self, max_edges: int | None = None) -> bool:
@@ -78,15 +102,17 @@ class Boundary:
             def num(v: float) -> str:
                 return f"CAST('{float(v)!r}' AS DOUBLE)"
 
+            def edges(es) -> str:
+                return "array(" + ", ".join(
+                    f"named_struct('x1', {num(e.x1)}, 'y1', {num(e.y1)}, 'x2', {num(e.x2)}, 'y2', {num(e.y2)})"
+                    for e in es) + ")"
+
             polys = []
             for r in rows:
-                edges = ", ".join(
-                    f"named_struct('x1', {num(e.x1)}, 'y1', {num(e.y1)}, 'x2', {num(e.x2)}, 'y2', {num(e.y2)})"
-                    for e in r.edges
-                )
+                bands = ", ".join(edges(b) for b in r.bands)
                 polys.append(
                     f"named_struct('xmin', {num(r.xmin)}, 'ymin', {num(r.ymin)}, 'xmax', {num(r.xmax)}, "
-                    f"'ymax', {num(r.ymax)}, 'edges', array({edges}))"
+                    f"'ymax', {num(r.ymax)}, 'h', {num(r.h)}, 'nb', {int(r.nb)}, 'bands', array({bands}))"
                 )
             self._literal_sql = f"array({', '.join(polys)})"
         return self._literal_sql
@@ -106,10 +132,12 @@ class Boundary:
             f"AND {x} BETWEEN least(e.x1, e.x2) AND greatest(e.x1, e.x2) "
             f"AND {y} BETWEEN least(e.y1, e.y2) AND greatest(e.y1, e.y2)"
         )
+        band = (f"element_at(p.bands, CAST(least(greatest(coalesce(floor(({y} - p.ymin) / nullif(p.h, 0D)), 0), 0), "
+                f"p.nb - 1) AS INT) + 1)")
         contains = (
             f"{x} > p.xmin AND {x} < p.xmax AND {y} > p.ymin AND {y} < p.ymax "
-            f"AND NOT exists(p.edges, e -> {on_edge}) "
-            f"AND aggregate(p.edges, 0, (acc, e) -> acc + IF({crosses}, 1, 0)) % 2 = 1"
+            f"AND NOT exists({band}, e -> {on_edge}) "
+            f"AND aggregate({band}, 0, (acc, e) -> acc + IF({crosses}, 1, 0)) % 2 = 1"
         )
         return (
             f"CASE WHEN {lat} IS NULL OR {lon} IS NULL THEN CAST(NULL AS INT) "

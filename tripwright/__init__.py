@@ -15,7 +15,7 @@ __version__ = "0.1.0"
 
 def _ship_by_value() -> None:
     """Python workers may not have this package on their path (a cluster, or a driver started from
-    another folder). UDTF classes and helpers defined here are therefore pickled by value."""
+    another folder). The fold functions and helpers defined here are therefore pickled by value."""
     import sys
 
     try:

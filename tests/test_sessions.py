@@ -183,3 +183,10 @@ def test_folds_independent_of_partitioning(spark):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_null_vehicle_is_one_sequence(spark):
+    rows = [enriched(None, "n1", 0, 100000, 1.0), enriched(None, "n2", 90000, 90100, 1.0),
+            enriched(None, "n3", 200000, 200100, 1.0)]
+    df = spark.createDataFrame(rows, ENRICHED_SCHEMA)
+    assert sorted(r.REQUEST_ID for r in S.remove_overlaps(df).collect()) == ["n1", "n3"]

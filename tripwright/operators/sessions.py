@@ -31,8 +31,6 @@ ISLAND_BUCKET_S = 86400
 _UNB = Window.unboundedPreceding
 
 
-
-
 def add_distance_duration(df: DataFrame) -> DataFrame:
     """``distance`` (haversine km, F02) and ``duration_s`` (F03) as JVM column math."""
     return df.withColumn(
@@ -70,7 +68,9 @@ def island_groups(df: DataFrame, breaks: Callable[[Column, Column], Column], veh
     opens = F.col("_carry").isNull() | breaks(F.col("_bls"), F.col("_carry"))
     per_bucket = per_bucket.withColumn("_prevb", F.max(F.when(opens, F.col("_b"))).over(across))
 
-    t = w.join(per_bucket.select(vehicle, "_b", "_carry", "_prevb"), [vehicle, "_b"], "left")
+    carry = per_bucket.select(F.col(vehicle).alias("_cv"), F.col("_b").alias("_cb"), "_carry", "_prevb")
+    # null-safe on the vehicle: rows without a vehicle id form one sequence, as in the fold
+    t = w.join(carry, w[vehicle].eqNullSafe(carry["_cv"]) & (w["_b"] == carry["_cb"]), "left").drop("_cv", "_cb")
     seen = F.col("_carry").isNull() | breaks(F.col("_ls"), F.col("_carry"))
     grp = F.when(seen, F.col("_b")).otherwise(F.col("_prevb"))
     return t.withColumn("_grp", grp).drop("_b", "_lp", "_ls", "_carry", "_prevb")

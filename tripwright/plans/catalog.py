@@ -73,8 +73,17 @@ def _obt(spark, sf):
     return model.build_obt(validate.drop_short(folded))
 
 
+_STAR_TABLES: dict[tuple[str, str], dict[str, DataFrame]] = {}
+
+
 def _star(spark, sf):
-    return model.build_star(materialize(_obt(spark, sf), "obt"), trip_id="dense")
+    """The star schema of the fixture, written once per Spark application and folder; the star queries
+    then read the stored tables, as they do in use."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _STAR_TABLES:
+        star = model.build_star(materialize(_obt(spark, sf), "obt"), trip_id="dense")
+        _STAR_TABLES[key] = {name: materialize(df, name) for name, df in star.items()}
+    return _STAR_TABLES[key]
 
 
 def _jleft_right(spark, sf):

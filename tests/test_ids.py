@@ -25,3 +25,12 @@ def test_missing_rows(spark):
     left = spark.createDataFrame([(1, "a"), (1, "a"), (2, None), (3, "c")], "x int, y string")
     right = spark.createDataFrame([(2, None), (3, "c"), (3, "c")], "x int, y string")
     assert sorted(tuple(r) for r in missing_rows(left, right).collect()) == [(1, "a"), (1, "a")]
+
+
+def test_dense_ids_with_many_ties(spark):
+    df = spark.createDataFrame([("hot",)] * 3000 + [(f"k{i:04d}",) for i in range(500)], "k string")
+    got = dense_ids(df, ["k"], "id", partitions=8).collect()
+    ids = sorted(r.id for r in got)
+    assert ids == list(range(1, 3501))
+    by_id = sorted(got, key=lambda r: r.id)
+    assert [r.k for r in by_id] == sorted(r.k for r in got)

@@ -25,9 +25,12 @@ def dense_ids(df: DataFrame, keys: list[str], id_col: str, partitions: int | Non
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     if n > MAX_ID_PARTITIONS:
         raise ValueError(f"{n} partitions exceed the offset-table bound {MAX_ID_PARTITIONS}")
-    order = [F.col(k).asc_nulls_first() for k in keys]
+    # the scan position breaks ties, so rows with equal keys (copies) spread over range partitions
+    # instead of landing in one; which of two tied rows gets the smaller id was arbitrary anyway
+    order = [F.col(k).asc_nulls_first() for k in keys] + [F.col("_tie")]
     ranged = (
-        df.repartitionByRange(n, *order)
+        df.withColumn("_tie", F.monotonically_increasing_id())
+        .repartitionByRange(n, *order)
         .sortWithinPartitions(*order)
         .withColumn("_p", F.spark_partition_id())
         .withColumn("_i", F.monotonically_increasing_id() - F.shiftleft(F.col("_p").cast("long"), 33))
@@ -38,7 +41,7 @@ def dense_ids(df: DataFrame, keys: list[str], id_col: str, partitions: int | Non
     offsets = counts.select("_p", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"),
                             F.sum("_n").over(Window.partitionBy(F.lit(0))).alias("_total"))
     out = staged.join(F.broadcast(offsets), "_p").withColumn(id_col, (F.col("_off") + F.col("_i") + 1).cast("long"))
-    drop = ["_p", "_i", "_off"] + ([] if with_total else ["_total"])
+    drop = ["_p", "_i", "_off", "_tie"] + ([] if with_total else ["_total"])
     return out.drop(*drop)
 
 

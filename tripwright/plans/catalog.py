@@ -16,7 +16,7 @@ from ..session import materialize
 from ..sinks import with_year_month
 from ..sources import fixtures as fx
 from . import model, oracle, queries as Q
-from .cleaning import clean_sample_csv, clean_trips, typed_trips
+from .cleaning import clean_sample_csv, clean_trips, stage_count_table, typed_trips
 
 VEHICLE = "veh7"
 PREFIX = "req12"
@@ -159,6 +159,7 @@ def spark_queries() -> dict[str, Query]:
         "m06_clean_trips": lambda s, d: round6(clean_trips(_lines(s, d), b(s))),
         "m06_clean_sample_csv": lambda s, d: round6(clean_sample_csv(_sample(s, d), b(s))),
         "a05_row_count": lambda s, d: _obt(s, d).agg(F.count(F.lit(1)).alias("n_rows")),
+        "a06_stage_counts": lambda s, d: stage_count_table(_lines(s, d), b(s)),
         "q1_obt": lambda s, d: round6(Q.q1_obt(_obt(s, d))),
         "q2_obt": lambda s, d: Q.q2_obt(_obt(s, d)),
         "q3_obt": lambda s, d: Q.q3_obt(_obt(s, d)),
@@ -289,6 +290,12 @@ def oracle_queries() -> dict[str, str]:
                                    *O.d01("styped", "k1"), O.enrich("k1", "e1"), *O.d02("e1", "g2")],
                                   f"SELECT {_r6(ENR_COLS, {'distance'})} FROM g2 WHERE distance > 1"),
         "a05_row_count": S(obt, "SELECT count(*) AS n_rows FROM obt"),
+        "a06_stage_counts": S([*typed, *O.d01("typed", "k1"), O.enrich("k1", "e1"), *O.d02("e1", "g2")],
+                              "SELECT 'input' AS stage, count(*) AS rows FROM raw UNION ALL "
+                              "SELECT 'v01_width', count(*) FROM w9 UNION ALL SELECT 'v03_shape', count(*) FROM v3 UNION ALL "
+                              "SELECT 'v09_epoch', count(*) FROM v9 UNION ALL SELECT 'v10_boundary', count(*) FROM typed UNION ALL "
+                              "SELECT 'd02_connected', count(*) FROM g2 UNION ALL "
+                              "SELECT 'v20_min_distance', count(*) FROM g2 WHERE distance > 1"),
         "q1_obt": S(obt, "SELECT VEHICLE_ID, CAST(month(DT_START) AS INTEGER) AS Month, round(avg(distance_km), 6) AS "
                          "average_distance_per_month, round(avg(duration_s), 6) AS average_duration_per_month FROM obt GROUP BY 1, 2"),
         "q2_obt": S(obt, "SELECT LATITUDE_PICKUP AS latitude_pickup, LONGITUDE_PICKUP AS longitude_pickup, count(*) AS num_pickups FROM obt GROUP BY 1, 2"),

@@ -70,3 +70,29 @@ def clean_sample_csv(df: DataFrame, boundary: Boundary,
     if stage:
         typed = materialize(typed, "typed-sample")
     return validate.drop_short(sessions.remove_overlaps_and_connect(typed))
+
+
+def stage_count_table(lines: DataFrame, boundary: Boundary) -> DataFrame:
+    """A06 as a table (``stage``, ``rows``), one count per stage of M06. Each count is its own aggregate,
+    so this re-reads the stages; ``StageCounts`` collects the same numbers in the pass that writes the
+    result and is what a production run uses."""
+    stages: list[tuple[str, DataFrame]] = [("input", lines)]
+    w = validate.keep_width(lines, 9)
+    stages.append(("v01_width", w))
+    shaped = validate.keep_timestamp_shape(validate.to_columns(w), ("DT_START", "DT_END"), RAW_TIMESTAMP_FORMAT)
+    stages.append(("v03_shape", shaped))
+    parsed = validate.parse_timestamps(
+        shaped, {"DT_START": RAW_TIMESTAMP_FORMAT, "DT_END": RAW_TIMESTAMP_FORMAT},
+        rename={"DT_START": "START_TIME", "DT_END": "END_TIME"})
+    epoch = validate.after_epoch(validate.cast_coords(parsed))
+    stages.append(("v09_epoch", epoch))
+    inside = validate.keep_inside(epoch, boundary)
+    stages.append(("v10_boundary", inside))
+    folded = sessions.remove_overlaps_and_connect(sessions.add_distance_duration(inside))
+    stages.append(("d02_connected", folded))
+    stages.append(("v20_min_distance", validate.drop_short(folded)))
+    out = None
+    for name, df in stages:
+        c = df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("stage"), "rows")
+        out = c if out is None else out.unionByName(c)
+    return out

@@ -124,11 +124,15 @@ def test_large_boundary_matches_brute_force(spark):
     pts = [(round(1.35 + rnd.uniform(-0.2, 0.2), 6), round(103.8 + rnd.uniform(-0.2, 0.2), 6)) for _ in range(3000)]
     pts += [(y, x) for x, y in outer[:50]] + [((y1 + y2) / 2, (x1 + x2) / 2) for (x1, y1), (x2, y2) in zip(outer, outer[1:])][:50]
     df = spark.createDataFrame([(Decimal(repr(a)), Decimal(repr(o))) for a, o in pts], "lat decimal(11,8), lon decimal(11,8)")
-    got = [r.w for r in df.select(within_boundary("lat", "lon", b).alias("w")).collect()]
-    back = [(float(r.lat), float(r.lon)) for r in df.collect()]
-    expect = [_py_inside(lon, lat, polys) for lat, lon in back]
-    assert got == expect
-    assert 0 < sum(got) < len(got)
+    rows = df.select("lat", "lon", within_boundary("lat", "lon", b).alias("w")).collect()
+    expect = [_py_inside(float(r.lon), float(r.lat), polys) for r in rows]
+    assert [r.w for r in rows] == expect
+    assert 0 < sum(expect) < len(expect)
+    from tripwright.functions.geo import within_boundary_join
+
+    joined = within_boundary_join(df, "lat", "lon", b, "w", cell_deg=0.02).collect()
+    brute = {(r.lat, r.lon): w for r, w in zip(rows, expect)}
+    assert all(r.w == brute[(r.lat, r.lon)] for r in joined) and len(joined) == len(rows)
 
 
 def test_join_path_equals_literal_path(spark, boundary):

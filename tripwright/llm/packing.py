@@ -4,11 +4,13 @@ The token stream of consecutive documents may be cut at any sentence or document
 padded to ``LENGTH`` unless n is a power of two. Cuts are chosen by dynamic programming over the possible places
 p[0] < p[1] < ...: best[i] = penalty[i] + min over j with p[i] - p[j] <= LENGTH of best[j] + padding(p[i] - p[j]).
 The padding is LENGTH + p[j] - p[i], so the j to take is the one with the least best[j] + p[j] in a sliding
-window, which a monotone queue gives in constant time per place.
+window, which a monotone queue gives in constant time per place. Tokens left at the end of a stream go into
+sequences whose sizes are powers of two.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections import deque
 from collections.abc import Iterator
 
@@ -30,9 +32,9 @@ BLOCK_TOKENS = 1 << 20
 SEQUENCES = 1 << 33  # ids of sequences that one partition may give
 
 
-def choose_cuts(places: list[int], penalties: list[int], length: int) -> list[int]:
+def choose_cuts(places: list[int], penalties: list[int], length: int, rest=None) -> list[int]:
     """Places of the cheapest cuts, the last place included. ``places`` ascend from above 0, with no gap over
-    ``length``; ties go to the later cut."""
+    ``length``. ``rest(n)`` is what n tokens before the last place cost (their padding if not given)."""
     best, back, at = [0], [0], [0, *places]
     queue: deque[tuple[int, int]] = deque([(0, 0)])  # (best + place, index), both ascending
     for i in range(1, len(at)):
@@ -47,7 +49,10 @@ def choose_cuts(places: list[int], penalties: list[int], length: int) -> list[in
         while queue and queue[-1][0] >= key:
             queue.pop()
         queue.append((key, i))
-    cuts, i = [], len(at) - 1
+    i = len(at) - 1
+    if rest:
+        back[i] = min(range(bisect_left(at, at[i] - length), i), key=lambda j: best[j] + rest(at[i] - at[j]))
+    cuts = []
     while i:
         cuts.append(at[i])
         i = back[i]
@@ -68,6 +73,11 @@ def split_rest(rest: int, length: int) -> list[int]:
     return sizes
 
 
+def rest_cost(rest: int, length: int) -> int:
+    sizes = split_rest(rest, length)
+    return (len(sizes) - 1) * WORD_CUT + (length - sizes[-1] if sizes[-1] & (sizes[-1] - 1) else 0)
+
+
 SCHEMA = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 NAMES = [c.split()[0] for c in SCHEMA.split(", ")]
 
@@ -92,16 +102,16 @@ class _Stream:
             places += [*inner.tolist(), stop]
             penalties += [SENTENCE_CUT] * len(inner) + [0]
             at = stop
-        cuts = self.close_gaps(places, penalties)
+        cuts = self.choose(places, penalties, last)
         if last:
             full = cuts[-2] if len(cuts) > 1 else 0
             for size in split_rest(at - full, self.length)[:-1]:
                 cuts.insert(-1, full := full + size)
         else:
-            cuts = cuts[:-2]  # the last two may change with what follows
+            cuts = cuts[:-1]  # the last sequence stays open
         return self.cut(cuts)
 
-    def close_gaps(self, places: list[int], penalties: list[int]) -> list[int]:
+    def choose(self, places: list[int], penalties: list[int], last: bool) -> list[int]:
         """Adds cuts inside sentences longer than ``STEP``, then chooses among all places."""
         full, cost, before = [], [], 0
         for p, c in zip(places, penalties):
@@ -112,7 +122,8 @@ class _Stream:
             full.append(p)
             cost.append(c)
             before = p
-        return choose_cuts(full, cost, self.length)
+        rest = (lambda n: rest_cost(n, self.length)) if last else (lambda n: 0)
+        return choose_cuts(full, cost, self.length, rest)
 
     def cut(self, cuts: list[int]) -> list[tuple]:
         rows, d, begin = [], 0, 0

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.prefix import block_offsets
+from ..session import materialize
 from .tokens import WordEncoder, encoder
 
 # Fixed values of the zstandard seekable format.
@@ -78,11 +79,11 @@ class _File:
 def _write_files(batches: Iterator[pa.RecordBatch], path: str, end_id: int) -> Iterator[pa.RecordBatch]:
     encode, block = encoder(WordEncoder, path), TaskContext.get().partitionId()
     file, number, before = _File(block, 0), 0, 0
-    end = np.array([end_id], np.uint32)
+    end = struct.pack("<I", end_id)
     row = lambda f: pa.RecordBatch.from_pydict({"data": pa.array([f.data()], pa.binary())})
     for batch in batches:
         for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-            ids = np.concatenate([encode(text.as_py() or b"")[0], end])
+            ids = np.frombuffer(encode(text.as_py() or b"") + end, "<u4")
             file.add(doc_id, ids, before)
             before += len(ids)
             if file.tokens >= FILE_TOKENS:
@@ -173,9 +174,9 @@ def read_token_files(spark: SparkSession, path: str, doc_ids: list[int] | None =
 
 def token_documents(spark: SparkSession, path: str) -> DataFrame:
     """Every document of the files at ``path`` with ``start``, the ids of all documents before it."""
-    read = read_token_files(spark, path)
-    offsets = block_offsets(read.groupBy("block").agg(F.sum("n_tokens").alias("tokens")), "block", "tokens")
-    found = read.select("block", "doc_id", "before", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+    read = read_token_files(spark, path).select("block", "doc_id", "before", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+    found = materialize(read, "read")  # the files are unpacked once
+    offsets = block_offsets(found.groupBy("block").agg(F.sum("n_tokens").alias("tokens")), "block", "tokens")
     return found.join(offsets, "block").select(
         "doc_id", (F.col("before_tokens") + F.col("before")).alias("start"), "n_tokens", "ids_crc32"
     )

@@ -152,11 +152,11 @@ def _batches(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
 
 def _pack(batches: Iterator[pa.RecordBatch], path: str, end_id: int, length: int) -> Iterator[pa.RecordBatch]:
     encode, stream = encoder(SpaceEncoder, path), _Stream(TaskContext.get().partitionId(), length)
-    end = np.array([end_id], np.uint32)
+    end = np.array([end_id], "<u4").tobytes()
     for batch in batches:
         for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-            ids, ends = encode(text.as_py() or b"")
-            stream.add(doc_id, np.concatenate([ids, end]), ends)
+            ids = np.frombuffer(encode(text.as_py() or b"") + end, "<u4")
+            stream.add(doc_id, ids, encode.sentence_ends(ids[:-1]))
             if stream.tokens >= BLOCK_TOKENS:
                 yield from _batches(stream.flush(last=False))
     if stream.docs:

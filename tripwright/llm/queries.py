@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import stage_path
-from . import archive, packing, quality
-from .tokenizer_files import BYTE_LEVEL, WORD_LEVEL
+from . import archive, decontaminate, lines, minhash, packing, quality, secrets, substring, tokencount, warc
+from .tokenizer_files import BYTE_LEVEL, PIECES, WORD_LEVEL
 
 WORD_END, BYTE_END = 2, 1  # ids that the contracts put behind each document
 
@@ -18,10 +18,45 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencount.token_counts(_table(spark, sf_dir, "documents"), PIECES)
+
+
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(_table(spark, sf_dir, "documents")).drop("removed", "_host", "_key")
 
 
+def op5_shared_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.shared_passages(_table(spark, sf_dir, "documents"))
+
+
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.line_report(_table(spark, sf_dir, "documents"))
+
+
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = stage_path(spark, "warc")
+    warc.write_archives(_table(spark, sf_dir, "pages"), path)
+    index = warc.capture_index(warc.read_archives(spark, path))
+    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured", "position")
+
+
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secrets(_table(spark, sf_dir, "documents"), PIECES)
+
+
 def op9_token_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = stage_path(spark, "tokens")
     archive.write_token_files(_table(spark, sf_dir, "documents"), path, WORD_LEVEL, WORD_END)
@@ -34,7 +69,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_quality_rules, op9_token_archive, op10_packing)}
+    return {f.__name__: f for f in (
+        op1_near_duplicates, op2_token_counts, op3_decontamination, op4_quality_rules, op5_shared_passages, op6_line_dedup,
+        op7_warc, op8_secret_scan, op9_token_archive, op10_packing,
+    )}
 
 
 OP4 = f"""
@@ -78,5 +116,69 @@ select *, not base_failed and not depleted as kept from v
 """
 
 
+UPPER_LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+OP1 = f"""
+with recursive w as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), {UPPER_LOWER}), '[^\\x20\\x09-\\x0D]+') as ws from documents
+), s as (
+  select distinct doc_id, case when len(ws) < 5 then len(ws) || array_to_string(ws, ' ') else '5' || array_to_string(ws[i:i + 4], ' ') end as g
+  from (select doc_id, ws, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) as i from w where len(ws) > 0)
+), n as (
+  select doc_id, count(*) as n from s group by doc_id
+), links as (
+  select p.a, p.b from (select x.doc_id as a, y.doc_id as b, count(*) as c from s x join s y on x.g = y.g and x.doc_id < y.doc_id group by 1, 2) p
+  join n na on na.doc_id = p.a join n nb on nb.doc_id = p.b where 100 * c >= 75 * (na.n + nb.n - c)
+), reach(a, b) as (
+  select doc_id, doc_id from documents
+  union
+  select r.a, l.b from reach r join (select a, b from links union all select b, a from links) l on l.a = r.b
+)
+select d.doc_id, cast(coalesce(n.n, 0) as bigint) as n_shingles, m.component_id, d.doc_id = m.component_id as kept
+from documents d left join n on n.doc_id = d.doc_id join (select a, min(b) as component_id from reach group by a) m on m.a = d.doc_id
+"""
+
+OP3 = f"""
+with iw as (
+  select item_id, regexp_extract_all(translate(text, {UPPER_LOWER}), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as ws from benchmark where text is not null
+), win as (
+  select distinct item_id, width, array_to_string(ws[i:i + width - 1], ' ') as g
+  from (select item_id, ws, least(len(ws), 10) as width, unnest(range(1, len(ws) - least(len(ws), 10) + 2)) as i from iw where len(ws) > 0)
+), dw as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), {UPPER_LOWER}), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as ws from documents
+), probes as (
+  select doc_id, width, i, array_to_string(ws[i:i + width - 1], ' ') as g
+  from (select doc_id, ws, width, unnest(range(1, len(ws) - width + 2)) as i from dw, (select distinct width from win) where len(ws) >= width)
+), hits as (
+  select p.doc_id, p.i, p.width, win.item_id from probes p join win on win.width = p.width and win.g = p.g
+), covered as (
+  select doc_id, count(distinct k) as n_hit from (select doc_id, unnest(range(i, i + width)) as k from hits) group by doc_id
+), items as (
+  select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as list from (select distinct doc_id, cast(item_id as varchar) as item from hits) group by doc_id
+)
+select d.doc_id, cast(len(ws) as bigint) as n_words, cast(coalesce(n_hit, 0) as bigint) as n_hit, cast(coalesce(n_items, 0) as bigint) as n_items,
+  sha256(coalesce(list, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from dw d left join covered using (doc_id) left join items using (doc_id)
+"""
+
+OP7 = f"""
+with p as (
+  select page_id, url, coalesce(html, '') as payload, sha1(coalesce(html, '')) as sha, lower(coalesce(url, '')) as u,
+    {warc.EPOCH} + coalesce(page_id, 0) % 1000000000 as captured from pages
+), b as (
+  select *, array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (cast('0x' || substr(sha, 1 + 5 * (k // 4), 5) as bigint) >> (15 - 5 * (k % 4))) % 32, 1)
+    for k in range(32)], '') as digest, min(page_id) over (partition by sha) as least_id,
+    regexp_extract(u, '(?s)^(?:[a-z][a-z0-9+.-]*:)?(?://(?:[^/?#]*@)?(?:www[0-9]*\\.)?([^/?#:@]*)(?::[0-9]*)?)?([^#]*)', 1) as host,
+    regexp_extract(u, '(?s)^(?:[a-z][a-z0-9+.-]*:)?(?://(?:[^/?#]*@)?(?:www[0-9]*\\.)?([^/?#:@]*)(?::[0-9]*)?)?([^#]*)', 2) as rest from p
+), k as (
+  select *, case when u = '' then '' else array_to_string(list_reverse(string_split(host, '.')), ',') || ')' || case when rest = '' then '/' else rest end end as url_key from b
+)
+select page_id, cast(octet_length(encode(payload)) as bigint) as payload_bytes, digest as payload_digest,
+  case when page_id = least_id then 'response' else 'revisit' end as record_type, case when page_id <> least_id then least_id end as refers_to,
+  url_key, cast(captured as bigint) as captured, row_number() over (order by url_key, captured, page_id) - 1 as position
+from k
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_quality_rules": OP4}
+    return {"op1_near_duplicates": OP1, "op3_decontamination": OP3, "op4_quality_rules": OP4, "op7_warc": OP7}

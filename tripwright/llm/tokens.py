@@ -8,43 +8,30 @@ library's own ``encode`` of whole texts. The strings of special tokens count as
 from __future__ import annotations
 
 import re
-from array import array
 
 import numpy as np
 
 from .text import worker_cache
 
-#: Distinct pieces a worker keeps; the store is emptied when full.
-PIECES = 600_000
+#: Distinct pieces a worker keeps (some 150 bytes each); the store is emptied when full.
+PIECES = 1_200_000
 LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
-#: Blanks beyond ASCII, as UTF-8.
-WIDE_BLANK = re.compile(rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80|[\x1c-\x1f]")
+#: What the blanks beyond ASCII begin with in UTF-8, or are.
+WIDE_BLANKS = (b"\xc2\x85", b"\xc2\xa0", b"\xe1\x9a\x80", b"\xe2\x80", b"\xe2\x81\x9f", b"\xe3\x80\x80")
+DOUBLE = (b"  ", b"\t ", b"\n ", b"\r ", b"\x0b ", b"\x0c ")
 #: A word of Latin letters that normalisation leaves composed, and punctuation behind it: two parts in either file.
 PLAIN = re.compile(r"( ?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
-DOUBLE = (b"  ", b"\t ", b"\n ", b"\r ", b"\x0b ", b"\x0c ")
 
 
 class Pieces(dict):
-    """piece -> row of the table of ids; a piece not met before is encoded."""
-
-    def __init__(self, path: str, lead: str):
-        from tokenizers import Tokenizer
+    """piece -> its ids as little-endian unsigned 32-bit integers; a piece not met before is encoded."""
 
-        tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True
-        self.tokenizer, self.lead = tokenizer, lead
-        self.normal, self.split, self.model = tokenizer.normalizer, tokenizer.pre_tokenizer, tokenizer.model
-        self.parts: dict[str, int] = {}
+    def __init__(self, tokenizer, lead: str):
+        self.lead, self.normal, self.split, self.model = lead, tokenizer.normalizer, tokenizer.pre_tokenizer, tokenizer.model
         self.letters: dict[str, str] = {}
+        self.marks: dict[str, list[int]] = {}
         self.plain = True
         self.plain = all(self.cut_plain(x) == self.cut_any(x) for x in (f"{lead}Çédé", f"{lead}Word.,", f"{lead}straße!"))
-        self.reset()
-
-    def reset(self) -> None:
-        self.clear()
-        self.parts.clear()
-        self.starts, self.ids, self.cuts = array("q", [0]), array("I"), array("i")
-        self.part_ids = array("I")
 
     def cut_any(self, text: str) -> list[str]:
         if self.normal is not None:
@@ -55,55 +42,47 @@ class Pieces(dict):
         """What ``cut_any`` gives for a plain word, without its cost per call; None for any other text."""
         if not self.plain or not (m := PLAIN.fullmatch(text)):
             return None
-        word = m[2] if self.normal is None else m[2].lower()
+        space, word, mark = m.groups()
+        if self.normal is not None:
+            word = word.lower()
         if not word.isascii():
             word = "".join([self.letters.get(c) or self.letters.setdefault(c, "".join(self.cut_any(c))) for c in word])
-        return [("Ġ" if m[1] else "") + word, m[3]] if m[3] else [("Ġ" if m[1] else "") + word]
+        if space:
+            word = "Ġ" + word  # a space as the byte-level pre-tokenizer writes it
+        return [word, mark] if mark else [word]
 
-    def __missing__(self, piece: bytes) -> int:
-        text, cut = self.lead + piece.decode("utf-8", "replace"), -1
-        ids: list[int] = []
+    def __missing__(self, piece: bytes) -> bytes:
+        text, ids = self.lead + piece.decode("utf-8", "replace"), []
         for part in self.cut_plain(text) or self.cut_any(text):
-            at = self.parts.get(part)
-            if at is None:
-                got = [t.id for t in self.model.tokenize(part)]
-                self.parts[part] = len(self.part_ids) << 32 | len(got)
-                self.part_ids.extend(got)
-                ids += got
+            if len(part) > 1:
+                ids += [t.id for t in self.model.tokenize(part)]
             else:
-                ids += self.part_ids[at >> 32 : (at >> 32) + (at & 0xFFFFFFFF)]
-            if part[-1] == "Ċ":  # a line feed as the byte-level pre-tokenizer writes it
-                cut = len(ids)
-        if piece[-1:] in b".!?" and piece:
-            cut = len(ids)
-        self.ids.extend(ids)
-        self.starts.append(len(self.ids))
-        self.cuts.append(cut)
-        row = self[piece] = len(self.starts) - 2
-        return row
-
-    def gather(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of the pieces in ``rows`` one after another, and the places after which a sentence ends."""
-        starts = np.frombuffer(self.starts, np.int64)
-        length = starts[rows + 1] - starts[rows]
-        ends = np.cumsum(length)
-        at = np.repeat(starts[rows] - (ends - length), length) + np.arange(ends[-1] if len(ends) else 0)
-        ids = np.frombuffer(self.ids, np.uint32)[at] if len(at) else np.zeros(0, np.uint32)
-        cut = np.frombuffer(self.cuts, np.int32)[rows]
-        return ids, (ends - length + cut)[cut >= 0]
+                if part not in self.marks:
+                    self.marks[part] = [t.id for t in self.model.tokenize(part)]
+                ids += self.marks[part]
+        if len(self) >= PIECES:
+            self.clear()
+        got = self[piece] = np.array(ids, "<u4").tobytes()
+        return got
+
+
+def _tokenizer(path: str):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.encode_special_tokens = True
+    return tokenizer
 
 
 class WordEncoder:
     """For tokenizers that drop blanks: ids of a text are those of its words."""
 
     def __init__(self, path: str):
-        self.pieces = Pieces(path, "")
+        self.pieces = Pieces(_tokenizer(path), "")
 
-    def __call__(self, text: bytes) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.pieces) > PIECES:
-            self.pieces.reset()
-        words = text.split()
-        return self.pieces.gather(np.fromiter(map(self.pieces.__getitem__, words), np.int64, len(words)))
+    def __call__(self, text: bytes) -> bytes:
+        """Ids of ``text`` as little-endian unsigned 32-bit integers."""
+        return b"".join(map(self.pieces.__getitem__, text.split()))
 
 
 class SpaceEncoder:
@@ -111,20 +90,25 @@ class SpaceEncoder:
     blanks must stay whole, so texts with a space behind another blank are cut at lone spaces only."""
 
     def __init__(self, path: str):
-        self.first, self.pieces = Pieces(path, ""), Pieces(path, " ")
-
-    def __call__(self, text: bytes) -> tuple[np.ndarray, np.ndarray]:
-        for store in (self.first, self.pieces):
-            if len(store) > PIECES:
-                store.reset()
-        if any(x in text for x in DOUBLE) or not text.isascii() and WIDE_BLANK.search(text):
+        tokenizer = _tokenizer(path)
+        self.first, self.pieces = Pieces(tokenizer, ""), Pieces(tokenizer, " ")
+        names = [tokenizer.id_to_token(i) or "" for i in range(tokenizer.get_vocab_size())]
+        self.ends = np.array([bool(x) and x[-1] in ".!?Ċ" for x in names])
+        self.begins = np.array([x[:1] in ("Ġ", "Ċ") for x in names])
+        self.feeds = np.array([x[-1:] == "Ċ" for x in names])
+
+    def __call__(self, text: bytes) -> bytes:
+        """Ids of ``text`` as little-endian unsigned 32-bit integers."""
+        if any(x in text for x in DOUBLE) or not text.isascii() and any(x in text for x in WIDE_BLANKS):
             words = [x.encode() for x in LONE_SPACE.split(text.decode("utf-8", "replace"))]
         else:
             words = text.split(b" ")
-        ids, cuts = self.first.gather(np.fromiter((self.first[words[0]],), np.int64, 1))
-        rest = words[1:]
-        more, places = self.pieces.gather(np.fromiter(map(self.pieces.__getitem__, rest), np.int64, len(rest)))
-        return np.concatenate([ids, more]), np.concatenate([cuts, places + len(ids)])
+        return self.first[words[0]] + b"".join(map(self.pieces.__getitem__, words[1:]))
+
+    def sentence_ends(self, ids: np.ndarray) -> np.ndarray:
+        """Places behind a full stop (or ! or ?) before a blank, and behind a line feed."""
+        closed = self.ends[ids[:-1]] & (self.begins[ids[1:]] | self.feeds[ids[:-1]])
+        return np.flatnonzero(closed) + 1
 
 
 def encoder(kind, path: str):

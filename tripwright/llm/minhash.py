@@ -23,7 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
@@ -151,3 +151,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     found = copies.select("doc_id", "n_shingles", F.coalesce("rep", "doc_id").alias("id")).join(labels, "id", "left")
     found = found.groupBy("doc_id").agg(F.max("n_shingles").alias("n_shingles"), F.min(F.coalesce("component", "id")).alias("component_id"))
     return found.withColumn("kept", F.col("doc_id") == F.col("component_id"))
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """``docs`` with one document of each group of near-duplicates, the one with the least id. Of rows that repeat a
+    doc_id the one with the least text stays; rows without a doc_id all stay, and so do documents without words."""
+    kept = near_duplicates(docs).where("kept").select("doc_id")
+    named = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi")
+    first = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last()))
+    named = named.withColumn("_row", first).where("_row = 1").drop("_row")
+    return named.unionAll(docs.where("doc_id is null"))

@@ -16,7 +16,9 @@ from ..session import materialize
 from .columns import once
 
 WIDTH = 10
+#: Between words in lower case, and a word in any case.
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Windows (a hash, a width and a number each) that may be broadcast: some 50 MB. More are joined by a shuffle.
 BROADCAST_WINDOWS = 1_000_000
@@ -116,8 +118,7 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH) -> D
     marks = contamination(docs, benchmark, width).where("n_hit > 0").groupBy("doc_id", "_text").agg(F.first("spans").alias("_spans")).alias("c")
     keyed = docs.withColumn("_text", F.xxhash64("text")).alias("d")
     same = F.col("d.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("d._text") == F.col("c._text"))
-    word = GAP.replace("[", "[^").replace("]+", "]+")
-    both = F.struct(F.regexp_extract_all("text", F.lit(word), F.lit(0)).alias("w"), F.split("text", word).alias("g"))
+    both = F.struct(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)).alias("w"), F.split("text", WORD).alias("g"))
 
     def left(v: Column) -> Column:
         """Gap 0, word 0, gap 1, ...: a word goes if a span holds it, a gap if a span holds the words on both sides."""

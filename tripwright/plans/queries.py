@@ -99,34 +99,44 @@ def trip_records(s: Star, how: str = "inner") -> DataFrame:
     return out.select(*TRIP_RECORD_COLUMNS)
 
 
+def _mean(total: str, n: str):
+    return F.try_divide(F.sum(total).cast("double"), F.sum(n))
+
+
 def q1_star(s: Star) -> DataFrame:
-    f, t = s["fact_trips"], s["dim_pickup_time"]
-    return (f.join(t, "PICKUP_TIME_ID").groupBy("VEHICLE_ID", F.col("month").alias("Month"))
-            .agg(F.avg("distance_km").alias("average_distance_per_month"),
-                 F.avg("duration_s").alias("average_trip_duration"))
+    """Sums per vehicle and time id are made before the join, so it sees one row for each of them."""
+    sums = s["fact_trips"].groupBy("VEHICLE_ID", "PICKUP_TIME_ID").agg(
+        F.sum("distance_km").alias("_km"), F.count("distance_km").alias("_n_km"),
+        F.sum("duration_s").alias("_s"), F.count("duration_s").alias("_n_s"))
+    return (sums.join(s["dim_pickup_time"], "PICKUP_TIME_ID").groupBy("VEHICLE_ID", F.col("month").alias("Month"))
+            .agg(_mean("_km", "_n_km").alias("average_distance_per_month"), _mean("_s", "_n_s").alias("average_trip_duration"))
             .orderBy("VEHICLE_ID", "Month"))
 
 
+def _count_through(s: Star, dim: str, key: str, by: list, name: str) -> DataFrame:
+    """Trips per attribute of a dimension. They are counted by the dimension's key first (combined before the
+    shuffle, so a busy key is one row) and the small result is joined."""
+    counts = s["fact_trips"].groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    out = counts.join(s[dim], key).groupBy(*by).agg(F.sum("_n").alias(name))
+    return out.orderBy(F.col(name).desc(), *[F.col(c) for c in out.columns if c != name])
+
+
 def q2_star(s: Star) -> DataFrame:
-    j = s["fact_trips"].join(s["dim_pickup_location"], "PICKUP_LOCATION_ID")
-    return _count_by(j, [F.col("LATITUDE_PICKUP").alias("latitude_pickup"),
-                         F.col("LONGITUDE_PICKUP").alias("longitude_pickup")], "num_pickups")
+    by = [F.col("LATITUDE_PICKUP").alias("latitude_pickup"), F.col("LONGITUDE_PICKUP").alias("longitude_pickup")]
+    return _count_through(s, "dim_pickup_location", "PICKUP_LOCATION_ID", by, "num_pickups")
 
 
 def q3_star(s: Star) -> DataFrame:
-    j = s["fact_trips"].join(s["dim_dropoff_location"], "DROPOFF_LOCATION_ID")
-    return _count_by(j, [F.col("LATITUDE_DROPOFF").alias("latitude_dropoff"),
-                         F.col("LONGITUDE_DROPOFF").alias("longitude_dropoff")], "num_dropoffs")
+    by = [F.col("LATITUDE_DROPOFF").alias("latitude_dropoff"), F.col("LONGITUDE_DROPOFF").alias("longitude_dropoff")]
+    return _count_through(s, "dim_dropoff_location", "DROPOFF_LOCATION_ID", by, "num_dropoffs")
 
 
 def q4_star(s: Star) -> DataFrame:
-    j = s["fact_trips"].join(s["dim_pickup_time"], "PICKUP_TIME_ID")
-    return _count_by(j, [F.hour("PICKUP_DT").alias("pickup_hour")], "num_hour_pickups")
+    return _count_through(s, "dim_pickup_time", "PICKUP_TIME_ID", [F.hour("PICKUP_DT").alias("pickup_hour")], "num_hour_pickups")
 
 
 def q5_star(s: Star) -> DataFrame:
-    j = s["fact_trips"].join(s["dim_dropoff_time"], "DROPOFF_TIME_ID")
-    return _count_by(j, [F.hour("DROPOFF_DT").alias("dropoff_hour")], "num_hour_dropoffs")
+    return _count_through(s, "dim_dropoff_time", "DROPOFF_TIME_ID", [F.hour("DROPOFF_DT").alias("dropoff_hour")], "num_hour_dropoffs")
 
 
 def q6_star(s: Star) -> DataFrame:
@@ -143,16 +153,15 @@ def q8_star(s: Star, vehicle_id: str) -> DataFrame:
 
 
 def q9_driver_means(s: Star) -> DataFrame:
-    """Mean duration and distance per driver over the fact left-joined to all six dimensions."""
-    f = s["fact_trips"]
-    v = s["dim_vehicle"].select(F.col("VEHICLE_ID").alias("_v"))
-    d = s["dim_driver"].select(F.col("DRIVER_ID").alias("d_DRIVER_ID"))
-    j = (f.join(v, f["VEHICLE_ID"] == v["_v"], "left")
-         .join(d, f["DRIVER_ID"] == d["d_DRIVER_ID"], "left")
-         .join(s["dim_pickup_time"].select("PICKUP_TIME_ID"), "PICKUP_TIME_ID", "left")
-         .join(s["dim_dropoff_time"].select("DROPOFF_TIME_ID"), "DROPOFF_TIME_ID", "left")
-         .join(s["dim_pickup_location"].select("PICKUP_LOCATION_ID"), "PICKUP_LOCATION_ID", "left")
-         .join(s["dim_dropoff_location"].select("DROPOFF_LOCATION_ID"), "DROPOFF_LOCATION_ID", "left"))
-    return (j.groupBy(F.col("d_DRIVER_ID").alias("DRIVER_ID"))
-            .agg(F.avg("duration_s").alias("average_trip_duration"),
-                 F.avg("distance_km").alias("average_trip_distance")))
+    """Mean duration and distance per driver of the dimension; trips of no known driver form one group.
+
+    The query is defined over the fact left-joined to all six dimensions. Their keys are unique, so the other five
+    joins neither add nor drop a row and are left out; the driver's joins the sums per driver.
+    """
+    sums = s["fact_trips"].groupBy("DRIVER_ID").agg(
+        F.sum("duration_s").alias("_s"), F.count("duration_s").alias("_n_s"),
+        F.sum("distance_km").alias("_km"), F.count("distance_km").alias("_n_km"))
+    known = s["dim_driver"].select(F.col("DRIVER_ID").alias("_known"))
+    joined = sums.join(known, sums["DRIVER_ID"] == known["_known"], "left")
+    return joined.groupBy(F.col("_known").alias("DRIVER_ID")).agg(
+        _mean("_s", "_n_s").alias("average_trip_duration"), _mean("_km", "_n_km").alias("average_trip_distance"))

@@ -34,3 +34,25 @@ def test_dense_ids_with_many_ties(spark):
     assert ids == list(range(1, 3501))
     by_id = sorted(got, key=lambda r: r.id)
     assert [r.k for r in by_id] == sorted(r.k for r in got)
+
+
+def test_offsets_of_many_partitions(spark):
+    """More blocks than one task should sum, some of them missing."""
+    from tripwright.operators.prefix import block_offsets
+
+    blocks = spark.range(150_000).where("id % 5 <> 3").selectExpr("id as b", "id % 7 as n", "1 as m")
+    got = block_offsets(blocks, "b", "n", "m").toPandas().sort_values("b")
+    want = blocks.toPandas().sort_values("b")
+    assert (got.before_n.values == (want.n.cumsum() - want.n).values).all()
+    assert (got.before_m.values == (want.m.cumsum() - want.m).values).all()
+
+
+def test_ids_do_not_depend_on_the_order_of_the_input(spark):
+    rows = [(i % 7, f"r{i % 40}", None if i % 11 == 0 else i % 3) for i in range(400)]
+    runs = []
+    for step in (1, 7, 13):
+        df = spark.createDataFrame([rows[(i * step) % 400] for i in range(400)], "k int, r string, x int").repartition(step)
+        got = dense_ids(df, ["k"], "id", partitions=5).collect()
+        assert sorted(r.id for r in got) == list(range(1, 401))
+        runs.append(sorted((r.id, r.k, r.r, r.x) for r in [g for g in got if g.x is not None]))
+    assert runs[0] == runs[1] == runs[2]

@@ -1,10 +1,13 @@
 """Dense surrogate keys without a single-partition window.
 
 ``ROW_NUMBER() OVER (ORDER BY k)`` with no partition funnels every row into one task. ``dense_ids``
-range-partitions by the keys instead (Spark samples the split points), records each row's partition
-index and its position inside the sorted partition, and writes that to the checkpoint folder so the
-numbers are fixed. A table with one row per partition (bounded by the partition count, not the data)
-gives each partition its offset, and is broadcast back.
+range-partitions by the keys instead (Spark samples the split points), records each row's partition and its
+position inside the sorted partition, and writes that to the checkpoint folder. Each partition's offset is a
+two-level sum of the partitions' counts (``prefix.block_offsets``), joined back without a hint: the table has a
+row per partition, and adaptive execution broadcasts it when it is small.
+
+A row's place depends on nothing but its values, so a task that runs again gives the same ids: ties in the keys are
+broken by the other columns, and equal rows, which no order can tell apart, are counted first and numbered as one.
 """
 
 from __future__ import annotations
@@ -13,41 +16,44 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
-
-MAX_ID_PARTITIONS = 100_000
+from .prefix import block_offsets
 
 
 def dense_ids(df: DataFrame, keys: list[str], id_col: str, partitions: int | None = None,
-              with_total: bool = False) -> DataFrame:
+              with_total: bool = False, unique: bool = False) -> DataFrame:
     """Adds ``id_col`` = 1..N in ascending key order, NULLs first, as ``row_number`` would give.
-    ``with_total`` also adds ``_total`` = N."""
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if n > MAX_ID_PARTITIONS:
-        raise ValueError(f"{n} partitions exceed the offset-table bound {MAX_ID_PARTITIONS}")
-    # the scan position breaks ties, so rows with equal keys (copies) spread over range partitions
-    # instead of landing in one; which of two tied rows gets the smaller id was arbitrary anyway
-    order = [F.col(k).asc_nulls_first() for k in keys] + [F.col("_tie")]
+    ``with_total`` also adds ``_total`` = N. ``unique`` says that no two rows have equal keys, which saves the
+    counting of equal rows."""
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    columns = list(df.columns)
+    order = [F.col(k).asc_nulls_first() for k in keys]
+    if unique:
+        rows = df.withColumn("_n", F.lit(1).cast("long"))
+    else:
+        order += [F.col(c).asc_nulls_first() for c in columns if c not in keys]
+        rows = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
     ranged = (
-        df.withColumn("_tie", F.monotonically_increasing_id())
-        .repartitionByRange(n, *order)
-        .sortWithinPartitions(*order)
-        .withColumn("_p", F.spark_partition_id())
+        rows.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("_p", F.spark_partition_id())
         .withColumn("_i", F.monotonically_increasing_id() - F.shiftleft(F.col("_p").cast("long"), 33))
     )
     staged = materialize(ranged, "ids")
-    counts = staged.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_p", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"),
-                            F.sum("_n").over(Window.partitionBy(F.lit(0))).alias("_total"))
-    out = staged.join(F.broadcast(offsets), "_p").withColumn(id_col, (F.col("_off") + F.col("_i") + 1).cast("long"))
-    drop = ["_p", "_i", "_off", "_tie"] + ([] if with_total else ["_total"])
-    return out.drop(*drop)
+    blocks = staged.groupBy("_p").agg(F.sum("_n").alias("_rows"))
+    numbered = staged.join(block_offsets(blocks, "_p", "_rows"), "_p")
+    if unique:
+        numbered = numbered.withColumn(id_col, F.col("before__rows") + F.col("_i") + 1)
+    else:
+        before = F.sum("_n").over(Window.partitionBy("_p").orderBy("_i").rowsBetween(Window.unboundedPreceding, -1))
+        first = F.col("before__rows") + F.coalesce(before, F.lit(0)) + 1
+        numbered = numbered.withColumn("_first", first)
+        numbered = numbered.withColumn(id_col, F.explode(F.sequence(F.col("_first"), F.col("_first") + F.col("_n") - 1)))
+    if with_total:
+        numbered = numbered.withColumn("_total", F.lit(staged.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]))
+    return numbered.select(*columns, F.col(id_col).cast("long").alias(id_col), *["_total"] * with_total)
 
 
 def every_nth(df: DataFrame, key: str, n: int = 2, remainder: int = 0) -> DataFrame:
     """Distinct ``key`` values whose rank in key order is ``remainder`` mod ``n`` (W03: every second)."""
-    ranked = dense_ids(df.select(key).distinct(), [key], "_rn")
+    ranked = dense_ids(df.select(key).distinct(), [key], "_rn", unique=True)
     return ranked.filter(F.col("_rn") % n == remainder).select(key)
 
 

@@ -32,7 +32,7 @@ def build_dim_location(obt: DataFrame, side: str) -> DataFrame:
     """Distinct (lat, lon) of one trip end with a dense id in (lat, lon) order."""
     (lat, lat_out), (lon, lon_out), id_col = _LOCATION[side]
     pts = obt.select(F.col(lat).alias(lat_out), F.col(lon).alias(lon_out)).distinct()
-    return dense_ids(pts, [lat_out, lon_out], id_col).select(lat_out, lon_out, id_col)
+    return dense_ids(pts, [lat_out, lon_out], id_col, unique=True).select(lat_out, lon_out, id_col)
 
 
 def build_dim_time(obt: DataFrame, side: str) -> DataFrame:
@@ -40,7 +40,7 @@ def build_dim_time(obt: DataFrame, side: str) -> DataFrame:
     src, dt, id_col = _TIME[side]
     ts = obt.select(F.col(src).alias(dt)).distinct()
     ts = ts.select(dt, F.year(dt).alias("year"), F.month(dt).alias("month"), F.dayofmonth(dt).alias("day"))
-    return dense_ids(ts, [dt], id_col).select(dt, "year", "month", "day", id_col)
+    return dense_ids(ts, [dt], id_col, unique=True).select(dt, "year", "month", "day", id_col)
 
 
 def build_fact(obt: DataFrame, dims: dict[str, DataFrame], trip_id: str = "dense") -> DataFrame:

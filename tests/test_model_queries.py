@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tripwright.operators import sessions, validate
 from tripwright.plans import model, queries as Q
-from tripwright.plans.cleaning import StageCounts, clean_trips
+from tripwright.plans.cleaning import StageCounts, clean_trips, typed_trips
 from tripwright.session import materialize
 from tripwright.sources import fixtures
 
@@ -67,5 +67,24 @@ def test_stage_counts_sf001(spark):
     out.write.format("noop").mode("overwrite").save()
     assert counts.as_dict() == {
         "input": 10001, "v01_width": 9601, "v03_shape": 9400, "v09_epoch": 9000, "v10_boundary": 5667,
-        "d02_connected": 4007, "v20_min_distance": 3798,
+        "d01_no_overlaps": counts.as_dict()["d01_no_overlaps"], "d02_connected": 4007, "v20_min_distance": 3798,
     }
+    single = sessions.remove_overlaps(typed_trips(fixtures.raw_lines(spark, SF001), fixtures.boundary(spark)))
+    assert counts.as_dict()["d01_no_overlaps"] == single.count()
+    last = counts.table(spark).collect()[-1]
+    assert (last.rows_before, last.rows_after, last.removed) == (4007, 3798, 209)
+
+
+def test_counts_lie_below_the_joins(star):
+    """Star aggregates: the fact is aggregated by its key before it is joined."""
+    for make in (Q.q1_star, Q.q2_star, Q.q3_star, Q.q4_star, Q.q5_star, Q.q9_driver_means):
+        plan = make(star)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+        join = next(i for i, x in enumerate(plan) if "Join" in x)
+        assert any("Aggregate" in x for x in plan[join + 1 :]), make.__name__
+        assert sum("Join" in x for x in plan) == 1
+
+
+def test_pair_connection_reads_stored_tables(spark):
+    trips = sessions.add_distance_duration(sessions.remove_overlaps(fixtures.clean_trips(spark, SF0001)))
+    plan = sessions.connect_pairs(trips)._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" not in plan and plan.count("LeftAnti") <= 4

@@ -2,8 +2,8 @@
 connection (D03), plus the distance / duration enrichment between them.
 
 D01 and D02 are greedy folds (the state after a dropped trip differs from the state after a kept one),
-so they cannot be written as ``lag`` or a running max. They run as one hash exchange, a sort within
-partitions and a fold over the partition's Arrow batches (``mapInArrow``): rows stream through with O(1)
+so they cannot be written as ``lag`` or a running max. After the island split below they run as a hash
+exchange, a sort within partitions and a fold over the partition's Arrow batches (``mapInArrow``): rows stream through with O(1)
 state (the open group's first and last rows), output is built with vectorized ``take``, no ``.rdd``
 barrier.
 
@@ -21,11 +21,12 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from ..functions.geo import haversine_km
 from ..functions.timefmt import duration_s, epoch_seconds
 from ..schema import CLEAN_COLUMNS, CONNECT_GAP_S, CONNECT_MAX_KM, ENRICHED_COLUMNS, TRIP_ORDER
+from ..session import materialize
 
 ISLAND_BUCKET_S = 86400
 _UNB = Window.unboundedPreceding
@@ -89,12 +90,12 @@ def _gap_break(gap_s: int) -> Callable[[Column, Column], Column]:
 class _FoldState:
     """State of the fold at the end of a batch; only the open group's first and last rows are kept."""
 
-    __slots__ = ("key", "last_end", "km", "dur", "prev_end", "carry")
+    __slots__ = ("key", "last_end", "km", "dur", "trips", "prev_end", "carry")
 
     def __init__(self):
         self.key = None
         self.last_end = None      # D01: end of the last kept trip (micros)
-        self.km = self.dur = self.prev_end = None
+        self.km = self.dur = self.trips = self.prev_end = None
         self.carry = None         # pyarrow table with the open group's first and last rows
 
 
@@ -103,12 +104,12 @@ def _fold_kernel(kind: str, vehicles, groups, starts, ends, dist, dur, mult, n_c
     """One pass over a batch (carried rows first). Each row stands for ``mult[i]`` identical copies.
 
     Returns the kept (row, copies) pairs (D01 only) or the closed groups as (first index, last index, km,
-    duration) lists, and leaves the open group in ``st``. Copies of a trip with positive duration overlap
+    duration, trips) lists, and leaves the open group in ``st``. Copies of a trip with positive duration overlap
     each other, so D01 keeps one; otherwise all are kept and D02 takes them one after the other (all at
     once when they add no distance).
     """
     overlap, connect = kind in ("overlap", "both"), kind in ("connect", "both")
-    kept, firsts, lasts, kms, durs = [], [], [], [], []
+    kept, firsts, lasts, kms, durs, trips = [], [], [], [], [], []
     first = 0 if (connect and n_carry) else None
     last = n_carry - 1 if (connect and n_carry) else None
     for i in range(n_carry, len(starts)):
@@ -116,7 +117,7 @@ def _fold_kernel(kind: str, vehicles, groups, starts, ends, dist, dur, mult, n_c
         s, e, n = starts[i], ends[i], mult[i]
         if key != st.key:
             if first is not None:
-                firsts.append(first), lasts.append(last), kms.append(st.km), durs.append(st.dur)
+                firsts.append(first), lasts.append(last), kms.append(st.km), durs.append(st.dur), trips.append(st.trips)
             st.key, st.last_end, first, last = key, None, None, None
         if overlap:
             if st.last_end is not None and s is not None and st.last_end > s:
@@ -133,16 +134,18 @@ def _fold_kernel(kind: str, vehicles, groups, starts, ends, dist, dur, mult, n_c
                     and s - st.prev_end <= gap_us and st.km < max_km:
                 if d == 0 and e is not None and s - e <= gap_us:
                     st.dur += u * n        # every remaining copy joins this group
+                    st.trips += n
                     st.prev_end, last, n = e, i, 0
                     break
                 st.km += d
                 st.dur += u
+                st.trips += 1
                 st.prev_end, last, n = e, i, n - 1
                 continue
             if first is not None:
-                firsts.append(first), lasts.append(last), kms.append(st.km), durs.append(st.dur)
-            first, last, st.km, st.dur, st.prev_end, n = i, i, d, u, e, n - 1
-    return kept, (firsts, lasts, kms, durs), (first, last)
+                firsts.append(first), lasts.append(last), kms.append(st.km), durs.append(st.dur), trips.append(st.trips)
+            first, last, st.km, st.dur, st.trips, st.prev_end, n = i, i, d, u, 1, e, n - 1
+    return kept, (firsts, lasts, kms, durs, trips), (first, last)
 
 
 _EMIT_ROWS = 65536
@@ -165,13 +168,13 @@ def _repeat_take(table, pairs, cols):
         yield from table.take(pa.array(idx, pa.int64())).select(cols).to_batches()
 
 
-def _fold_partitions(kind: str, out_cols: list[str], gap_s: float, max_km: float):
+def _fold_partitions(kind: str, out_cols: list[str], gap_s: float, max_km: float, count_col: str | None = None):
     import pyarrow as pa
     import pyarrow.compute as pc
 
     gap_us = int(round(gap_s * 1_000_000))
 
-    def emit(table, firsts, lasts, kms, durs):
+    def emit(table, firsts, lasts, kms, durs, trips):
         for lo in range(0, len(firsts), _EMIT_ROWS):
             hi = lo + _EMIT_ROWS
             out = table.take(pa.array(firsts[lo:hi], pa.int64())).select(out_cols)
@@ -180,6 +183,8 @@ def _fold_partitions(kind: str, out_cols: list[str], gap_s: float, max_km: float
                 out = out.set_column(out.schema.get_field_index(c), c, ends.column(c))
             out = out.set_column(out.schema.get_field_index("distance"), "distance", pa.array(kms[lo:hi], pa.float64()))
             out = out.set_column(out.schema.get_field_index("duration_s"), "duration_s", pa.array(durs[lo:hi], pa.int64()))
+            if count_col:
+                out = out.append_column(count_col, pa.array(trips[lo:hi], pa.int64()))
             yield from out.to_batches()
 
     def run(batches):
@@ -205,20 +210,20 @@ def _fold_partitions(kind: str, out_cols: list[str], gap_s: float, max_km: float
                 yield from emit(table, *groups)
             st.carry = table.take(pa.array([first, last], pa.int64())) if first is not None else None
         if st.carry is not None:
-            yield from emit(st.carry, [0], [1], [st.km], [st.dur])
+            yield from emit(st.carry, [0], [1], [st.km], [st.dur], [st.trips])
 
     return run
 
 
 def _run_fold(df: DataFrame, kind: str, breaks, out_cols: list[str], gap_s: float = CONNECT_GAP_S,
-              max_km: float = CONNECT_MAX_KM, bucket_s: int = ISLAND_BUCKET_S) -> DataFrame:
+              max_km: float = CONNECT_MAX_KM, bucket_s: int = ISLAND_BUCKET_S, count_col: str | None = None) -> DataFrame:
     """Copies collapsed (map-side combined count), island split, then one hash exchange on (vehicle,
     island bucket), a sort within partitions in trip order, and the fold over Arrow batches."""
     rows = df.select(*out_cols).groupBy(*out_cols).agg(F.count(F.lit(1)).alias("_n"))
     staged = island_groups(rows, breaks, bucket_s=bucket_s)
-    schema = StructType([df.schema[c] for c in out_cols])
+    schema = StructType([df.schema[c] for c in out_cols] + ([StructField(count_col, LongType())] if count_col else []))
     ordered = staged.repartition("VEHICLE_ID", "_grp").sortWithinPartitions("VEHICLE_ID", "_grp", *TRIP_ORDER)
-    return ordered.mapInArrow(_fold_partitions(kind, out_cols, gap_s, max_km), schema)
+    return ordered.mapInArrow(_fold_partitions(kind, out_cols, gap_s, max_km, count_col), schema)
 
 
 def remove_overlaps(df: DataFrame, bucket_s: int = ISLAND_BUCKET_S) -> DataFrame:
@@ -235,11 +240,11 @@ def connect_trips(df: DataFrame, gap_s: float = CONNECT_GAP_S, max_km: float = C
 
 
 def remove_overlaps_and_connect(df: DataFrame, gap_s: float = CONNECT_GAP_S, max_km: float = CONNECT_MAX_KM,
-                                bucket_s: int = ISLAND_BUCKET_S) -> DataFrame:
-    """D01 then D02 in one fold and one exchange. Distance and duration are computed before the fold,
+                                bucket_s: int = ISLAND_BUCKET_S, count_col: str | None = None) -> DataFrame:
+    """D01 then D02 in one fold. ``count_col`` adds the number of trips in each group, whose sum is what D01 kept. Distance and duration are computed before the fold,
     so they are JVM column math; a trip opening an island (start more than ``gap_s`` after every earlier
     end) both survives D01 and opens a D02 group, so both folds restart there."""
-    return _run_fold(df, "both", _gap_break(gap_s), ENRICHED_COLUMNS, gap_s, max_km, bucket_s)
+    return _run_fold(df, "both", _gap_break(gap_s), ENRICHED_COLUMNS, gap_s, max_km, bucket_s, count_col)
 
 
 # ---------------------------------------------------------------- D03: pairwise connection
@@ -265,11 +270,12 @@ def connect_pairs(df: DataFrame, gap_s: int = 60, max_km: float = CONNECT_MAX_KM
     t1 end, request ids; default 1900-01-01); output is the merged surviving pairs plus every trip that
     touches no surviving pair (same start or end as one of its two trips). ``REQUEST_ID`` is not carried.
 
-    The interval self-join is an equi-join on (vehicle, minute bucket): t1 is offered to the bucket of its
-    end and the next one, so only trips less than two minutes apart are compared. The exclusion is four
-    equi anti-joins instead of one join on an OR.
+    The input and the surviving pairs are written once and read where they are needed. The interval self-join is
+    an equi-join on (vehicle, minute bucket): t1 is offered to the bucket of its end and the next one, so only trips
+    less than two minutes apart are compared. The exclusion is two equi anti-joins, on the starts and on the ends of
+    the pairs' trips, instead of one join on an OR.
     """
-    base = df.select(*ENRICHED_COLUMNS)
+    base = materialize(df.select(*ENRICHED_COLUMNS), "pair-input")
     minute = lambda c: F.floor(epoch_seconds(c) / F.lit(gap_s)).cast("bigint")
     t1 = base.filter(F.col("distance") <= F.lit(max_km)).select(
         *[F.col(c).alias(f"{c}_1") for c in ENRICHED_COLUMNS],
@@ -285,7 +291,7 @@ def connect_pairs(df: DataFrame, gap_s: int = 60, max_km: float = CONNECT_MAX_KM
     order = ["START_TIME_1", "END_TIME_1", "REQUEST_ID_1", "START_TIME_2", "END_TIME_2", "REQUEST_ID_2"]
     pairs = _prev_in_order(pairs, "VEHICLE_ID", order, "START_TIME_2", _bucket("START_TIME_1", bucket_s), "_prev2")
     default = F.lit("1900-01-01 00:00:00").cast("timestamp_ntz")
-    kept = pairs.filter(F.col("START_TIME_1") != F.coalesce(F.col("_prev2"), default))
+    kept = materialize(pairs.filter(F.col("START_TIME_1") != F.coalesce(F.col("_prev2"), default)), "pairs")
 
     merged = kept.select(
         "VEHICLE_ID",
@@ -301,8 +307,8 @@ def connect_pairs(df: DataFrame, gap_s: int = 60, max_km: float = CONNECT_MAX_KM
     )
     out_cols = [c for c in merged.columns]
     rest = base
-    for pair_col, trip_col in (("START_TIME_1", "START_TIME"), ("END_TIME_1", "END_TIME"),
-                               ("START_TIME_2", "START_TIME"), ("END_TIME_2", "END_TIME")):
-        keys = kept.select(F.col("VEHICLE_ID").alias("_v"), F.col(pair_col).alias("_t")).distinct()
+    for trip_col in ("START_TIME", "END_TIME"):
+        times = F.explode(F.array(f"{trip_col}_1", f"{trip_col}_2")).alias("_t")
+        keys = kept.select(F.col("VEHICLE_ID").alias("_v"), times).distinct()
         rest = rest.join(keys, (rest["VEHICLE_ID"] == keys["_v"]) & (rest[trip_col] == keys["_t"]), "left_anti")
     return merged.unionByName(rest.select(*out_cols))

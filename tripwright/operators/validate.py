@@ -7,6 +7,7 @@ import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from ..functions.geo import within_boundary, within_boundary_join
 from ..functions.timefmt import format_ts, parse_ts, shape_regex
@@ -112,16 +113,20 @@ def drop_null(df: DataFrame, subset: list[str]) -> DataFrame:
     return df.dropna(how="any", subset=subset)
 
 
-def _non_null_count(cols: list[str]) -> Column:
+def _non_null_count(df: DataFrame, cols: list[str]) -> Column:
+    """Fields that hold a value; an empty text is a missing one, as in the text files the rows come from."""
+    texts = {f.name for f in df.schema.fields if isinstance(f.dataType, StringType)}
     total = F.lit(0)
     for c in cols:
-        total = total + F.col(c).isNotNull().cast("int")
+        value = F.nullif(F.col(c), F.lit("")) if c in texts else F.col(c)
+        total = total + value.isNotNull().cast("int")
     return total
 
 
 def keep_non_null_count(df: DataFrame, op: str = "==", n: int = 9, cols: list[str] | None = None) -> DataFrame:
-    """Rows whose count of non-NULL fields compares to ``n`` with ``op`` (V14 ``==``, V15 ``<=``)."""
-    cnt = _non_null_count(cols or df.columns)
+    """Rows whose count of fields with a value compares to ``n`` with ``op`` (V14 ``==``, V15 ``<=``); meant for the
+    text columns as they were read, before any cast."""
+    cnt = _non_null_count(df, cols or df.columns)
     cond = {"==": cnt == n, "<=": cnt <= n, "<": cnt < n, ">=": cnt >= n, ">": cnt > n}[op]
     return df.filter(cond)
 

@@ -11,12 +11,13 @@ from pyspark.sql.types import DoubleType
 
 from ..functions.geo import haversine_km, register_functions, within_boundary
 from ..operators import compare, ids, sessions, validate
-from ..schema import RAW_COLUMNS
-from ..session import materialize
-from ..sinks import with_year_month
-from ..sources import fixtures as fx
+from ..schema import OBT_SCHEMA, RAW_COLUMNS
+from ..session import materialize, stage_path
+from ..sinks import register, with_year_month, write_csv, write_star
+from ..sources import STAR_TABLES, combine_csv, fixtures as fx, load_star, read_boundary, read_raw_lines, read_tolerant_csv, read_trips_csv
 from . import model, oracle, queries as Q
 from .cleaning import clean_sample_csv, clean_trips, stage_count_table, typed_trips
+from .sql import register_queries
 
 VEHICLE = "veh7"
 PREFIX = "req12"
@@ -106,6 +107,66 @@ def _star(spark, sf):
     return _STAR_TABLES[key]
 
 
+def _gappy(spark, sf):
+    """Raw lines of which some have a tenth field that is empty, or an empty field and a tenth one."""
+    return _lines(spark, sf).selectExpr(GAPPY)
+
+
+# Also valid in the oracle's dialect.
+GAPPY = ("CASE WHEN value LIKE '%,extra' AND length(value) % 2 = 0 THEN substr(value, 1, length(value) - 5) "
+         "WHEN value LIKE '%,,%' AND length(value) % 2 = 0 THEN concat(value, ',extra') ELSE value END AS value")
+
+
+def _written(spark, df, name, write):
+    """Path of ``df`` as written by ``write(df, path)``."""
+    path = stage_path(spark, name)
+    write(df, path)
+    return path
+
+
+def _text(df, path):
+    df.write.text(path)
+
+
+def _combined(spark, sf):
+    path, t = stage_path(spark, "many-csv"), _sample(spark, sf)
+    even = F.pmod(F.hash("REQUEST_ID"), F.lit(2)) == 0
+    write_csv(t.where(even), f"{path}/a")
+    write_csv(t.where(~even), f"{path}/b")
+    return combine_csv(spark, f"{path}/*")
+
+
+def _star_read_back(spark, sf):
+    path = _written(spark, _star(spark, sf), "star", write_star)
+    star = load_star(spark, path)
+    out = None
+    for name in STAR_TABLES:
+        n = star[name].agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n_rows"))
+        out = n if out is None else out.unionAll(n)
+    return out
+
+
+def _boundary_read_back(spark, _sf):
+    path = _written(spark, spark.createDataFrame([(fx.BOUNDARY_GEOJSON,)], "value string"), "map", _text)
+    polygons = read_boundary(spark, path).polygons
+    return polygons.select("xmin", "ymin", "xmax", "ymax", F.size("edges").cast("long").alias("n_edges"))
+
+
+def _by_month(spark, sf):
+    path = _written(spark, with_year_month(_clean(spark, sf)), "months", lambda d, p: write_csv(d, p, partition_by=["year_month"]))
+    return read_trips_csv(spark, path).groupBy(F.col("year_month").cast("string").alias("year_month")).agg(F.count(F.lit(1)).alias("n_trips"))
+
+
+def _view(spark, sf):
+    register({"trips_clean": _clean(spark, sf)})
+    return spark.sql("SELECT VEHICLE_ID, count(*) AS n_trips FROM trips_clean GROUP BY VEHICLE_ID")
+
+
+def _query_view(spark, sf, name):
+    register_queries(spark, _obt(spark, sf), _star(spark, sf), DAY, VEHICLE, PREFIX)
+    return spark.sql(f"SELECT * FROM {name}")
+
+
 def _jleft_right(spark, sf):
     t = _trips(spark, sf).drop("event_id").withColumn("n", F.regexp_extract("request_id", r"(\d+)", 1).cast("long"))
     null_drv = t.filter(F.col("n") % 29 == 0).withColumn("driver_id", F.lit(None).cast("string"))
@@ -124,7 +185,16 @@ def _f10(spark, sf):
 def spark_queries() -> dict[str, Query]:
     b = fx.boundary
     q: dict[str, Query] = {
-        "s01_raw_lines": lambda s, d: _lines(s, d),
+        "s01_raw_lines": lambda s, d: read_raw_lines(s, _written(s, _lines(s, d), "raw-text", _text)),
+        "s02_csv_header": lambda s, d: read_trips_csv(s, _written(s, _sample(s, d), "csv", write_csv)),
+        "s03_csv_typed": lambda s, d: round6(read_trips_csv(s, _written(s, _obt(s, d), "obt-csv", write_csv), OBT_SCHEMA)),
+        "s04_s11_star_round_trip": _star_read_back,
+        "s06_read_boundary": _boundary_read_back,
+        "s07_combine_csv": _combined,
+        "s09_csv_round_trip": lambda s, d: read_trips_csv(s, _written(s, _v02(s, d), "v02-csv", write_csv)),
+        "s12_views": _view,
+        "s13_tolerant_csv": lambda s, d: read_tolerant_csv(s, _written(s, _gappy(s, d), "gappy", _text), RAW_COLUMNS),
+        "o06_query_view": lambda s, d: round6(_query_view(s, d, "q1_obt")),
         "v01_keep_width": lambda s, d: validate.keep_width(_lines(s, d), 9),
         "v02_to_columns": _v02,
         "v03_timestamp_shape": lambda s, d: validate.keep_timestamp_shape(_v02(s, d)),
@@ -138,9 +208,9 @@ def spark_queries() -> dict[str, Query]:
         "v10_keep_inside": lambda s, d: typed_trips(_lines(s, d), b(s)),
         "v12_drop_any_null": lambda s, d: validate.drop_any_null(_v08(s, d)),
         "v13_drop_null_subset": lambda s, d: validate.drop_null(_v08(s, d), ["LATITUDE_PICKUP", "LONGITUDE_PICKUP"]),
-        "v14_non_null_eq9": lambda s, d: validate.keep_non_null_count(_v08(s, d), "==", 9),
+        "v14_non_null_eq9": lambda s, d: validate.keep_non_null_count(_v02(s, d), "==", 9),
         "v15_non_null_le9": lambda s, d: validate.keep_non_null_count(
-            validate.to_columns(_lines(s, d), RAW_COLUMNS + ["EXTRA"]), "<=", 9),
+            validate.to_columns(_gappy(s, d), RAW_COLUMNS + ["EXTRA"]), "<=", 9),
         "v16_bad_width_rows": lambda s, d: validate.bad_width_rows(_lines(s, d), 9),
         "v17_exclude_lines": lambda s, d: validate.exclude_lines(
             _lines(s, d), _lines(s, d).filter(F.col("value").contains(",req97"))),
@@ -166,8 +236,7 @@ def spark_queries() -> dict[str, Query]:
         "w03_every_second_vehicle": lambda s, d: ids.every_nth(_clean(s, d), "VEHICLE_ID", 2),
         "o07_split_halves": lambda s, d: ids.split_halves(_clean(s, d).select("REQUEST_ID"), ["REQUEST_ID"]),
         "o04_top_pickups": lambda s, d: Q.top(Q.q2_obt(_obt(s, d)), 20),
-        "s10_year_month": lambda s, d: with_year_month(_clean(s, d)).groupBy("year_month").agg(
-            F.count(F.lit(1)).alias("n_trips")),
+        "s10_year_month": _by_month,
         "m01_dim_vehicle": lambda s, d: model.build_dim(_obt(s, d), "VEHICLE_ID"),
         "m01_dim_driver": lambda s, d: model.build_dim(_obt(s, d), "DRIVER_ID"),
         "m02_dim_pickup_location": lambda s, d: model.build_dim_location(_obt(s, d), "pickup"),
@@ -236,7 +305,10 @@ def oracle_queries() -> dict[str, str]:
     nn = " + ".join(f"CAST({c} IS NOT NULL AS INTEGER)" for c in
                     ["VEHICLE_ID", "DRIVER_ID", "REQUEST_ID", "START_TIME", "END_TIME", "LATITUDE_PICKUP",
                      "LONGITUDE_PICKUP", "LATITUDE_END", "LONGITUDE_END"])
-    nn10 = " + ".join(f"CAST({c} IS NOT NULL AS INTEGER)" for c in RAW_COLUMNS + ["EXTRA"])
+    has = lambda cols: " + ".join(f"CAST(coalesce({c}, '') <> '' AS INTEGER)" for c in cols)
+    gappy = f"gappy AS (SELECT {GAPPY} FROM (SELECT line AS value FROM raw))"
+    gappy_cols = raw_cols.replace("line", "value")
+    text_or_null = ", ".join(f"nullif(string_split(value, ',')[{i + 1}], '') AS {c}" for i, c in enumerate(RAW_COLUMNS))
     v8cols = "VEHICLE_ID, DRIVER_ID, REQUEST_ID, START_TIME, END_TIME, LATITUDE_PICKUP, LONGITUDE_PICKUP, LATITUDE_END, LONGITUDE_END"
     typed = O.typed_from_raw()
     jl = ("tn AS (SELECT * EXCLUDE (event_id), event_id AS n FROM trips), "
@@ -248,6 +320,18 @@ def oracle_queries() -> dict[str, str]:
     jcond = " AND ".join(f"l.{c} IS NOT DISTINCT FROM r.{c}" for c in jcols)
     return {
         "s01_raw_lines": S([], "SELECT line AS value FROM raw"),
+        "s02_csv_header": S([sample], "SELECT * FROM sample"),
+        "s03_csv_typed": S(obt, obt_sel),
+        "s04_s11_star_round_trip": S(star, " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM {t}" for t in STAR_TABLES)),
+        "s06_read_boundary": S([fx.duckdb_boundary_edges_cte()], "SELECT min(x1) AS xmin, min(y1) AS ymin, max(x1) AS xmax, max(y1) AS ymax, "
+                                                                 "count(*) AS n_edges FROM bnd_edges GROUP BY poly"),
+        "s07_combine_csv": S([sample], "SELECT * FROM sample"),
+        "s09_csv_round_trip": S(typed, "SELECT " + ", ".join(f"nullif({c}, '') AS {c}" for c in RAW_COLUMNS) + " FROM c9"),
+        "s12_views": S([O.CT], "SELECT VEHICLE_ID, count(*) AS n_trips FROM ct GROUP BY 1"),
+        "s13_tolerant_csv": S([gappy], f"SELECT {text_or_null} FROM gappy WHERE len(string_split(value, ',')) <= 9 "
+                                       f"AND value <> '{','.join(RAW_COLUMNS)}'"),
+        "o06_query_view": S(obt, "SELECT VEHICLE_ID, CAST(month(DT_START) AS INTEGER) AS Month, round(avg(distance_km), 6) AS "
+                                 "average_distance_per_month, round(avg(duration_s), 6) AS average_duration_per_month FROM obt GROUP BY 1, 2"),
         "v01_keep_width": S(typed, "SELECT value FROM w9"),
         "v02_to_columns": S(typed, "SELECT * FROM c9"),
         "v03_timestamp_shape": S(typed, "SELECT * FROM v3"),
@@ -260,8 +344,8 @@ def oracle_queries() -> dict[str, str]:
         "v10_keep_inside": S(typed, "SELECT * FROM typed"),
         "v12_drop_any_null": S(typed, f"SELECT {v8cols} FROM v8 WHERE {nn} = 9"),
         "v13_drop_null_subset": S(typed, f"SELECT {v8cols} FROM v8 WHERE LATITUDE_PICKUP IS NOT NULL AND LONGITUDE_PICKUP IS NOT NULL"),
-        "v14_non_null_eq9": S(typed, f"SELECT {v8cols} FROM v8 WHERE {nn} = 9"),
-        "v15_non_null_le9": S([f"c10 AS (SELECT {raw_cols} FROM raw)"], f"SELECT * FROM c10 WHERE {nn10} <= 9"),
+        "v14_non_null_eq9": S(typed, f"SELECT * FROM c9 WHERE {has(RAW_COLUMNS)} = 9"),
+        "v15_non_null_le9": S([gappy, f"c10 AS (SELECT {gappy_cols} FROM gappy)"], f"SELECT * FROM c10 WHERE {has(RAW_COLUMNS + ['EXTRA'])} <= 9"),
         "v16_bad_width_rows": S([], "SELECT line, CAST(len(string_split(line, ',')) AS INTEGER) AS n_fields FROM raw "
                                     "WHERE len(string_split(line, ',')) <> 9"),
         "v17_exclude_lines": S([], "SELECT line AS value FROM raw WHERE line NOT IN "
@@ -311,11 +395,11 @@ def oracle_queries() -> dict[str, str]:
                                   f"SELECT {_r6(ENR_COLS, {'distance'})} FROM g2 WHERE distance > 1"),
         "a05_row_count": S(obt, "SELECT count(*) AS n_rows FROM obt"),
         "a06_stage_counts": S([*typed, *O.d01("typed", "k1"), O.enrich("k1", "e1"), *O.d02("e1", "g2")],
-                              "SELECT 'input' AS stage, count(*) AS rows FROM raw UNION ALL "
-                              "SELECT 'v01_width', count(*) FROM w9 UNION ALL SELECT 'v03_shape', count(*) FROM v3 UNION ALL "
-                              "SELECT 'v09_epoch', count(*) FROM v9 UNION ALL SELECT 'v10_boundary', count(*) FROM typed UNION ALL "
-                              "SELECT 'd02_connected', count(*) FROM g2 UNION ALL "
-                              "SELECT 'v20_min_distance', count(*) FROM g2 WHERE distance > 1"),
+                              "SELECT stage, lag(n, 1, n) OVER (ORDER BY place) AS rows_before, n AS rows_after, "
+                              "lag(n, 1, n) OVER (ORDER BY place) - n AS removed FROM ("
+                              + " UNION ALL ".join(f"SELECT {i} AS place, '{stage}' AS stage, count(*) AS n FROM {t}" for i, (stage, t) in enumerate((
+                                  ("input", "raw"), ("v01_width", "w9"), ("v03_shape", "v3"), ("v09_epoch", "v9"), ("v10_boundary", "typed"),
+                                  ("d01_no_overlaps", "k1"), ("d02_connected", "g2"), ("v20_min_distance", "g2 WHERE distance > 1")))) + ")"),
         "q1_obt": S(obt, "SELECT VEHICLE_ID, CAST(month(DT_START) AS INTEGER) AS Month, round(avg(distance_km), 6) AS "
                          "average_distance_per_month, round(avg(duration_s), 6) AS average_duration_per_month FROM obt GROUP BY 1, 2"),
         "q2_obt": S(obt, "SELECT LATITUDE_PICKUP AS latitude_pickup, LONGITUDE_PICKUP AS longitude_pickup, count(*) AS num_pickups FROM obt GROUP BY 1, 2"),
@@ -370,21 +454,28 @@ def _sample_in() -> str:
 
 
 def _d03_select() -> str:
-    """The pairwise connection in SQL, with the LAG ordered by (t1 start, t1 end, t1 request, t2 ...)."""
-    return """, tp AS (
-  SELECT t1.VEHICLE_ID, t1.DRIVER_ID, t1.REQUEST_ID AS r1, t2.REQUEST_ID AS r2,
-    t1.START_TIME AS s1, t1.END_TIME AS e1, t1.LATITUDE_PICKUP AS plat1, t1.LONGITUDE_PICKUP AS plon1,
-    t1.distance AS d1, t1.duration_s AS u1, t2.START_TIME AS s2, t2.END_TIME AS e2,
-    t2.LATITUDE_END AS elat2, t2.LONGITUDE_END AS elon2, t2.distance AS d2, t2.duration_s AS u2
-  FROM e1 t1 JOIN e1 t2 ON t1.VEHICLE_ID = t2.VEHICLE_ID AND t2.START_TIME <= t1.END_TIME + INTERVAL 60 SECOND
-   AND t1.END_TIME < t2.START_TIME AND t1.distance <= 6),
-cd AS (SELECT *, coalesce(lag(s2) OVER (PARTITION BY VEHICLE_ID ORDER BY s1, e1, r1, s2, e2, r2),
-                          TIMESTAMP '1900-01-01 00:00:00') AS ps2 FROM tp),
-rd AS (SELECT * FROM cd WHERE s1 <> ps2)
-SELECT VEHICLE_ID, DRIVER_ID, s1 AS START_TIME, e2 AS END_TIME, plat1 AS LATITUDE_PICKUP, plon1 AS LONGITUDE_PICKUP,
-  elat2 AS LATITUDE_END, elon2 AS LONGITUDE_END, round(d1 + d2, 6) AS distance, u1 + u2 AS duration_s FROM rd
+    """Pairwise connection by trip numbers: ``hop`` lists the pairs with their rank in the vehicle's order, a pair
+    falls if the pair ranked just before it ends on the trip start that it begins with, and trips that share an
+    instant with a pair that stands are taken out of the single ones by two anti-joins."""
+    return """, numbered AS (SELECT *, row_number() OVER () AS no FROM e1),
+hop AS (
+  SELECT a.VEHICLE_ID AS vehicle, a.no AS head, b.no AS tail, a.START_TIME AS head_start, b.START_TIME AS tail_start,
+    row_number() OVER (PARTITION BY a.VEHICLE_ID ORDER BY a.START_TIME, a.END_TIME, a.REQUEST_ID, b.START_TIME, b.END_TIME, b.REQUEST_ID) AS place
+  FROM numbered a, numbered b
+  WHERE a.VEHICLE_ID = b.VEHICLE_ID AND a.distance <= 6 AND epoch(b.START_TIME) - epoch(a.END_TIME) > 0
+    AND epoch(b.START_TIME) - epoch(a.END_TIME) <= 60),
+standing AS (
+  SELECT now.head, now.tail FROM hop now LEFT JOIN hop before ON before.vehicle = now.vehicle AND before.place + 1 = now.place
+  WHERE before.tail_start IS NULL OR before.tail_start <> now.head_start),
+member AS (SELECT head AS no FROM standing UNION SELECT tail FROM standing),
+instant AS (SELECT n.VEHICLE_ID AS vehicle, n.START_TIME AS begins, n.END_TIME AS ends FROM member JOIN numbered n USING (no)),
+single AS (
+  SELECT n.* FROM numbered n ANTI JOIN instant i ON i.vehicle = n.VEHICLE_ID AND i.begins = n.START_TIME),
+alone AS (
+  SELECT s.* FROM single s ANTI JOIN instant i ON i.vehicle = s.VEHICLE_ID AND i.ends = s.END_TIME)
+SELECT h.VEHICLE_ID, h.DRIVER_ID, h.START_TIME, t.END_TIME, h.LATITUDE_PICKUP, h.LONGITUDE_PICKUP, t.LATITUDE_END, t.LONGITUDE_END,
+  round(h.distance + t.distance, 6) AS distance, h.duration_s + t.duration_s AS duration_s
+FROM standing JOIN numbered h ON h.no = standing.head JOIN numbered t ON t.no = standing.tail
 UNION ALL
-SELECT d.VEHICLE_ID, d.DRIVER_ID, d.START_TIME, d.END_TIME, d.LATITUDE_PICKUP, d.LONGITUDE_PICKUP, d.LATITUDE_END,
-  d.LONGITUDE_END, round(d.distance, 6), d.duration_s FROM e1 d
-WHERE NOT EXISTS (SELECT 1 FROM rd p WHERE d.VEHICLE_ID = p.VEHICLE_ID AND (d.START_TIME = p.s1 OR d.END_TIME = p.e1
-  OR d.START_TIME = p.s2 OR d.END_TIME = p.e2))"""
+SELECT VEHICLE_ID, DRIVER_ID, START_TIME, END_TIME, LATITUDE_PICKUP, LONGITUDE_PICKUP, LATITUDE_END, LONGITUDE_END,
+  round(distance, 6), duration_s FROM alone"""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import sessions, validate
@@ -22,9 +22,21 @@ class StageCounts:
         self._obs.append((stage, obs))
         return df.observe(obs, F.count(F.lit(1)).alias("rows"))
 
+    def tap_sum(self, df: DataFrame, column: str, stage: str) -> DataFrame:
+        """Rows of a stage that is not a table of its own, as the sum of a column."""
+        obs = Observation(stage)
+        self._obs.append((stage, obs))
+        return df.observe(obs, F.coalesce(F.sum(column), F.lit(0)).alias("rows"))
+
     def as_dict(self) -> dict[str, int]:
         return {stage: int(obs.get["rows"]) for stage, obs in self._obs}
 
+    def table(self, spark: SparkSession) -> DataFrame:
+        """(stage, rows_before, rows_after, removed), a row per stage; to be asked for when the result was computed."""
+        after = list(self.as_dict().items())
+        rows = [(s, after[max(i - 1, 0)][1], n) for i, (s, n) in enumerate(after)]
+        return spark.createDataFrame([(s, b, n, b - n) for s, b, n in rows], "stage string, rows_before long, rows_after long, removed long")
+
 
 def typed_trips(lines: DataFrame, boundary: Boundary, counts: StageCounts | None = None) -> DataFrame:
     """Width, timestamp shape, parse, coordinates, epoch, boundary; clean columns."""
@@ -49,12 +61,14 @@ def clean_trips(lines: DataFrame, boundary: Boundary, counts: StageCounts | None
     fold, whose island scan reads its input more than once; the text parsing and the boundary test then
     run once.
     """
-    tap = counts.tap if counts else (lambda d, _s: d)
     typed = sessions.add_distance_duration(typed_trips(lines, boundary, counts))
     if stage:
         typed = materialize(typed, "typed")
-    folded = tap(sessions.remove_overlaps_and_connect(typed), "d02_connected")
-    return tap(validate.drop_short(folded), "v20_min_distance")
+    if counts is None:
+        return validate.drop_short(sessions.remove_overlaps_and_connect(typed))
+    folded = sessions.remove_overlaps_and_connect(typed, count_col="_trips")
+    folded = counts.tap(counts.tap_sum(folded, "_trips", "d01_no_overlaps").drop("_trips"), "d02_connected")
+    return counts.tap(validate.drop_short(folded), "v20_min_distance")
 
 
 def clean_sample_csv(df: DataFrame, boundary: Boundary,
@@ -73,26 +87,7 @@ def clean_sample_csv(df: DataFrame, boundary: Boundary,
 
 
 def stage_count_table(lines: DataFrame, boundary: Boundary) -> DataFrame:
-    """A06 as a table (``stage``, ``rows``), one count per stage of M06. Each count is its own aggregate,
-    so this re-reads the stages; ``StageCounts`` collects the same numbers in the pass that writes the
-    result and is what a production run uses."""
-    stages: list[tuple[str, DataFrame]] = [("input", lines)]
-    w = validate.keep_width(lines, 9)
-    stages.append(("v01_width", w))
-    shaped = validate.keep_timestamp_shape(validate.to_columns(w), ("DT_START", "DT_END"), RAW_TIMESTAMP_FORMAT)
-    stages.append(("v03_shape", shaped))
-    parsed = validate.parse_timestamps(
-        shaped, {"DT_START": RAW_TIMESTAMP_FORMAT, "DT_END": RAW_TIMESTAMP_FORMAT},
-        rename={"DT_START": "START_TIME", "DT_END": "END_TIME"})
-    epoch = validate.after_epoch(validate.cast_coords(parsed))
-    stages.append(("v09_epoch", epoch))
-    inside = validate.keep_inside(epoch, boundary)
-    stages.append(("v10_boundary", inside))
-    folded = sessions.remove_overlaps_and_connect(sessions.add_distance_duration(inside))
-    stages.append(("d02_connected", folded))
-    stages.append(("v20_min_distance", validate.drop_short(folded)))
-    out = None
-    for name, df in stages:
-        c = df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("stage"), "rows")
-        out = c if out is None else out.unionByName(c)
-    return out
+    """Rows before and after each stage of M06 and what it removed, from the pass that makes the result."""
+    counts = StageCounts()
+    materialize(clean_trips(lines, boundary, counts), "counted")
+    return counts.table(lines.sparkSession)

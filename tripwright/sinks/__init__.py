@@ -1,4 +1,4 @@
-"""Sinks: CSV and Parquet writers and SQL view registration."""
+"""Sinks: CSV and Parquet writers and SQL view registration."""
 
 from __future__ import annotations
 
@@ -11,13 +11,10 @@ def with_year_month(df: DataFrame, ts_col: str = "START_TIME") -> DataFrame:
     return df.withColumn("year_month", F.date_format(ts_col, "yyyy-MM"))
 
 
-def write_csv(df: DataFrame, path: str, single: bool = False, partition_by: list[str] | None = None,
-              mode: str = "overwrite", sep: str = ",") -> None:
-    """CSV with header. Default: one file per partition, written in parallel (S09); ``partition_by``
-    adds directory partitions (S10); ``single=True`` funnels into one task for one file (S08) and is
-    meant for small results only."""
-    out = df.coalesce(1) if single else df
-    writer = out.write.mode(mode).option("header", True).option("sep", sep)
+def write_csv(df: DataFrame, path: str, partition_by: list[str] | None = None, mode: str = "overwrite", sep: str = ",") -> None:
+    """CSV with header, one file per partition, written in parallel (S09); ``partition_by`` adds directory
+    partitions (S10)."""
+    writer = df.write.mode(mode).option("header", True).option("sep", sep)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.csv(path)

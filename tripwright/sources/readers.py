@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 STAR_TABLES = [
@@ -16,19 +17,29 @@ def read_raw_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.text(path)
 
 
-def read_trips_csv(spark: SparkSession, path: str | list[str], schema: StructType | None = None,
-                   drop_malformed: bool = False) -> DataFrame:
+def read_trips_csv(spark: SparkSession, path: str | list[str], schema: StructType | None = None) -> DataFrame:
     """CSV with header (S02). Without a schema every column is a string; with one the types are pinned,
-    which replaces inference and its extra pass over the data (S03). ``drop_malformed`` skips lines that
-    do not fit the schema (S13)."""
+    which replaces inference and its extra pass over the data (S03)."""
     reader = spark.read.option("header", True)
     if schema is not None:
         reader = reader.schema(schema)
-    if drop_malformed:
-        reader = reader.option("mode", "DROPMALFORMED")
     return reader.csv(path)
 
 
+def read_tolerant_csv(spark: SparkSession, path: str | list[str], columns: list[str], header: bool = True) -> DataFrame:
+    """Text columns of comma-separated lines that may be broken (S13): a line with more fields than ``columns`` is
+    skipped, a shorter one is filled up with NULL, an empty field is NULL and an empty line is no row. With ``header``,
+    lines that repeat the column names are dropped.
+
+    The rule looks at whole lines, so the rows do not depend on which columns a query selects.
+    """
+    lines = spark.read.text(path).where("value <> ''")
+    if header:
+        lines = lines.where(F.col("value") != ",".join(columns))
+    fields = lines.select(F.split("value", ",", -1).alias("_f")).where(F.size("_f") <= len(columns))
+    return fields.select(*[F.nullif(F.get("_f", F.lit(i)), F.lit("")).alias(c) for i, c in enumerate(columns)])
+
+
 def combine_csv(spark: SparkSession, pattern: str) -> DataFrame:
     """All CSV files matched by a glob as one DataFrame (S07); the union is the multi-file scan itself."""
     return read_trips_csv(spark, pattern)

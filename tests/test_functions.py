@@ -1,6 +1,7 @@
 import math
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from tripwright.functions import haversine_km, parse_ts, shape_regex, within_boundary
@@ -65,7 +66,7 @@ def test_within_boundary_cases(spark, boundary):
 
     dec = lambda v: None if v is None else Decimal(str(v))
     df = spark.createDataFrame([(dec(a), dec(b)) for (a, b), _ in cases], "lat decimal(11,8), lon decimal(11,8)")
-    got = [r.w for r in df.select(within_boundary("lat", "lon", boundary).alias("w")).collect()]
+    got = [r.w for r in within_boundary(df, "lat", "lon", boundary, "w").collect()]
     assert got == [w for _, w in cases]
 
 
@@ -124,29 +125,43 @@ def test_large_boundary_matches_brute_force(spark):
     pts = [(round(1.35 + rnd.uniform(-0.2, 0.2), 6), round(103.8 + rnd.uniform(-0.2, 0.2), 6)) for _ in range(3000)]
     pts += [(y, x) for x, y in outer[:50]] + [((y1 + y2) / 2, (x1 + x2) / 2) for (x1, y1), (x2, y2) in zip(outer, outer[1:])][:50]
     df = spark.createDataFrame([(Decimal(repr(a)), Decimal(repr(o))) for a, o in pts], "lat decimal(11,8), lon decimal(11,8)")
-    rows = df.select("lat", "lon", within_boundary("lat", "lon", b).alias("w")).collect()
+    rows = within_boundary(df, "lat", "lon", b, "w").collect()
     expect = [_py_inside(float(r.lon), float(r.lat), polys) for r in rows]
     assert [r.w for r in rows] == expect
     assert 0 < sum(expect) < len(expect)
-    from tripwright.functions.geo import within_boundary_join
 
-    joined = within_boundary_join(df, "lat", "lon", b, "w", cell_deg=0.02).collect()
-    brute = {(r.lat, r.lon): w for r, w in zip(rows, expect)}
-    assert all(r.w == brute[(r.lat, r.lon)] for r in joined) and len(joined) == len(rows)
 
+def test_many_polygons_and_shared_edges(spark):
+    """Cells with several polygons, edges along cell borders and vertices on the points' lines."""
+    import json
+    import random
+    from decimal import Decimal
+
+    from tripwright.sources import boundary_from_text
 
-def test_join_path_equals_literal_path(spark, boundary):
-    from tripwright.functions.geo import within_boundary_join
-    from tripwright.operators.validate import keep_inside
-    from tripwright.sources import fixtures
+    rnd = random.Random(3)
+    polys = []
+    for i in range(30):
+        x, y = 103 + round(rnd.uniform(0, 1), 2), 1 + round(rnd.uniform(0, 1), 2)
+        w, h = rnd.choice([0.01, 0.1, 0.3]), rnd.choice([0.01, 0.1, 0.3])
+        polys.append([[(x, y), (round(x + w, 2), y), (round(x + w, 2), round(y + h, 2)), (x, round(y + h, 2))]] if i % 2 else
+                     [[(x, y), (round(x + w, 2), round(y + h, 2)), (round(x - w, 2), round(y + h, 2))]])
+    gj = {"type": "FeatureCollection", "features": [{"type": "Feature", "geometry": {
+        "type": "MultiPolygon", "coordinates": [[[list(p) for p in r + r[:1]] for r in poly] for poly in polys]}}]}
+    pts = [(round(rnd.uniform(0.9, 2.4), 2), round(rnd.uniform(102.6, 104.4), 2)) for _ in range(4000)]
+    pts += [(round(rnd.uniform(0.9, 2.4), 6), round(rnd.uniform(102.6, 104.4), 6)) for _ in range(4000)]
+    df = spark.createDataFrame([(Decimal(repr(a)), Decimal(repr(o))) for a, o in pts], "lat decimal(11,8), lon decimal(11,8)")
+    rows = within_boundary(df, "lat", "lon", boundary_from_text(spark, json.dumps(gj)), "w").collect()
+    expect = [_py_inside(float(r.lon), float(r.lat), polys) for r in rows]
+    assert [r.w for r in rows] == expect and 0 < sum(expect) < len(expect)
 
-    from conftest import SF0001
 
-    t = fixtures.clean_trips(spark, SF0001)
-    lit = t.withColumn("w", within_boundary("LATITUDE_END", "LONGITUDE_END", boundary))
-    joined = within_boundary_join(t, "LATITUDE_END", "LONGITUDE_END", boundary, "w", cell_deg=0.03)
-    key = lambda df: sorted((r.REQUEST_ID, r.w) for r in df.select("REQUEST_ID", "w").collect())
-    assert key(lit) == key(joined)
-    a = sorted(r.REQUEST_ID for r in keep_inside(t, boundary).collect())
-    b = sorted(r.REQUEST_ID for r in keep_inside(t, boundary, max_literal_edges=0).collect())
-    assert a == b and 0 < len(a) < t.count()
+@pytest.mark.parametrize("geometry", ['{"type": "LineString", "coordinates": [[1, 2], [3, 4]]}', '{"type": "Polygon", "coordinates": "x"}', "7"])
+def test_unreadable_geometry_raises(spark, geometry):
+    from tripwright.sources import boundary_from_text
+
+    text = '{"type": "FeatureCollection", "features": [{"type": "Feature", "geometry": %s}]}' % geometry
+    with pytest.raises(Exception):
+        boundary_from_text(spark, text).polygons.collect()
+    with pytest.raises(Exception):
+        boundary_from_text(spark, "no map").polygons.collect()

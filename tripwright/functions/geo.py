@@ -26,11 +26,6 @@ def haversine_km(lat1, lon1, lat2, lon2) -> Column:
     return F.lit(EARTH_RADIUS_KM) * (F.lit(2.0) * F.atan2(F.sqrt(a), F.sqrt(F.lit(1.0) - a)))
 
 
-def _crosses(e, x, y):
-    x_at = (e["x2"] - e["x1"]) * (y - e["y1"]) / F.nullif(e["y2"] - e["y1"], F.lit(0.0)) + e["x1"]
-    return ((e["y1"] > y) != (e["y2"] > y)) & (x < x_at)
-
-
 def _on_edge(e, x, y):
     cross = (e["x2"] - e["x1"]) * (y - e["y1"]) - (e["y2"] - e["y1"]) * (x - e["x1"])
     return (
@@ -40,61 +35,42 @@ def _on_edge(e, x, y):
     )
 
 
-def polygon_contains(p, x: Column, y: Column) -> Column:
-    """Strict containment of (x, y) in polygon struct ``p`` (bbox, band height ``h``, band count ``nb``,
-    ``bands`` of edges): strict bounding box, on no edge of the point's band, odd number of crossings."""
+def _path_crosses(e, x, y, ax, ay):
+    """How often an edge crosses the path from the anchor (ax, ay) along its longitude to y and then along y to x.
+    The last leg compares x with the edge's x at y, as ray casting does."""
+    y_at = (e["y2"] - e["y1"]) * (ax - e["x1"]) / F.nullif(e["x2"] - e["x1"], F.lit(0.0)) + e["y1"]
+    x_at = (e["x2"] - e["x1"]) * (y - e["y1"]) / F.nullif(e["y2"] - e["y1"], F.lit(0.0)) + e["x1"]
+    up = ((e["x1"] > ax) != (e["x2"] > ax)) & ((y_at > ay) != (y_at > y))
+    along = ((e["y1"] > y) != (e["y2"] > y)) & ((x_at > ax) != (x_at > x))
+    return F.when(up, 1).otherwise(0) + F.when(along, 1).otherwise(0)
+
+
+def _contains(p, q):
+    """Strict containment of point ``q`` (x, y and its cell's anchor) in polygon ``p`` as the index lists it there."""
+    x, y = q["x"], q["y"]
     in_box = (x > p["xmin"]) & (x < p["xmax"]) & (y > p["ymin"]) & (y < p["ymax"])
-    k = F.coalesce(F.floor((y - p["ymin"]) / F.nullif(p["h"], F.lit(0.0))), F.lit(0))
-    edges = F.element_at(p["bands"], F.least(F.greatest(k, F.lit(0)), p["nb"] - 1).cast("int") + 1)
-    n_cross = F.aggregate(edges, F.lit(0), lambda acc, e: acc + F.when(_crosses(e, x, y), 1).otherwise(0))
-    return in_box & ~F.exists(edges, lambda e: _on_edge(e, x, y)) & (n_cross % 2 == 1)
+    crossed = F.aggregate(p["edges"], p["odd"], lambda n, e: n + _path_crosses(e, x, y, q["ax"], q["ay"]))
+    return in_box & ~F.exists(p["edges"], lambda e: _on_edge(e, x, y)) & (crossed % 2 == 1)
 
 
-def within_boundary(lat, lon, boundary: "Boundary") -> Column:
-    """1 if any polygon of ``boundary`` strictly contains (lon, lat), else 0; NULL coordinate -> NULL.
+def within_boundary(df: DataFrame, lat: str, lon: str, boundary: "Boundary", out: str) -> DataFrame:
+    """Adds ``out``: 1 if any polygon of ``boundary`` strictly contains (lon, lat), else 0; NULL coordinate -> NULL
+    (F01). Holes count, and a point on an edge is not contained.
 
-    Even-odd ray casting over all rings of a polygon (so holes count), after a strict bounding-box test.
-    A point on any edge of a polygon is not contained by it. The polygons are a literal array inside the
-    expression, so there is no join and no Python in the row path. Higher-order functions run
-    interpreted, so only the edges of the point's latitude band are tested
-    (``sources.boundary.with_bands``). Boundaries above ``MAX_LITERAL_EDGES`` edges use
-    ``within_boundary_join``.
-    """
-    polys = boundary.literal()
-    # the point is bound once as a lambda variable, so the coordinate casts are not repeated in every
-    # edge expression (keeps the generated code of the stage small)
-    point = F.array(F.struct(_d(lon).alias("x"), _d(lat).alias("y")))
-    inside = F.exists(point, lambda q: F.exists(polys, lambda p: polygon_contains(p, q["x"], q["y"])))
-    return F.when(_d(lon).isNull() | _d(lat).isNull(), F.lit(None).cast("int")).otherwise(inside.cast("int"))
-
-
-def within_boundary_join(df: DataFrame, lat: str, lon: str, boundary: "Boundary", out: str,
-                         cell_deg: float = 0.05) -> DataFrame:
-    """F01 as a spatial join, for boundaries too large to put into the expression.
-
-    Polygons are listed under every grid cell their bounding box covers; the distinct points of ``df``
-    (copies of a point are combined first) join them on the cell, an equi-join that AQE broadcasts or
-    shuffles and splits when a cell is hot. Each (point, candidate polygon) pair runs the same strict test;
-    a point is inside when any candidate contains it. Adds ``out`` with the same values as
-    ``within_boundary``.
+    One left equi-join with the grid index on the point's cell, whatever the size of the map: adaptive execution
+    broadcasts a small index, and splits a busy cell of a large one. Each row then tests the few edges of its cell
+    in a column expression.
     """
-    cell = lambda v: F.floor(v / F.lit(cell_deg)).cast("long")
-    polys = boundary.polygons
-    cells = polys.select(
-        "xmin", "ymin", "xmax", "ymax", "h", "nb", "bands",
-        F.explode(F.sequence(cell(F.col("xmin")), cell(F.col("xmax")))).alias("_cx"),
-    ).select("*", F.explode(F.sequence(cell(F.col("ymin")), cell(F.col("ymax")))).alias("_cy"))
-    pts = df.select(F.col(lat).alias("_lat"), F.col(lon).alias("_lon")).where(
-        F.col("_lat").isNotNull() & F.col("_lon").isNotNull()).distinct()
-    pts = pts.withColumn("_x", _d("_lon")).withColumn("_y", _d("_lat")) \
-        .withColumn("_cx", cell(F.col("_x"))).withColumn("_cy", cell(F.col("_y")))
-    cand = pts.join(cells, ["_cx", "_cy"])
-    hit = polygon_contains(F.struct("xmin", "ymin", "xmax", "ymax", "h", "nb", "bands"), F.col("_x"), F.col("_y"))
-    flags = cand.groupBy("_lat", "_lon").agg(F.max(hit.cast("int")).alias("_hit"))
-    joined = df.join(flags, (df[lat] == flags["_lat"]) & (df[lon] == flags["_lon"]), "left")
-    value = F.when(F.col(lat).isNull() | F.col(lon).isNull(), F.lit(None).cast("int")).otherwise(
-        F.coalesce(F.col("_hit"), F.lit(0)))
-    return joined.withColumn(out, value).drop("_lat", "_lon", "_hit")
+    from ..sources.boundary import ANCHOR_X, ANCHOR_Y
+
+    cell, index = boundary.cells()
+    keyed = df.withColumns({"_cx": F.floor(_d(lon) / F.lit(cell)).cast("long"), "_cy": F.floor(_d(lat) / F.lit(cell)).cast("long")})
+    index = index.select(F.col("cx").alias("_icx"), F.col("cy").alias("_icy"), F.col("polys").alias("_polys"))
+    joined = keyed.join(index, (F.col("_cx") == F.col("_icx")) & (F.col("_cy") == F.col("_icy")), "left")
+    point = F.array(F.struct(_d(lon).alias("x"), _d(lat).alias("y"), ((F.col("_cx") + ANCHOR_X) * cell).alias("ax"), ((F.col("_cy") + ANCHOR_Y) * cell).alias("ay")))
+    inside = F.exists(point, lambda q: F.exists("_polys", lambda p: _contains(p, q)))
+    value = F.when(_d(lon).isNull() | _d(lat).isNull(), F.lit(None).cast("int")).otherwise(F.coalesce(inside, F.lit(False)).cast("int"))
+    return joined.withColumn(out, value).select(*df.columns, out)
 
 
 def register_functions(spark: SparkSession, boundary: "Boundary | None" = None) -> None:
@@ -108,7 +84,27 @@ def register_functions(spark: SparkSession, boundary: "Boundary | None" = None)
         "+ cos(radians(lat1)) * cos(radians(lat2)) * pow(sin((radians(lon2) - radians(lon1)) / 2), 2))))"
     )
     if boundary is not None:
+        from ..sources.boundary import ANCHOR_X, ANCHOR_Y
+
+        cell, index = boundary.cells()
+        index.createOrReplaceTempView("boundary_cells")
+        y_at = "(e.y2 - e.y1) * (q.ax - e.x1) / nullif(e.x2 - e.x1, 0D) + e.y1"
+        x_at = "(e.x2 - e.x1) * (q.y - e.y1) / nullif(e.y2 - e.y1, 0D) + e.x1"
+        crosses = (f"IF((e.x1 > q.ax) <> (e.x2 > q.ax) AND ({y_at} > q.ay) <> ({y_at} > q.y), 1, 0) + "
+                   f"IF((e.y1 > q.y) <> (e.y2 > q.y) AND ({x_at} > q.ax) <> ({x_at} > q.x), 1, 0)")
+        on_edge = ("(e.x2 - e.x1) * (q.y - e.y1) - (e.y2 - e.y1) * (q.x - e.x1) = 0 AND q.x BETWEEN least(e.x1, e.x2) "
+                   "AND greatest(e.x1, e.x2) AND q.y BETWEEN least(e.y1, e.y2) AND greatest(e.y1, e.y2)")
+        contains = (f"q.x > p.xmin AND q.x < p.xmax AND q.y > p.ymin AND q.y < p.ymax AND NOT exists(p.edges, e -> {on_edge}) "
+                    f"AND aggregate(p.edges, p.odd, (n, e) -> n + {crosses}) % 2 = 1")
+        cx, cy = f"CAST(floor(lon / {cell!r}D) AS BIGINT)", f"CAST(floor(lat / {cell!r}D) AS BIGINT)"
+        kind = index.schema["polys"].dataType.simpleString()
+        spark.sql(
+            f"CREATE OR REPLACE TEMPORARY FUNCTION any_contains(polys {kind}, lat DOUBLE, lon DOUBLE) RETURNS BOOLEAN RETURN "
+            f"exists(array(named_struct('x', lon, 'y', lat, 'ax', ({cx} + {ANCHOR_X!r}D) * {cell!r}D, "
+            f"'ay', ({cy} + {ANCHOR_Y!r}D) * {cell!r}D)), q -> exists(polys, p -> {contains}))"
+        )
         spark.sql(
             "CREATE OR REPLACE TEMPORARY FUNCTION within_boundary(lat DOUBLE, lon DOUBLE) RETURNS INT RETURN "
-            + boundary.sql_expression("lat", "lon")
+            "CASE WHEN lat IS NULL OR lon IS NULL THEN CAST(NULL AS INT) ELSE CAST(coalesce(any_contains("
+            f"(SELECT any_value(polys) FROM boundary_cells WHERE cx = {cx} AND cy = {cy}), lat, lon), false) AS INT) END"
         )

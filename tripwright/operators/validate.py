@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from ..functions.geo import within_boundary, within_boundary_join
+from ..functions.geo import within_boundary
 from ..functions.timefmt import format_ts, parse_ts, shape_regex
 from ..schema import CLEAN_COLUMNS, COORD_COLUMNS, COORD_TYPE, EPOCH, MIN_TRIP_KM, RAW_COLUMNS, RAW_TIMESTAMP_FORMAT
 from ..sources.boundary import Boundary
@@ -89,18 +89,12 @@ def after_epoch(df: DataFrame, cols=("START_TIME", "END_TIME")) -> DataFrame:
     return df.filter(cond)
 
 
-def keep_inside(df: DataFrame, boundary: Boundary, max_literal_edges: int | None = None) -> DataFrame:
+def keep_inside(df: DataFrame, boundary: Boundary) -> DataFrame:
     """Trips whose pickup and drop-off both lie strictly inside the boundary, projected to the clean
-    columns (V10, V11). A boundary within the checked edge bound is a literal in the filter expression;
-    a larger one goes through the grid-cell spatial join."""
-    if boundary.fits_literal(max_literal_edges):
-        inside = (within_boundary("LATITUDE_PICKUP", "LONGITUDE_PICKUP", boundary) == 1) & (
-            within_boundary("LATITUDE_END", "LONGITUDE_END", boundary) == 1
-        )
-        return df.filter(inside).select(*CLEAN_COLUMNS)
-    out = within_boundary_join(df, "LATITUDE_PICKUP", "LONGITUDE_PICKUP", boundary, "_in_pickup")
-    out = within_boundary_join(out, "LATITUDE_END", "LONGITUDE_END", boundary, "_in_end")
-    return out.filter((F.col("_in_pickup") == 1) & (F.col("_in_end") == 1)).select(*CLEAN_COLUMNS)
+    columns (V10, V11)."""
+    out = within_boundary(df, "LATITUDE_PICKUP", "LONGITUDE_PICKUP", boundary, "_in_pickup").filter("_in_pickup = 1")
+    out = within_boundary(out, "LATITUDE_END", "LONGITUDE_END", boundary, "_in_end").filter("_in_end = 1")
+    return out.select(*CLEAN_COLUMNS)
 
 
 def drop_any_null(df: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ from ..operators import compare, ids, sessions, validate
 from ..schema import OBT_SCHEMA, RAW_COLUMNS
 from ..session import materialize, stage_path
 from ..sinks import register, with_year_month, write_csv, write_star
-from ..sources import STAR_TABLES, combine_csv, fixtures as fx, load_star, read_boundary, read_raw_lines, read_tolerant_csv, read_trips_csv
+from ..sources import STAR_TABLES, combine_csv, boundary_from_text, fixtures as fx, load_star, read_boundary, read_raw_lines, read_tolerant_csv, read_trips_csv
 from . import model, oracle, queries as Q
 from .cleaning import clean_sample_csv, clean_trips, stage_count_table, typed_trips
 from .sql import register_queries
@@ -176,14 +176,22 @@ def _jleft_right(spark, sf):
 
 
 def _f10(spark, sf):
-    register_functions(spark, fx.boundary(spark))
+    register_functions(spark, _boundary(spark))
     return spark.sql(
         "SELECT REQUEST_ID, haversine_distance(LATITUDE_PICKUP, LONGITUDE_PICKUP, LATITUDE_END, LONGITUDE_END) AS distance, "
         "within_boundary(LATITUDE_END, LONGITUDE_END) AS inside_end FROM {t}", t=_clean(spark, sf))
 
 
+_BOUNDARIES: dict[str, Boundary] = {}
+
+
+def _boundary(spark) -> Boundary:
+    """The fixture's map; its index is built once per application."""
+    return _BOUNDARIES.setdefault(spark.sparkContext.applicationId, fx.boundary(spark))
+
+
 def spark_queries() -> dict[str, Query]:
-    b = fx.boundary
+    b = _boundary
     q: dict[str, Query] = {
         "s01_raw_lines": lambda s, d: read_raw_lines(s, _written(s, _lines(s, d), "raw-text", _text)),
         "s02_csv_header": lambda s, d: read_trips_csv(s, _written(s, _sample(s, d), "csv", write_csv)),
@@ -225,9 +233,11 @@ def spark_queries() -> dict[str, Query]:
         "d02_fused_overlaps_connect": lambda s, d: round6(sessions.remove_overlaps_and_connect(
             sessions.add_distance_duration(_clean(s, d)))),
         "d03_connect_pairs": lambda s, d: round6(sessions.connect_pairs(_enriched_d01(s, d))),
-        "f01_within_boundary": lambda s, d: _clean(s, d).select(
-            F.col("LATITUDE_END").alias("lat"), F.col("LONGITUDE_END").alias("lon")).distinct().withColumn(
-            "w", within_boundary("lat", "lon", b(s))),
+        "f01_within_boundary": lambda s, d: within_boundary(_clean(s, d).select(
+            F.col("LATITUDE_END").alias("lat"), F.col("LONGITUDE_END").alias("lon")).distinct(), "lat", "lon", b(s), "w"),
+        "f01_large_boundary": lambda s, d: within_boundary(_clean(s, d).select(
+            "REQUEST_ID", "LATITUDE_END", "LONGITUDE_END"), "LATITUDE_END", "LONGITUDE_END",
+            boundary_from_text(s, fx.large_boundary_geojson()), "w").select("REQUEST_ID", "w"),
         "f02_haversine": lambda s, d: round6(_clean(s, d).select("REQUEST_ID", haversine_km(
             "LATITUDE_PICKUP", "LONGITUDE_PICKUP", "LATITUDE_END", "LONGITUDE_END").alias("distance"))),
         "f03_duration": lambda s, d: sessions.add_distance_duration(_clean(s, d)).select("REQUEST_ID", "duration_s"),
@@ -362,6 +372,7 @@ def oracle_queries() -> dict[str, str]:
         "d03_connect_pairs": S(enr, "").rstrip() + _d03_select(),
         "f01_within_boundary": S([O.CT, "pts AS (SELECT DISTINCT LATITUDE_END AS lat, LONGITUDE_END AS lon FROM ct)",
                                   *O.inside_points("pts", "pin")], "SELECT lat, lon, w FROM pin"),
+        "f01_large_boundary": S([O.CT], f"SELECT REQUEST_ID, {fx.LARGE_BOUNDARY_TEST} AS w FROM ct"),
         "f02_haversine": S([O.CT], "SELECT REQUEST_ID, round(" + O.hav("LATITUDE_PICKUP", "LONGITUDE_PICKUP", "LATITUDE_END",
                                                                        "LONGITUDE_END") + ", 6) AS distance FROM ct"),
         "f03_duration": S([O.CT], "SELECT REQUEST_ID, CAST(epoch(END_TIME) - epoch(START_TIME) AS BIGINT) AS duration_s FROM ct"),

@@ -1,4 +1,4 @@
-"""GeoJSON boundary (S06): FeatureCollection of Polygon / MultiPolygon -> one row per polygon.
+"""GeoJSON boundary (S06): FeatureCollection of Polygon / MultiPolygon -> one row per polygon, and its grid index.
 
 Each polygon row carries its strict bounding box (outer ring) and the edges of all its rings, so the
 point test (``functions.geo.within_boundary``) needs no geometry library.
@@ -6,31 +6,33 @@ point test (``functions.geo.within_boundary``) needs no geometry library.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import math
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-# A boundary is a small, fixed input (a map), not data that grows with the trips. Its edges are put
-# into the expression of every task, so their number is checked against this bound first.
-MAX_LITERAL_EDGES = 200_000
-# Each polygon's edges are split into horizontal bands so a point only tests the edges of its band
-# (the lambdas run interpreted, at a few hundred ns per edge, so the edge count per point is what counts).
-EDGES_PER_BAND = 4
-MAX_BANDS = 4096
+from ..session import materialize
 
 _FEATURES = "features array<struct<geometry:struct<type:string,coordinates:string>>>"
 _POLYGON = "array<array<array<double>>>"
 _MULTI = "array<array<array<array<double>>>>"
+#: Place of a cell's anchor inside it; not a round part, so that no line of a map runs through an anchor.
+ANCHOR_X, ANCHOR_Y = 0.6180339887498949, 0.3819660112501051
+
+
+def _or_raise(value: Column, what: str, shown: Column) -> Column:
+    return F.coalesce(value, F.raise_error(F.concat(F.lit(f"{what}: "), F.coalesce(F.substring(shown, 1, 80), F.lit("nothing")))))
 
 
 def _polygons_from_text(text_df: DataFrame) -> DataFrame:
-    feats = text_df.select(F.inline(F.from_json("value", _FEATURES)["features"]))
-    geoms = feats.select(F.col("geometry.type").alias("type"), F.col("geometry.coordinates").alias("coords"))
-    polys = geoms.select(
-        F.explode(
-            F.when(F.col("type") == "Polygon", F.array(F.from_json("coords", _POLYGON)))
-            .when(F.col("type") == "MultiPolygon", F.from_json("coords", _MULTI))
-        ).alias("rings")
-    )
+    """One row per polygon. Other geometries and text that is no GeoJSON raise: a part of a map that is passed over
+    would turn trips inside it into trips outside."""
+    parsed = _or_raise(F.from_json("value", _FEATURES)["features"], "not a feature collection", F.col("value"))
+    geoms = text_df.select(F.explode(parsed).alias("f")).select(
+        F.col("f.geometry.type").alias("type"), F.col("f.geometry.coordinates").alias("coords"))
+    rings = F.when(F.col("type") == "Polygon", F.array(_or_raise(F.from_json("coords", _POLYGON), "unreadable polygon", F.col("coords"))))
+    rings = rings.when(F.col("type") == "MultiPolygon", _or_raise(F.from_json("coords", _MULTI), "unreadable polygons", F.col("coords")))
+    polys = geoms.select(F.explode(_or_raise(rings, "unsupported geometry", F.col("type"))).alias("rings"))
 
     def ring_edges(r: Column) -> Column:
         n = F.size(r)
@@ -43,7 +45,7 @@ def _polygons_from_text(text_df: DataFrame) -> DataFrame:
         )
 
     outer = F.col("rings")[0]
-    polys = polys.select(
+    return polys.select(
         F.monotonically_increasing_id().alias("poly_id"),
         F.array_min(F.transform(outer, lambda p: p[0])).alias("xmin"),
         F.array_min(F.transform(outer, lambda p: p[1])).alias("ymin"),
@@ -51,98 +53,62 @@ def _polygons_from_text(text_df: DataFrame) -> DataFrame:
         F.array_max(F.transform(outer, lambda p: p[1])).alias("ymax"),
         F.flatten(F.transform("rings", ring_edges)).alias("edges"),
     )
-    return with_bands(polys)
-
 
-def with_bands(polys: DataFrame) -> DataFrame:
-    """Adds ``nb`` bands of height ``h`` from ``ymin``; band k holds every edge whose latitude range meets
-    [ymin + k h, ymin + (k + 1) h], widened by a hair so rounding at a band border never loses an edge.
-    The crossing and the on-edge tests only involve edges whose range contains the point's latitude, so
-    testing the point's band alone gives the same answer as testing all edges."""
-    nb = F.greatest(F.lit(1), F.least(F.lit(MAX_BANDS), F.ceil(F.size("edges") / F.lit(EDGES_PER_BAND)).cast("int")))
-    polys = polys.withColumn("nb", nb).withColumn("h", (F.col("ymax") - F.col("ymin")) / F.col("nb"))
-    eps = F.col("h") * F.lit(1e-9) + F.lit(1e-12)
 
-    def band(k):
-        lo = F.col("ymin") + k * F.col("h") - eps
-        hi = F.col("ymin") + (k + 1) * F.col("h") + eps
-        return F.filter("edges", lambda e: (F.least(e["y1"], e["y2"]) <= hi) & (F.greatest(e["y1"], e["y2"]) >= lo))
-
-    return polys.withColumn("bands", F.transform(F.sequence(F.lit(0), F.col("nb") - 1), band))
+def _index(polygons: DataFrame, cell: float) -> DataFrame:
+    """(cx, cy, polys): per grid cell that a polygon touches or covers, those polygons with their bounding box, the
+    edges that meet the cell, and whether the cell's anchor point is inside (``odd``).
+
+    Whether a point is inside follows from its cell alone: the path from the anchor along the anchor's longitude and
+    then along the point's latitude stays in the cell, so only the cell's edges can cross it. Edges are listed by
+    the cells that they run through, row by row, which is linear in their number and length; the anchors of a row
+    are decided by one running count of the edges that cross the row's line.
+    """
+    edges = polygons.select("poly_id", F.inline("edges"))
+    eps = cell * 1e-9
+    at = lambda v: F.floor(v / F.lit(cell)).cast("long")
+    low, high = F.least("y1", "y2"), F.greatest("y1", "y2")
+    rows = edges.select("*", F.explode(F.sequence(at(low - eps), at(high + eps))).alias("cy"))
+    x_at = lambda y: F.col("x1") + (F.col("x2") - F.col("x1")) * (y - F.col("y1")) / F.nullif(F.col("y2") - F.col("y1"), F.lit(0.0))
+
+    line = (F.col("cy") + ANCHOR_Y) * cell
+    crossings = rows.where((F.col("y1") > line) != (F.col("y2") > line)).select(
+        "poly_id", "cy", (F.ceil(x_at(line) / cell - ANCHOR_X) - 1).cast("long").alias("cx"))
+    crossings = crossings.groupBy("poly_id", "cy", "cx").agg(F.count(F.lit(1)).alias("n"))
+    grid = polygons.select("poly_id", F.explode(F.sequence(at(F.col("ymin")), at(F.col("ymax")))).alias("cy"), "xmin", "xmax")
+    grid = grid.select("poly_id", "cy", F.explode(F.sequence(at(F.col("xmin")), at(F.col("xmax")))).alias("cx"))
+    to_the_right = Window.partitionBy("poly_id", "cy").orderBy(F.col("cx").desc()).rangeBetween(Window.unboundedPreceding, 0)
+    both = grid.select("*", F.lit(0).cast("long").alias("n"), F.lit(True).alias("is_cell")).unionByName(crossings.withColumn("is_cell", F.lit(False)))
+    odd = both.withColumn("odd", F.sum("n").over(to_the_right) % 2).where("is_cell").select("poly_id", "cx", "cy", "odd")
+
+    first, last = F.greatest(low, F.col("cy") * cell - eps), F.least(high, (F.col("cy") + 1) * cell + eps)
+    left = F.coalesce(F.least(x_at(first), x_at(last)), F.least("x1", "x2"))
+    right = F.coalesce(F.greatest(x_at(first), x_at(last)), F.greatest("x1", "x2"))
+    listed = rows.select("poly_id", "cy", F.struct("x1", "y1", "x2", "y2").alias("e"), F.explode(F.sequence(at(left - eps), at(right + eps))).alias("cx"))
+    listed = listed.groupBy("poly_id", "cx", "cy").agg(F.collect_list("e").alias("edges"))
+    cells = odd.join(listed, ["poly_id", "cx", "cy"], "left").where("odd = 1 or edges is not null")
+    boxes = polygons.select("poly_id", "xmin", "ymin", "xmax", "ymax")
+    none = F.array().cast("array<struct<x1:double,y1:double,x2:double,y2:double>>")
+    poly = F.struct("xmin", "ymin", "xmax", "ymax", F.col("odd").cast("int").alias("odd"), F.coalesce("edges", none).alias("edges"))
+    return cells.join(boxes, "poly_id").groupBy("cx", "cy").agg(F.collect_list(poly).alias("polys"))
 
 
 class Boundary:
-    """Polygons of a boundary as a DataFrame, plus the checked literal used inside column expressions."""
+    """Polygons of a boundary and, built on first use and stored, their grid index."""
 
     def __init__(self, polygons: DataFrame):
         self.polygons = polygons
-        self._literal_sql: str | None = None
-        self._edges: int | None = None
-
-    def edge_count(self) -> int:
-        """Edges as they are put into the plan: summed over all bands."""
-        if self._edges is None:
-            banded = F.aggregate("bands", F.lit(0), lambda acc, b: acc + F.size(b))
-            self._edges = int(self.polygons.select(F.coalesce(F.sum(banded), F.lit(0))).first()[0])
-        return self._edges
-
-    def fits_literal(self, max_edges: int | None = None) -> bool:
-        """Whether the boundary is small enough (checked edge count) to be a literal in the expression."""
-        return self.edge_count() <= (MAX_LITERAL_EDGES if max_edges is None else max_edges)
-
-    def _load(self) -> str:
-        if self._literal_sql is None:
-            n_edges = self.edge_count()
-            if n_edges > MAX_LITERAL_EDGES:
-                raise ValueError(
-                    f"boundary has {n_edges} edges, more than {MAX_LITERAL_EDGES}; simplify it or raise the bound"
-                )
-            rows = self.polygons.orderBy("poly_id").collect()
-
-            def num(v: float) -> str:
-                return f"CAST('{float(v)!r}' AS DOUBLE)"
-
-            def edges(es) -> str:
-                return "array(" + ", ".join(
-                    f"named_struct('x1', {num(e.x1)}, 'y1', {num(e.y1)}, 'x2', {num(e.x2)}, 'y2', {num(e.y2)})"
-                    for e in es) + ")"
-
-            polys = []
-            for r in rows:
-                bands = ", ".join(edges(b) for b in r.bands)
-                polys.append(
-                    f"named_struct('xmin', {num(r.xmin)}, 'ymin', {num(r.ymin)}, 'xmax', {num(r.xmax)}, "
-                    f"'ymax', {num(r.ymax)}, 'h', {num(r.h)}, 'nb', {int(r.nb)}, 'bands', array({bands}))"
-                )
-            self._literal_sql = f"array({', '.join(polys)})"
-        return self._literal_sql
-
-    def literal(self) -> Column:
-        return F.expr(self._load())
-
-    def sql_expression(self, lat: str, lon: str) -> str:
-        """The F01 test as SQL text over columns/parameters ``lat`` and ``lon`` (for a SQL function)."""
-        x, y = f"CAST({lon} AS DOUBLE)", f"CAST({lat} AS DOUBLE)"
-        crosses = (
-            f"((e.y1 > {y}) <> (e.y2 > {y})) AND "
-            f"({x} < (e.x2 - e.x1) * ({y} - e.y1) / nullif(e.y2 - e.y1, 0D) + e.x1)"
-        )
-        on_edge = (
-            f"(e.x2 - e.x1) * ({y} - e.y1) - (e.y2 - e.y1) * ({x} - e.x1) = 0 "
-            f"AND {x} BETWEEN least(e.x1, e.x2) AND greatest(e.x1, e.x2) "
-            f"AND {y} BETWEEN least(e.y1, e.y2) AND greatest(e.y1, e.y2)"
-        )
-        band = (f"element_at(p.bands, CAST(least(greatest(coalesce(floor(({y} - p.ymin) / nullif(p.h, 0D)), 0), 0), "
-                f"p.nb - 1) AS INT) + 1)")
-        contains = (
-            f"{x} > p.xmin AND {x} < p.xmax AND {y} > p.ymin AND {y} < p.ymax "
-            f"AND NOT exists({band}, e -> {on_edge}) "
-            f"AND aggregate({band}, 0, (acc, e) -> acc + IF({crosses}, 1, 0)) % 2 = 1"
-        )
-        return (
-            f"CASE WHEN {lat} IS NULL OR {lon} IS NULL THEN CAST(NULL AS INT) "
-            f"ELSE CAST(exists({self._load()}, p -> {contains}) AS INT) END"
-        )
+        self._cells: tuple[float, DataFrame] | None = None
+
+    def cells(self) -> tuple[float, DataFrame]:
+        """(cell size in degrees, index). The size gives about as many cells as there are edges."""
+        if self._cells is None:
+            stored = materialize(self.polygons, "polygons")
+            area = (F.col("xmax") - F.col("xmin")) * (F.col("ymax") - F.col("ymin"))
+            total = stored.agg(F.coalesce(F.sum(area), F.lit(0.0)).alias("area"), F.coalesce(F.sum(F.size("edges")), F.lit(0)).alias("n")).first()
+            cell = math.sqrt(total["area"] / total["n"]) if total["area"] > 0 and total["n"] else 1.0
+            self._cells = cell, materialize(_index(stored, cell), "boundary-cells")
+        return self._cells
 
 
 def boundary_from_text(spark: SparkSession, geojson_text: str) -> Boundary:

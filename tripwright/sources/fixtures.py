@@ -143,3 +143,26 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def boundary(spark: SparkSession) -> Boundary:
     return boundary_from_text(spark, BOUNDARY_GEOJSON)
+
+
+#: A comb along a latitude: teeth of this width and gaps of the same width, hanging from a bar.
+TEETH, TOOTH, BAR, TIP, LEFT = 5_000, 0.00002, 1.45, 1.25, 103.700003
+
+
+def large_boundary_geojson() -> str:
+    """A polygon with four edges per tooth (20,001 in all), for which containment is also plain arithmetic."""
+    ring = [[LEFT, BAR + 0.05]]
+    for i in range(TEETH):
+        x = LEFT + 2 * i * TOOTH
+        ring += [[x, TIP], [x + TOOTH, TIP], [x + TOOTH, BAR], [x + 2 * TOOTH, BAR]]
+    ring[-1:] = [[LEFT + 2 * TEETH * TOOTH, BAR], [LEFT + 2 * TEETH * TOOTH, BAR + 0.05]]
+    return json.dumps({"type": "FeatureCollection", "features": [
+        {"type": "Feature", "geometry": {"type": "Polygon", "coordinates": [ring + ring[:1]]}}]})
+
+
+#: The same test in the oracle's dialect: in the bar, or below it in a tooth.
+LARGE_BOUNDARY_TEST = (
+    f"CAST(LONGITUDE_END > {LEFT} AND LONGITUDE_END < {LEFT + 2 * TEETH * TOOTH} AND LATITUDE_END > {TIP} AND LATITUDE_END < {BAR + 0.05} "
+    f"AND (LATITUDE_END > {BAR} OR (LATITUDE_END < {BAR} OR LATITUDE_END = {BAR}) "
+    f"AND floor((CAST(LONGITUDE_END AS DOUBLE) - {LEFT}) / {TOOTH}) % 2 = 0) AS INTEGER)"
+)

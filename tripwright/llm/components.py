@@ -56,7 +56,8 @@ def components(edges: DataFrame) -> DataFrame:
 ROUNDS = (64, 8, 1)
 
 
-def linked_members(members: DataFrame, confirm: Callable[[DataFrame], DataFrame], may_link: Callable[[str, str], Column]) -> DataFrame:
+def linked_members(members: DataFrame, confirm: Callable[[DataFrame], DataFrame], may_link: Callable[[str, str], Column],
+                   refine: Callable[[DataFrame], tuple] | None = None) -> DataFrame:
     """(id, component) of the members that links reach, where two members of one bucket are linked if ``confirm``
     keeps their pair. ``members`` has (key, id, n) without repeated rows, n the size that ``may_link`` compares;
     ``confirm`` takes pairs (a, b) and returns those that hold.
@@ -64,20 +65,20 @@ def linked_members(members: DataFrame, confirm: Callable[[DataFrame], DataFrame]
     Every bucket first offers its members against its least one. Then buckets that still hold several components
     offer a growing part of their members against those of other components, until each pair of a bucket was
     offered or lies within one component. A large group of alike members so costs one pair per member, not all
-    pairs, and no link between components is missed.
+    pairs, and no link between components is missed. ``refine`` may give narrower buckets, in which all links
+    meet as well, for the members (id) of the mixed ones, with a ``confirm`` and ``may_link`` of their own; it keeps
+    large buckets whose members are unlike apart.
     """
-    least = members.groupBy("key").agg(F.min(F.struct("id", "n")).alias("lo"), F.max("id").alias("hi")).where("lo.id <> hi")
-    met = members.join(least.select("key", F.col("lo.id").alias("lo"), F.col("lo.n").alias("lo_n")), "key")
-    # the least member of a bucket meets all others now
-    met = materialize(met.where("id <> lo"), "buckets")
-    pairs = met.where(may_link("n", "lo_n")).select(F.col("lo").alias("a"), F.col("id").alias("b")).distinct()
-    links = materialize(confirm(pairs), "links")
+    links = materialize(_least_pairs(members, confirm, may_link), "links")
     labels = components(links)
-    rest = met.select("key", "id", "n")
+    rest = _mixed(members, labels)
+    if refine and not rest.isEmpty():
+        members, confirm, may_link = refine(rest.select("id").distinct())
+        members = materialize(members, "refined")
+        links = materialize(links.unionAll(_least_pairs(members, confirm, may_link)), "links")
+        labels = components(links)
+        rest = _mixed(members, labels)
     for part in ROUNDS:
-        labelled = rest.join(labels, "id", "left").select("key", "id", "n", F.coalesce("component", "id").alias("c"))
-        mixed = labelled.groupBy("key").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 <> c1").select("key")
-        rest = materialize(labelled.join(mixed, "key"), "rest")
         if rest.isEmpty():
             break
         chosen = F.pmod(F.xxhash64("id"), F.lit(part)) == 0
@@ -87,5 +88,20 @@ def linked_members(members: DataFrame, confirm: Callable[[DataFrame], DataFrame]
         more = confirm(offered.select("a", F.col("id").alias("b")).distinct())
         links = materialize(links.unionAll(more), "links")
         labels = components(links)
-        rest = rest.where(~chosen).select("key", "id", "n")
+        rest = _mixed(rest.where(~chosen).select("key", "id", "n"), labels)
     return labels
+
+
+def _least_pairs(members: DataFrame, confirm, may_link) -> DataFrame:
+    """Confirmed pairs of each bucket's least member with the others."""
+    least = members.groupBy("key").agg(F.min(F.struct("id", "n")).alias("lo"), F.max("id").alias("hi")).where("lo.id <> hi")
+    met = members.join(least.select("key", F.col("lo.id").alias("lo"), F.col("lo.n").alias("lo_n")), "key")
+    met = met.where(F.col("id") != F.col("lo")).where(may_link("n", "lo_n"))
+    return confirm(met.select(F.col("lo").alias("a"), F.col("id").alias("b")).distinct())
+
+
+def _mixed(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members, with their component c, of the buckets that hold several."""
+    labelled = members.join(labels, "id", "left").select("key", "id", "n", F.coalesce("component", "id").alias("c"))
+    mixed = labelled.groupBy("key").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 <> c1").select("key")
+    return materialize(labelled.join(mixed, "key"), "mixed")

@@ -12,7 +12,8 @@ similarity 0.75, all of ``BANDS`` bands differ with probability (1 - 0.75^ROWS)^
 
 Verification. Documents with equal sets are one class, shown by its least id. The classes of a bucket are linked on
 their whole sets by ``components.linked_members``, which lists no pairs inside a component: a large group of near
-copies costs one pair per member, and no pair is left out.
+copies costs one pair per member, and no pair is left out. Buckets that hold unlike classes, such as those of a passage
+that thousands share, are made anew from the rarest shingles, where only similar sets can meet.
 """
 
 from __future__ import annotations
@@ -123,6 +124,46 @@ def _similar_size(n: str, m: str):
     return (100 * F.least(n, m) >= SIMILARITY * F.greatest(n, m))
 
 
+def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part in (batch.slice(i, 256) for i in range(0, batch.num_rows, 256)):
+            items = [as_long(shingles(x.as_py())) for x in part.column(1)]
+            ends = pa.array(np.cumsum([0, *map(len, items)], dtype=np.int32))
+            lists = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(items)))
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(list(map(len, items)), pa.int32()), lists], ["id", "n", "items"])
+
+
+def _rare_shingles(ids: DataFrame, texts: DataFrame) -> tuple:
+    """Buckets (key, id, n) by the rarest shingles of the documents ``ids``, and how their pairs are confirmed.
+
+    Of two similar sets of n and m shingles, ordered from rare to frequent, the first n - 0.75 n + 1 of the one and
+    the first m - 0.75 m + 1 of the other have one in common; and behind the first that they share, at places i and j,
+    there is room for the rest of the intersection that they need. Documents that share no more than a passage that
+    thousands hold do not meet so, as its shingles come last. Exact: no link is lost.
+    """
+    sets = materialize(texts.join(ids, "id").mapInArrow(_items, "id long, n int, items array<long>"), "sets")
+    each = sets.select("id", "n", F.explode("items").alias("key"))
+    shared = each.groupBy("key").agg(F.count(F.lit(1)).alias("f")).where("f > 1")
+    lists = each.join(shared, "key").groupBy("id", "n").agg(F.array_sort(F.collect_list(F.struct("f", "key"))).alias("s"))
+    # shingles of one document alone stand before all others
+    alone = F.col("n") - F.size("s")
+    first = F.col("n") - F.ceil(F.lit(SIMILARITY) * F.col("n") / 100) + 1 - alone
+    members = lists.where(first > 0).select("id", "n", alone.alias("alone"), F.posexplode(F.slice("s", 1, first.cast("int"))).alias("i", "x"))
+    members = members.select(F.col("x.key").alias("key"), "id", F.struct("n", (F.col("alone") + F.col("i")).alias("i")).alias("n"))
+
+    def may_link(x: str, y: str):
+        room = F.least(F.col(f"{x}.n") - F.col(f"{x}.i"), F.col(f"{y}.n") - F.col(f"{y}.i"))
+        return (100 + SIMILARITY) * room >= SIMILARITY * (F.col(f"{x}.n") + F.col(f"{y}.n"))
+
+    def confirm(pairs: DataFrame) -> DataFrame:
+        one = sets.select(F.col("id").alias("a"), F.col("items").alias("x"))
+        two = sets.select(F.col("id").alias("b"), F.col("items").alias("y"))
+        both = pairs.join(one, "a").join(two, "b").withColumn("both", F.size(F.array_intersect("x", "y")))
+        return both.where(100 * F.col("both") >= SIMILARITY * (F.size("x") + F.size("y") - F.col("both"))).select("a", "b")
+
+    return members, confirm, may_link
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id and kept (doc_id = component_id) per document of ``docs`` (doc_id, text).
 
@@ -146,7 +187,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     members = materialize(rows_of.join(shared, "key"), "members")
     wanted = members.select("id").distinct()
     texts = materialize(rows.join(wanted, rows.doc_id == wanted.id).select("id", "text"), "texts")
-    labels = linked_members(members, lambda pairs: _confirmed(pairs, texts), _similar_size)
+    labels = linked_members(members, lambda pairs: _confirmed(pairs, texts), _similar_size, lambda ids: _rare_shingles(ids, texts))
     copies = sketches.select("doc_id", "n_shingles", "set_key").join(classes, "set_key", "left")
     found = copies.select("doc_id", "n_shingles", F.coalesce("rep", "doc_id").alias("id")).join(labels, "id", "left")
     found = found.groupBy("doc_id").agg(F.max("n_shingles").alias("n_shingles"), F.min(F.coalesce("component", "id")).alias("component_id"))

@@ -52,6 +52,12 @@ def components(edges: DataFrame) -> DataFrame:
     )
 
 
+def shared_buckets(rows: DataFrame) -> DataFrame:
+    """``rows`` (key, id, ...) of the keys that several ids have, stored."""
+    shared = rows.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo <> hi").select("key")
+    return materialize(rows.join(shared, "key"), "members")
+
+
 #: In each later round, one member in so many is offered against all of its bucket.
 ROUNDS = (64, 8, 1)
 

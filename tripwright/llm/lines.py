@@ -16,9 +16,9 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 from .columns import once
-from .components import linked_members
+from .components import linked_members, shared_buckets
 
-EDITS = 2
+EDITS = 1
 MIN_CHARS = 24
 LAST = 2**63 - 1  # order of a missing doc_id
 
@@ -161,7 +161,7 @@ def duplicate_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CH
         both = both.join(short.select(F.col("id").alias("b"), F.col("line").alias("y")), "b")
         return both.where(within_edits(F.col("x"), F.col("y"), edits)).select("a", "b")
 
-    labels = linked_members(found, confirm, lambda n, m: F.abs(F.col(n) - F.col(m)) <= edits)
+    labels = linked_members(shared_buckets(found.select("key", "id", "n")), confirm, lambda n, m: F.abs(F.col(n) - F.col(m)) <= edits)
     known = distinct.select("id", "k1", "k2", "first", "n_lines").join(labels, "id", "left").withColumn("c", F.coalesce("component", "id"))
     groups = known.groupBy("c").agg(F.min("first").alias("first"), F.sum("n_lines").alias("n_lines")).where("n_lines > 1")
     repeated = materialize(known.select("k1", "k2", "c").join(groups.select("c", "first"), "c"), "repeated")

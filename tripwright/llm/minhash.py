@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .components import linked_members
+from .components import linked_members, shared_buckets
 from .text import as_long, mix, seeds, windows, word_hashes, worker_cache
 
 WORDS = 5  # of a shingle
@@ -182,9 +182,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     reps = filled.select("doc_id", "n_shingles", "bands", "set_key").join(
         classes.select(F.col("rep").alias("doc_id"), "set_key"), ["doc_id", "set_key"]).dropDuplicates(["doc_id", "set_key"])
     rows_of = reps.select(F.explode("bands").alias("key"), F.col("doc_id").alias("id"), F.col("n_shingles").cast("int").alias("n"))
-    # a band's key with one class in it is of no use; the others' texts are read once
-    shared = rows_of.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo <> hi").select("key")
-    members = materialize(rows_of.join(shared, "key"), "members")
+    members = shared_buckets(rows_of)
     wanted = members.select("id").distinct()
     texts = materialize(rows.join(wanted, rows.doc_id == wanted.id).select("id", "text"), "texts")
     labels = linked_members(members, lambda pairs: _confirmed(pairs, texts), _similar_size, lambda ids: _rare_shingles(ids, texts))

@@ -1,3 +1,5 @@
+import pytest
+
 from tripwright.llm import quality
 
 from .helpers import ODD, empty, table
@@ -32,7 +34,11 @@ def test_lines_of_a_host(spark):
     assert all(got[i].n_removed_words == 55 and got[i].kept for i in range(1, 30))
     assert all(got[i].depleted and not got[i].kept for i in range(30, 33))
     assert all(got[i].kept and got[i].n_removed_words == 0 for i in range(33, 73))
+    with pytest.MonkeyPatch.context() as patch:  # the way for more common lines than can be sent to every task
+        patch.setattr(quality, "COMMON_LINES", 0)
+        other = {r.doc_id: r for r in quality.clean_documents(table(spark, texts)).collect()}
     left = {r.doc_id: r for r in quality.clean_documents(table(spark, texts)).collect()}
+    assert left == other
     assert set(left) == {i for i in got if got[i].kept}
     assert left[0].text == many[0] and left[5].text == own(5) and left[40].text == copies[0] and left[5].n_words == "x"
     # on another host each, no line is common

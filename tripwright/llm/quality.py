@@ -25,6 +25,8 @@ MIN_WORDS = 50
 MAX_REPEATED = 50  # percent of words in repeated windows
 MAX_DOCS = 20
 MIN_LEFT = 50  # percent of words outside removed lines
+#: Lines above the limit (some 100 bytes each) that are sent to every task.
+COMMON_LINES = 200_000
 SYMBOLS = "#*$%&|<>"
 BLANKS = " \t\n\x0b\x0c\r"
 
@@ -94,6 +96,26 @@ def _keys(docs: DataFrame) -> DataFrame:
     })
 
 
+def _measured(docs: DataFrame) -> DataFrame:
+    rows = _keys(docs.select(F.col("doc_id").cast("long"), "source", "text")).select(
+        "doc_id", "_host", "_key", F.col("text").cast("binary").alias("text"))
+    return materialize(rows.mapInArrow(_measure, MEASURES), "quality")
+
+
+def _lines(m: DataFrame) -> DataFrame:
+    """Lines of each text of a host (copies are combined before the shuffle), with their words."""
+    order = F.coalesce("doc_id", F.lit(2**63 - 1))
+    texts = m.where(F.size("lines") > 0).groupBy("_host", "_key").agg(F.min(order).alias("first"), F.min_by(F.struct("lines", "line_words"), order).alias("x"))
+    lines = texts.select("_host", "_key", "first", F.explode(F.arrays_zip("x.lines", "x.line_words")).alias("l"))
+    return lines.select("_host", "_key", "first", F.col("l.lines").alias("line"), F.col("l.line_words").alias("words"))
+
+
+def _common(lines: DataFrame, max_docs: int) -> DataFrame:
+    """(_host, line, holder) of the lines above the limit; the holder is the key of the first text."""
+    counted = lines.groupBy("_host", "line").agg(F.count(F.lit(1)).alias("n_docs"), F.min(F.struct("first", "_key")).alias("h"))
+    return counted.where(F.col("n_docs") > max_docs).select("_host", "line", F.col("h._key").alias("holder"))
+
+
 def quality(docs: DataFrame, max_docs: int = MAX_DOCS, min_left: int = MIN_LEFT) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text, source): doc_id, n_words, word_chars, n_symbols, n_dup_lines,
     n_repeat_words, base_failed, n_removed_words (words of lines above the limit), depleted, kept, ``removed``
@@ -103,17 +125,10 @@ def quality(docs: DataFrame, max_docs: int = MAX_DOCS, min_left: int = MIN_LEFT)
     larger than any other when the first holder of a line is chosen. Repeated rows are judged alike. An empty
     table gives an empty result; other columns are not read.
     """
-    rows = _keys(docs.select(F.col("doc_id").cast("long"), "source", "text")).select(
-        "doc_id", "_host", "_key", F.col("text").cast("binary").alias("text"))
-    m = materialize(rows.mapInArrow(_measure, MEASURES), "quality")
+    m = _measured(docs)
     base = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))
-    order = F.coalesce("doc_id", F.lit(2**63 - 1))
-    # one row per text of a host (copies are combined before the shuffle), then its lines, each with its words
-    texts = m.where(F.size("lines") > 0).groupBy("_host", "_key").agg(F.min(order).alias("first"), F.min_by(F.struct("lines", "line_words"), order).alias("x"))
-    lines = texts.select("_host", "_key", "first", F.explode(F.arrays_zip("x.lines", "x.line_words")).alias("l"))
-    lines = lines.select(F.xxhash64("_host", "l.lines").alias("at"), "_host", "_key", "first", F.col("l.lines").alias("line"), F.col("l.line_words").alias("words"))
-    common = lines.groupBy("at").agg(F.count(F.lit(1)).alias("n_docs"), F.min("first").alias("holder")).where(F.col("n_docs") > max_docs)
-    lost = lines.join(common, "at").where(F.col("first") != F.col("holder")).groupBy("_host", "_key").agg(
+    lines = _lines(m)
+    lost = lines.join(_common(lines, max_docs), ["_host", "line"]).where(F.col("_key") != F.col("holder")).groupBy("_host", "_key").agg(
         F.sum("words").alias("n_lost"), F.collect_set("line").alias("removed"))
     return (
         m.drop("lines", "line_words").join(lost, ["_host", "_key"], "left")
@@ -138,8 +153,31 @@ def _without_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield pa.RecordBatch.from_pydict(cols)
 
 
+def _clean(batches: Iterator[pa.RecordBatch], common: dict[tuple[int, int], bytes], min_left: int) -> Iterator[pa.RecordBatch]:
+    """The kept rows without their lines above the limit, judged by the table of those lines."""
+    for batch in batches:
+        keep, texts = [], []
+        for text, host, key in zip(*(batch.column(c).to_pylist() for c in ("text", "_host", "_key"))):
+            n, _, _, _, n_repeat, lines, words = measure((text or "").encode())
+            gone = {x: w for x, w in zip(lines, words) if common.get((host, x), key) != key}
+            failed = n < MIN_WORDS or 100 * n_repeat > MAX_REPEATED * n
+            keep.append(not failed and 100 * (n - sum(gone.values())) >= min_left * n)
+            if gone and keep[-1]:
+                text = "\n".join(x for x in text.split("\n") if line_key(x.encode()) not in gone)
+            texts.append(text)
+        cols = {c: batch.column(c) for c in batch.schema.names if c not in ("_host", "_key")}
+        cols["text"] = pa.array(texts, batch.schema.field("text").type)
+        yield pa.RecordBatch.from_pydict(cols).filter(pa.array(keep, pa.bool_()))
+
+
 def clean_documents(docs: DataFrame, max_docs: int = MAX_DOCS, min_left: int = MIN_LEFT) -> DataFrame:
-    """``docs`` without the rejected rows; the others lose their lines above the limit. All columns stay."""
+    """``docs`` without the rows that ``quality`` rejects; the others lose their lines above the limit. All columns
+    stay. The lines above the limit go to every task while they are no more than ``COMMON_LINES``, so that the texts
+    need no shuffle; more of them are brought to the documents by joins."""
+    common = materialize(_common(_lines(_measured(docs)), max_docs), "common")
+    if common.count() <= COMMON_LINES:
+        table = {(r["_host"], r["line"]): bytes(r["holder"]) for r in common.collect()}
+        return _keys(docs).mapInArrow(lambda it: _clean(it, table, min_left), docs.schema)
     verdicts = quality(docs, max_docs, min_left).where("kept").groupBy("doc_id", "_host", "_key").agg(F.first("removed").alias("_removed"))
     keyed = _keys(docs).alias("d")
     v = verdicts.alias("v")

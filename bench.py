@@ -18,11 +18,13 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from tripwright.functions import within_boundary  # noqa: E402
+from tripwright.operators import sessions  # noqa: E402
 from tripwright.plans import model, queries as Q  # noqa: E402
 from tripwright.plans.cleaning import clean_trips  # noqa: E402
-from tripwright.session import local_session  # noqa: E402
+from tripwright.session import local_session, materialize  # noqa: E402
 from tripwright.sinks import write_star  # noqa: E402
-from tripwright.sources import fixtures, load_star, read_raw_lines  # noqa: E402
+from tripwright.sources import boundary_from_text, fixtures, load_star, read_raw_lines  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -62,6 +64,12 @@ def main() -> None:
 
     out["m02_m04_build_star"] = timed(run_model, repeat=max(1, REPEAT))
     star = load_star(spark, star_dir)
+    single = materialize(sessions.add_distance_duration(sessions.remove_overlaps(fixtures.clean_trips(spark, SF_DIR))), "single")
+    noop = lambda df: df.write.format("noop").mode("overwrite").save()
+    out["d02_connect_trips"] = timed(lambda: noop(sessions.connect_trips(single)))
+    out["d03_connect_pairs"] = timed(lambda: noop(sessions.connect_pairs(single)))
+    large = boundary_from_text(spark, fixtures.large_boundary_geojson())
+    out["f01_large_boundary"] = timed(lambda: noop(within_boundary(single, "LATITUDE_END", "LONGITUDE_END", large, "w")))
     vehicle = obt.select("VEHICLE_ID").orderBy("VEHICLE_ID").first()[0]
     prefix = "req12"
     cases = {

@@ -11,7 +11,6 @@ sequences whose sizes are powers of two.
 from __future__ import annotations
 
 from bisect import bisect_left
-from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,19 +35,22 @@ def choose_cuts(places: list[int], penalties: list[int], length: int, rest=None)
     """Places of the cheapest cuts, the last place included. ``places`` ascend from above 0, with no gap over
     ``length``. ``rest(n)`` is what n tokens before the last place cost (their padding if not given)."""
     best, back, at = [0], [0], [0, *places]
-    queue: deque[tuple[int, int]] = deque([(0, 0)])  # (best + place, index), both ascending
-    for i in range(1, len(at)):
+    # the queue: best + place, ascending, and the places' numbers; what lies before the head is too far back
+    sums, numbers, head = [0], [0], 0
+    for i, penalty in enumerate(penalties, 1):
         p = at[i]
-        while at[queue[0][1]] < p - length:
-            queue.popleft()
-        low, j = queue[0]
-        cost = low + length - p + penalties[i - 1]
+        low = p - length
+        while at[numbers[head]] < low:
+            head += 1
+        cost = sums[head] + length - p + penalty
         best.append(cost)
-        back.append(j)
+        back.append(numbers[head])
         key = cost + p
-        while queue and queue[-1][0] >= key:
-            queue.pop()
-        queue.append((key, i))
+        while len(sums) > head and sums[-1] >= key:
+            sums.pop()
+            numbers.pop()
+        sums.append(key)
+        numbers.append(i)
     i = len(at) - 1
     if rest:
         back[i] = min(range(bisect_left(at, at[i] - length), i), key=lambda j: best[j] + rest(at[i] - at[j]))
@@ -113,15 +115,14 @@ class _Stream:
 
     def choose(self, places: list[int], penalties: list[int], last: bool) -> list[int]:
         """Adds cuts inside sentences longer than ``STEP``, then chooses among all places."""
-        full, cost, before = [], [], 0
-        for p, c in zip(places, penalties):
-            if p - before > STEP:
-                more = range(before + STEP, p, STEP)
-                full.extend(more)
-                cost.extend([WORD_CUT] * len(more))
-            full.append(p)
-            cost.append(c)
-            before = p
+        stop, price = np.array(places), np.array(penalties)
+        start = np.concatenate([[0], stop[:-1]])
+        extra = (stop - start - 1) // STEP  # cuts that a sentence gets inside
+        part = np.repeat(np.arange(len(stop)), extra + 1)
+        place = np.arange(len(part)) - np.repeat(np.cumsum(extra + 1) - extra - 1, extra + 1)
+        inside = place < extra[part]
+        full = np.where(inside, start[part] + (place + 1) * STEP, stop[part]).tolist()
+        cost = np.where(inside, WORD_CUT, price[part]).tolist()
         rest = (lambda n: rest_cost(n, self.length)) if last else (lambda n: 0)
         return choose_cuts(full, cost, self.length, rest)
 

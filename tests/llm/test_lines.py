@@ -78,8 +78,28 @@ def test_against_brute_force(spark):
     assert L.line_report(empty(spark)).count() == 0
 
 
+def test_segments_around_one_edit(spark):
+    rng = np.random.default_rng(6)
+    rows = []
+    for n in (24, 25, 31, 64, 90):
+        for _ in range(60):
+            a = "".join(rng.choice(list("abcé"), n))
+            rows.append(tuple(sorted((a, edited(rng, a, 1)), key=len)))
+    pairs = spark.createDataFrame(rows, "s string, t string").where("levenshtein(s, t) <= 1")
+    keys = lambda c: F.array(*L._around_keys(F.col(c), F.length(c), 8))
+    assert pairs.where(~F.arrays_overlap(keys("s"), keys("t"))).count() == 0
+
+
+def test_lines_that_share_a_half(spark):
+    """Many lines with the same beginning and ends of their own, and pairs among them."""
+    rng = np.random.default_rng(7)
+    ends = ["".join(rng.choice(list("abcdefgh"), 30)) for _ in range(40)]
+    texts = ["the same beginning in all the lines " + x for e in ends for x in (e, e[:12] + "X" + e[12:])]
+    assert result(spark, table(spark, texts)) == brute(texts)
+
+
 def test_a_large_group_of_near_equal_lines(spark):
-    texts = [f"This page was shown {i:05d} times before today" for i in range(400)]
+    texts = [f"This page was shown {i:05d} times before today" for i in range(100)]
     got = result(spark, table(spark, texts))
     assert got == brute(texts)
 

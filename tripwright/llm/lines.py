@@ -138,6 +138,18 @@ def _key(line: str) -> list[Column]:
     return [F.xxhash64(line).alias("k1"), F.xxhash64(F.lit(1), line).alias("k2")]
 
 
+def _around_keys(line: Column, n: Column, parts: int) -> list[Column]:
+    """For one edit: keys of a line without one of ``parts`` segments, of its own length and of one character less.
+
+    A line and another that one edit makes of it agree in front of the segment that holds the edit, and behind it
+    counted from the end."""
+    keys = []
+    for d in (0, 1):
+        for i, (p, m) in enumerate(_segments(n - d, parts - 1)):
+            keys.append(F.xxhash64(n - d, F.lit(i), F.substring(line, F.lit(1), p - 1), F.right(line, n - d - (p + m - 1))))
+    return keys
+
+
 def duplicate_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
     """doc_id, ``_text`` (hash of the text) and ``removed`` (numbers from 0 of the lines to remove) for the documents of
     ``docs`` (doc_id, text) that lose any.
@@ -153,7 +165,8 @@ def duplicate_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CH
     distinct = materialize(distinct.withColumn("id", F.monotonically_increasing_id()), "lines")
 
     keys = F.array(*_index_keys(F.col("line"), F.col("n"), edits), *_probe_keys(F.col("line"), F.col("n"), edits))
-    found = distinct.select("id", "n", F.explode(F.array_distinct(keys)).alias("key")).where("key is not null")
+    # a key holds the length, so the lengths in a bucket differ by ``edits`` at most
+    found = distinct.select("id", F.lit(0).alias("n"), F.explode(F.array_distinct(keys)).alias("key")).where("key is not null")
     short = distinct.select("id", F.col("line"))
 
     def confirm(pairs: DataFrame) -> DataFrame:
@@ -161,7 +174,14 @@ def duplicate_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CH
         both = both.join(short.select(F.col("id").alias("b"), F.col("line").alias("y")), "b")
         return both.where(within_edits(F.col("x"), F.col("y"), edits)).select("a", "b")
 
-    labels = linked_members(shared_buckets(found.select("key", "id", "n")), confirm, lambda n, m: F.abs(F.col(n) - F.col(m)) <= edits)
+    def refine(ids: DataFrame) -> tuple:
+        """Lines that share half of their text with thousands of others meet by all but an eighth of it instead."""
+        around = F.array(*_around_keys(F.col("line"), F.col("n"), 8))
+        members = distinct.join(ids, "id").select("id", F.lit(0).alias("n"), F.explode(F.array_distinct(around)).alias("key"))
+        return members, confirm, any_size
+
+    any_size = lambda n, m: F.lit(True)
+    labels = linked_members(shared_buckets(found.select("key", "id", "n")), confirm, any_size, refine if edits == 1 else None)
     known = distinct.select("id", "k1", "k2", "first", "n_lines").join(labels, "id", "left").withColumn("c", F.coalesce("component", "id"))
     groups = known.groupBy("c").agg(F.min("first").alias("first"), F.sum("n_lines").alias("n_lines")).where("n_lines > 1")
     repeated = materialize(known.select("k1", "k2", "c").join(groups.select("c", "first"), "c"), "repeated")

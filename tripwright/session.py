@@ -65,5 +65,5 @@ def materialize(df, name: str = "stage"):
     tables of a scan), and survives executor loss: the files are in the shared folder, not on executors.
     """
     path = stage_path(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

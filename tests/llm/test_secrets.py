@@ -58,3 +58,13 @@ def test_odd_rows(spark):
 def test_coverage():
     words = frozenset(["the", "there", "word"])
     assert S.coverage("therewordx", words) == 0.9 and S.coverage("", words) == 0
+
+
+def test_assigned_values_of_any_form():
+    """Short values, values with signs, and plain words are found where they are assigned to a secret's name."""
+    cases = [("password=Tr0ub4d0r", "Tr0ub4d0r"), ('pwd: "hunter2!"', "hunter2!"), ("password = correcthorse", "correcthorse"),
+             ("db_password='a b$c%d#e:f'", "a b$c%d#e:f"), ('"api_key": "x!1"', "x!1"), ("auth_token: p4$$:w0rd!", "p4$$:w0rd!")]
+    for text, value in cases:
+        got = [f"words {text} and more"[i:j] for i, j in S.candidates(f"words {text} and more")]
+        assert value in got, (text, got)
+    assert list(S.candidates("a passing word, nothing assigned")) == []

@@ -26,11 +26,14 @@ from .text import worker_cache
 #: Labelled findings of either kind that a forest is trained on, at most.
 LABELLED = 5_000
 TREES, DEPTH, SEED = 20, 6, 11
-#: Runs that may be a secret; whatever else stands in a text is never a finding.
+#: Runs that may be a secret wherever they stand.
 RUN = re.compile(r"[A-Za-z0-9+/_\-@.]{12,}={0,2}")
 BEFORE = re.compile(r"([A-Za-z_]+)[\"']?\s*([=:]?)\s*[\"']?$")
 # Names that a secret is assigned to, and prefixes of issued keys.
 NAMES = ("password", "passwd", "pwd", "secret", "token", "key", "apikey", "api_key", "credential", "auth")
+#: Values assigned to one of the names, of any length and any characters.
+ASSIGNED = re.compile(
+    "(?i)(?:" + "|".join(NAMES) + r""")[A-Za-z_]{0,40}["']?\s*[=:]+\s*(?:"([^"\n]+)"|'([^'\n]+)'|["']?([^\s"'][^\s]*))""")
 PREFIXES = ("AKIA", "ASIA", "ghp_", "gho_", "xoxb", "xoxp", "sk_l", "AIza", "glpa", "eyJh")
 
 FEATURES = (
@@ -84,11 +87,20 @@ def describe(text: str, start: int, end: int, dictionary: frozenset[str]) -> tup
 
 
 def candidates(text: str) -> Iterator[tuple[int, int]]:
+    """Spans, by their start, of what may be a secret: assigned values and long runs, which may overlap."""
+    spans = set()
+    for m in ASSIGNED.finditer(text):
+        start, end = m.span(m.lastindex)
+        if m.lastindex == 3:  # without quotes: signs of the sentence around it are not part of the value
+            end = start + len(m[3].rstrip(".,;-\"'"))
+        if end > start:
+            spans.add((start, end))
     for m in RUN.finditer(text):
         start, end = m.span()
         end -= len(m[0]) - len(m[0].rstrip(".-"))
         if end - start >= 12 and not (m[0].isalpha() and (m[0].islower() or m[0].istitle())) or end - start >= 18:
-            yield start, end
+            spans.add((start, end))
+    yield from sorted(spans)
 
 
 def _findings(batches: Iterator[pa.RecordBatch], vocabulary_file: str) -> Iterator[pa.RecordBatch]:

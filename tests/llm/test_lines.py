@@ -120,3 +120,22 @@ def test_ids(spark):
     got = sorted((r.doc_id or -1, r.n_lines, list(r.removed)) for r in L.line_report(rows).collect())
     assert got == [(-1, 1, [0]), (4, 1, []), (4, 2, [1])]
     assert sorted((r.doc_id, r.text) for r in L.remove_lines(rows).collect()) == [(4, line), (4, line + ".")]
+
+
+def test_two_edits_by_default(spark):
+    """The threshold is a number of this test: two edits are linked by default, three are not."""
+    base = "a line of some length that stands in several documents"
+    texts = [base, base.replace("some", "sxme").replace("several", "severel"), "zzz" + base[3:-3] + "zzz"]
+    assert L.EDITS == 2 and result(spark, table(spark, texts)) == {0: [], 1: [0], 2: []}
+
+
+def test_segments_around_two_edits(spark):
+    rng = np.random.default_rng(8)
+    rows = []
+    for n in (24, 25, 31, 64, 90):
+        for _ in range(60):
+            a = "".join(rng.choice(list("abcé"), n))
+            rows.append(tuple(sorted((a, edited(rng, a, 2)), key=len)))
+    pairs = spark.createDataFrame(rows, "s string, t string").where("levenshtein(s, t) <= 2")
+    keys = lambda c: L._around_two_keys(F.col(c), F.length(c), 8)
+    assert pairs.where(~F.arrays_overlap(keys("s"), keys("t"))).count() == 0

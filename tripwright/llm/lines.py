@@ -18,7 +18,7 @@ from ..session import materialize
 from .columns import once
 from .components import linked_members, shared_buckets
 
-EDITS = 1
+EDITS = 2
 MIN_CHARS = 24
 LAST = 2**63 - 1  # order of a missing doc_id
 
@@ -150,6 +150,26 @@ def _around_keys(line: Column, n: Column, parts: int) -> list[Column]:
     return keys
 
 
+def _around_two_keys(line: Column, n: Column, parts: int) -> Column:
+    """For two edits: keys of a line without two of ``parts`` segments, or one, of its own length and of one and two
+    characters less.
+
+    A line and another that two edits make of it agree in front of the segment with the first edit, behind that with the
+    second counted from the end, and between them, where the longer line has moved by what the first edit added."""
+    kinds = [(d, i, j, move) for d in (0, 1, 2) for i in range(parts) for j in range(i, parts)
+             for move in ((0,) if i == j else range(max(-1, d - 1), 2))]
+
+    def key(z: Column) -> Column:
+        size, longer = F.floor((n - z["d"]) / parts).cast("int"), (n - z["d"]) % parts
+        at = lambda k: size * k + F.greatest(k - (F.lit(parts) - longer), F.lit(0)) + 1
+        behind = at(z["i"] + 1)
+        middle = F.substring(line, behind + z["move"], at(z["j"]) - behind)
+        tail = F.right(line, n - z["d"] - at(z["j"] + 1) + 1)
+        return F.xxhash64(n - z["d"], z["i"] * parts + z["j"], F.substring(line, F.lit(1), at(z["i"]) - 1), middle, tail)
+
+    return F.transform(F.array(*(F.struct(*(F.lit(x).alias(name) for x, name in zip(k, ("d", "i", "j", "move")))) for k in kinds)), key)
+
+
 def duplicate_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
     """doc_id, ``_text`` (hash of the text) and ``removed`` (numbers from 0 of the lines to remove) for the documents of
     ``docs`` (doc_id, text) that lose any.
@@ -175,13 +195,14 @@ def duplicate_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CH
         return both.where(within_edits(F.col("x"), F.col("y"), edits)).select("a", "b")
 
     def refine(ids: DataFrame) -> tuple:
-        """Lines that share half of their text with thousands of others meet by all but an eighth of it instead."""
-        around = F.array(*_around_keys(F.col("line"), F.col("n"), 8))
-        members = distinct.join(ids, "id").select("id", F.lit(0).alias("n"), F.explode(F.array_distinct(around)).alias("key"))
+        """Lines that share half of their text with thousands of others meet by all but an eighth of it per edit instead."""
+        around = F.array(*_around_keys(F.col("line"), F.col("n"), 8)) if edits == 1 else _around_two_keys(F.col("line"), F.col("n"), 8)
+        keyed = distinct.join(ids, "id").select("id", F.array_distinct(around).alias("keys"))
+        members = keyed.select("id", F.lit(0).alias("n"), F.explode("keys").alias("key"))
         return members, confirm, any_size
 
     any_size = lambda n, m: F.lit(True)
-    labels = linked_members(shared_buckets(found.select("key", "id", "n")), confirm, any_size, refine if edits == 1 else None)
+    labels = linked_members(shared_buckets(found.select("key", "id", "n")), confirm, any_size, refine if edits <= 2 else None)
     known = distinct.select("id", "k1", "k2", "first", "n_lines").join(labels, "id", "left").withColumn("c", F.coalesce("component", "id"))
     groups = known.groupBy("c").agg(F.min("first").alias("first"), F.sum("n_lines").alias("n_lines")).where("n_lines > 1")
     repeated = materialize(known.select("k1", "k2", "c").join(groups.select("c", "first"), "c"), "repeated")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import stage_path
-from . import archive, decontaminate, lines, minhash, packing, quality, secrets, substring, tokencount, warc
+from . import archive, decontaminate, lines, minhash, packing, quality, runs, secrets, substring, tokencount, warc
 from .tokenizer_files import BYTE_LEVEL, PIECES, WORD_LEVEL
 
 WORD_END, BYTE_END = 2, 1  # ids that the contracts put behind each document
@@ -68,10 +68,23 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.periodic_runs(runs.repeat_tails(_table(spark, sf_dir, "documents")))
+    # the longest run, of equal ones the first, then that of the smaller period
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("n"), (-r["start"]).alias("s"), (-r["period"]).alias("p"))))
+    text = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    found = found.withColumn("best", best)
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.s")).alias("start"), F.col("best.n").alias("length"),
+        (-F.col("best.p")).alias("period"), F.floor(1000 * F.col("best.n") / -F.col("best.p")).alias("exponent_milli"),
+        F.sha2(text, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_near_duplicates, op2_token_counts, op3_decontamination, op4_quality_rules, op5_shared_passages, op6_line_dedup,
-        op7_warc, op8_secret_scan, op9_token_archive, op10_packing,
+        op7_warc, op8_secret_scan, op9_token_archive, op10_packing, op12_periodic_runs,
     )}
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import stage_path
-from . import archive, decontaminate, lines, minhash, packing, quality, runs, secrets, substring, tokencount, warc
+from . import archive, decontaminate, lines, minhash, packing, quality, ranking, runs, secrets, substring, tokencount, warc
 from .tokenizer_files import BYTE_LEVEL, PIECES, WORD_LEVEL
 
 WORD_END, BYTE_END = 2, 1  # ids that the contracts put behind each document
@@ -68,6 +68,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranking.rank(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = runs.periodic_runs(runs.repeat_tails(_table(spark, sf_dir, "documents")))
     # the longest run, of equal ones the first, then that of the smaller period
@@ -84,7 +88,7 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_near_duplicates, op2_token_counts, op3_decontamination, op4_quality_rules, op5_shared_passages, op6_line_dedup,
-        op7_warc, op8_secret_scan, op9_token_archive, op10_packing, op12_periodic_runs,
+        op7_warc, op8_secret_scan, op9_token_archive, op10_packing, op11_ranked_search, op12_periodic_runs,
     )}
 
 
@@ -193,5 +197,32 @@ from k
 """
 
 
+OP11 = f"""
+with dw as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), {UPPER_LOWER}), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') as ws from documents
+), iw as (
+  select item_id, regexp_extract_all(translate(coalesce(text, ''), {UPPER_LOWER}), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') as ws from benchmark
+), q as (
+  select item_id, t, count(*) as qf from (select item_id, unnest(ws) as t from iw) group by item_id, t
+), c as (
+  select count(*) as nn, cast(sum(len(ws)) as bigint) as ll from dw where len(ws) > 0
+), tf as (
+  select doc_id, t, count(*) as tf from (select doc_id, unnest(ws) as t from dw) group by doc_id, t
+), df as (
+  select t, count(*) as df from tf group by t
+), w as (
+  select t, cast(floor(1000 * ln((2 * nn + 2) / (2 * df + 1))) as bigint) as w from df, c
+), m as (
+  select doc_id, 25 + (75 * len(ws) * nn) // ll as m from dw, c where len(ws) > 0
+), s as (
+  select q.item_id, tf.doc_id, cast(sum(qf * w * ((1000000000 * tf) // (1000 * tf + 8 * m))) as bigint) as score
+  from q join w using (t) join tf using (t) join m using (doc_id) group by q.item_id, tf.doc_id
+)
+select item_id, cast(rank as int) as rank, doc_id, score from (
+  select *, row_number() over (partition by item_id order by score desc, doc_id) as rank from s where score > 0
+) where rank <= 10
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_near_duplicates": OP1, "op3_decontamination": OP3, "op4_quality_rules": OP4, "op7_warc": OP7}
+    return {"op1_near_duplicates": OP1, "op3_decontamination": OP3, "op4_quality_rules": OP4, "op7_warc": OP7, "op11_ranked_search": OP11}

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import stage_path
-from . import archive, decontaminate, lines, minhash, packing, quality, ranking, runs, secrets, substring, tokencount, warc
+from . import archive, decontaminate, lines, minhash, mtree, packing, quality, ranking, runs, secrets, substring, tokencount, warc
 from .tokenizer_files import BYTE_LEVEL, PIECES, WORD_LEVEL
 
 WORD_END, BYTE_END = 2, 1  # ids that the contracts put behind each document
@@ -85,10 +85,15 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mtree.nearest(_table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_near_duplicates, op2_token_counts, op3_decontamination, op4_quality_rules, op5_shared_passages, op6_line_dedup,
         op7_warc, op8_secret_scan, op9_token_archive, op10_packing, op11_ranked_search, op12_periodic_runs,
+        op13_nearest_vectors,
     )}
 
 
@@ -224,5 +229,20 @@ select item_id, cast(rank as int) as rank, doc_id, score from (
 """
 
 
+OP13 = f"""
+with v as (
+  select vec_id, [cast(floor({mtree.SCALE} * cast(x as double)) as bigint) for x in embedding] as v from embeddings
+  where embedding is not null and len([x for x in embedding if x is null or not isfinite(x)]) = 0
+), s as (
+  select q.vec_id as query_id, c.vec_id, cast(list_sum([z[1] * z[2] for z in list_zip(q.v, c.v)]) as bigint) as score
+  from v q join v c on c.vec_id <> q.vec_id where q.vec_id % {mtree.EVERY} = 0
+)
+select query_id, cast(rank as int) as rank, vec_id, score from (
+  select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s
+) where rank <= {mtree.K}
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_near_duplicates": OP1, "op3_decontamination": OP3, "op4_quality_rules": OP4, "op7_warc": OP7, "op11_ranked_search": OP11}
+    return {"op1_near_duplicates": OP1, "op3_decontamination": OP3, "op4_quality_rules": OP4, "op7_warc": OP7, "op11_ranked_search": OP11,
+            "op13_nearest_vectors": OP13}

@@ -54,7 +54,7 @@ def test_star_shape(obt, star):
 
 
 def test_plan_shape(spark):
-    """One hash exchange feeds the fold, keyed by vehicle and island bucket; no single-partition funnel."""
+    """Maps of the chunks go by vehicle, rows by chunk (tests/test_folds.py counts the exchanges); no single-partition funnel."""
     folded = sessions.remove_overlaps_and_connect(sessions.add_distance_duration(fixtures.clean_trips(spark, SF0001)))
     plan = folded._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan

@@ -89,6 +89,31 @@ def _enriched_d01(spark, sf):
     return sessions.add_distance_duration(sessions.remove_overlaps(_clean(spark, sf)))
 
 
+# A fifth of all trips belong to one vehicle that never rests: one chain of overlapping and close trips. Also valid in
+# the oracle's dialect, over the clean columns and the number n in the request id.
+HOT_VEHICLE = """
+SELECT CASE WHEN n % 5 = 0 THEN 'hot' ELSE VEHICLE_ID END AS VEHICLE_ID, REQUEST_ID, DRIVER_ID,
+  CASE WHEN n % 5 = 0 THEN CAST('2022-03-01 00:00:00' AS {TS}) + INTERVAL '1' SECOND * (n * 8) ELSE START_TIME END AS START_TIME,
+  CASE WHEN n % 5 = 0 THEN CAST('2022-03-01 00:00:00' AS {TS}) + INTERVAL '1' SECOND * (n * 8 + 10 + (n * 13) % 90) ELSE END_TIME END AS END_TIME,
+  LATITUDE_PICKUP, LONGITUDE_PICKUP,
+  CASE WHEN n % 5 = 0 THEN CAST(LATITUDE_PICKUP + CAST(n % 7 AS DECIMAL(11,8)) / 1000 AS DECIMAL(11,8)) ELSE LATITUDE_END END AS LATITUDE_END,
+  CASE WHEN n % 5 = 0 THEN LONGITUDE_PICKUP ELSE LONGITUDE_END END AS LONGITUDE_END
+FROM numbered"""
+#: Range partitions of the hot-vehicle queries, so that its chain runs over many of them at any scale.
+HOT_PARTITIONS = 32
+
+
+def _hot(spark, sf):
+    numbered = _clean(spark, sf).withColumn("n", F.regexp_extract("REQUEST_ID", r"(\d+)", 1).cast("long"))
+    sql = fx.dialect(HOT_VEHICLE, fx.SPARK_TOKENS).replace("FROM numbered", "FROM {numbered}")
+    return _stored(spark, sf, "hot", lambda s, _: s.sql(sql, numbered=numbered))
+
+
+def _hot_d02(spark, sf):
+    kept = sessions.remove_overlaps(_hot(spark, sf), partitions=HOT_PARTITIONS)
+    return sessions.connect_trips(sessions.add_distance_duration(kept), partitions=HOT_PARTITIONS)
+
+
 def _obt(spark, sf):
     folded = sessions.remove_overlaps_and_connect(sessions.add_distance_duration(_clean(spark, sf)))
     return model.build_obt(validate.drop_short(folded))
@@ -229,7 +254,11 @@ def spark_queries() -> dict[str, Query]:
         "v22_trips_on_day": lambda s, d: round6(validate.trips_on_day(_obt(s, d), DAY)),
         "v23_by_prefix": lambda s, d: round6(validate.by_prefix(_obt(s, d), "REQUEST_ID", PREFIX)),
         "d01_remove_overlaps": lambda s, d: sessions.remove_overlaps(_clean(s, d)),
+        "d01_hot_vehicle": lambda s, d: sessions.remove_overlaps(_hot(s, d), partitions=HOT_PARTITIONS),
         "d02_connect_trips": lambda s, d: round6(sessions.connect_trips(_enriched_d01(s, d))),
+        "d02_hot_vehicle": lambda s, d: round6(_hot_d02(s, d)),
+        "d02_hot_vehicle_fused": lambda s, d: round6(sessions.remove_overlaps_and_connect(
+            sessions.add_distance_duration(_hot(s, d)), partitions=HOT_PARTITIONS)),
         "d02_fused_overlaps_connect": lambda s, d: round6(sessions.remove_overlaps_and_connect(
             sessions.add_distance_duration(_clean(s, d)))),
         "d03_connect_pairs": lambda s, d: round6(sessions.connect_pairs(_enriched_d01(s, d))),
@@ -303,6 +332,9 @@ def oracle_queries() -> dict[str, str]:
     obt_sel = f"SELECT {_r6(OBT_COLS, {'distance_km'})} FROM obt"
     tr_sel = f"SELECT {_r6(TR_COLS, {'distance_km'})} FROM trip_records"
     enr = [O.CT, *O.d01("ct", "k1"), O.enrich("k1", "e1")]
+    hot_trips = [O.CT, "numbered AS (SELECT ct.*, t.event_id AS n FROM ct JOIN trips t ON t.request_id = ct.REQUEST_ID)",
+                 f"hot AS ({fx.dialect(HOT_VEHICLE, fx.DUCKDB_TOKENS)})"]
+    hot = S([*hot_trips, *O.d01("hot", "k1"), O.enrich("k1", "e1"), *O.d02("e1", "g2")], f"SELECT {_r6(ENR_COLS, {'distance'})} FROM g2")
     raw_cols = ", ".join(f"string_split(line, ',')[{i + 1}] AS {c}" for i, c in enumerate(RAW_COLUMNS + ["EXTRA"]))
     sample = ("sample AS (SELECT CAST(event_id AS VARCHAR) AS \"Unnamed: 0\", vehicle_id AS VEHICLE_ID, driver_id AS DRIVER_ID, "
               "request_id AS REQUEST_ID, strftime(start_time, '%Y-%m-%d %H:%M:%S') AS DT_START, "
@@ -367,6 +399,9 @@ def oracle_queries() -> dict[str, str]:
         "v22_trips_on_day": S(obt, obt_sel + f" WHERE day(DT_START) = {DAY}"),
         "v23_by_prefix": S(obt, obt_sel + f" WHERE starts_with(REQUEST_ID, '{PREFIX}')"),
         "d01_remove_overlaps": S([O.CT, *O.d01("ct", "k1")], f"SELECT {O.COLS} FROM k1"),
+        "d01_hot_vehicle": S([*hot_trips, *O.d01("hot", "k1")], f"SELECT {O.COLS} FROM k1"),
+        "d02_hot_vehicle": hot,
+        "d02_hot_vehicle_fused": hot,
         "d02_connect_trips": S([*enr, *O.d02("e1", "g2")], f"SELECT {_r6(ENR_COLS, {'distance'})} FROM g2"),
         "d02_fused_overlaps_connect": S([*enr, *O.d02("e1", "g2")], f"SELECT {_r6(ENR_COLS, {'distance'})} FROM g2"),
         "d03_connect_pairs": S(enr, "").rstrip() + _d03_select(),

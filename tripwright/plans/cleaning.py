@@ -55,11 +55,10 @@ def typed_trips(lines: DataFrame, boundary: Boundary, counts: StageCounts | None
 
 def clean_trips(lines: DataFrame, boundary: Boundary, counts: StageCounts | None = None,
                 stage: bool = True) -> DataFrame:
-    """M06 = V01..V11 -> F02/F03 -> D01+D02 (one fold, one exchange) -> V20.
+    """M06 = V01..V11 -> F02/F03 -> D01+D02 (over one sort of the trips) -> V20.
 
-    With ``stage`` the typed, enriched trips are written once under the checkpoint folder before the
-    fold, whose island scan reads its input more than once; the text parsing and the boundary test then
-    run once.
+    With ``stage`` the typed, enriched trips are written once under the checkpoint folder before the fold, whose sort
+    samples its input first; the text parsing and the boundary test then run once.
     """
     typed = sessions.add_distance_duration(typed_trips(lines, boundary, counts))
     if stage:

@@ -22,12 +22,13 @@ def _measured(docs: DataFrame) -> DataFrame:
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejected documents go; the others lose lines that too many documents of their host share."""
-    return _measured(quality.clean_documents(docs))
+    """Rejected documents go; the others lose lines that too many documents of their host share. Copies are left to the
+    stages behind, which keep one of them."""
+    return _measured(quality.clean_documents(docs, spare_copies=True))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of near-equal lines the first stays; a document left without a word goes."""
+    """Of near-equal lines the first stays; a document left without a word goes. Null and empty texts stay as they are."""
     return _measured(lines.remove_lines(docs))
 
 

@@ -2,7 +2,7 @@ import re
 
 from tripwright.llm import decontaminate as D
 
-from .helpers import ODD, empty, table
+from .helpers import ODD, empty, table, untouched
 
 
 def words(text):
@@ -62,3 +62,9 @@ def test_repeated_ids(spark):
     bench = spark.createDataFrame([(1, "p q")], "item_id long, text string")
     rows = table(spark, ["p q", "r", "p q"]).selectExpr("7 as doc_id", "text")
     assert sorted((r.n_words, r.n_hit) for r in D.contamination(rows, bench).collect()) == [(1, 0), (2, 2), (2, 2)]
+
+
+def test_columns_of_any_name(spark):
+    bench = spark.createDataFrame([(1, "p q")], "item_id long, text string")
+    docs = table(spark, ["x p q y", "r", None])
+    assert untouched(D.decontaminate(docs, bench), docs) and untouched(D.remove_spans(docs, bench), docs)

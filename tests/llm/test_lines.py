@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from tripwright.llm import lines as L
 
-from .helpers import ODD, empty, table
+from .helpers import ODD, empty, table, untouched
 
 SF = "/root/testdata/sf0.001"
 
@@ -45,7 +45,7 @@ def test_distance_and_segments(spark):
 def brute(texts):
     """Removed lines per document: of linked lines, the first by document stays."""
     rows = [(i, k, x.strip(" \t\r\x0b\x0c")) for i, t in enumerate(texts) for k, x in enumerate((t or "").split("\n"))]
-    rows = [r for r in rows if len(r[2]) >= L.MIN_CHARS]
+    rows = [r for r in rows if r[2]]
     label = list(range(len(rows)))
 
     def root(i):
@@ -56,7 +56,7 @@ def brute(texts):
     for i, (_, _, x) in enumerate(rows):
         for j in range(i):
             y = rows[j][2]
-            if abs(len(x) - len(y)) <= L.EDITS and (x == y or (len(set(x) ^ set(y)) <= 2 * L.EDITS and distance(x, y) <= L.EDITS)):
+            if abs(len(x) - len(y)) <= 2 and (x == y or (len(set(x) ^ set(y)) <= 4 and distance(x, y) <= 2)):
                 a, b = sorted((root(i), root(j)))
                 label[b] = a
     out = {i: [] for i in range(len(texts))}
@@ -110,7 +110,7 @@ def test_small_tables(spark):
     left = L.remove_lines(docs).cache()
     assert left.columns == docs.columns and 0 < left.count() <= docs.count()
     assert L.duplicate_lines(left).count() == 0
-    kept = [x.strip() for r in left.collect() for x in (r.text or "").split("\n") if len(x.strip()) >= L.MIN_CHARS]
+    kept = [x.strip() for r in left.collect() for x in (r.text or "").split("\n") if x.strip()]
     assert len(kept) == len(set(kept))
 
 
@@ -139,3 +139,52 @@ def test_segments_around_two_edits(spark):
     pairs = spark.createDataFrame(rows, "s string, t string").where("levenshtein(s, t) <= 2")
     keys = lambda c: L._around_two_keys(F.col(c), F.length(c), 8)
     assert pairs.where(~F.arrays_overlap(keys("s"), keys("t"))).count() == 0
+
+
+def test_short_lines(spark):
+    """Lines of any length are compared, those of no more characters than edits as well."""
+    rng = np.random.default_rng(9)
+    texts = ["\n".join("".join(rng.choice(list("abé"), int(rng.integers(0, 9)))) for _ in range(4)) for _ in range(30)] + ["x", "yz", "", " "]
+    assert result(spark, table(spark, texts)) == brute(texts)
+    far = ["abcdefgh", "ijklmnop", "qrstuvwx", "abcdefgh"]
+    assert result(spark, table(spark, far)) == {0: [], 1: [], 2: [], 3: [0]}
+
+
+def test_small_tables_against_brute_force(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where("doc_id < 70").orderBy("doc_id")
+    texts = [r.text for r in docs.collect()]
+    assert result(spark, docs) == brute(texts)
+
+
+def test_columns_of_any_name(spark):
+    docs = table(spark, ["a line that stands here twice", "a line that stands here twice\nand something else altogether", None, ""])
+    left = L.remove_lines(docs)
+    assert untouched(left, docs) and {r.doc_id: r.text for r in left.collect()} == {
+        0: "a line that stands here twice", 1: "and something else altogether", 2: None, 3: ""}
+
+
+def test_texts_of_some_megabytes(spark):
+    rng = np.random.default_rng(10)
+    long = "\n".join("".join(rng.choice(list("abcdefgh "), 500)).strip() for _ in range(2000)) + "\n" + "z" * 1_000_000
+    got = {r.doc_id: (r.n_lines, r.n_removed) for r in L.line_report(table(spark, [long, long])).collect()}
+    assert got == {0: (2001, 0), 1: (2001, 2001)}
+
+
+def test_keys_are_made_for_wanted_lines_only(spark, monkeypatch):
+    """No filter on a scan works keys out, and an index key is worked out where it is written only."""
+    plans, real = [], L.materialize
+    from tripwright.llm import components
+
+    def watch(df, name="stage"):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return real(df, name)
+
+    monkeypatch.setattr(L, "materialize", watch)
+    monkeypatch.setattr(components, "materialize", watch)
+    texts = ["the same beginning in all the lines " + x for x in ("one thing", "another of them", "a third", "one thin")]
+    assert L.line_report(table(spark, texts)).count() == 4
+    assert len(plans) > 5
+    for plan in plans:
+        for line in plan.splitlines():
+            if "Filter" in line:
+                assert "transform(" not in line and "substring" not in line and "xxhash64(line" not in line, line

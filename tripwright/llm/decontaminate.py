@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .columns import once
+from .columns import by_text, named, once
 
 WIDTH = 10
 #: Between words in lower case, and a word in any case.
@@ -45,12 +45,12 @@ def item_windows(benchmark: DataFrame, width: int = WIDTH) -> DataFrame:
 
 def _identified(docs: DataFrame) -> DataFrame:
     """doc_id, the hash of the text (rows that repeat an id are told apart by it) and the text."""
-    return docs.select("doc_id", F.xxhash64("text").alias("_text"), "text")
+    return docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, n_words, n_hit (words inside an occurrence of a window of
-    ``benchmark`` (item_id, text)), items (sorted as strings; those with an occurring window), ``_text`` and
+    ``benchmark`` (item_id, text)), items (sorted as strings; those with an occurring window), text_key (hash of the text) and
     ``spans`` (start and end of the hit runs, counted in words from 0; null for none).
 
     A null or empty text has no words. Rows that repeat a doc_id are judged each on its own text; a missing doc_id
@@ -60,7 +60,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH) ->
     windows = materialize(item_windows(benchmark, width), "windows")
     widths = [r[0] for r in windows.select("width").distinct().orderBy("width").collect()]  # at most ``width`` numbers
     rows = _identified(docs)
-    base = rows.select("doc_id", "_text", F.size(words(F.col("text"))).cast("long").alias("n_words"))
+    base = rows.select("doc_id", "text_key", F.size(words(F.col("text"))).cast("long").alias("n_words"))
     none = base.select("*", F.lit(0).cast("long").alias("n_hit"), F.array().cast("array<string>").alias("items"), F.lit(None).cast("array<struct<start:int,end:int>>").alias("spans"))
     if not widths:
         return none
@@ -71,23 +71,23 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH) ->
 
     # all windows of a document, one width after another, as one array of longs
     scan = once(words(F.col("text")), lambda w: F.struct(F.size(w).alias("n"), F.concat(*(_window_hashes(w, x) for x in widths)).alias("h")))
-    probes = rows.select("doc_id", "_text", scan.alias("s")).select("doc_id", "_text", F.col("s.n").alias("n"), F.posexplode("s.h").alias("p", "hash"))
+    probes = rows.select("doc_id", "text_key", scan.alias("s")).select("doc_id", "text_key", F.col("s.n").alias("n"), F.posexplode("s.h").alias("p", "hash"))
     keys = windows.select("hash", "width").distinct()
     if keys.count() <= BROADCAST_WINDOWS:
         keys = F.broadcast(keys)
     start = reduce(lambda rest, k: F.when(F.col("width") == widths[k], F.col("p") - before(F.col("n"), k)).otherwise(rest), range(len(widths)), F.lit(-1))
-    hits = materialize(probes.join(keys, "hash").select("doc_id", "_text", start.alias("start"), "width", "hash"), "hits")
+    hits = materialize(probes.join(keys, "hash").select("doc_id", "text_key", start.alias("start"), "width", "hash"), "hits")
 
     # verification: the words at the places of the hits, for the documents that have any
-    places = hits.groupBy("doc_id", "_text").agg(F.collect_set(F.struct("start", "width", "hash")).alias("places")).alias("p")
-    found = rows.alias("d").join(places, F.col("d.doc_id").eqNullSafe(F.col("p.doc_id")) & (F.col("d._text") == F.col("p._text")))
+    places = hits.groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("start", "width", "hash")).alias("places")).alias("p")
+    found = rows.alias("d").join(places, F.col("d.doc_id").eqNullSafe(F.col("p.doc_id")) & (F.col("d.text_key") == F.col("p.text_key")))
     seen = once(words(F.col("text")), lambda w: F.transform("places", lambda x: F.struct(
         x["start"].alias("start"), x["width"].alias("width"), x["hash"].alias("hash"), F.slice(w, x["start"] + 1, x["width"]).alias("words"))))
-    found = found.select("d.doc_id", "d._text", F.explode(seen).alias("x"))
-    found = found.select("doc_id", "_text", "x.*").distinct()
-    found = materialize(found.join(windows, ["hash", "width", "words"]).select("doc_id", "_text", "start", (F.col("start") + F.col("width")).alias("end"), "item_id"), "verified")
+    found = found.select("d.doc_id", "d.text_key", F.explode(seen).alias("x"))
+    found = found.select("doc_id", "text_key", "x.*").distinct()
+    found = materialize(found.join(windows, ["hash", "width", "words"]).select("doc_id", "text_key", "start", (F.col("start") + F.col("width")).alias("end"), "item_id"), "verified")
 
-    by = ["doc_id", "_text"]
+    by = ["doc_id", "text_key"]
     items = found.select(*by, F.col("item_id").cast("string").alias("item")).distinct().groupBy(*by).agg(F.array_sort(F.collect_list("item")).alias("items"))
     order = Window.partitionBy(*by).orderBy("start")
     reach = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
@@ -96,37 +96,35 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH) ->
     runs = runs.groupBy(*by, "_run").agg(F.min("start").alias("start"), F.max("end").alias("end"))
     spans = runs.groupBy(*by).agg(F.sum(F.col("end") - F.col("start")).cast("long").alias("n_hit"), F.array_sort(F.collect_list(F.struct("start", "end"))).alias("spans"))
 
-    both = F.col("s.doc_id").eqNullSafe(F.col("i.doc_id")) & (F.col("s._text") == F.col("i._text"))
-    marks = spans.alias("s").join(items.alias("i"), both).select("s.doc_id", "s._text", "n_hit", "spans", "items")
-    same = F.col("b.doc_id").eqNullSafe(F.col("m.doc_id")) & (F.col("b._text") == F.col("m._text"))
+    both = F.col("s.doc_id").eqNullSafe(F.col("i.doc_id")) & (F.col("s.text_key") == F.col("i.text_key"))
+    marks = spans.alias("s").join(items.alias("i"), both).select("s.doc_id", "s.text_key", "n_hit", "spans", "items")
+    same = F.col("b.doc_id").eqNullSafe(F.col("m.doc_id")) & (F.col("b.text_key") == F.col("m.text_key"))
     return base.alias("b").join(marks.alias("m"), same, "left").select(
-        "b.doc_id", "b._text", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
+        "b.doc_id", "b.text_key", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"), "spans",
     )
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH) -> DataFrame:
-    """``docs`` without the rows that hold a benchmark passage; all columns stay."""
-    bad = contamination(docs, benchmark, width).where("n_hit > 0").select("doc_id", "_text").distinct().alias("c")
-    keyed = docs.withColumn("_text", F.xxhash64("text")).alias("d")
-    same = F.col("d.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("d._text") == F.col("c._text"))
-    return keyed.join(bad, same, "left_anti").drop("_text")
+    """``docs`` without the rows that hold a benchmark passage; all columns stay, whatever their names."""
+    bad = contamination(docs, benchmark, width).where("n_hit > 0").select("doc_id", "text_key").distinct()
+    return by_text(docs, bad, how="left_anti")[0].select(*named(docs.columns))
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH) -> DataFrame:
     """``docs`` with the words of benchmark passages, and the text between them, cut out of ``text``."""
-    marks = contamination(docs, benchmark, width).where("n_hit > 0").groupBy("doc_id", "_text").agg(F.first("spans").alias("_spans")).alias("c")
-    keyed = docs.withColumn("_text", F.xxhash64("text")).alias("d")
-    same = F.col("d.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("d._text") == F.col("c._text"))
+    marks = contamination(docs, benchmark, width).where("n_hit > 0").groupBy("doc_id", "text_key").agg(F.first("spans").alias("spans"))
+    marked, (spans,) = by_text(docs, marks, "spans")
+    cut = F.col(spans)
     both = F.struct(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)).alias("w"), F.split("text", WORD).alias("g"))
 
     def left(v: Column) -> Column:
         """Gap 0, word 0, gap 1, ...: a word goes if a span holds it, a gap if a span holds the words on both sides."""
         def part(i: Column) -> Column:
-            inside = F.exists("_spans", lambda s: (s["start"] <= i) & (i < s["end"]))
-            between = F.exists("_spans", lambda s: (s["start"] < i) & (i < s["end"]))
+            inside = F.exists(cut, lambda s: (s["start"] <= i) & (i < s["end"]))
+            between = F.exists(cut, lambda s: (s["start"] < i) & (i < s["end"]))
             return F.concat(F.when(between, "").otherwise(F.get(v["g"], i)), F.when(inside, "").otherwise(F.coalesce(F.get(v["w"], i), F.lit(""))))
         return F.array_join(F.transform(F.sequence(F.lit(0), F.size(v["w"])), part), "")
 
-    text = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(once(both, left))
-    return keyed.join(marks, same, "left").select("d.*", "_spans").withColumn("text", text).select(*docs.columns)
+    text = F.when(cut.isNull(), F.col("text")).otherwise(once(both, left))
+    return marked.withColumn("text", text).select(*named(docs.columns))

@@ -1,7 +1,7 @@
 """Near-equal lines, with DataFrame functions only.
 
-Lines (blanks at both ends cut off) of at least ``MIN_CHARS`` characters are compared; two are linked when at most
-``EDITS`` single-character edits lead from one to the other. A line is split into EDITS + 1 segments, so at least
+Lines (blanks at both ends cut off) that are not empty are compared; two are linked when at most ``EDITS``
+single-character edits lead from one to the other, whatever their length. A line is split into EDITS + 1 segments, so at least
 one of them stands unchanged in any linked line. Segments are indexed by (length of the line, number, text); a line
 probes, for each length from its own down to EDITS less, the substrings that a segment can have moved to. What
 meets in the index is verified with a bit-parallel edit distance inside the band of EDITS diagonals.
@@ -15,11 +15,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .columns import once
+from .columns import by_text, named, once
 from .components import linked_members, shared_buckets
 
 EDITS = 2
-MIN_CHARS = 24
+#: Parts of a line, of which two edits leave all but two as they were, where its segments alone say too little.
+PARTS = 4
 LAST = 2**63 - 1  # order of a missing doc_id
 
 
@@ -38,8 +39,9 @@ def _index_keys(line: Column, n: Column, edits: int) -> list[Column]:
     return [F.xxhash64(n, F.lit(i), F.substring(line, p, m)) for i, (p, m) in enumerate(_segments(n, edits))]
 
 
-def _probe_keys(line: Column, n: Column, edits: int) -> list[Column]:
-    """Keys of the substrings of a line of n characters that may be a segment of a line of n - d characters.
+def _probe_keys(line: Column, n: Column, edits: int, own: bool = True) -> list[Column]:
+    """Keys of the substrings of a line of n characters that may be a segment of a line of n - d characters; without
+    ``own`` not its own segments, which are those of the index.
 
     With d deletions known, segment i (from 0) can have moved by at most i places judged from the left, and from
     the right by at most edits - i around d: the starts that both views allow are enough.
@@ -50,6 +52,8 @@ def _probe_keys(line: Column, n: Column, edits: int) -> list[Column]:
         for i, (p, m) in enumerate(_segments(shorter, edits)):
             low, high = max(-i, d - (edits - i)), min(i, d + (edits - i))
             for move in range(low, high + 1):
+                if d == move == 0 and not own:
+                    continue
                 at = p + move
                 inside = (at >= 1) & (at + m - 1 <= n)
                 keys.append(F.when(inside, F.xxhash64(shorter, F.lit(i), F.substring(line, at, m))))
@@ -127,10 +131,19 @@ def within_edits(a: Column, b: Column, edits: int) -> Column:
     return once(once(once(cut, cut_front), cut_front), lambda v: once(sized(v), distance))
 
 
-def _lines(docs: DataFrame, min_chars: int) -> DataFrame:
-    """(doc_id, _text, pos, line) of the lines that are compared."""
-    split = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("_text"), F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    return split.withColumn("line", F.trim(F.col("line"), F.lit(" \t\r\x0b\x0c"))).where(F.length("line") >= min_chars)
+def _lines(docs: DataFrame) -> DataFrame:
+    """(doc_id, text_key, pos, line) of the lines that are compared."""
+    split = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_key"), F.posexplode(F.split("text", "\n")).alias("pos", "line"))
+    return split.withColumn("line", F.trim(F.col("line"), F.lit(" \t\r\x0b\x0c"))).where(F.col("line") != "")
+
+
+def _exploded(lines: DataFrame, keys: list[Column]) -> DataFrame:
+    """(id, n, key): a row per key of a line. The keys are columns before they are rows, so that each is compiled and
+    worked out once; written as an array to explode, a filter on the array's size would make them all over again."""
+    names = [f"k{i}" for i in range(len(keys))]
+    wide = lines.select("id", *(k.alias(name) for k, name in zip(keys, names)))
+    rows = wide.select("id", F.lit(0).alias("n"), F.explode_outer(F.array(*names)).alias("key"))
+    return rows.where("key is not null")
 
 
 def _key(line: str) -> list[Column]:
@@ -170,23 +183,22 @@ def _around_two_keys(line: Column, n: Column, parts: int) -> Column:
     return F.transform(F.array(*(F.struct(*(F.lit(x).alias(name) for x, name in zip(k, ("d", "i", "j", "move")))) for k in kinds)), key)
 
 
-def duplicate_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
-    """doc_id, ``_text`` (hash of the text) and ``removed`` (numbers from 0 of the lines to remove) for the documents of
+def duplicate_lines(docs: DataFrame, edits: int = EDITS) -> DataFrame:
+    """doc_id, text_key (hash of the text) and ``removed`` (numbers from 0 of the lines to remove) for the documents of
     ``docs`` (doc_id, text) that lose any.
 
     Of linked lines, the first in the document with the least id stays. Null and empty texts have no lines; a missing
     doc_id comes after all others; rows that repeat an id are told apart by their texts, and exact repetitions of a
     row are treated alike. Other columns are not read; an empty table gives an empty result.
     """
-    lines = _lines(docs, min_chars)
+    lines = _lines(docs)
     order = F.coalesce("doc_id", F.lit(LAST))
     distinct = lines.groupBy("line").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("n_lines"))
     distinct = distinct.select("line", "first", "n_lines", F.length("line").alias("n"), *_key("line"))
     distinct = materialize(distinct.withColumn("id", F.monotonically_increasing_id()), "lines")
 
-    keys = F.array(*_index_keys(F.col("line"), F.col("n"), edits), *_probe_keys(F.col("line"), F.col("n"), edits))
     # a key holds the length, so the lengths in a bucket differ by ``edits`` at most
-    found = distinct.select("id", F.lit(0).alias("n"), F.explode(F.array_distinct(keys)).alias("key")).where("key is not null")
+    found = _exploded(distinct, _index_keys(F.col("line"), F.col("n"), edits) + _probe_keys(F.col("line"), F.col("n"), edits, own=False))
     short = distinct.select("id", F.col("line"))
 
     def confirm(pairs: DataFrame) -> DataFrame:
@@ -195,40 +207,44 @@ def duplicate_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CH
         return both.where(within_edits(F.col("x"), F.col("y"), edits)).select("a", "b")
 
     def refine(ids: DataFrame) -> tuple:
-        """Lines that share half of their text with thousands of others meet by all but an eighth of it per edit instead."""
-        around = F.array(*_around_keys(F.col("line"), F.col("n"), 8)) if edits == 1 else _around_two_keys(F.col("line"), F.col("n"), 8)
-        keyed = distinct.join(ids, "id").select("id", F.array_distinct(around).alias("keys"))
-        members = keyed.select("id", F.lit(0).alias("n"), F.explode("keys").alias("key"))
-        return members, confirm, any_size
+        """Lines that share a third of their text with others meet by all but one part in ``PARTS`` per edit instead."""
+        wanted = materialize(distinct.join(ids, "id").select("id", "line", "n"), "wanted")
+        if edits == 1:
+            return _exploded(wanted, _around_keys(F.col("line"), F.col("n"), PARTS)).distinct(), confirm, any_size
+        keyed = wanted.select("id", _around_two_keys(F.col("line"), F.col("n"), PARTS).alias("keys"))
+        return keyed.select("id", F.lit(0).alias("n"), F.explode_outer("keys").alias("key")).distinct(), confirm, any_size
 
     any_size = lambda n, m: F.lit(True)
-    labels = linked_members(shared_buckets(found.select("key", "id", "n")), confirm, any_size, refine if edits <= 2 else None)
+    labels = linked_members(shared_buckets(found), confirm, any_size, refine if edits <= 2 else None)
     known = distinct.select("id", "k1", "k2", "first", "n_lines").join(labels, "id", "left").withColumn("c", F.coalesce("component", "id"))
     groups = known.groupBy("c").agg(F.min("first").alias("first"), F.sum("n_lines").alias("n_lines")).where("n_lines > 1")
     repeated = materialize(known.select("k1", "k2", "c").join(groups.select("c", "first"), "c"), "repeated")
-    places = lines.select("doc_id", "_text", "pos", *_key("line")).join(repeated, ["k1", "k2"])
-    own = places.groupBy("doc_id", "_text", "c", "first").agg(F.collect_set("pos").alias("all"))
+    places = lines.select("doc_id", "text_key", "pos", *_key("line")).join(repeated, ["k1", "k2"])
+    own = places.groupBy("doc_id", "text_key", "c", "first").agg(F.collect_set("pos").alias("all"))
     stays = F.coalesce("doc_id", F.lit(LAST)) == F.col("first")
     gone = F.when(stays, F.array_except("all", F.array(F.array_min("all")))).otherwise(F.col("all"))
-    return own.groupBy("doc_id", "_text").agg(F.array_sort(F.flatten(F.collect_list(gone))).alias("removed")).where("size(removed) > 0")
+    return own.groupBy("doc_id", "text_key").agg(F.array_sort(F.flatten(F.collect_list(gone))).alias("removed")).where("size(removed) > 0")
 
 
-def line_report(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
-    """Per row of ``docs``: doc_id, n_lines (with anything but blanks), n_removed and removed (line numbers)."""
-    gone = duplicate_lines(docs, edits, min_chars).alias("g")
+def line_report(docs: DataFrame, edits: int = EDITS) -> DataFrame:
+    """Per row of ``docs`` (doc_id, text): doc_id, n_lines (with anything but blanks), n_removed and removed (line numbers).
+
+    Every row gives one, a null or empty text with no lines; equal lines of a document count each, all but the first of
+    its group's first document are removed. Missing and repeated ids as in ``duplicate_lines``; other columns are not read.
+    """
+    gone = duplicate_lines(docs, edits).alias("g")
     n = F.size(F.filter(F.split(F.coalesce("text", F.lit("")), "\n"), lambda x: F.trim(x, F.lit(" \t\r\x0b\x0c")) != ""))
-    base = docs.select("doc_id", F.xxhash64("text").alias("_text"), n.cast("long").alias("n_lines")).alias("d")
-    same = F.col("d.doc_id").eqNullSafe(F.col("g.doc_id")) & (F.col("d._text") == F.col("g._text"))
+    base = docs.select("doc_id", F.xxhash64("text").alias("text_key"), n.cast("long").alias("n_lines")).alias("d")
+    same = F.col("d.doc_id").eqNullSafe(F.col("g.doc_id")) & (F.col("d.text_key") == F.col("g.text_key"))
     removed = F.coalesce("removed", F.array().cast("array<int>"))
     return base.join(gone, same, "left").select("d.doc_id", "n_lines", F.size(removed).cast("long").alias("n_removed"), removed.alias("removed"))
 
 
-def remove_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
-    """``docs`` without the repeated lines; a document that has no word left by that goes. All columns stay."""
-    gone = duplicate_lines(docs, edits, min_chars).alias("g")
-    keyed = docs.withColumn("_text", F.xxhash64("text")).alias("d")
-    same = F.col("d.doc_id").eqNullSafe(F.col("g.doc_id")) & (F.col("d._text") == F.col("g._text"))
-    both = keyed.join(gone, same, "left").select("d.*", "removed")
-    left = F.array_join(F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains("removed", i)), "\n")
-    both = both.withColumn("text", F.when(F.col("removed").isNull(), F.col("text")).otherwise(left))
-    return both.where("removed is null or text rlike '[^ \\t\\n\\r\\x0b\\x0c]'").select(*docs.columns)
+def remove_lines(docs: DataFrame, edits: int = EDITS) -> DataFrame:
+    """``docs`` without the repeated lines; a document that has no word left by that goes. All columns stay, whatever
+    their names. Null and empty texts stay as they are; missing and repeated ids as in ``duplicate_lines``."""
+    both, (removed,) = by_text(docs, duplicate_lines(docs, edits), "removed")
+    gone = F.col(removed)
+    left = F.array_join(F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains(gone, i)), "\n")
+    both = both.withColumn("text", F.when(gone.isNull(), F.col("text")).otherwise(left))
+    return both.where(gone.isNull() | F.col("text").rlike(r"[^ \t\n\r\x0b\x0c]")).select(*named(docs.columns))

@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
+from .columns import fresh, named
 from .components import linked_members, shared_buckets
 from .text import as_long, mix, seeds, windows, word_hashes, worker_cache
 
@@ -196,7 +197,8 @@ def keep_one(docs: DataFrame) -> DataFrame:
     """``docs`` with one document of each group of near-duplicates, the one with the least id. Of rows that repeat a
     doc_id the one with the least text stays; rows without a doc_id all stay, and so do documents without words."""
     kept = near_duplicates(docs).where("kept").select("doc_id")
-    named = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi")
+    found = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi")
     first = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last()))
-    named = named.withColumn("_row", first).where("_row = 1").drop("_row")
-    return named.unionAll(docs.where("doc_id is null"))
+    (row,) = fresh(docs, "row")
+    found = found.withColumn(row, first).where(F.col(row) == 1).select(*named(docs.columns))
+    return found.unionAll(docs.where("doc_id is null").select(*named(docs.columns)))

@@ -2,14 +2,15 @@
 
 Rules on the text alone (words are runs of anything but ASCII blanks): at least ``MIN_WORDS`` words, and at most
 half of the words inside repeated windows of three. Then, per host, each normalised line (blanks squeezed, lower
-case) is hashed and the distinct texts that hold it are counted; exact copies count once, they are not boilerplate.
-A line in more than ``MAX_DOCS`` texts of a host is removed from all but the first of them (by doc_id), and a
-document that keeps less than ``MIN_LEFT`` of its words is rejected as depleted.
+case) is hashed and the distinct documents that hold it are counted. A line in more than ``MAX_DOCS`` documents of a
+host is removed, and a document that keeps less than ``MIN_LEFT`` of its words is rejected as depleted.
+
+``spare_copies`` (off by default) leaves copies to a later stage that keeps one of them: exact copies then count as one
+document, and the first holder of a line (by doc_id) keeps it.
 """
 
 from __future__ import annotations
 
-
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,19 +20,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
+from .columns import by_text, named
 from .text import windows, word_hashes
 
 MIN_WORDS = 50
 MAX_REPEATED = 50  # percent of words in repeated windows
 MAX_DOCS = 20
 MIN_LEFT = 50  # percent of words outside removed lines
-#: Lines above the limit (some 100 bytes each) that are sent to every task.
-COMMON_LINES = 200_000
 SYMBOLS = "#*$%&|<>"
 BLANKS = " \t\n\x0b\x0c\r"
 
 
-
 def repeated_words(hashes: np.ndarray, width: int = 3) -> int:
     """Words inside windows of ``width`` that are found twice or more."""
     if len(hashes) < width:
@@ -72,7 +71,7 @@ def measure(text: bytes) -> tuple:
 
 
 MEASURES = (
-    "doc_id long, _host long, _key binary, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
+    "doc_id long, host long, text_key long, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
     "n_repeat_words long, lines array<long>, line_words array<int>"
 )
 
@@ -82,105 +81,82 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in (batch.slice(i, 512) for i in range(0, batch.num_rows, 512)):
             texts = [x.as_py() or b"" for x in part.column("text")]
             cols = list(zip(*map(measure, texts)))
-            arrays = [part.column("doc_id"), part.column("_host"), part.column("_key")]
+            arrays = [part.column(c) for c in ("doc_id", "host", "text_key")]
             arrays += [pa.array(c, pa.int64()) for c in cols[:5]]
             arrays.append(pa.array(cols[5], pa.list_(pa.int64())))
             arrays.append(pa.array(cols[6], pa.list_(pa.int32())))
             yield pa.RecordBatch.from_arrays(arrays, [c.split()[0] for c in MEASURES.split(", ")])
 
 
-def _keys(docs: DataFrame) -> DataFrame:
-    """``docs`` with what tells its texts apart per host."""
-    return docs.withColumns({
-        "_host": F.xxhash64(F.col("source").cast("string")), "_key": F.unhex(F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary"))),
-    })
+def _host(source: str = "source"):
+    return F.xxhash64(F.col(source).cast("string"))
 
 
 def _measured(docs: DataFrame) -> DataFrame:
-    rows = _keys(docs.select(F.col("doc_id").cast("long"), "source", "text")).select(
-        "doc_id", "_host", "_key", F.col("text").cast("binary").alias("text"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _host().alias("host"), F.xxhash64("text").alias("text_key"),
+                       F.col("text").cast("binary").alias("text"))
     return materialize(rows.mapInArrow(_measure, MEASURES), "quality")
 
 
 def _lines(m: DataFrame) -> DataFrame:
-    """Lines of each text of a host (copies are combined before the shuffle), with their words."""
+    """Lines of each text of a host, with their words, the documents that have the text and the least of them. Copies
+    are combined before the lines are shuffled."""
     order = F.coalesce("doc_id", F.lit(2**63 - 1))
-    texts = m.where(F.size("lines") > 0).groupBy("_host", "_key").agg(F.min(order).alias("first"), F.min_by(F.struct("lines", "line_words"), order).alias("x"))
-    lines = texts.select("_host", "_key", "first", F.explode(F.arrays_zip("x.lines", "x.line_words")).alias("l"))
-    return lines.select("_host", "_key", "first", F.col("l.lines").alias("line"), F.col("l.line_words").alias("words"))
+    each = m.where(F.size("lines") > 0).groupBy("host", "text_key", "doc_id").agg(F.first("lines").alias("lines"), F.first("line_words").alias("words"))
+    texts = each.groupBy("host", "text_key").agg(
+        F.count(F.lit(1)).alias("n_docs"), F.min(order).alias("first"), F.first("lines").alias("lines"), F.first("words").alias("words"))
+    lines = texts.select("host", "text_key", "n_docs", "first", F.explode(F.arrays_zip("lines", "words")).alias("l"))
+    return lines.select("host", "text_key", "n_docs", "first", F.col("l.lines").alias("line"), F.col("l.words").alias("words"))
 
 
-def _common(lines: DataFrame, max_docs: int) -> DataFrame:
-    """(_host, line, holder) of the lines above the limit; the holder is the key of the first text."""
-    counted = lines.groupBy("_host", "line").agg(F.count(F.lit(1)).alias("n_docs"), F.min(F.struct("first", "_key")).alias("h"))
-    return counted.where(F.col("n_docs") > max_docs).select("_host", "line", F.col("h._key").alias("holder"))
+def _lost(m: DataFrame, max_docs: int, spare_copies: bool) -> DataFrame:
+    """(host, text_key, n_lost, removed) of the texts that lose lines."""
+    lines = _lines(m)
+    holders = F.count(F.lit(1)) if spare_copies else F.sum("n_docs")
+    counted = lines.groupBy("host", "line").agg(holders.alias("holders"), F.min(F.struct("first", "text_key")).alias("h"))
+    common = counted.where(F.col("holders") > max_docs).select("host", "line", F.col("h.text_key").alias("holder"))
+    hit = lines.join(common, ["host", "line"])
+    if spare_copies:
+        hit = hit.where(F.col("text_key") != F.col("holder"))
+    return hit.groupBy("host", "text_key").agg(F.sum("words").alias("n_lost"), F.collect_set("line").alias("removed"))
 
 
-def quality(docs: DataFrame, max_docs: int = MAX_DOCS, min_left: int = MIN_LEFT) -> DataFrame:
+def quality(docs: DataFrame, max_docs: int = MAX_DOCS, min_left: int = MIN_LEFT, spare_copies: bool = False) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text, source): doc_id, n_words, word_chars, n_symbols, n_dup_lines,
     n_repeat_words, base_failed, n_removed_words (words of lines above the limit), depleted, kept, ``removed``
-    (hashes of the lines that the document loses, null for none), ``_host`` and ``_key``.
+    (hashes of the lines that the document loses, null for none), ``host`` and ``text_key`` (hashes).
 
-    A null text has no words and fails; documents without a source form one host; a missing doc_id counts as
-    larger than any other when the first holder of a line is chosen. Repeated rows are judged alike. An empty
-    table gives an empty result; other columns are not read.
+    A null text has no words and fails; documents without a source form one host; rows without a doc_id count as one
+    document for each text. Repeated rows are one document and are judged alike. An empty table gives an empty result;
+    other columns are not read.
     """
     m = _measured(docs)
     base = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))
-    lines = _lines(m)
-    lost = lines.join(_common(lines, max_docs), ["_host", "line"]).where(F.col("_key") != F.col("holder")).groupBy("_host", "_key").agg(
-        F.sum("words").alias("n_lost"), F.collect_set("line").alias("removed"))
     return (
-        m.drop("lines", "line_words").join(lost, ["_host", "_key"], "left")
+        m.drop("lines", "line_words").join(_lost(m, max_docs, spare_copies), ["host", "text_key"], "left")
         .withColumn("n_removed_words", F.coalesce("n_lost", F.lit(0)).cast("long"))
         .withColumn("base_failed", base)
         .withColumn("depleted", 100 * (F.col("n_words") - F.col("n_removed_words")) < min_left * F.col("n_words"))
         .select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-                "n_removed_words", "depleted", (~F.col("base_failed") & ~F.col("depleted")).alias("kept"), "removed", "_host", "_key")
+                "n_removed_words", "depleted", (~F.col("base_failed") & ~F.col("depleted")).alias("kept"), "removed", "host", "text_key")
     )
 
 
-def _without_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _without_lines(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = []
-        for text, removed in zip(batch.column("text").to_pylist(), batch.column("_removed").to_pylist()):
+        for text, removed in zip(batch.column("text").to_pylist(), batch.column(column).to_pylist()):
             if text is not None and removed:
                 gone = set(removed)
                 text = "\n".join(x for x in text.split("\n") if line_key(x.encode()) not in gone)
             texts.append(text)
-        cols = {c: batch.column(c) for c in batch.schema.names if c != "_removed"}
-        cols["text"] = pa.array(texts, batch.schema.field("text").type)
-        yield pa.RecordBatch.from_pydict(cols)
-
-
-def _clean(batches: Iterator[pa.RecordBatch], common: dict[tuple[int, int], bytes], min_left: int) -> Iterator[pa.RecordBatch]:
-    """The kept rows without their lines above the limit, judged by the table of those lines."""
-    for batch in batches:
-        keep, texts = [], []
-        for text, host, key in zip(*(batch.column(c).to_pylist() for c in ("text", "_host", "_key"))):
-            n, _, _, _, n_repeat, lines, words = measure((text or "").encode())
-            gone = {x: w for x, w in zip(lines, words) if common.get((host, x), key) != key}
-            failed = n < MIN_WORDS or 100 * n_repeat > MAX_REPEATED * n
-            keep.append(not failed and 100 * (n - sum(gone.values())) >= min_left * n)
-            if gone and keep[-1]:
-                text = "\n".join(x for x in text.split("\n") if line_key(x.encode()) not in gone)
-            texts.append(text)
-        cols = {c: batch.column(c) for c in batch.schema.names if c not in ("_host", "_key")}
-        cols["text"] = pa.array(texts, batch.schema.field("text").type)
-        yield pa.RecordBatch.from_pydict(cols).filter(pa.array(keep, pa.bool_()))
+        arrays = [pa.array(texts, f.type) if f.name == "text" else batch.column(f.name) for f in batch.schema if f.name != column]
+        yield pa.RecordBatch.from_arrays(arrays, [f.name for f in batch.schema if f.name != column])
 
 
-def clean_documents(docs: DataFrame, max_docs: int = MAX_DOCS, min_left: int = MIN_LEFT) -> DataFrame:
+def clean_documents(docs: DataFrame, max_docs: int = MAX_DOCS, min_left: int = MIN_LEFT, spare_copies: bool = False) -> DataFrame:
     """``docs`` without the rows that ``quality`` rejects; the others lose their lines above the limit. All columns
-    stay. The lines above the limit go to every task while they are no more than ``COMMON_LINES``, so that the texts
-    need no shuffle; more of them are brought to the documents by joins."""
-    common = materialize(_common(_lines(_measured(docs)), max_docs), "common")
-    if common.count() <= COMMON_LINES:
-        table = {(r["_host"], r["line"]): bytes(r["holder"]) for r in common.collect()}
-        return _keys(docs).mapInArrow(lambda it: _clean(it, table, min_left), docs.schema)
-    verdicts = quality(docs, max_docs, min_left).where("kept").groupBy("doc_id", "_host", "_key").agg(F.first("removed").alias("_removed"))
-    keyed = _keys(docs).alias("d")
-    v = verdicts.alias("v")
-    same = F.col("d.doc_id").eqNullSafe(F.col("v.doc_id")) & (F.col("d._host") == F.col("v._host")) & (F.col("d._key") == F.col("v._key"))
-    kept = keyed.join(v, same).select(*(F.col(f"d.`{c}`") for c in docs.columns), "v._removed")
-    return kept.mapInArrow(_without_lines, docs.schema)
+    stay, whatever their names; rows are met by doc_id, text and host, as ``quality`` judges them."""
+    verdicts = quality(docs, max_docs, min_left, spare_copies).where("kept").groupBy("doc_id", "text_key", "host").agg(F.first("removed").alias("removed"))
+    kept, (removed,) = by_text(docs, verdicts, "removed", how="inner", extra={"host": _host()})
+    return kept.select(*named(docs.columns), removed).mapInArrow(lambda it: _without_lines(it, removed), docs.schema)

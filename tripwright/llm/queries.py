@@ -35,7 +35,7 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.quality(_table(spark, sf_dir, "documents")).drop("removed", "_host", "_key")
+    return quality.quality(_table(spark, sf_dir, "documents")).drop("removed", "host", "text_key")
 
 
 def op5_shared_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -114,15 +114,11 @@ with d as (
   select *, translate(array_to_string(ws, ' '), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as norm from all_lines where len(ws) > 0
 ), dups as (
   select doc_id, count(*) - count(distinct line) as n_dup_lines from lines group by doc_id
-), holders as (
-  select source, norm, text, min(doc_id) as first_doc from lines group by source, norm, text
 ), common as (
-  select source, norm, min(first_doc) as holder from holders group by source, norm having count(*) > {quality.MAX_DOCS}
+  select source, norm from lines group by source, norm having count(distinct doc_id) > {quality.MAX_DOCS}
 ), lost as (
   select l.doc_id, sum(len(l.ws)) as n_lost from lines l
-  join holders h on h.source is not distinct from l.source and h.norm = l.norm and h.text = l.text
-  join common c on c.source is not distinct from l.source and c.norm = l.norm
-  where h.first_doc <> c.holder group by l.doc_id
+  join common c on c.source is not distinct from l.source and c.norm = l.norm group by l.doc_id
 ), m as (
   select w.doc_id, cast(len(ws) as bigint) as n_words,
     cast(length(regexp_replace(text, '[\\x20\\x09-\\x0D]+', '', 'g')) as bigint) as word_chars,

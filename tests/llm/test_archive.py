@@ -14,7 +14,6 @@ SF = "/root/testdata/sf0.001"
 
 def brute(texts):
     t = Tokenizer.from_file(WORD_LEVEL)
-    t.encode_special_tokens = True
     return [t.encode(x or "", add_special_tokens=False).ids + [2] for x in texts]
 
 

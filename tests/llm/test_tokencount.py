@@ -27,7 +27,7 @@ def expected(text):
 
 
 def test_odd_rows(spark):
-    texts = [x for x in ODD if len(x or "") < 25000] + ["x" * 3000, "日本 word 😀"]
+    texts = ODD + ["x" * 3000, "日本 word 😀", "the" * 90 + "日" * 400 + " a " + "base64" * 500]
     got = {r.doc_id: (r.n_words, r.n_distinct_words, r.n_tokens) for r in T.token_counts(table(spark, texts), PIECES).collect()}
     assert got == {i: expected(t) for i, t in enumerate(texts)}
     assert T.token_counts(empty(spark), PIECES).count() == 0
@@ -51,3 +51,13 @@ def test_a_full_trie_starts_anew(monkeypatch):
     trie = T.Trie(COSTS, BYTE)
     words = ["thereabouts", "therefore", "thin", "thereabouts"] * 3
     assert [trie.insert(T.MARK + w) for w in words] == [brute(w) for w in words]
+
+
+def test_a_word_of_some_megabytes():
+    """One word, a text without blanks, is scored within the trie's depth and without a node per character."""
+    trie, word = T.Trie(COSTS, BYTE), "QmFzZTY0" * 150_000
+    short = "QmFzZTY0" * 100
+    assert trie.insert(T.MARK + short) == brute(short)
+    n = trie.insert(T.MARK + word)
+    per = (brute("QmFzZTY0" * 300) - brute("QmFzZTY0" * 200)) / 100
+    assert abs(n - per * 150_000) < 20 and len(trie.score) <= T.DEPTH + 2

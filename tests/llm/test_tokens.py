@@ -9,16 +9,15 @@ from tripwright.llm.tokens import SpaceEncoder, WordEncoder
 
 CASES = [
     "", " ", " a", "a ", "  a   b  ", "it's don't 'sun I'll\n\n x", "a \n b", "a\n \nb", "\t a\t b \n", "x\x1cy z", "\n", "   \n  x",
-    "<|endoftext|> a<|endoftext|>b", "123 4567 a1b2", "日本 語 텍스트 é", "ΑΣ ΣΑΣ İ ß", "a\r\nb \r\n c", "a  b\u0085 c", "　   x",
+    "<|endoftext|> a<|endoftext|>b", "a <|endoftext|> b", "x <|startoftext|>  y", "<|endof text|>", "123 4567 a1b2", "日本 語 텍스트 é", "ΑΣ ΣΑΣ İ ß", "a\r\nb \r\n c", "a  b\u0085 c", "　   x",
     "Straße. Über, naïve; cœur!", "a" * 3000,
 ]
 PAIRS = [(WordEncoder, WORD_LEVEL), (SpaceEncoder, BYTE_LEVEL)]
 
 
 def library(path):
-    t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
-    return t
+    """The file's tokenizer, unchanged."""
+    return Tokenizer.from_file(path)
 
 
 @pytest.mark.parametrize("kind,path", PAIRS)

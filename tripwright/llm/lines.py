@@ -20,7 +20,7 @@ from .components import linked_members, shared_buckets
 
 EDITS = 2
 #: Parts of a line, of which two edits leave all but two as they were, where its segments alone say too little.
-PARTS = 4
+PARTS = 8
 LAST = 2**63 - 1  # order of a missing doc_id
 
 
@@ -138,12 +138,11 @@ def _lines(docs: DataFrame) -> DataFrame:
 
 
 def _exploded(lines: DataFrame, keys: list[Column]) -> DataFrame:
-    """(id, n, key): a row per key of a line. The keys are columns before they are rows, so that each is compiled and
+    """(id, key): a row per key of a line. The keys are columns before they are rows, so that each is compiled and
     worked out once; written as an array to explode, a filter on the array's size would make them all over again."""
     names = [f"k{i}" for i in range(len(keys))]
     wide = lines.select("id", *(k.alias(name) for k, name in zip(keys, names)))
-    rows = wide.select("id", F.lit(0).alias("n"), F.explode_outer(F.array(*names)).alias("key"))
-    return rows.where("key is not null")
+    return wide.select("id", F.explode_outer(F.array(*names)).alias("key")).where("key is not null")
 
 
 def _key(line: str) -> list[Column]:
@@ -197,25 +196,28 @@ def duplicate_lines(docs: DataFrame, edits: int = EDITS) -> DataFrame:
     distinct = distinct.select("line", "first", "n_lines", F.length("line").alias("n"), *_key("line"))
     distinct = materialize(distinct.withColumn("id", F.monotonically_increasing_id()), "lines")
 
-    # a key holds the length, so the lengths in a bucket differ by ``edits`` at most
-    found = _exploded(distinct, _index_keys(F.col("line"), F.col("n"), edits) + _probe_keys(F.col("line"), F.col("n"), edits, own=False))
-    short = distinct.select("id", F.col("line"))
+    # a key holds the length, so the lengths in a bucket differ by ``edits`` at most; both uses of the keys read one exchange
+    keys = _index_keys(F.col("line"), F.col("n"), edits) + _probe_keys(F.col("line"), F.col("n"), edits, own=False)
+    found = shared_buckets(_exploded(distinct, keys).repartition("key")).withColumn("n", F.lit(0))
+    wanted = materialize(distinct.join(found.select("id").distinct(), "id").select("id", "line", "n"), "wanted")
 
     def confirm(pairs: DataFrame) -> DataFrame:
-        both = pairs.join(short.select(F.col("id").alias("a"), F.col("line").alias("x")), "a")
-        both = both.join(short.select(F.col("id").alias("b"), F.col("line").alias("y")), "b")
+        both = pairs.join(wanted.select(F.col("id").alias("a"), F.col("line").alias("x")), "a")
+        both = both.join(wanted.select(F.col("id").alias("b"), F.col("line").alias("y")), "b")
         return both.where(within_edits(F.col("x"), F.col("y"), edits)).select("a", "b")
 
     def refine(ids: DataFrame) -> tuple:
         """Lines that share a third of their text with others meet by all but one part in ``PARTS`` per edit instead."""
-        wanted = materialize(distinct.join(ids, "id").select("id", "line", "n"), "wanted")
+        mixed = materialize(wanted.join(ids, "id"), "mixed-lines")
         if edits == 1:
-            return _exploded(wanted, _around_keys(F.col("line"), F.col("n"), PARTS)).distinct(), confirm, any_size
-        keyed = wanted.select("id", _around_two_keys(F.col("line"), F.col("n"), PARTS).alias("keys"))
-        return keyed.select("id", F.lit(0).alias("n"), F.explode_outer("keys").alias("key")).distinct(), confirm, any_size
+            members = _exploded(mixed, _around_keys(F.col("line"), F.col("n"), PARTS))
+        else:
+            keyed = mixed.select("id", _around_two_keys(F.col("line"), F.col("n"), PARTS).alias("keys"))
+            members = keyed.select("id", F.explode_outer("keys").alias("key"))
+        return members.distinct().withColumn("n", F.lit(0)), confirm, any_size
 
     any_size = lambda n, m: F.lit(True)
-    labels = linked_members(shared_buckets(found), confirm, any_size, refine if edits <= 2 else None)
+    labels = linked_members(found, confirm, any_size, refine if edits <= 2 else None)
     known = distinct.select("id", "k1", "k2", "first", "n_lines").join(labels, "id", "left").withColumn("c", F.coalesce("component", "id"))
     groups = known.groupBy("c").agg(F.min("first").alias("first"), F.sum("n_lines").alias("n_lines")).where("n_lines > 1")
     repeated = materialize(known.select("k1", "k2", "c").join(groups.select("c", "first"), "c"), "repeated")

@@ -24,6 +24,8 @@ from .text import worker_cache
 MARK = "▁"
 #: Nodes of the trie and words with a known count that a worker keeps; each store is emptied when full.
 NODES, WORDS = 300_000, 400_000
+#: Characters of a word that become nodes; what is behind them is scored without.
+DEPTH = 256
 #: Costs are held as cost * MANY + tokens, which orders by cost and then by tokens.
 MANY = 1 << 24
 
@@ -46,6 +48,7 @@ class Trie:
         self.costs, self.byte = costs, byte
         #: Every ending of a piece: once the text behind a place is none of them, no longer piece can match.
         self.endings = {p[i:] for p in costs for i in range(len(p))}
+        self.longest = max(map(len, costs), default=1)
         self.reset()
 
     def reset(self) -> None:
@@ -59,7 +62,7 @@ class Trie:
             self.reset()
         children, score, costs, endings = self.children, self.score, self.costs, self.endings
         node, path = 0, [0]
-        for end, char in enumerate(word, 1):
+        for end, char in enumerate(word[:DEPTH], 1):
             child = children.get((node, char))
             if child is None:
                 best = score[node] + self.byte * len(char.encode("utf-8", "replace"))
@@ -74,14 +77,34 @@ class Trie:
                 score.append(best)
             node = child
             path.append(node)
+        if len(word) > DEPTH:
+            return self._behind(word, [score[x] for x in path[-self.longest :]])
         tokens = self.count.get(node)
         if tokens is None:
             tokens = self.count[node] = score[node] % MANY
         return tokens
 
 
+    def _behind(self, word: str, recent: list[int]) -> int:
+        """Tokens of a word longer than the trie is deep, from the scores of its last prefixes in the trie on. Only as many
+        scores are held as a piece is long."""
+        for end in range(DEPTH + 1, len(word) + 1):
+            best = recent[-1] + self.byte * len(word[end - 1].encode("utf-8", "replace"))
+            for size in range(1, min(self.longest, len(recent)) + 1):
+                piece = word[end - size : end]
+                if piece not in self.endings:
+                    break
+                cost = self.costs.get(piece)
+                if cost is not None and recent[-size] + cost < best:
+                    best = recent[-size] + cost
+            recent.append(best)
+            if len(recent) > 4 * self.longest:
+                del recent[: -self.longest]
+        return recent[-1] % MANY
+
+
 class Counts(dict):
-    """word (bytes) -> tokens."""
+    """word (bytes) -> tokens; words that are no deeper than the trie are kept."""
 
     def __init__(self, vocabulary_file: str):
         self.trie = Trie(*piece_costs(vocabulary_file))
@@ -89,7 +112,9 @@ class Counts(dict):
     def __missing__(self, word: bytes) -> int:
         if len(self) >= WORDS:
             self.clear()
-        n = self[word] = self.trie.insert(MARK + word.decode("utf-8", "replace"))
+        n = self.trie.insert(MARK + word.decode("utf-8", "replace"))
+        if len(word) <= DEPTH:
+            self[word] = n
         return n
 
 

@@ -2,12 +2,14 @@
 
 A text goes through the library's normalizer, pre-tokenizer and model. All three act on each piece between
 blanks alone, so a piece met before needs a look-up only; ``tests/llm/test_tokens.py`` holds the ids against the
-library's own ``encode`` of whole texts. The strings of special tokens count as ordinary text.
+library's own ``encode`` of whole texts. A text that holds the string of an added token goes to the library as a whole,
+which makes that token of it.
 """
 
 from __future__ import annotations
 
 import re
+from struct import pack
 
 import numpy as np
 
@@ -19,8 +21,9 @@ LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 #: What the blanks beyond ASCII begin with in UTF-8, or are.
 WIDE_BLANKS = (b"\xc2\x85", b"\xc2\xa0", b"\xe1\x9a\x80", b"\xe2\x80", b"\xe2\x81\x9f", b"\xe3\x80\x80")
 DOUBLE = (b"  ", b"\t ", b"\n ", b"\r ", b"\x0b ", b"\x0c ")
-#: A word of Latin letters that normalisation leaves composed, and punctuation behind it: two parts in either file.
-PLAIN = re.compile(r"( ?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
+#: Letters that normalisation leaves composed, and the punctuation behind a word: two parts in either file.
+LETTERS = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+")
+MARKS = b".,;:!?"
 
 
 class Pieces(dict):
@@ -29,68 +32,98 @@ class Pieces(dict):
     def __init__(self, tokenizer, lead: str):
         self.lead, self.normal, self.split, self.model = lead, tokenizer.normalizer, tokenizer.pre_tokenizer, tokenizer.model
         self.letters: dict[str, str] = {}
-        self.marks: dict[str, list[int]] = {}
+        self.marks: dict[bytes, bytes] = {}
+        # a space as the byte-level pre-tokenizer writes it
+        self.shown = "Ġ" if lead else ""
         self.plain = True
-        self.plain = all(self.cut_plain(x) == self.cut_any(x) for x in (f"{lead}Çédé", f"{lead}Word.,", f"{lead}straße!"))
+        self.plain = all(self.word(x) == self.any(x) and self.any(x + b".,") == self.any(x) + self.mark(b".,") for x in ("Çédé".encode(), b"Word", "straße".encode()))
 
-    def cut_any(self, text: str) -> list[str]:
+    def ids(self, parts: list[str]) -> bytes:
+        found = [t.id for part in parts for t in self.model.tokenize(part)]
+        return pack(f"<{len(found)}I", *found)
+
+    def parts(self, text: str) -> list[str]:
         if self.normal is not None:
             text = self.normal.normalize_str(text)
         return [part for part, _ in self.split.pre_tokenize_str(text)] if text else []
 
-    def cut_plain(self, text: str) -> list[str] | None:
-        """What ``cut_any`` gives for a plain word, without its cost per call; None for any other text."""
-        if not self.plain or not (m := PLAIN.fullmatch(text)):
-            return None
-        space, word, mark = m.groups()
-        if self.normal is not None:
-            word = word.lower()
-        if not word.isascii():
-            word = "".join([self.letters.get(c) or self.letters.setdefault(c, "".join(self.cut_any(c))) for c in word])
-        if space:
-            word = "Ġ" + word  # a space as the byte-level pre-tokenizer writes it
-        return [word, mark] if mark else [word]
+    def any(self, piece: bytes) -> bytes:
+        return self.ids(self.parts(self.lead + piece.decode("utf-8", "replace")))
+
+    def mark(self, marks: bytes) -> bytes:
+        if marks not in self.marks:
+            self.marks[marks] = self.ids(self.parts(marks.decode()))
+        return self.marks[marks]
+
+    def word(self, piece: bytes) -> bytes | None:
+        """What ``any`` gives for a word of letters, without its cost per call; None for any other piece."""
+        if piece.isalpha():  # of bytes: ASCII letters
+            word = piece.decode()
+            word = word if self.normal is None else word.lower()
+        else:
+            word = piece.decode("utf-8", "replace")
+            if not LETTERS.fullmatch(word):
+                return None
+            word = word if self.normal is None else word.lower()
+            word = "".join([self.letters.get(c) or self.letters.setdefault(c, "".join(self.parts(c))) for c in word])
+        found = [t.id for t in self.model.tokenize(self.shown + word)]
+        return pack(f"<{len(found)}I", *found)
 
     def __missing__(self, piece: bytes) -> bytes:
-        text, ids = self.lead + piece.decode("utf-8", "replace"), []
-        for part in self.cut_plain(text) or self.cut_any(text):
-            if len(part) > 1:
-                ids += [t.id for t in self.model.tokenize(part)]
-            else:
-                if part not in self.marks:
-                    self.marks[part] = [t.id for t in self.model.tokenize(part)]
-                ids += self.marks[part]
+        got = None
+        if self.plain:
+            word = piece.rstrip(MARKS)
+            if len(word) == len(piece):
+                got = self.word(piece)
+            elif word:
+                head = self.get(word) if LETTERS.fullmatch(word.decode("utf-8", "replace")) else None
+                got = head or self.word(word)
+                got = got and got + self.mark(piece[len(word) :])
+        if got is None:
+            got = self.any(piece)
         if len(self) >= PIECES:
             self.clear()
-        got = self[piece] = np.array(ids, "<u4").tobytes()
+        self[piece] = got
         return got
 
 
-def _tokenizer(path: str):
-    from tokenizers import Tokenizer
+class _Library:
+    """The tokenizer as its file has it."""
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+
+    def has_added(self, text: bytes) -> bool:
+        return any(x in text for x in self.added)
 
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
-    return tokenizer
+    def whole(self, text: bytes) -> bytes:
+        return np.array(self.tokenizer.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids, "<u4").tobytes()
 
 
-class WordEncoder:
+class WordEncoder(_Library):
     """For tokenizers that drop blanks: ids of a text are those of its words."""
 
     def __init__(self, path: str):
-        self.pieces = Pieces(_tokenizer(path), "")
+        super().__init__(path)
+        self.pieces = Pieces(self.tokenizer, "")
 
     def __call__(self, text: bytes) -> bytes:
         """Ids of ``text`` as little-endian unsigned 32-bit integers."""
+        if self.has_added(text):
+            return self.whole(text)
         return b"".join(map(self.pieces.__getitem__, text.split()))
 
 
-class SpaceEncoder:
+class SpaceEncoder(_Library):
     """For byte-level tokenizers that keep a space with the word after it. A piece begins at a space; a run of
     blanks must stay whole, so texts with a space behind another blank are cut at lone spaces only."""
 
     def __init__(self, path: str):
-        tokenizer = _tokenizer(path)
+        super().__init__(path)
+        tokenizer = self.tokenizer
         self.first, self.pieces = Pieces(tokenizer, ""), Pieces(tokenizer, " ")
         names = [tokenizer.id_to_token(i) or "" for i in range(tokenizer.get_vocab_size())]
         self.ends = np.array([bool(x) and x[-1] in ".!?Ċ" for x in names])
@@ -99,6 +132,8 @@ class SpaceEncoder:
 
     def __call__(self, text: bytes) -> bytes:
         """Ids of ``text`` as little-endian unsigned 32-bit integers."""
+        if self.has_added(text):
+            return self.whole(text)
         if any(x in text for x in DOUBLE) or not text.isascii() and any(x in text for x in WIDE_BLANKS):
             words = [x.encode() for x in LONE_SPACE.split(text.decode("utf-8", "replace"))]
         else:

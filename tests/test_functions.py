@@ -58,6 +58,8 @@ def test_within_boundary_cases(spark, boundary):
         ((1.3, 103.9), 1),     # inside polygon 2
         ((1.45, 104.04), 1),   # inside the second part of the multipolygon
         ((1.41, 104.0), 0),    # in the gap between the parts
+        ((1.34, 103.744), 1),  # on the line of the hole's edge, beside it
+        ((1.3, 103.69), 1),
         ((1.46, 104.06), 0),   # on the slanted edge of the triangle
         ((1.0, 103.0), 0),     # far outside
         ((None, 103.7), None),
@@ -86,8 +88,12 @@ def test_sql_function_registration(spark, boundary):
 
 
 def _py_inside(px, py, polys):
-    """Strict even-odd containment in any polygon (list of rings of (x, y)); edges count as outside."""
+    """Strict even-odd containment in any polygon (list of rings of (x, y)); edges count as outside. Exact, in fractions."""
+    from fractions import Fraction
+
+    px, py = Fraction(px), Fraction(py)
     for rings in polys:
+        rings = [[(Fraction(x), Fraction(y)) for x, y in ring] for ring in rings]
         xs = [x for x, _ in rings[0]]
         ys = [y for _, y in rings[0]]
         if not (min(xs) < px < max(xs) and min(ys) < py < max(ys)):
@@ -165,3 +171,90 @@ def test_unreadable_geometry_raises(spark, geometry):
         boundary_from_text(spark, text).polygons.collect()
     with pytest.raises(Exception):
         boundary_from_text(spark, "no map").polygons.collect()
+
+
+def test_detailed_cells_are_divided(spark):
+    """Nine edges in ten in a hundredth of the area: no cell lists more than the bound, and every point is judged right."""
+    from tripwright.functions import register_functions
+    from tripwright.sources import boundary as B, boundary_from_text, fixtures
+
+    b = boundary_from_text(spark, fixtures.detailed_boundary_geojson())
+    _, index, divided = b.cells()
+    most = index.selectExpr("depth", "aggregate(polys, 0, (n, p) -> n + size(p.edges)) AS n").groupBy("depth").max("n").collect()
+    assert len(most) > 1 and max(r["max(n)"] for r in most) <= B.MOST_EDGES and divided.count() > 0
+    (left, tooth, teeth, tip, bar, top) = fixtures.DETAILED[1]
+    rows = [(1.4405 + 0.001 * (i % 23), round(left + tooth * (i * 37 % 9100) + tooth / 2, 8)) for i in range(4000)] + [(1.3, 103.65), (2.0, 50.0), (None, 1.0)]
+    df = spark.createDataFrame(rows, "lat double, lon double")
+
+    def want(lat, lon):
+        if lat is None:
+            return None
+        inside = lambda c: c[0] < lon < c[0] + 2 * c[2] * c[1] and c[3] < lat < c[5] and (lat > c[4] or int((lon - c[0]) / c[1]) % 2 == 0)
+        return int(any(map(inside, fixtures.DETAILED)))
+
+    assert [r.w for r in within_boundary(df, "lat", "lon", b, "w").collect()] == [want(*r) for r in rows]
+    register_functions(spark, b)
+    got = spark.sql("SELECT within_boundary(lat, lon) AS w FROM {df}", df=df).collect()
+    assert [r.w for r in got] == [want(*r) for r in rows]
+
+
+def test_read_boundary_in_parallel(spark, tmp_path):
+    """A file is read a feature at a time, whatever its layout, and what is no map raises."""
+    import json
+
+    from tripwright.sources import fixtures, read_boundary
+
+    collection = json.loads(fixtures.BOUNDARY_GEOJSON)
+    collection["features"] += [
+        {"geometry": {"coordinates": [[[i, 0], [i + 0.5, 0], [i, 0.5], [i, 0]]], "type": "Polygon"}, "type": "Feature", "properties": {"name": "x" * 500}}
+        for i in range(2000)
+    ]
+    for name, text in (("compact", json.dumps(collection, separators=(",", ":"))), ("pretty", json.dumps(collection, indent=1))):
+        (tmp_path / name).write_text(text)
+        old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+        try:
+            polygons = read_boundary(spark, str(tmp_path / name)).polygons
+            assert polygons.rdd.getNumPartitions() > 4
+            rows = polygons.collect()
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+        assert len(rows) == 2003 and max(len(r.edges) for r in rows) == 10
+        assert len({r.poly_id for r in rows}) == 2003 and sum(r.xmin == 103.6 for r in rows) == 1
+    (tmp_path / "none").write_text('{"type": "Feature", "geometry": null}')
+    with pytest.raises(Exception):
+        read_boundary(spark, str(tmp_path / "none"))
+    (tmp_path / "line").write_text('{"type": "FeatureCollection", "features": [{"geometry": {"type": "Point", "coordinates": [1, 2]}}]}')
+    with pytest.raises(Exception):
+        read_boundary(spark, str(tmp_path / "line")).polygons.collect()
+
+
+def test_points_on_sloping_edges(spark):
+    """Points as near to sloping edges as doubles come, on both sides and on the line, against fractions."""
+    import json
+    import math
+    import random
+
+    from tripwright.functions import register_functions
+    from tripwright.sources import boundary_from_text
+
+    rnd = random.Random(11)
+    poly = [[(103.7, 1.2), (103.93, 1.31), (103.81, 1.47), (103.66, 1.39)], [(103.8, 1.3), (103.82, 1.33), (103.78, 1.34)]]
+    gj = {"type": "FeatureCollection", "features": [{"type": "Feature", "geometry": {
+        "type": "Polygon", "coordinates": [[list(p) for p in r + r[:1]] for r in poly]}}]}
+    rows = []
+    for ring in poly:
+        for (x1, y1), (x2, y2) in zip(ring, ring[1:] + ring[:1]):
+            for _ in range(150):
+                t = rnd.random()
+                x, y = x1 + (x2 - x1) * t, y1 + (y2 - y1) * t
+                for _ in range(rnd.randrange(3)):
+                    x = math.nextafter(x, rnd.choice([0, 200]))
+                rows.append((y, x))
+            rows += [((y1 + y2) / 2, (x1 + x2) / 2), (y1, x1)]
+    want = [_py_inside(x, y, [poly]) for y, x in rows]
+    b = boundary_from_text(spark, json.dumps(gj))
+    df = spark.createDataFrame(rows, "lat double, lon double")
+    assert [r.w for r in within_boundary(df, "lat", "lon", b, "w").collect()] == want and 100 < sum(want) < len(want) - 100
+    register_functions(spark, b)
+    assert [r.w for r in spark.sql("SELECT within_boundary(lat, lon) AS w FROM {df}", df=df).collect()] == want

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from typing import TYPE_CHECKING
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,22 +27,36 @@ def haversine_km(lat1, lon1, lat2, lon2) -> Column:
     return F.lit(EARTH_RADIUS_KM) * (F.lit(2.0) * F.atan2(F.sqrt(a), F.sqrt(F.lit(1.0) - a)))
 
 
+#: How far rounding can put the sign of an orientation test in doubles in doubt, as a part of the two products' sizes; and
+#: what coordinates are multiplied by to be whole: doubles of 1 degree and more are then exact (smaller ones to 2^-53).
+DOUBT, WHOLE = 3.4e-16, float(2**52)
+
+
+def _turn(e, x, y) -> Column:
+    """On which side of the line through an edge the point lies: 1 to the left of its direction, -1 to the right, 0 on it.
+
+    In doubles where their rounding cannot change the sign, else in whole numbers, exactly."""
+    a, b = (e["x2"] - e["x1"]) * (y - e["y1"]), (e["y2"] - e["y1"]) * (x - e["x1"])
+    whole = lambda v, w: ((v * WHOLE).cast("long") - (w * WHOLE).cast("long")).cast("decimal(20,0)")
+    exact = whole(e["x2"], e["x1"]) * whole(y, e["y1"]) - whole(e["y2"], e["y1"]) * whole(x, e["x1"])
+    sign = lambda v: F.when(v > 0, 1).when(v < 0, -1).otherwise(0)
+    return F.when(F.abs(a - b) > DOUBT * (F.abs(a) + F.abs(b)), sign(a - b)).otherwise(sign(exact))
+
+
 def _on_edge(e, x, y):
-    cross = (e["x2"] - e["x1"]) * (y - e["y1"]) - (e["y2"] - e["y1"]) * (x - e["x1"])
     return (
-        (cross == 0)
-        & x.between(F.least(e["x1"], e["x2"]), F.greatest(e["x1"], e["x2"]))
+        x.between(F.least(e["x1"], e["x2"]), F.greatest(e["x1"], e["x2"]))
         & y.between(F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"]))
+        & (_turn(e, x, y) == 0)
     )
 
 
 def _path_crosses(e, x, y, ax, ay):
-    """How often an edge crosses the path from the anchor (ax, ay) along its longitude to y and then along y to x.
-    The last leg compares x with the edge's x at y, as ray casting does."""
-    y_at = (e["y2"] - e["y1"]) * (ax - e["x1"]) / F.nullif(e["x2"] - e["x1"], F.lit(0.0)) + e["y1"]
-    x_at = (e["x2"] - e["x1"]) * (y - e["y1"]) / F.nullif(e["y2"] - e["y1"], F.lit(0.0)) + e["x1"]
-    up = ((e["x1"] > ax) != (e["x2"] > ax)) & ((y_at > ay) != (y_at > y))
-    along = ((e["y1"] > y) != (e["y2"] > y)) & ((x_at > ax) != (x_at > x))
+    """How often an edge crosses the path from the anchor (ax, ay) along its longitude to y and then along y to x."""
+    over = lambda v: _turn(e, ax, v) * F.when(e["x2"] > e["x1"], 1).otherwise(-1) < 0  # noqa: E731 - the edge is above v at ax
+    right = lambda v: _turn(e, v, y) * F.when(e["y2"] > e["y1"], 1).otherwise(-1) > 0  # noqa: E731 - the edge is right of v at y
+    up = ((e["x1"] > ax) != (e["x2"] > ax)) & (over(ay) != over(y))
+    along = ((e["y1"] > y) != (e["y2"] > y)) & (right(ax) != right(x))
     return F.when(up, 1).otherwise(0) + F.when(along, 1).otherwise(0)
 
 
@@ -59,15 +74,27 @@ def within_boundary(df: DataFrame, lat: str, lon: str, boundary: "Boundary", out
 
     One left equi-join with the grid index on the point's cell, whatever the size of the map: adaptive execution
     broadcasts a small index, and splits a busy cell of a large one. Each row then tests the few edges of its cell
-    in a column expression.
+    in a column expression. Where the map is detailed, the cell's depth is looked up first, in a table of those cells.
     """
     from ..sources.boundary import ANCHOR_X, ANCHOR_Y
 
-    cell, index = boundary.cells()
-    keyed = df.withColumns({"_cx": F.floor(_d(lon) / F.lit(cell)).cast("long"), "_cy": F.floor(_d(lat) / F.lit(cell)).cast("long")})
-    index = index.select(F.col("cx").alias("_icx"), F.col("cy").alias("_icy"), F.col("polys").alias("_polys"))
-    joined = keyed.join(index, (F.col("_cx") == F.col("_icx")) & (F.col("_cy") == F.col("_icy")), "left")
-    point = F.array(F.struct(_d(lon).alias("x"), _d(lat).alias("y"), ((F.col("_cx") + ANCHOR_X) * cell).alias("ax"), ((F.col("_cy") + ANCHOR_Y) * cell).alias("ay")))
+    base, index, divided = boundary.cells()
+    at = lambda c, size: F.floor(_d(c) / size).cast("long")
+    keyed = df.withColumns({"_bx": at(lon, F.lit(base)), "_by": at(lat, F.lit(base))})
+    if divided.isEmpty():
+        keyed = keyed.withColumn("_depth", F.lit(0))
+    else:
+        depths = divided.select(F.col("bx").alias("_dx"), F.col("by").alias("_dy"), F.col("depth").alias("_d"))
+        keyed = keyed.join(depths, (F.col("_bx") == F.col("_dx")) & (F.col("_by") == F.col("_dy")), "left")
+        keyed = keyed.withColumn("_depth", F.coalesce("_d", F.lit(0)))
+    # halving is exact, so a point's cell lies in its base cell
+    cell = F.lit(base) / F.pow(F.lit(2.0), F.col("_depth"))
+    keyed = keyed.withColumns({"_cx": at(lon, cell), "_cy": at(lat, cell), "_cell": cell})
+    index = index.select(F.col("depth").alias("_id"), F.col("cx").alias("_icx"), F.col("cy").alias("_icy"), F.col("polys").alias("_polys"))
+    same = (F.col("_cx") == F.col("_icx")) & (F.col("_cy") == F.col("_icy")) & (F.col("_depth") == F.col("_id"))
+    joined = keyed.join(index, same, "left")
+    ax, ay = (F.col("_cx") + ANCHOR_X) * F.col("_cell"), (F.col("_cy") + ANCHOR_Y) * F.col("_cell")
+    point = F.array(F.struct(_d(lon).alias("x"), _d(lat).alias("y"), ax.alias("ax"), ay.alias("ay")))
     inside = F.exists(point, lambda q: F.exists("_polys", lambda p: _contains(p, q)))
     value = F.when(_d(lon).isNull() | _d(lat).isNull(), F.lit(None).cast("int")).otherwise(F.coalesce(inside, F.lit(False)).cast("int"))
     return joined.withColumn(out, value).select(*df.columns, out)
@@ -86,25 +113,44 @@ def register_functions(spark: SparkSession, boundary: "Boundary | None" = None)
     if boundary is not None:
         from ..sources.boundary import ANCHOR_X, ANCHOR_Y
 
-        cell, index = boundary.cells()
-        index.createOrReplaceTempView("boundary_cells")
-        y_at = "(e.y2 - e.y1) * (q.ax - e.x1) / nullif(e.x2 - e.x1, 0D) + e.y1"
-        x_at = "(e.x2 - e.x1) * (q.y - e.y1) / nullif(e.y2 - e.y1, 0D) + e.x1"
-        crosses = (f"IF((e.x1 > q.ax) <> (e.x2 > q.ax) AND ({y_at} > q.ay) <> ({y_at} > q.y), 1, 0) + "
-                   f"IF((e.y1 > q.y) <> (e.y2 > q.y) AND ({x_at} > q.ax) <> ({x_at} > q.x), 1, 0)")
-        on_edge = ("(e.x2 - e.x1) * (q.y - e.y1) - (e.y2 - e.y1) * (q.x - e.x1) = 0 AND q.x BETWEEN least(e.x1, e.x2) "
-                   "AND greatest(e.x1, e.x2) AND q.y BETWEEN least(e.y1, e.y2) AND greatest(e.y1, e.y2)")
+        base, index, divided = boundary.cells()
+        # a name of its own for each map, so that a second one does not take the first one's place in functions made before
+        view, depths = (f"boundary_{x}_{uuid.uuid4().hex}" for x in ("cells", "depths"))
+        index.createOrReplaceTempView(view)
+        divided.createOrReplaceTempView(depths)
+
+        def turn(x: str, y: str) -> str:
+            """``_turn`` as SQL."""
+            a, b = f"(e.x2 - e.x1) * ({y} - e.y1)", f"(e.y2 - e.y1) * ({x} - e.x1)"
+            whole = lambda v, w: f"CAST(CAST({v} * {WHOLE!r}D AS BIGINT) - CAST({w} * {WHOLE!r}D AS BIGINT) AS DECIMAL(20,0))"
+            exact = f"{whole('e.x2', 'e.x1')} * {whole(y, 'e.y1')} - {whole('e.y2', 'e.y1')} * {whole(x, 'e.x1')}"
+            return f"IF(abs({a} - {b}) > {DOUBT!r}D * (abs({a}) + abs({b})), signum({a} - {b}), signum({exact}))"
+
+        over = lambda v: f"({turn('q.ax', v)} * IF(e.x2 > e.x1, 1, -1) < 0)"
+        right = lambda v: f"({turn(v, 'q.y')} * IF(e.y2 > e.y1, 1, -1) > 0)"
+        crosses = (f"IF((e.x1 > q.ax) <> (e.x2 > q.ax) AND {over('q.ay')} <> {over('q.y')}, 1, 0) + "
+                   f"IF((e.y1 > q.y) <> (e.y2 > q.y) AND {right('q.ax')} <> {right('q.x')}, 1, 0)")
+        on_edge = ("q.x BETWEEN least(e.x1, e.x2) AND greatest(e.x1, e.x2) AND q.y BETWEEN least(e.y1, e.y2) AND greatest(e.y1, e.y2) "
+                   f"AND {turn('q.x', 'q.y')} = 0")
         contains = (f"q.x > p.xmin AND q.x < p.xmax AND q.y > p.ymin AND q.y < p.ymax AND NOT exists(p.edges, e -> {on_edge}) "
                     f"AND aggregate(p.edges, p.odd, (n, e) -> n + {crosses}) % 2 = 1")
-        cx, cy = f"CAST(floor(lon / {cell!r}D) AS BIGINT)", f"CAST(floor(lat / {cell!r}D) AS BIGINT)"
         kind = index.schema["polys"].dataType.simpleString()
         spark.sql(
-            f"CREATE OR REPLACE TEMPORARY FUNCTION any_contains(polys {kind}, lat DOUBLE, lon DOUBLE) RETURNS BOOLEAN RETURN "
-            f"exists(array(named_struct('x', lon, 'y', lat, 'ax', ({cx} + {ANCHOR_X!r}D) * {cell!r}D, "
-            f"'ay', ({cy} + {ANCHOR_Y!r}D) * {cell!r}D)), q -> exists(polys, p -> {contains}))"
+            f"CREATE OR REPLACE TEMPORARY FUNCTION any_contains(polys {kind}, lat DOUBLE, lon DOUBLE, cell DOUBLE) RETURNS BOOLEAN RETURN "
+            f"exists(array(named_struct('x', lon, 'y', lat, 'ax', (floor(lon / cell) + {ANCHOR_X!r}D) * cell, "
+            f"'ay', (floor(lat / cell) + {ANCHOR_Y!r}D) * cell)), q -> exists(polys, p -> {contains}))"
         )
+
+        def found(depth: str) -> str:
+            """Whether the cell of a depth holds the point: for each depth that the map has, cells of the others have no polygons."""
+            cell = f"({base!r}D / {2.0 ** int(depth)!r}D)"
+            polys = (f"(SELECT any_value(polys) FROM {view} WHERE depth = {depth} AND cx = CAST(floor(lon / {cell}) AS BIGINT) "
+                     f"AND cy = CAST(floor(lat / {cell}) AS BIGINT))")
+            return f"coalesce(any_contains({polys}, lat, lon, {cell}), false)"
+
+        held = [str(r[0]) for r in index.select("depth").distinct().orderBy("depth").collect()]  # at most DEEPEST + 1 numbers
         spark.sql(
             "CREATE OR REPLACE TEMPORARY FUNCTION within_boundary(lat DOUBLE, lon DOUBLE) RETURNS INT RETURN "
-            "CASE WHEN lat IS NULL OR lon IS NULL THEN CAST(NULL AS INT) ELSE CAST(coalesce(any_contains("
-            f"(SELECT any_value(polys) FROM boundary_cells WHERE cx = {cx} AND cy = {cy}), lat, lon), false) AS INT) END"
+            "CASE WHEN lat IS NULL OR lon IS NULL THEN CAST(NULL AS INT) ELSE CAST("
+            f"{' OR '.join(map(found, held)) or 'false'} AS INT) END"
         )

@@ -2,12 +2,12 @@
 
 ``ROW_NUMBER() OVER (ORDER BY k)`` with no partition funnels every row into one task. ``dense_ids``
 range-partitions by the keys instead (Spark samples the split points), records each row's partition and its
-position inside the sorted partition, and writes that to the checkpoint folder. Each partition's offset is a
-two-level sum of the partitions' counts (``prefix.block_offsets``), joined back without a hint: the table has a
-row per partition, and adaptive execution broadcasts it when it is small.
+position inside the sorted partition, and writes that to the checkpoint folder. Each partition's offset is a running
+sum of the partitions' counts, joined back without a hint: the table has a row per partition.
 
 A row's place depends on nothing but its values, so a task that runs again gives the same ids: ties in the keys are
-broken by the other columns, and equal rows, which no order can tell apart, are counted first and numbered as one.
+broken by the other columns, and equal rows, which no order can tell apart, are counted first and numbered as one. Their
+numbers are written out in chunks, which are dealt over the tasks where a row has many.
 """
 
 from __future__ import annotations
@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .prefix import block_offsets
+from . import copies
+from .copies import chunks
 
 
 def dense_ids(df: DataFrame, keys: list[str], id_col: str, partitions: int | None = None,
@@ -37,15 +38,19 @@ def dense_ids(df: DataFrame, keys: list[str], id_col: str, partitions: int | Non
         .withColumn("_i", F.monotonically_increasing_id() - F.shiftleft(F.col("_p").cast("long"), 33))
     )
     staged = materialize(ranged, "ids")
-    blocks = staged.groupBy("_p").agg(F.sum("_n").alias("_rows"))
-    numbered = staged.join(block_offsets(blocks, "_p", "_rows"), "_p")
+    blocks = staged.groupBy("_p").agg(F.sum("_n").alias("_rows"), F.max("_n").alias("_most"))
+    ahead = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    numbered = staged.join(blocks.select("_p", F.coalesce(F.sum("_rows").over(ahead), F.lit(0)).alias("_before")), "_p")
     if unique:
-        numbered = numbered.withColumn(id_col, F.col("before__rows") + F.col("_i") + 1)
+        numbered = numbered.withColumn(id_col, F.col("_before") + F.col("_i") + 1)
     else:
         before = F.sum("_n").over(Window.partitionBy("_p").orderBy("_i").rowsBetween(Window.unboundedPreceding, -1))
-        first = F.col("before__rows") + F.coalesce(before, F.lit(0)) + 1
-        numbered = numbered.withColumn("_first", first)
-        numbered = numbered.withColumn(id_col, F.explode(F.sequence(F.col("_first"), F.col("_first") + F.col("_n") - 1)))
+        numbered = numbered.withColumn("_first", F.col("_before") + F.coalesce(before, F.lit(0)) + 1)
+        numbered = chunks(numbered, "_n")
+        if (blocks.agg(F.max("_most")).first()[0] or 0) > copies.CHUNK:
+            numbered = numbered.repartition("_p", "_i", "_part")
+        start = F.col("_first") + F.col("_part") * copies.CHUNK
+        numbered = numbered.withColumn(id_col, F.explode(F.sequence(start, start + F.col("_n") - 1)))
     if with_total:
         numbered = numbered.withColumn("_total", F.lit(staged.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]))
     return numbered.select(*columns, F.col(id_col).cast("long").alias(id_col), *["_total"] * with_total)

@@ -1,5 +1,5 @@
-"""Order-dependent per-vehicle operators: overlap removal (D01), trip connection (D02), pairwise
-connection (D03), plus the distance / duration enrichment between them.
+"""Order-dependent per-vehicle operators: overlap removal (D01) and trip connection (D02), plus the distance /
+duration enrichment between them. The pairwise connection (D03) is in ``pairs``.
 
 D01 and D02 are greedy folds (the state after a dropped trip differs from the state after a kept one), so they cannot be
 written as ``lag`` or a running max. Here is how they run, whatever the vehicles' sizes:
@@ -20,18 +20,16 @@ So a vehicle with a third of all trips, or one day of it, is spread over as many
 from __future__ import annotations
 
 import json
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, BooleanType, DoubleType, IntegerType, LongType, StructField, StructType
 
 from ..functions.geo import haversine_km
-from ..functions.timefmt import duration_s, epoch_seconds
+from ..functions.timefmt import duration_s
 from ..schema import CLEAN_COLUMNS, CONNECT_GAP_S, CONNECT_MAX_KM, ENRICHED_COLUMNS, TRIP_ORDER
 from ..session import materialize
 from .copies import repeat_rows
-
-ISLAND_BUCKET_S = 86400
-
+from .pairs import connect_pairs  # noqa: F401 - the third of the per-vehicle operators
 
 def add_distance_duration(df: DataFrame) -> DataFrame:
     """``distance`` (haversine km, F02) and ``duration_s`` (F03) as JVM column math."""
@@ -40,10 +38,6 @@ def add_distance_duration(df: DataFrame) -> DataFrame:
     ).withColumn("duration_s", duration_s("START_TIME", "END_TIME"))
 
 
-def _bucket(col: str, bucket_s: int) -> Column:
-    return F.floor(epoch_seconds(col) / F.lit(bucket_s)).cast("bigint")
-
-
 # ---------------------------------------------------------------- folds
 
 # kinds of rows that the tasks write
@@ -338,70 +332,3 @@ def remove_overlaps_and_connect(df: DataFrame, gap_s: float = CONNECT_GAP_S, max
     """D01 then D02 over one sort of the trips. ``count_col`` adds the number of trips in each group, whose sum is what
     D01 kept. Distance and duration are computed before the fold, as JVM column math."""
     return _run_fold(df, ENRICHED_COLUMNS, True, True, gap_s, max_km, count_col, partitions)
-
-
-# ---------------------------------------------------------------- D03: pairwise connection
-
-def _prev_in_order(df: DataFrame, key: str, order: list[str], value: str, bucket: Column, out: str) -> DataFrame:
-    """``lag(value) OVER (PARTITION BY key ORDER BY order)`` as a two-level scan over time buckets."""
-    t = df.withColumn("_lb", bucket)
-    local = Window.partitionBy(key, "_lb").orderBy(*order)
-    t = t.withColumn("_first", F.row_number().over(local) == 1).withColumn("_local", F.lag(value).over(local))
-    last = t.groupBy(key, "_lb").agg(F.max_by(value, F.struct(*order)).alias("_last")).select(
-        key, "_lb", F.lag("_last").over(Window.partitionBy(key).orderBy("_lb")).alias("_carry"))
-    t = t.join(last, [key, "_lb"], "left")
-    return t.withColumn(out, F.when(F.col("_first"), F.col("_carry")).otherwise(F.col("_local"))).drop(
-        "_lb", "_first", "_local", "_carry")
-
-
-def connect_pairs(df: DataFrame, gap_s: int = 60, max_km: float = CONNECT_MAX_KM,
-                  bucket_s: int = ISLAND_BUCKET_S) -> DataFrame:
-    """D03, the SQL variant of trip connection on enriched trips.
-
-    Pairs (t1, t2) of one vehicle with ``t1.end < t2.start <= t1.end + gap`` and ``t1.distance <= max_km``;
-    a pair is dropped when its t1 start equals the previous pair's t2 start (previous by t1 start, then
-    t1 end, request ids; default 1900-01-01); output is the merged surviving pairs plus every trip that
-    touches no surviving pair (same start or end as one of its two trips). ``REQUEST_ID`` is not carried.
-
-    The input and the surviving pairs are written once and read where they are needed. The interval self-join is
-    an equi-join on (vehicle, minute bucket): t1 is offered to the bucket of its end and the next one, so only trips
-    less than two minutes apart are compared. The exclusion is two equi anti-joins, on the starts and on the ends of
-    the pairs' trips, instead of one join on an OR.
-    """
-    base = materialize(df.select(*ENRICHED_COLUMNS), "pair-input")
-    minute = lambda c: F.floor(epoch_seconds(c) / F.lit(gap_s)).cast("bigint")
-    t1 = base.filter(F.col("distance") <= F.lit(max_km)).select(
-        *[F.col(c).alias(f"{c}_1") for c in ENRICHED_COLUMNS],
-        F.explode(F.array(minute("END_TIME"), minute("END_TIME") + 1)).alias("_m"))
-    t2 = base.select(*[F.col(c).alias(f"{c}_2") for c in ENRICHED_COLUMNS], minute("START_TIME").alias("_m"))
-    within = F.expr(f"INTERVAL '{int(gap_s)}' SECOND")
-    pairs = t1.join(
-        t2,
-        (t1["VEHICLE_ID_1"] == t2["VEHICLE_ID_2"]) & (t1["_m"] == t2["_m"])
-        & (t1["END_TIME_1"] < t2["START_TIME_2"]) & (t2["START_TIME_2"] <= t1["END_TIME_1"] + within),
-    ).drop("_m", "VEHICLE_ID_2").withColumnRenamed("VEHICLE_ID_1", "VEHICLE_ID")
-
-    order = ["START_TIME_1", "END_TIME_1", "REQUEST_ID_1", "START_TIME_2", "END_TIME_2", "REQUEST_ID_2"]
-    pairs = _prev_in_order(pairs, "VEHICLE_ID", order, "START_TIME_2", _bucket("START_TIME_1", bucket_s), "_prev2")
-    default = F.lit("1900-01-01 00:00:00").cast("timestamp_ntz")
-    kept = materialize(pairs.filter(F.col("START_TIME_1") != F.coalesce(F.col("_prev2"), default)), "pairs")
-
-    merged = kept.select(
-        "VEHICLE_ID",
-        F.col("DRIVER_ID_1").alias("DRIVER_ID"),
-        F.col("START_TIME_1").alias("START_TIME"),
-        F.col("END_TIME_2").alias("END_TIME"),
-        F.col("LATITUDE_PICKUP_1").alias("LATITUDE_PICKUP"),
-        F.col("LONGITUDE_PICKUP_1").alias("LONGITUDE_PICKUP"),
-        F.col("LATITUDE_END_2").alias("LATITUDE_END"),
-        F.col("LONGITUDE_END_2").alias("LONGITUDE_END"),
-        (F.col("distance_1") + F.col("distance_2")).alias("distance"),
-        (F.col("duration_s_1") + F.col("duration_s_2")).alias("duration_s"),
-    )
-    out_cols = [c for c in merged.columns]
-    rest = base
-    for trip_col in ("START_TIME", "END_TIME"):
-        times = F.explode(F.array(f"{trip_col}_1", f"{trip_col}_2")).alias("_t")
-        keys = kept.select(F.col("VEHICLE_ID").alias("_v"), times).distinct()
-        rest = rest.join(keys, (rest["VEHICLE_ID"] == keys["_v"]) & (rest[trip_col] == keys["_t"]), "left_anti")
-    return merged.unionByName(rest.select(*out_cols))

@@ -15,36 +15,48 @@ from ..schema import CLEAN_COLUMNS, COORD_COLUMNS, COORD_TYPE, EPOCH, MIN_TRIP_K
 from ..sources.boundary import Boundary
 
 
-def _fields(line_col: str = "value") -> Column:
-    # limit -1 keeps trailing empty fields, as a plain comma split does
-    return F.split(F.col(line_col), ",", -1)
+def _width(line_col: str) -> Column:
+    """Fields of a line: its commas and one more, counted without cutting the line up."""
+    line = F.col(line_col)
+    return F.length(line) - F.length(F.replace(line, F.lit(","), F.lit(""))) + 1
 
 
 def keep_width(lines: DataFrame, width: int = 9, line_col: str = "value") -> DataFrame:
     """Lines with exactly ``width`` comma-separated fields."""
-    return lines.filter(F.size(_fields(line_col)) == width)
+    return lines.filter(_width(line_col) == width)
 
 
-def bad_width_rows(lines: DataFrame, width: int = 9, line_col: str = "value") -> DataFrame:
-    """Lines with another field count, with that count."""
-    n = F.size(_fields(line_col))
-    return lines.select(F.col(line_col).alias("line"), n.alias("n_fields")).filter(F.col("n_fields") != width)
+def bad_width_rows(lines: DataFrame, width: int = 9, line_col: str = "value", number_col: str | None = None) -> DataFrame:
+    """Lines with another field count, with that count (V16), and with their number if ``lines`` has it
+    (``sources.read_numbered_lines``)."""
+    number = [number_col] if number_col else []
+    rows = lines.select(*number, F.col(line_col).alias("line"), _width(line_col).alias("n_fields"))
+    return rows.filter(F.col("n_fields") != width)
 
 
 def to_columns(lines: DataFrame, names: list[str] = RAW_COLUMNS, line_col: str = "value") -> DataFrame:
-    """Name the fields of each line by position."""
-    # split once into an array column (the optimizer keeps it: inlining would repeat the split per
-    # field); ``get`` gives NULL past the end of a short line instead of raising under ANSI mode
-    parts = lines.select(_fields(line_col).alias("_fields"))
+    """Name the fields of each line by position.
+
+    The split stands in a generator: as a plain column it would be merged into every filter and field above it and worked
+    out again in each. Limit -1 keeps trailing empty fields, as a plain comma split does; ``get`` gives NULL past the
+    end of a short line instead of raising under ANSI mode.
+    """
+    parts = lines.select(F.explode(F.array(F.split(F.col(line_col), ",", -1))).alias("_fields"))
     return parts.select(*[F.get(F.col("_fields"), i).alias(n) for i, n in enumerate(names)])
 
 
 def exclude_lines(lines: DataFrame, bad: DataFrame, line_col: str = "value") -> DataFrame:
-    """Drop lines equal to any line of ``bad`` (V17, keyed by content, not by line number)."""
+    """Drop lines equal to any line of ``bad`` (V17, keyed by content)."""
     keys = bad.select(F.col(bad.columns[0]).alias(line_col)).distinct()
     return lines.join(keys, on=line_col, how="left_anti")
 
 
+def exclude_line_numbers(lines: DataFrame, bad: DataFrame, number_col: str = "line_no") -> DataFrame:
+    """Drop the lines whose number (``sources.read_numbered_lines``) is among the first column of ``bad``."""
+    numbers = bad.select(F.col(bad.columns[0]).cast("long").alias(number_col)).distinct()
+    return lines.join(numbers, on=number_col, how="left_anti").select(*lines.columns)
+
+
 def keep_timestamp_shape(df: DataFrame, cols=("DT_START", "DT_END"), fmt: str = RAW_TIMESTAMP_FORMAT) -> DataFrame:
     """Rows whose timestamp columns fully match the digit shape of ``fmt``."""
     regex = shape_regex(fmt)

@@ -14,7 +14,7 @@ from ..operators import compare, ids, sessions, validate
 from ..schema import OBT_SCHEMA, RAW_COLUMNS
 from ..session import materialize, stage_path
 from ..sinks import register, with_year_month, write_csv, write_star
-from ..sources import STAR_TABLES, combine_csv, boundary_from_text, fixtures as fx, load_star, read_boundary, read_raw_lines, read_tolerant_csv, read_trips_csv
+from ..sources import STAR_TABLES, combine_csv, boundary_from_text, fixtures as fx, load_star, read_boundary, read_inferred_csv, read_numbered_lines, read_raw_lines, read_tolerant_csv, read_trips_csv
 from . import model, oracle, queries as Q
 from .cleaning import clean_sample_csv, clean_trips, stage_count_table, typed_trips
 from .sql import register_queries
@@ -34,13 +34,21 @@ def round6(df: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------ shared Spark inputs
 
-_FIXTURES: dict[tuple[str, str, str], DataFrame] = {}
+_FIXTURES: dict[tuple, DataFrame] = {}
+
+
+def _state(spark, sf) -> tuple:
+    """The session, the folder, and the time and size of the table that all fixtures come from: what is stored is derived
+    anew when one of them changes."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf}/events.parquet")
+    store = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return spark.sparkContext.applicationId, sf, store.getFileStatus(path).getModificationTime(), store.getContentSummary(path).getLength()
 
 
 def _stored(spark, sf, name, make):
-    """A fixture Spark derives from the folder's tables, written once per application and folder so the
+    """A fixture Spark derives from the folder's tables, written once per application and state of the folder so the
     registered queries read it like a stored input (and the fixture SQL is not inlined into every plan)."""
-    key = (spark.sparkContext.applicationId, sf, name)
+    key = (*_state(spark, sf), name)
     if key not in _FIXTURES:
         _FIXTURES[key] = materialize(make(spark, sf), f"fixture-{name}")
     return _FIXTURES[key]
@@ -114,18 +122,54 @@ def _hot_d02(spark, sf):
     return sessions.connect_trips(sessions.add_distance_duration(kept), partitions=HOT_PARTITIONS)
 
 
+# Many trips of one vehicle end and start in the same minutes, some of them equal to others but for the request. Also valid
+# in the oracle's dialect.
+HOT_MINUTE = """
+SELECT CASE WHEN n % 50 < 3 THEN 'busy' ELSE VEHICLE_ID END AS VEHICLE_ID, REQUEST_ID, DRIVER_ID,
+  CASE n % 50 WHEN 0 THEN CAST('2022-03-01 08:00:00' AS {TS}) WHEN 1 THEN CAST('2022-03-01 08:10:00' AS {TS}) + INTERVAL '1' SECOND * (n % 97)
+    WHEN 2 THEN CAST('2022-03-01 08:10:30' AS {TS}) ELSE START_TIME END AS START_TIME,
+  CASE n % 50 WHEN 0 THEN CAST('2022-03-01 08:10:00' AS {TS}) + INTERVAL '1' SECOND * (n % 41) WHEN 1 THEN CAST('2022-03-01 08:20:00' AS {TS})
+    WHEN 2 THEN CAST('2022-03-01 08:11:00' AS {TS}) + INTERVAL '1' SECOND * (n % 7) ELSE END_TIME END AS END_TIME,
+  LATITUDE_PICKUP, LONGITUDE_PICKUP, LATITUDE_END, LONGITUDE_END
+FROM numbered"""
+
+
+def _busy(spark, sf):
+    numbered = _clean(spark, sf).withColumn("n", F.regexp_extract("REQUEST_ID", r"(\d+)", 1).cast("long"))
+    sql = fx.dialect(HOT_MINUTE, fx.SPARK_TOKENS).replace("FROM numbered", "FROM {numbered}")
+    return _stored(spark, sf, "busy", lambda s, _: sessions.add_distance_duration(s.sql(sql, numbered=numbered)))
+
+
+def _detailed_points(spark, sf):
+    placed = _clean(spark, sf).withColumn("n", F.regexp_extract("REQUEST_ID", r"(\d+)", 1).cast("long"))
+    return spark.sql(fx.DETAILED_POINTS.replace("FROM placed", "FROM {placed}"), placed=placed)
+
+
+# Points on, or by a hundred-millionth of a degree beside, the sloping edges of the map's triangle. Both dialects.
+SLOPING = """
+SELECT DISTINCT CAST(1.42 + CAST(n % 1000 AS DECIMAL(11,8)) * 0.00008 AS DECIMAL(11,8)) AS lat,
+  CAST(104.04 + (CASE WHEN n % 2 = 0 THEN 1 ELSE -1 END) * (0.04 - CAST(n % 1000 AS DECIMAL(11,8)) * 0.00004) + CAST(n % 3 - 1 AS DECIMAL(11,8)) * 0.00000001
+    AS DECIMAL(11,8)) AS lon
+FROM placed"""
+
+
+def _sloping(spark, sf):
+    placed = _clean(spark, sf).select(F.regexp_extract("REQUEST_ID", r"(\d+)", 1).cast("long").alias("n"))
+    return spark.sql(SLOPING.replace("FROM placed", "FROM {placed}"), placed=placed)
+
+
 def _obt(spark, sf):
     folded = sessions.remove_overlaps_and_connect(sessions.add_distance_duration(_clean(spark, sf)))
     return model.build_obt(validate.drop_short(folded))
 
 
-_STAR_TABLES: dict[tuple[str, str], dict[str, DataFrame]] = {}
+_STAR_TABLES: dict[tuple, dict[str, DataFrame]] = {}
 
 
 def _star(spark, sf):
     """The star schema of the fixture, written once per Spark application and folder; the star queries
     then read the stored tables, as they do in use."""
-    key = (spark.sparkContext.applicationId, sf)
+    key = _state(spark, sf)
     if key not in _STAR_TABLES:
         star = model.build_star(materialize(_obt(spark, sf), "obt"), trip_id="dense")
         _STAR_TABLES[key] = {name: materialize(df, name) for name, df in star.items()}
@@ -171,10 +215,41 @@ def _star_read_back(spark, sf):
     return out
 
 
-def _boundary_read_back(spark, _sf):
+def _boundary_read_back(spark, sf):
+    """Trips by whether they start inside the map, as it was written and read back."""
     path = _written(spark, spark.createDataFrame([(fx.BOUNDARY_GEOJSON,)], "value string"), "map", _text)
-    polygons = read_boundary(spark, path).polygons
-    return polygons.select("xmin", "ymin", "xmax", "ymax", F.size("edges").cast("long").alias("n_edges"))
+    trips = within_boundary(_clean(spark, sf), "LATITUDE_PICKUP", "LONGITUDE_PICKUP", read_boundary(spark, path), "inside")
+    return trips.groupBy("VEHICLE_ID", "inside").agg(F.count(F.lit(1)).alias("n_trips"))
+
+
+# Number of the trip in a line, before all for the heading. Also valid in the oracle's dialect.
+LINE_PLACE = "coalesce(nullif(regexp_extract(value, ',req([0-9]+)', 1), ''), '-1')"
+
+
+def _numbered(spark, sf):
+    """Lines in order over several files, read back with their numbers."""
+    place = F.expr(LINE_PLACE).cast("long")
+    ordered = _lines(spark, sf).repartitionByRange(6, place).sortWithinPartitions(place)
+    return read_numbered_lines(spark, _written(spark, ordered, "ordered-text", _text))
+
+
+# Lines of which some have a quoted field: with a comma, with quotes in it, with a tail behind the quotes, and some have a
+# field too many. Also valid in the oracle's dialect.
+QUOTED = '''
+CASE n % 6 WHEN 0 THEN concat(v, ',"', d, ', second",', r, ',x') WHEN 1 THEN concat(v, ',"a ""', d, '""",', r, ',"x,y,z"')
+  WHEN 2 THEN concat('"', v, '"tail,', d, ',', r) WHEN 3 THEN concat(v, ',', d, ',"', r, ',x",y,z') WHEN 4 THEN concat(v, ',', d, 'in "it,', r, ',')
+  ELSE concat(v, ',', d, ',', r, ',"never, closed') END'''
+
+
+def _quoted(spark, sf):
+    n = F.regexp_extract("REQUEST_ID", r"(\d+)", 1).cast("long").alias("n")
+    t = _clean(spark, sf).select(n, F.col("VEHICLE_ID").alias("v"), F.col("DRIVER_ID").alias("d"), F.col("REQUEST_ID").alias("r"))
+    return t.selectExpr(f"{QUOTED} AS value")
+
+
+def _copies(spark, sf):
+    """Many equal rows: the vehicle of every trip."""
+    return _clean(spark, sf).select("VEHICLE_ID")
 
 
 def _by_month(spark, sf):
@@ -221,12 +296,14 @@ def spark_queries() -> dict[str, Query]:
         "s01_raw_lines": lambda s, d: read_raw_lines(s, _written(s, _lines(s, d), "raw-text", _text)),
         "s02_csv_header": lambda s, d: read_trips_csv(s, _written(s, _sample(s, d), "csv", write_csv)),
         "s03_csv_typed": lambda s, d: round6(read_trips_csv(s, _written(s, _obt(s, d), "obt-csv", write_csv), OBT_SCHEMA)),
+        "s03_csv_inferred": lambda s, d: round6(read_inferred_csv(s, _written(s, _obt(s, d), "obt-csv", write_csv))),
         "s04_s11_star_round_trip": _star_read_back,
         "s06_read_boundary": _boundary_read_back,
         "s07_combine_csv": _combined,
         "s09_csv_round_trip": lambda s, d: read_trips_csv(s, _written(s, _v02(s, d), "v02-csv", write_csv)),
         "s12_views": _view,
         "s13_tolerant_csv": lambda s, d: read_tolerant_csv(s, _written(s, _gappy(s, d), "gappy", _text), RAW_COLUMNS),
+        "s13_quoted_csv": lambda s, d: read_tolerant_csv(s, _written(s, _quoted(s, d), "quoted", _text), ["a", "b", "c", "d"], header=False),
         "o06_query_view": lambda s, d: round6(_query_view(s, d, "q1_obt")),
         "v01_keep_width": lambda s, d: validate.keep_width(_lines(s, d), 9),
         "v02_to_columns": _v02,
@@ -247,6 +324,9 @@ def spark_queries() -> dict[str, Query]:
         "v16_bad_width_rows": lambda s, d: validate.bad_width_rows(_lines(s, d), 9),
         "v17_exclude_lines": lambda s, d: validate.exclude_lines(
             _lines(s, d), _lines(s, d).filter(F.col("value").contains(",req97"))),
+        "v16_bad_width_numbered": lambda s, d: validate.bad_width_rows(_numbered(s, d), 9, number_col="line_no"),
+        "v17_exclude_numbers": lambda s, d: validate.exclude_line_numbers(
+            (n := _numbered(s, d)), n.where("value LIKE '%,req97%'").select("line_no")).select("line_no", "value"),
         "v18_find_text": lambda s, d: validate.find_text(_v02(s, d), "31/02/2022"),
         "v19_drop_columns_like": lambda s, d: validate.drop_columns_like(_sample(s, d), "^Unnamed"),
         "v20_drop_short": lambda s, d: round6(_obt(s, d)),
@@ -262,17 +342,22 @@ def spark_queries() -> dict[str, Query]:
         "d02_fused_overlaps_connect": lambda s, d: round6(sessions.remove_overlaps_and_connect(
             sessions.add_distance_duration(_clean(s, d)))),
         "d03_connect_pairs": lambda s, d: round6(sessions.connect_pairs(_enriched_d01(s, d))),
+        "d03_hot_minute": lambda s, d: round6(sessions.connect_pairs(_busy(s, d), partitions=HOT_PARTITIONS)),
         "f01_within_boundary": lambda s, d: within_boundary(_clean(s, d).select(
             F.col("LATITUDE_END").alias("lat"), F.col("LONGITUDE_END").alias("lon")).distinct(), "lat", "lon", b(s), "w"),
         "f01_large_boundary": lambda s, d: within_boundary(_clean(s, d).select(
             "REQUEST_ID", "LATITUDE_END", "LONGITUDE_END"), "LATITUDE_END", "LONGITUDE_END",
             boundary_from_text(s, fx.large_boundary_geojson()), "w").select("REQUEST_ID", "w"),
+        "f01_detailed_boundary": lambda s, d: within_boundary(
+            _detailed_points(s, d), "lat", "lon", boundary_from_text(s, fx.detailed_boundary_geojson()), "w").select("REQUEST_ID", "w"),
+        "f01_sloping_edges": lambda s, d: within_boundary(_sloping(s, d), "lat", "lon", b(s), "w"),
         "f02_haversine": lambda s, d: round6(_clean(s, d).select("REQUEST_ID", haversine_km(
             "LATITUDE_PICKUP", "LONGITUDE_PICKUP", "LATITUDE_END", "LONGITUDE_END").alias("distance"))),
         "f03_duration": lambda s, d: sessions.add_distance_duration(_clean(s, d)).select("REQUEST_ID", "duration_s"),
         "f10_sql_functions": lambda s, d: round6(_f10(s, d)),
         "j09_missing_rows": lambda s, d: compare.missing_rows(*_jleft_right(s, d)),
         "w03_every_second_vehicle": lambda s, d: ids.every_nth(_clean(s, d), "VEHICLE_ID", 2),
+        "w01_dense_ids_copies": lambda s, d: ids.dense_ids(_copies(s, d), ["VEHICLE_ID"], "id"),
         "o07_split_halves": lambda s, d: ids.split_halves(_clean(s, d).select("REQUEST_ID"), ["REQUEST_ID"]),
         "o04_top_pickups": lambda s, d: Q.top(Q.q2_obt(_obt(s, d)), 20),
         "s10_year_month": _by_month,
@@ -332,6 +417,8 @@ def oracle_queries() -> dict[str, str]:
     obt_sel = f"SELECT {_r6(OBT_COLS, {'distance_km'})} FROM obt"
     tr_sel = f"SELECT {_r6(TR_COLS, {'distance_km'})} FROM trip_records"
     enr = [O.CT, *O.d01("ct", "k1"), O.enrich("k1", "e1")]
+    numbered_lines = (f"numbered_lines AS (SELECT value, row_number() OVER (ORDER BY CAST({LINE_PLACE} AS BIGINT)) AS line_no "
+                      "FROM (SELECT line AS value FROM raw))")
     hot_trips = [O.CT, "numbered AS (SELECT ct.*, t.event_id AS n FROM ct JOIN trips t ON t.request_id = ct.REQUEST_ID)",
                  f"hot AS ({fx.dialect(HOT_VEHICLE, fx.DUCKDB_TOKENS)})"]
     hot = S([*hot_trips, *O.d01("hot", "k1"), O.enrich("k1", "e1"), *O.d02("e1", "g2")], f"SELECT {_r6(ENR_COLS, {'distance'})} FROM g2")
@@ -365,13 +452,20 @@ def oracle_queries() -> dict[str, str]:
         "s02_csv_header": S([sample], "SELECT * FROM sample"),
         "s03_csv_typed": S(obt, obt_sel),
         "s04_s11_star_round_trip": S(star, " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM {t}" for t in STAR_TABLES)),
-        "s06_read_boundary": S([fx.duckdb_boundary_edges_cte()], "SELECT min(x1) AS xmin, min(y1) AS ymin, max(x1) AS xmax, max(y1) AS ymax, "
-                                                                 "count(*) AS n_edges FROM bnd_edges GROUP BY poly"),
+        "s03_csv_inferred": S(obt, obt_sel),
+        "s06_read_boundary": S([O.CT, "pts AS (SELECT DISTINCT LATITUDE_PICKUP AS lat, LONGITUDE_PICKUP AS lon FROM ct)", *O.inside_points("pts", "pin")],
+                               "SELECT VEHICLE_ID, pin.w AS inside, count(*) AS n_trips FROM ct JOIN pin ON pin.lat = ct.LATITUDE_PICKUP "
+                               "AND pin.lon = ct.LONGITUDE_PICKUP GROUP BY 1, 2"),
         "s07_combine_csv": S([sample], "SELECT * FROM sample"),
         "s09_csv_round_trip": S(typed, "SELECT " + ", ".join(f"nullif({c}, '') AS {c}" for c in RAW_COLUMNS) + " FROM c9"),
         "s12_views": S([O.CT], "SELECT VEHICLE_ID, count(*) AS n_trips FROM ct GROUP BY 1"),
         "s13_tolerant_csv": S([gappy], f"SELECT {text_or_null} FROM gappy WHERE len(string_split(value, ',')) <= 9 "
                                        f"AND value <> '{','.join(RAW_COLUMNS)}'"),
+        "s13_quoted_csv": S(
+            ["q AS (SELECT t.event_id AS n, vehicle_id AS v, driver_id AS d, request_id AS r FROM trips t)"],
+            "SELECT CASE n % 6 WHEN 2 THEN concat(v, 'tail') ELSE v END AS a, CASE n % 6 WHEN 0 THEN concat(d, ', second') WHEN 1 THEN concat('a \"', d, '\"') "
+            "WHEN 4 THEN concat(d, 'in \"it') ELSE d END AS b, r AS c, CASE n % 6 WHEN 0 THEN 'x' WHEN 1 THEN 'x,y,z' WHEN 5 THEN 'never, closed' END AS d "
+            "FROM q WHERE n % 6 <> 3"),
         "o06_query_view": S(obt, "SELECT VEHICLE_ID, CAST(month(DT_START) AS INTEGER) AS Month, round(avg(distance_km), 6) AS "
                                  "average_distance_per_month, round(avg(duration_s), 6) AS average_duration_per_month FROM obt GROUP BY 1, 2"),
         "v01_keep_width": S(typed, "SELECT value FROM w9"),
@@ -392,6 +486,9 @@ def oracle_queries() -> dict[str, str]:
                                     "WHERE len(string_split(line, ',')) <> 9"),
         "v17_exclude_lines": S([], "SELECT line AS value FROM raw WHERE line NOT IN "
                                    "(SELECT line FROM raw WHERE contains(line, ',req97'))"),
+        "v16_bad_width_numbered": S([numbered_lines], "SELECT line_no, value AS line, CAST(len(string_split(value, ',')) AS INTEGER) AS n_fields "
+                                                     "FROM numbered_lines WHERE len(string_split(value, ',')) <> 9"),
+        "v17_exclude_numbers": S([numbered_lines], "SELECT line_no, value FROM numbered_lines WHERE value NOT LIKE '%,req97%'"),
         "v18_find_text": S(typed, "SELECT * FROM c9 WHERE contains(DT_START, '31/02/2022') OR contains(DT_END, '31/02/2022')"),
         "v19_drop_columns_like": S([sample], "SELECT * EXCLUDE (\"Unnamed: 0\") FROM sample"),
         "v20_drop_short": S(obt, obt_sel),
@@ -405,9 +502,15 @@ def oracle_queries() -> dict[str, str]:
         "d02_connect_trips": S([*enr, *O.d02("e1", "g2")], f"SELECT {_r6(ENR_COLS, {'distance'})} FROM g2"),
         "d02_fused_overlaps_connect": S([*enr, *O.d02("e1", "g2")], f"SELECT {_r6(ENR_COLS, {'distance'})} FROM g2"),
         "d03_connect_pairs": S(enr, "").rstrip() + _d03_select(),
+        "d03_hot_minute": S([O.CT, "placed AS (SELECT ct.*, t.event_id AS n FROM ct JOIN trips t ON t.request_id = ct.REQUEST_ID)",
+                             f"busy AS ({fx.dialect(HOT_MINUTE, fx.DUCKDB_TOKENS).replace('FROM numbered', 'FROM placed')})", O.enrich("busy", "e1")], "").rstrip() + _d03_select(),
         "f01_within_boundary": S([O.CT, "pts AS (SELECT DISTINCT LATITUDE_END AS lat, LONGITUDE_END AS lon FROM ct)",
                                   *O.inside_points("pts", "pin")], "SELECT lat, lon, w FROM pin"),
         "f01_large_boundary": S([O.CT], f"SELECT REQUEST_ID, {fx.LARGE_BOUNDARY_TEST} AS w FROM ct"),
+        "f01_detailed_boundary": S([O.CT, "placed AS (SELECT ct.*, t.event_id AS n FROM ct JOIN trips t ON t.request_id = ct.REQUEST_ID)",
+                                    f"points AS ({fx.DETAILED_POINTS})"], f"SELECT REQUEST_ID, {fx.detailed_boundary_test()} AS w FROM points"),
+        "f01_sloping_edges": S(["placed AS (SELECT event_id AS n FROM trips)", f"pts AS ({SLOPING})", *O.inside_points("pts", "pin")],
+                               "SELECT lat, lon, w FROM pin"),
         "f02_haversine": S([O.CT], "SELECT REQUEST_ID, round(" + O.hav("LATITUDE_PICKUP", "LONGITUDE_PICKUP", "LATITUDE_END",
                                                                        "LONGITUDE_END") + ", 6) AS distance FROM ct"),
         "f03_duration": S([O.CT], "SELECT REQUEST_ID, CAST(epoch(END_TIME) - epoch(START_TIME) AS BIGINT) AS duration_s FROM ct"),
@@ -420,6 +523,7 @@ def oracle_queries() -> dict[str, str]:
                                     f"(SELECT 1 FROM rgt r WHERE {jcond})"),
         "w03_every_second_vehicle": S([O.CT], "SELECT VEHICLE_ID FROM (SELECT VEHICLE_ID, row_number() OVER "
                                               "(ORDER BY VEHICLE_ID NULLS FIRST) AS rn FROM (SELECT DISTINCT VEHICLE_ID FROM ct)) WHERE rn % 2 = 0"),
+        "w01_dense_ids_copies": S([O.CT], "SELECT VEHICLE_ID, row_number() OVER (ORDER BY VEHICLE_ID NULLS FIRST) AS id FROM ct"),
         "o07_split_halves": S([O.CT], "SELECT REQUEST_ID, CASE WHEN rn <= floor(n / 2) THEN 1 ELSE 2 END AS half FROM "
                                       "(SELECT REQUEST_ID, row_number() OVER (ORDER BY REQUEST_ID NULLS FIRST) AS rn, "
                                       "count(*) OVER () AS n FROM ct)"),

@@ -54,11 +54,11 @@ def typed_trips(lines: DataFrame, boundary: Boundary, counts: StageCounts | None
 
 
 def clean_trips(lines: DataFrame, boundary: Boundary, counts: StageCounts | None = None,
-                stage: bool = True) -> DataFrame:
+                stage: bool = False) -> DataFrame:
     """M06 = V01..V11 -> F02/F03 -> D01+D02 (over one sort of the trips) -> V20.
 
-    With ``stage`` the typed, enriched trips are written once under the checkpoint folder before the fold, whose sort
-    samples its input first; the text parsing and the boundary test then run once.
+    Text parsing and the boundary test run once, in front of the exchange that counts copies. ``stage`` writes the typed,
+    enriched trips under the checkpoint folder before that, for a caller that wants a point to start again from.
     """
     typed = sessions.add_distance_duration(typed_trips(lines, boundary, counts))
     if stage:
@@ -71,7 +71,7 @@ def clean_trips(lines: DataFrame, boundary: Boundary, counts: StageCounts | None
 
 
 def clean_sample_csv(df: DataFrame, boundary: Boundary,
-                     formats: dict[str, str] | None = None, stage: bool = True) -> DataFrame:
+                     formats: dict[str, str] | None = None, stage: bool = False) -> DataFrame:
     """The CSV-sample variant of M06: a headed CSV whose start and end use their own patterns (V06),
     stray ``Unnamed`` columns dropped (V19), coordinates cast, rows with a NULL in any column dropped
     (V12) instead of the width / shape / epoch checks, then boundary, folds and minimum distance."""

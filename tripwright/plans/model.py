@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.ids import dense_ids, trip_ids
-from ..schema import OBT_COLUMNS, OBT_RENAME
+from ..schema import COORD_TYPE, OBT_COLUMNS, OBT_RENAME
+from ..session import materialize
 
 _LOCATION = {
     "pickup": (("LATITUDE_PICKUP", "LATITUDE_PICKUP"), ("LONGITUDE_PICKUP", "LONGITUDE_PICKUP"), "PICKUP_LOCATION_ID"),
@@ -61,15 +62,34 @@ def build_fact(obt: DataFrame, dims: dict[str, DataFrame], trip_id: str = "dense
     )
 
 
+def build_keyed_dims(obt: DataFrame) -> dict[str, DataFrame]:
+    """The four dimensions with dense ids, numbered together: their keys, with a tag each, are made distinct, sorted and
+    numbered in one pass, and an id counts from the first of its tag."""
+    keys = []
+    for tag, side in enumerate(("pickup", "dropoff")):
+        (lat, _), (lon, _), _ = _LOCATION[side]
+        keys.append(F.struct(F.lit(tag).alias("tag"), F.col(lat).alias("lat"), F.col(lon).alias("lon"), F.lit(None).cast("timestamp_ntz").alias("ts")))
+    for tag, side in enumerate(("pickup", "dropoff"), 2):
+        none = F.lit(None).cast(COORD_TYPE)
+        keys.append(F.struct(F.lit(tag).alias("tag"), none.alias("lat"), none.alias("lon"), F.col(_TIME[side][0]).alias("ts")))
+    distinct = obt.select(F.explode(F.array(*keys)).alias("k")).select("k.*").distinct()
+    numbered = materialize(dense_ids(distinct, ["tag", "lat", "lon", "ts"], "_id", unique=True), "star-keys")
+    first = {r["tag"]: r["first"] for r in numbered.groupBy("tag").agg(F.min("_id").alias("first")).collect()}  # four numbers
+    dims = {}
+    for tag, side in enumerate(("pickup", "dropoff")):
+        (_, lat), (_, lon), id_col = _LOCATION[side]
+        number = (F.col("_id") - first.get(tag, 1) + 1).alias(id_col)
+        dims[f"dim_{side}_location"] = numbered.where(F.col("tag") == tag).select(F.col("lat").alias(lat), F.col("lon").alias(lon), number)
+    for tag, side in enumerate(("pickup", "dropoff"), 2):
+        _, dt, id_col = _TIME[side]
+        number = (F.col("_id") - first.get(tag, 1) + 1).alias(id_col)
+        parts = [F.year("ts").alias("year"), F.month("ts").alias("month"), F.dayofmonth("ts").alias("day")]
+        dims[f"dim_{side}_time"] = numbered.where(F.col("tag") == tag).select(F.col("ts").alias(dt), *parts, number)
+    return dims
+
+
 def build_star(obt: DataFrame, trip_id: str = "scan") -> dict[str, DataFrame]:
     """All seven tables of the star schema. ``obt`` should be the stored wide table; with the default
     ``scan`` trip ids the fact is numbered where it is read, without sorting it."""
-    dims = {
-        "dim_vehicle": build_dim(obt, "VEHICLE_ID"),
-        "dim_driver": build_dim(obt, "DRIVER_ID"),
-        "dim_pickup_location": build_dim_location(obt, "pickup"),
-        "dim_dropoff_location": build_dim_location(obt, "dropoff"),
-        "dim_pickup_time": build_dim_time(obt, "pickup"),
-        "dim_dropoff_time": build_dim_time(obt, "dropoff"),
-    }
+    dims = {"dim_vehicle": build_dim(obt, "VEHICLE_ID"), "dim_driver": build_dim(obt, "DRIVER_ID"), **build_keyed_dims(obt)}
     return {"fact_trips": build_fact(obt, dims, trip_id), **dims}

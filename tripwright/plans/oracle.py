@@ -61,10 +61,14 @@ def d02(src: str, out: str, gap_s: int = 60, max_km: float = 6.0) -> list[str]:
 
 
 def inside_points(src_points: str, out: str) -> list[str]:
-    """``out(lat, lon, w)``: strict even-odd containment of each distinct point in any polygon."""
+    """``out(lat, lon, w)``: strict even-odd containment of each distinct point in any polygon, in exact arithmetic."""
     x, y = "CAST(p.lon AS DOUBLE)", "CAST(p.lat AS DOUBLE)"
-    crosses = f"((e.y1 > {y}) <> (e.y2 > {y})) AND ({x} < (e.x2 - e.x1) * ({y} - e.y1) / nullif(e.y2 - e.y1, 0) + e.x1)"
-    on_edge = (f"(e.x2 - e.x1) * ({y} - e.y1) - (e.y2 - e.y1) * ({x} - e.x1) = 0 "
+    # coordinates times 2^52 are whole, so the side of an edge that a point is on is exact
+    whole = lambda v: f"CAST(CAST({v} * 4503599627370496 AS BIGINT) AS HUGEINT)"
+    turn = (f"(({whole('e.x2')} - {whole('e.x1')}) * ({whole(y)} - {whole('e.y1')}) "
+            f"- ({whole('e.y2')} - {whole('e.y1')}) * ({whole(x)} - {whole('e.x1')}))")
+    crosses = f"((e.y1 > {y}) <> (e.y2 > {y})) AND (({turn} > 0) = (e.y2 > e.y1))"
+    on_edge = (f"{turn} = 0 "
                f"AND {x} BETWEEN least(e.x1, e.x2) AND greatest(e.x1, e.x2) "
                f"AND {y} BETWEEN least(e.y1, e.y2) AND greatest(e.y1, e.y2)")
     return [

@@ -166,3 +166,37 @@ LARGE_BOUNDARY_TEST = (
     f"AND (LATITUDE_END > {BAR} OR (LATITUDE_END < {BAR} OR LATITUDE_END = {BAR}) "
     f"AND floor((CAST(LONGITUDE_END AS DOUBLE) - {LEFT}) / {TOOTH}) % 2 = 0) AS INTEGER)"
 )
+
+
+#: A map of which nine edges in ten lie in a hundredth of its area: a wide comb, and a fine one (left, tooth, teeth, tip, bar, top).
+DETAILED = ((103.600005, 0.0004, 450, 1.22, 1.40, 1.42), (103.7, 0.000001, 4_500, 1.445, 1.455, 1.46))
+
+
+def _comb(left: float, tooth: float, teeth: int, tip: float, bar: float, top: float) -> list:
+    ring = [[left, top]]
+    for i in range(teeth):
+        x = left + 2 * i * tooth
+        ring += [[x, tip], [x + tooth, tip], [x + tooth, bar], [x + 2 * tooth, bar]]
+    return ring + [[left + 2 * teeth * tooth, top], [left, top]]
+
+
+def detailed_boundary_geojson() -> str:
+    return json.dumps({"type": "FeatureCollection", "features": [
+        {"type": "Feature", "geometry": {"type": "Polygon", "coordinates": [_comb(*c)]}} for c in DETAILED]})
+
+
+#: Ends of trips (number n), half of them moved into the fine comb, in the middle of its teeth and gaps. Both dialects.
+DETAILED_POINTS = """
+SELECT REQUEST_ID, CAST(CASE WHEN n % 2 = 0 THEN 1.4405 + 0.001 * (n % 23) ELSE LATITUDE_END END AS DECIMAL(11,8)) AS lat,
+  CAST(CASE WHEN n % 2 = 0 THEN 103.7000005 + 0.000001 * ((n * 7919) % 9100) ELSE LONGITUDE_END + 0.00000013 END AS DECIMAL(11,8)) AS lon
+FROM placed"""
+
+
+def detailed_boundary_test() -> str:
+    """Whether a point is in one of the combs, as plain arithmetic in the oracle's dialect."""
+    tests = [
+        f"(lon > {left} AND lon < {left + 2 * teeth * tooth} AND lat > {tip} AND lat < {top} "
+        f"AND (lat > {bar} OR floor((CAST(lon AS DOUBLE) - {left}) / {tooth}) % 2 = 0))"
+        for left, tooth, teeth, tip, bar, top in DETAILED
+    ]
+    return f"CAST({' OR '.join(tests)} AS INTEGER)"

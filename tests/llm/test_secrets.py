@@ -32,19 +32,95 @@ def test_held_out_accuracy(spark):
     rows = planted(np.random.default_rng(2), 600)
     label = spark.createDataFrame([(i, float(y)) for i, (_, y) in enumerate(rows)], "doc_id long, label double")
     found = S.findings(table(spark, [t for t, _ in rows]), PIECES)
+    assert not {"assigned", "issued", "name"} & set(S.FEATURES)  # what labels by source are made of
     learn = found.where("doc_id < 300").join(label, "doc_id")
     got = S.secrets(table(spark, [t for t, _ in rows]).where("doc_id >= 300"), PIECES, labelled=learn).join(label, "doc_id").collect()
     assert len(got) >= 250
     assert sum(r.is_secret == (r.label == 1) for r in got) >= 0.98 * len(got)
 
 
-def test_query_finds_the_planted_secrets(spark):
+def test_query_on_the_documents(spark):
+    """Every planted secret is found; of what is surely none, addresses, paths and numbers, at most one in fifty is kept."""
     got = op8_secret_scan(spark, SF).cache()
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     shapes = r"(AKIA[0-9A-Z]{16}|password=[0-9a-f]{18}|token = \"[0-9a-f]{40}\")"
     sure = {r.doc_id for r in docs.where(F.col("text").rlike(shapes)).select("doc_id").collect()}
     assert {r.doc_id for r in got.where("is_secret").collect()} >= sure and sure
-    assert got.where("not is_secret").count() > 0
+    value = docs.select("doc_id", "text").join(got, "doc_id").withColumn("value", F.expr("substring(text, start + 1, length)"))
+    none = value.where(F.col("value").rlike(r"^([0-9][0-9.+/-]*|[^@\s]+@[^@\s]+\.[a-z]+|[a-z]+(/[a-z0-9.-]+)+|[A-Za-z]+)$") & (F.col("name") == ""))
+    n, kept = none.agg(F.count(F.lit(1)), F.count_if("is_secret")).first()
+    print(f"false positives: {kept} of {n}; secrets: {got.where('is_secret').count()} of {got.count()} findings")
+    assert n > 1000 and kept <= n // 50
+
+
+def brute_candidates(text):
+    """Spans by looking at every start: assigned values, and the longest runs of the characters of keys."""
+    spans = set()
+    names = sorted(S.NAMES, key=len, reverse=True)
+    signs = set("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-@.")
+    at = 0
+    while at < len(text):
+        end = at
+        while end < len(text) and text[end] in signs:
+            end += 1
+        if end - at >= 12:
+            pad = end
+            while pad < min(end + 2, len(text)) and text[pad] == "=":
+                pad += 1
+            run = text[at:pad]
+            stop = at + len(run.rstrip(".-"))
+            if stop - at >= 18 or stop - at >= 12 and not (run.isalpha() and (run.islower() or run.istitle())):
+                spans.add((at, stop))
+            end = pad
+        at = max(end, at + 1)
+    at = 0
+    while at < len(text):
+        hit = None
+        for name in names:
+            if text[at : at + len(name)].lower() == name:
+                p = at + len(name)
+                tail = 0
+                while p < len(text) and tail < 40 and (text[p].isascii() and text[p].isalpha() or text[p] == "_"):
+                    p, tail = p + 1, tail + 1
+                if p < len(text) and text[p] in "\"'":
+                    p += 1
+                while p < len(text) and text[p].isspace():
+                    p += 1
+                q = p
+                while q < len(text) and text[q] in "=:":
+                    q += 1
+                if q > p:
+                    while q < len(text) and text[q].isspace():
+                        q += 1
+                    for quote in "\"'":
+                        if text[q : q + 1] == quote:
+                            e = text.find(quote, q + 1)
+                            if e > q + 1 and "\n" not in text[q + 1 : e]:
+                                hit = (q + 1, e, e + 1)
+                    if not hit:
+                        r = q + (text[q : q + 1] in ("\"", "'"))
+                        e = r
+                        while e < len(text) and not text[e].isspace():
+                            e += 1
+                        if e > r and text[r] not in "\"'":
+                            hit = (r, r + len(text[r:e].rstrip(".,;-\"'")), e)
+                    break
+        if hit:
+            if hit[1] > hit[0]:
+                spans.add(hit[:2])
+            at = hit[2]
+        else:
+            at += 1
+    return sorted(spans)
+
+
+def test_candidates_against_brute_force(spark):
+    rng = np.random.default_rng(4)
+    texts = [t for t, _ in planted(rng, 200)]
+    texts += [r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect() if r.text and len(r.text) < 20000]
+    texts += ['password: "a b" token=x', "key = 'it is' here", "no assignment at all", "secret==abc, then", 'pwd="', "auth: x.", "a" * 40 + "==="]
+    for text in texts:
+        assert list(S.candidates(text)) == brute_candidates(text), text[:200]
 
 
 def test_odd_rows(spark):

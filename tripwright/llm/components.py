@@ -29,29 +29,41 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return tied.where(F.col("a") != F.col("b")).distinct()
 
 
+def _settled(edges: DataFrame) -> bool:
+    """Whether edges (a, b) are stars: no node hangs on two others, and none that hangs on another has nodes of its own."""
+    ends = edges.select(F.col("a").alias("v"), F.lit(0).alias("hangs")).unionAll(edges.select(F.col("b").alias("v"), F.lit(1).alias("hangs")))
+    nodes = ends.groupBy("v").agg(F.sum("hangs").alias("on"), F.count(F.lit(1)).alias("n"))
+    return nodes.where("on > 1 or (on = 1 and n > 1)").isEmpty()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(id, component) for every node of ``edges`` (a, b); the component is its least node.
 
-    Edges shrink to stars around the least nodes; a table per round is written to the shared folder, and the
-    rounds end when a round changes nothing.
+    Edges shrink to stars around the least nodes; a table per round is written to the shared folder, and the rounds
+    end when there are only stars, which edges to a least node often are from the start.
     """
-    def state(e: DataFrame):
-        return tuple(e.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b")), F.sum(F.hash("a", "b").cast("decimal(38,0)"))).first())
-
     now = edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct()
     now = materialize(now, "edges")
-    before = state(now)
-    while before[0]:
+    while not _settled(now):
         now = materialize(_star(_star(now, True), False), "edges")
-        after = state(now)
-        if after == before:
-            break
-        before = after
     return now.select(F.col("b").alias("id"), F.col("a").alias("component")).unionAll(
         now.select(F.col("a").alias("id"), F.col("a").alias("component")).distinct()
     )
 
 
+def joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """(id, component) after ``links`` (a, b) are added to components found before: only their components are joined, so
+    what the earlier links gave is not worked out again. Stored."""
+    ids = links.select(F.col("a").alias("id")).unionAll(links.select(F.col("b").alias("id"))).distinct()
+    new = ids.join(labels.select("id"), "id", "left_anti").select("id", F.col("id").alias("component"))
+    known = materialize(labels.unionAll(new), "known")
+    ends = known.select(F.col("id").alias("x"), "component")
+    edges = links.join(ends, F.col("a") == F.col("x")).select(F.col("component").alias("a"), "b")
+    edges = edges.join(ends, F.col("b") == F.col("x")).select("a", F.col("component").alias("b"))
+    moved = components(edges).select(F.col("id").alias("component"), F.col("component").alias("to"))
+    return materialize(known.join(moved, "component", "left").select("id", F.coalesce("to", "component").alias("component")), "labels")
+
+
 def shared_buckets(rows: DataFrame) -> DataFrame:
     """``rows`` (key, id, ...) of the keys that several ids have, stored."""
     shared = rows.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo <> hi").select("key")
@@ -75,14 +87,12 @@ def linked_members(members: DataFrame, confirm: Callable[[DataFrame], DataFrame]
     meet as well, for the members (id) of the mixed ones, with a ``confirm`` and ``may_link`` of their own; it keeps
     large buckets whose members are unlike apart.
     """
-    links = materialize(_least_pairs(members, confirm, may_link), "links")
-    labels = components(links)
+    labels = materialize(components(materialize(_least_pairs(members, confirm, may_link), "links")), "labels")
     rest = _mixed(members, labels)
     if refine and not rest.isEmpty():
         members, confirm, may_link = refine(rest.select("id").distinct())
         members = materialize(members, "refined")
-        links = materialize(links.unionAll(_least_pairs(members, confirm, may_link)), "links")
-        labels = components(links)
+        labels = joined(labels, materialize(_least_pairs(members, confirm, may_link), "links"))
         rest = _mixed(members, labels)
     for part in ROUNDS:
         if rest.isEmpty():
@@ -91,9 +101,9 @@ def linked_members(members: DataFrame, confirm: Callable[[DataFrame], DataFrame]
         offered = rest.where(chosen).select("key", F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("c").alias("c_a")).join(rest, "key")
         once = (F.col("a") < F.col("id")) | ~chosen  # a pair of two chosen members is met from its lesser side
         offered = offered.where((F.col("c_a") != F.col("c")) & once & may_link("n_a", "n"))
-        more = confirm(offered.select("a", F.col("id").alias("b")).distinct())
-        links = materialize(links.unionAll(more), "links")
-        labels = components(links)
+        more = materialize(confirm(offered.select("a", F.col("id").alias("b")).distinct()), "links")
+        if not more.isEmpty():
+            labels = joined(labels, more)
         rest = _mixed(rest.where(~chosen).select("key", "id", "n"), labels)
     return labels
 

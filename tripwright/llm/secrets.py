@@ -1,9 +1,13 @@
 """Credentials in documents, with the false positives of the patterns removed by a random forest.
 
 Patterns propose findings: assignments to a name like password or token, access key ids, and long runs of letters
-and digits. Each finding is described by its length, its kinds of characters and the transitions between them, how
-much of it a dictionary covers, whether it lies in a path or address, and the words before it. A forest trained on
-labelled findings tells secrets from identifiers, addresses and long words.
+and digits. Each finding is described by its length, its kinds of characters, how likely the transitions between its
+characters are in the texts at large (a matrix counted over all documents), how much of it a dictionary covers, the
+path or address that it stands in, and the words around it. A forest trained on labelled findings tells secrets from
+identifiers, addresses and long words.
+
+What a finding is assigned to and the prefix of its issuer are no features: they label findings where no reviewed ones
+are at hand (``label_by_source``), and the forest judges the others, and those as well, by everything else.
 """
 
 from __future__ import annotations
@@ -12,7 +16,9 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from zlib import crc32
 
+import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -36,11 +42,43 @@ ASSIGNED = re.compile(
     "(?i)(?:" + "|".join(NAMES) + r""")[A-Za-z_]{0,40}["']?\s*[=:]+\s*(?:"([^"\n]+)"|'([^'\n]+)'|["']?([^\s"'][^\s]*))""")
 PREFIXES = ("AKIA", "ASIA", "ghp_", "gho_", "xoxb", "xoxp", "sk_l", "AIza", "glpa", "eyJh")
 
+#: Buckets of the words before a finding and behind it.
+BUCKETS = 8
 FEATURES = (
-    "length", "digits", "uppers", "lowers", "others", "hexadecimal", "distinct", "entropy", "transitions", "digit_runs",
-    "dictionary", "path", "address", "named", "assigned", "quoted", "issued",
+    "length", "digits", "uppers", "lowers", "others", "hexadecimal", "distinct", "entropy", "transitions", "likelihood", "digit_runs",
+    "dictionary", "segments", "address", *(f"before{i}" for i in range(BUCKETS)), *(f"behind{i}" for i in range(BUCKETS)),
 )
-SCHEMA = "doc_id long, start int, finding string, name string, " + ", ".join(f"{f} double" for f in FEATURES)
+SCHEMA = "doc_id long, start int, finding string, name string, assigned boolean, issued boolean, " + ", ".join(f"{f} double" for f in FEATURES)
+
+# Characters as 54 classes: small and capital letters by themselves, digits, all else.
+CLASSES = 54
+_CLASS = np.full(256, 53, np.int64)
+_CLASS[ord("a") : ord("z") + 1] = np.arange(26)
+_CLASS[ord("A") : ord("Z") + 1] = np.arange(26, 52)
+_CLASS[ord("0") : ord("9") + 1] = 52
+
+
+def _pairs(text: bytes) -> np.ndarray:
+    c = _CLASS[np.frombuffer(text, np.uint8)]
+    return c[:-1] * CLASSES + c[1:]
+
+
+def _count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total = np.zeros(CLASSES * CLASSES, np.int64)
+    for batch in batches:
+        for text in batch.column(0):
+            total += np.bincount(_pairs(text.as_py() or b""), minlength=CLASSES * CLASSES)
+    at = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["pair", "n"])
+
+
+def transitions(docs: DataFrame) -> np.ndarray:
+    """Logarithm of the share of each next class after each class, counted over the whole texts of ``docs``."""
+    counted = docs.select(F.col("text").cast("binary").alias("text")).mapInArrow(_count_pairs, "pair long, n long")
+    n = np.ones((CLASSES, CLASSES))
+    for row in counted.groupBy("pair").agg(F.sum("n").alias("n")).collect():  # CLASSES squared at most
+        n[divmod(row["pair"], CLASSES)] += row["n"]
+    return np.log(n / n.sum(axis=1, keepdims=True)).ravel()
 
 
 def kind(c: str) -> str:
@@ -66,23 +104,40 @@ def dictionary_of(vocabulary_file: str) -> frozenset[str]:
     return frozenset(p for p in pieces if len(p) >= 3 and p.isalpha())
 
 
-def describe(text: str, start: int, end: int, dictionary: frozenset[str]) -> tuple[str, list[float]]:
-    """(word that the finding may be assigned to, features in the order of ``FEATURES``)."""
+def _words_around(text: str, start: int, end: int, name: str) -> tuple[list[str], list[str]]:
+    """Two words before the finding, without what it is assigned to, and two behind it."""
+    before = text[max(0, start - 80) : start - len(name)].lower().split()
+    behind = text[end : end + 80].lower().split()
+    if text[end : end + 1].strip():
+        behind = behind[1:]  # what sticks to the finding
+    return before[-2:], behind[:2]
+
+
+def describe(text: str, start: int, end: int, dictionary: frozenset[str], likely: np.ndarray) -> tuple[str, bool, bool, list[float]]:
+    """(word that the finding may be assigned to, whether it is, whether it has an issuer's prefix, features in the order
+    of ``FEATURES``)."""
     s, n = text[start:end], end - start
     kinds = [kind(c) for c in s]
     share = Counter(kinds)
     letters = Counter(s)
     runs = re.findall(r"\d+", s)
     m = BEFORE.search(text[max(0, start - 40) : start])
-    name, sign = (m[1].lower(), m[2]) if m else ("", "")
-    around = text[max(0, start - 1) : start] + text[end : end + 1]
-    return name, [
+    name, sign, put = (m[1].lower(), m[2], m[0]) if m else ("", "", "")
+    left = len(text[:start]) - len(text[max(0, start - 200) : start].rsplit(None, 1)[-1]) if text[start - 1 : start].strip() else start
+    token = text[left:end] + (text[end : end + 200].split(None, 1) or [""])[0] * bool(text[end : end + 1].strip())
+    pairs = _pairs(s.encode())
+    before, behind = _words_around(text, start, end, put if sign else "")
+    marks = [0.0] * (2 * BUCKETS)
+    for k, words in enumerate((before, behind)):
+        for w in words:
+            marks[k * BUCKETS + crc32(w.encode()) % BUCKETS] += 1
+    return name, bool(sign) and any(x in name for x in NAMES), s[:4] in PREFIXES, [
         n, share["d"] / n, share["u"] / n, share["l"] / n, share["o"] / n,
         sum(c in "0123456789abcdefABCDEF" for c in s) / n, len(letters) / n,
         -sum(k / n * math.log2(k / n) for k in letters.values()),
-        sum(a != b for a, b in zip(kinds, kinds[1:])) / n, max(map(len, runs), default=0) / n, coverage(s, dictionary),
-        float("/" in s or "/" in around), float("@" in s or "@" in around or bool(re.search(r"\d\.\d", s))),
-        float(any(x in name for x in NAMES)), float(sign != ""), float(around[:1] in "\"'" and around[:1] != ""), float(s[:4] in PREFIXES),
+        sum(a != b for a, b in zip(kinds, kinds[1:])) / n, float(likely[pairs].mean()) if len(pairs) else 0.0,
+        max(map(len, runs), default=0) / n, coverage(s, dictionary),
+        float(token.count("/")), float("@" in token or bool(re.search(r"\d\.\d", token))), *marks,
     ]
 
 
@@ -103,10 +158,10 @@ def candidates(text: str) -> Iterator[tuple[int, int]]:
     yield from sorted(spans)
 
 
-def _findings(batches: Iterator[pa.RecordBatch], vocabulary_file: str) -> Iterator[pa.RecordBatch]:
+def _findings(batches: Iterator[pa.RecordBatch], vocabulary_file: str, likely: np.ndarray) -> Iterator[pa.RecordBatch]:
     dictionary = worker_cache("dictionary_" + vocabulary_file, lambda: dictionary_of(vocabulary_file))
     names = [c.split()[0] for c in SCHEMA.split(", ")]
-    kinds = [pa.int64(), pa.int32(), pa.string(), pa.string(), *[pa.float64()] * len(FEATURES)]
+    kinds = [pa.int64(), pa.int32(), pa.string(), pa.string(), pa.bool_(), pa.bool_(), *[pa.float64()] * len(FEATURES)]
 
     def made(rows: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
@@ -116,8 +171,8 @@ def _findings(batches: Iterator[pa.RecordBatch], vocabulary_file: str) -> Iterat
         for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
             text = text.as_py() or ""
             for start, end in candidates(text):
-                name, features = describe(text, start, end, dictionary)
-                rows.append((doc_id, start, text[start:end], name, *features))
+                name, assigned, issued, features = describe(text, start, end, dictionary, likely)
+                rows.append((doc_id, start, text[start:end], name, assigned, issued, *features))
                 if len(rows) >= 8192:
                     yield made(rows)
                     rows = []
@@ -125,23 +180,21 @@ def _findings(batches: Iterator[pa.RecordBatch], vocabulary_file: str) -> Iterat
             yield made(rows)
 
 
-def findings(docs: DataFrame, vocabulary_file: str) -> DataFrame:
+def findings(docs: DataFrame, vocabulary_file: str, likely: np.ndarray | None = None) -> DataFrame:
     """What the patterns find in ``docs`` (doc_id, text): doc_id, start (characters from 0), finding, name (the word it
-    may be assigned to) and ``FEATURES``. A null or empty text has none; repeated rows have theirs each; a missing
-    doc_id is kept. Other columns are not read."""
+    may be assigned to), assigned (whether that is a secret's name), issued (whether it has an issuer's prefix) and
+    ``FEATURES``. ``likely`` are ``transitions``, by default those of ``docs``. A null or empty text has none; repeated rows
+    have theirs each; a missing doc_id is kept. Other columns are not read."""
+    likely = transitions(docs) if likely is None else likely
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return rows.mapInArrow(lambda it: _findings(it, vocabulary_file), SCHEMA)
+    return rows.mapInArrow(lambda it: _findings(it, vocabulary_file, likely), SCHEMA)
 
 
-def label_by_form(found: DataFrame) -> DataFrame:
-    """Labelled findings where no reviewed ones are at hand: those whose form leaves no doubt. A secret (1) is a value
-    assigned to a secret's name, with digits and letters mixed, or a key id in its issuer's form; not a secret (0) is
-    a number, an address or path, or letters alone without an assignment. The rest has no label."""
-    hexadecimal = F.col("finding").rlike("^[0-9a-fA-F]{16,}$") & F.col("finding").rlike("[a-fA-F]") & F.col("finding").rlike("[0-9]")
-    issued = F.col("finding").rlike("^A[KS]IA[0-9A-Z]{16}$")
-    plain = F.col("finding").rlike(r"^([0-9.+/-]+|[^@]+@[^@]+|.*/.*|[A-Za-z_.-]+)$") & (F.col("assigned") == 0)
-    label = F.when(issued | ((F.col("named") == 1) & (F.col("assigned") == 1) & hexadecimal), 1.0).when(plain & ~issued, 0.0)
-    return found.withColumn("label", label).where("label is not null")
+def label_by_source(found: DataFrame) -> DataFrame:
+    """Labelled findings where no reviewed ones are at hand, by what is no feature: a secret (1) is what is assigned to a
+    secret's name or has an issuer's prefix, not a secret (0) is a run that is assigned to nothing and has none."""
+    secret = F.col("assigned") | F.col("issued")
+    return found.withColumn("label", F.when(secret, 1.0).when(F.col("name") == "", 0.0)).where("label is not null")
 
 
 def train(labelled: DataFrame, limit: int = LABELLED) -> RandomForestClassificationModel | None:
@@ -160,10 +213,11 @@ def train(labelled: DataFrame, limit: int = LABELLED) -> RandomForestClassificat
 
 def secrets(docs: DataFrame, vocabulary_file: str, labelled: DataFrame | None = None, threshold: float = 0.5) -> DataFrame:
     """Findings in ``docs`` with the forest's verdict: doc_id, start, length, name, probability (in millionths) and
-    is_secret. ``labelled`` are findings with a label, by default those that ``label_by_form`` is sure of; without
-    labels of both kinds, every finding counts as a secret."""
+    is_secret. ``labelled`` are findings with a label, by default those of ``label_by_source``; without labels of both
+    kinds, every finding counts as a secret. Every finding is a row: equal ones of repeated rows as well, and a value found by
+    two patterns twice. A null or empty text has none, a missing doc_id is kept, an empty table gives an empty result."""
     found = materialize(findings(docs, vocabulary_file), "findings")
-    model = train(label_by_form(found) if labelled is None else labelled)
+    model = train(label_by_source(found) if labelled is None else labelled)
     if model is None:
         scored = found.withColumn("p", F.lit(1.0))
     else:

@@ -98,11 +98,11 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_file: str, end_id: i
     """Encode ``docs`` (doc_id, text), append ``end_id`` to each document and write the files in ascending doc_id.
 
     A null text has the end id alone; rows without a doc_id come first; rows that repeat a doc_id are all
-    written, in the order of their texts. No row gives no file. Other columns are not read.
+    written, in the order of their texts' hashes, and may stand in several ranges. No row gives no file. Other columns are not read.
     """
     n = partitions or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary").alias("text")).repartitionByRange(n, "doc_id")
-    ordered = ordered.sortWithinPartitions("doc_id", "text")
+    ordered = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary").alias("text"), F.xxhash64("text").alias("text_key"))
+    ordered = ordered.repartitionByRange(n, "doc_id", "text_key").sortWithinPartitions("doc_id", "text_key", "text").select("doc_id", "text")
     files = ordered.mapInArrow(lambda it: _write_files(it, tokenizer_file, end_id), "data binary")
     (
         files.select(F.col("data").cast("string").alias("value")).write.mode("overwrite")

@@ -169,10 +169,11 @@ def pack(docs: DataFrame, tokenizer_file: str, end_id: int, length: int = LENGTH
     document, doc_tokens (with the end id), sequence_id, offset in the sequence, ids (little-endian unsigned
     32-bit).
 
-    Documents are taken in ascending doc_id (none first; rows that repeat an id by their texts) within ranges of
-    ids, each range a stream of its own. A null or empty text is its end id alone; no row gives no piece.
+    Documents are taken in ascending doc_id (none first; rows that repeat an id by the hash of their texts) within
+    ranges of both, each range a stream of its own. A null or empty text is its end id alone; no row gives no piece.
     ``sequence_id`` numbers the sequences of a range in order, ranges ``SEQUENCES`` apart. Other columns are not read.
     """
     n = partitions or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary").alias("text")).repartitionByRange(n, "doc_id")
-    return ordered.sortWithinPartitions("doc_id", "text").mapInArrow(lambda it: _pack(it, tokenizer_file, end_id, length), SCHEMA)
+    ordered = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary").alias("text"), F.xxhash64("text").alias("text_key"))
+    ordered = ordered.repartitionByRange(n, "doc_id", "text_key").sortWithinPartitions("doc_id", "text_key", "text").select("doc_id", "text")
+    return ordered.mapInArrow(lambda it: _pack(it, tokenizer_file, end_id, length), SCHEMA)

@@ -188,3 +188,30 @@ def test_keys_are_made_for_wanted_lines_only(spark, monkeypatch):
         for line in plan.splitlines():
             if "Filter" in line:
                 assert "transform(" not in line and "substring" not in line and "xxhash64(line" not in line, line
+
+
+def test_counts_rule_out_no_link(spark):
+    rng = np.random.default_rng(12)
+    rows = []
+    for n in (1, 3, 20, 90, 700):
+        for _ in range(60):
+            a = "".join(rng.choice(list("abcéXYZ 0123.,日"), n))
+            rows += [(a, edited(rng, a, int(rng.integers(3)))), (a, "".join(rng.choice(list("abcéXYZ 0123.,日"), n)))]
+    pairs = spark.createDataFrame(rows, "a string, b string").select(
+        "a", "b", L._counts(F.col("a")).alias("x"), L._counts(F.col("b")).alias("y"))
+    allowed = pairs.withColumn("ok", L._counts_allow("x", "y", 2))
+    assert allowed.where("levenshtein(a, b) <= 2 and not ok").count() == 0
+    assert allowed.where("levenshtein(a, b) > 10 and not ok").count() > 80
+
+
+def test_many_lines_with_a_word_replaced(spark):
+    """A family of long lines, each with one word replaced, and pairs of near ones among them."""
+    rng = np.random.default_rng(13)
+    w = ["".join(rng.choice(list("abcdefgh"), 6)) for _ in range(30)]
+    family = []
+    for i in range(60):
+        x = list(w)
+        x[int(rng.integers(30))] = "".join(rng.choice(list("mnopqrst"), 7))
+        family.append(" ".join(x))
+    texts = family + [edited(rng, x, 2) for x in family[::6]]
+    assert result(spark, table(spark, texts)) == brute(texts)

@@ -11,6 +11,8 @@ Of the lines that links connect, the first by document stays and the others are
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -182,6 +184,29 @@ def _around_two_keys(line: Column, n: Column, parts: int) -> Column:
     return F.transform(F.array(*(F.struct(*(F.lit(x).alias(name) for x, name in zip(k, ("d", "i", "j", "move")))) for k in kinds)), key)
 
 
+#: Characters that are counted together, as two longs of eight counts of a byte each.
+COUNTED = ("ak", "bl", "cm", "dn", "eo", "fp", "gq", "hr", "is", "jt", "uz", "vy", "wx", " .", "02468,", "13579-")
+
+
+def _counts(line: Column) -> Column:
+    """How often ``line`` has the characters of each of ``COUNTED``, modulo 256."""
+    low = F.lower(line)
+    numbers = [(F.length(low) - F.length(F.translate(low, x, ""))).cast("long").bitwiseAND(F.lit(255)) for x in COUNTED]
+    packed = [reduce(lambda a, b: a.bitwiseOR(b), (F.shiftleft(n, 8 * i) for i, n in enumerate(numbers[k : k + 8]))) for k in (0, 8)]
+    return F.struct(packed[0].alias("p"), packed[1].alias("q"))
+
+
+def _counts_allow(x: str, y: str, edits: int) -> Column:
+    """Whether lines of these counts can be ``edits`` apart: an edit changes two counts by one at most."""
+    total = F.lit(0)
+    for part in ("p", "q"):
+        for i in range(8):
+            at = lambda c: F.shiftrightunsigned(F.col(f"{c}.{part}"), 8 * i).bitwiseAND(F.lit(255))  # noqa: E731, B023
+            apart = F.abs(at(x) - at(y))
+            total = total + F.least(apart, F.lit(256) - apart)
+    return total <= 2 * edits
+
+
 def duplicate_lines(docs: DataFrame, edits: int = EDITS) -> DataFrame:
     """doc_id, text_key (hash of the text) and ``removed`` (numbers from 0 of the lines to remove) for the documents of
     ``docs`` (doc_id, text) that lose any.
@@ -217,7 +242,8 @@ def duplicate_lines(docs: DataFrame, edits: int = EDITS) -> DataFrame:
         return members.distinct().withColumn("n", F.lit(0)), confirm, any_size
 
     any_size = lambda n, m: F.lit(True)
-    labels = linked_members(found, confirm, any_size, refine if edits <= 2 else None)
+    closer = wanted.select("id", _counts(F.col("line")).alias("n")), lambda x, y: _counts_allow(x, y, edits)
+    labels = linked_members(found, confirm, any_size, refine if edits <= 2 else None, closer)
     known = distinct.select("id", "k1", "k2", "first", "n_lines").join(labels, "id", "left").withColumn("c", F.coalesce("component", "id"))
     groups = known.groupBy("c").agg(F.min("first").alias("first"), F.sum("n_lines").alias("n_lines")).where("n_lines > 1")
     repeated = materialize(known.select("k1", "k2", "c").join(groups.select("c", "first"), "c"), "repeated")

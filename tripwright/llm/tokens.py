@@ -8,6 +8,7 @@ which makes that token of it.
 
 from __future__ import annotations
 
+import gc
 import re
 from struct import pack
 
@@ -147,4 +148,6 @@ class SpaceEncoder(_Library):
 
 
 def encoder(kind, path: str):
+    # a worker makes millions of small objects that hold no cycles, which the collector would go through again and again
+    gc.set_threshold(500_000, 50, 100)
     return worker_cache(f"encoder_{kind.__name__}_{path}", lambda: kind(path))

@@ -75,7 +75,7 @@ ROUNDS = (64, 8, 1)
 
 
 def linked_members(members: DataFrame, confirm: Callable[[DataFrame], DataFrame], may_link: Callable[[str, str], Column],
-                   refine: Callable[[DataFrame], tuple] | None = None, closer: tuple[DataFrame, Callable[[str, str], Column]] | None = None) -> DataFrame:
+                   refine: Callable[[DataFrame], tuple] | None = None, closer: tuple[Callable[[DataFrame], DataFrame], Callable[[str, str], Column]] | None = None) -> DataFrame:
     """(id, component) of the members that links reach, where two members of one bucket are linked if ``confirm``
     keeps their pair. ``members`` has (key, id, n) without repeated rows, n the size that ``may_link`` compares;
     ``confirm`` takes pairs (a, b) and returns those that hold.
@@ -85,8 +85,9 @@ def linked_members(members: DataFrame, confirm: Callable[[DataFrame], DataFrame]
     offered or lies within one component. A large group of alike members so costs one pair per member, not all
     pairs, and no link between components is missed. ``refine`` may give narrower buckets, in which all links
     meet as well, for the members (id) of the mixed ones, with a ``confirm`` and ``may_link`` of their own; it keeps
-    large buckets whose members are unlike apart. ``closer`` is a table (id, n) and the ``may_link`` for it that the later
-    rounds go by, for what is too wide to go with every row of every bucket.
+    large buckets whose members are unlike apart. ``closer`` describes the members that are left then, (key, id, n, c) with an n
+    of its own, and has the ``may_link`` for it that the later rounds go by: what is too wide to go with every row of every
+    bucket.
     """
     labels = materialize(components(materialize(_least_pairs(members, confirm, may_link), "links")), "labels")
     rest = _mixed(members, labels)
@@ -96,8 +97,8 @@ def linked_members(members: DataFrame, confirm: Callable[[DataFrame], DataFrame]
         labels = joined(labels, materialize(_least_pairs(members, confirm, may_link), "links"))
         rest = _mixed(members, labels)
     if closer and not rest.isEmpty():
-        table, may_link = closer
-        rest = materialize(rest.drop("n").join(table, "id").select("key", "id", "n", "c"), "closer")
+        describe, may_link = closer
+        rest = materialize(describe(rest), "closer")
     for part in ROUNDS:
         if rest.isEmpty():
             break

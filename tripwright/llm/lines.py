@@ -164,24 +164,51 @@ def _around_keys(line: Column, n: Column, parts: int) -> list[Column]:
     return keys
 
 
+def _kinds(parts: int) -> list[tuple[int, int, int, int]]:
+    """(d, i, j, move) of the keys for two edits: d characters less, without the parts i to i and j to j, with the middle
+    moved."""
+    return [(d, i, j, move) for d in (0, 1, 2) for i in range(parts) for j in range(i, parts)
+            for move in ((0,) if i == j else range(max(-1, d - 1), 2))]
+
+
+def _kind_array(parts: int) -> Column:
+    return F.array(*(F.struct(*(F.lit(x).alias(name) for x, name in zip(k, ("d", "i", "j", "move")))) for k in _kinds(parts)))
+
+
+def _part_start(z: Column, n: Column, parts: int):
+    """Where the parts of a line of n characters begin, when it is cut like one of z.d characters less."""
+    size, longer = F.floor((n - z["d"]) / parts).cast("int"), (n - z["d"]) % parts
+    return lambda k: size * k + F.greatest(k - (F.lit(parts) - longer), F.lit(0)) + 1
+
+
 def _around_two_keys(line: Column, n: Column, parts: int) -> Column:
     """For two edits: keys of a line without two of ``parts`` segments, or one, of its own length and of one and two
     characters less.
 
     A line and another that two edits make of it agree in front of the segment with the first edit, behind that with the
     second counted from the end, and between them, where the longer line has moved by what the first edit added."""
-    kinds = [(d, i, j, move) for d in (0, 1, 2) for i in range(parts) for j in range(i, parts)
-             for move in ((0,) if i == j else range(max(-1, d - 1), 2))]
-
     def key(z: Column) -> Column:
-        size, longer = F.floor((n - z["d"]) / parts).cast("int"), (n - z["d"]) % parts
-        at = lambda k: size * k + F.greatest(k - (F.lit(parts) - longer), F.lit(0)) + 1
+        at = _part_start(z, n, parts)
         behind = at(z["i"] + 1)
         middle = F.substring(line, behind + z["move"], at(z["j"]) - behind)
         tail = F.right(line, n - z["d"] - at(z["j"] + 1) + 1)
         return F.xxhash64(n - z["d"], z["i"] * parts + z["j"], F.substring(line, F.lit(1), at(z["i"]) - 1), middle, tail)
 
-    return F.transform(F.array(*(F.struct(*(F.lit(x).alias(name) for x, name in zip(k, ("d", "i", "j", "move")))) for k in kinds)), key)
+    return F.transform(_kind_array(parts), key)
+
+
+def _left_out(line: Column, n: Column, kind: Column, parts: int) -> Column:
+    """Of a key's two parts that it leaves out: the hash of the first one, counted from the left, if the middle has not
+    moved from there, and of the second, counted from the right, if it has not moved from there; else null. Two lines that
+    agree in one of them meet by a key that leaves the other one out alone."""
+    def hashes(z: Column) -> Column:
+        at = _part_start(z, n, parts)
+        two, size = z["i"] < z["j"], n - z["d"]
+        first = F.when(two & (z["move"] == 0), F.xxhash64(F.substring(line, at(z["i"]), at(z["i"] + 1) - at(z["i"]))))
+        second = F.when(two & (z["move"] == z["d"]), F.xxhash64(F.substring(line, n - size + at(z["j"]), at(z["j"] + 1) - at(z["j"]))))
+        return F.struct(first.alias("first"), second.alias("second"))
+
+    return once(F.element_at(_kind_array(parts), kind + 1), hashes)
 
 
 #: Characters that are counted together, as two longs of eight counts of a byte each.
@@ -238,12 +265,22 @@ def duplicate_lines(docs: DataFrame, edits: int = EDITS) -> DataFrame:
             members = _exploded(mixed, _around_keys(F.col("line"), F.col("n"), PARTS))
         else:
             keyed = mixed.select("id", _around_two_keys(F.col("line"), F.col("n"), PARTS).alias("keys"))
-            members = keyed.select("id", F.explode_outer("keys").alias("key"))
+            members = keyed.select("id", F.posexplode_outer("keys").alias("n", "key"))
+            return members.groupBy("id", "key").agg(F.min("n").alias("n")), confirm, any_size
         return members.distinct().withColumn("n", F.lit(0)), confirm, any_size
 
+    def described(rest: DataFrame) -> DataFrame:
+        lines_of = wanted.select("id", "line", F.col("n").alias("size"))
+        out = _left_out(F.col("line"), F.col("size"), F.col("n"), PARTS) if edits == 2 else F.struct(
+            F.lit(None).cast("long").alias("first"), F.lit(None).cast("long").alias("second"))
+        return rest.join(lines_of, "id").select("key", "id", F.struct(_counts(F.col("line")).alias("counts"), out.alias("out")).alias("n"), "c")
+
+    def closer(x: str, y: str) -> Column:
+        elsewhere = reduce(lambda a, b: a | b, (F.coalesce(F.col(f"{x}.out.{k}") == F.col(f"{y}.out.{k}"), F.lit(False)) for k in ("first", "second")))
+        return _counts_allow(f"{x}.counts", f"{y}.counts", edits) & ~elsewhere
+
     any_size = lambda n, m: F.lit(True)
-    closer = wanted.select("id", _counts(F.col("line")).alias("n")), lambda x, y: _counts_allow(x, y, edits)
-    labels = linked_members(found, confirm, any_size, refine if edits <= 2 else None, closer)
+    labels = linked_members(found, confirm, any_size, refine if edits <= 2 else None, (described, closer))
     known = distinct.select("id", "k1", "k2", "first", "n_lines").join(labels, "id", "left").withColumn("c", F.coalesce("component", "id"))
     groups = known.groupBy("c").agg(F.min("first").alias("first"), F.sum("n_lines").alias("n_lines")).where("n_lines > 1")
     repeated = materialize(known.select("k1", "k2", "c").join(groups.select("c", "first"), "c"), "repeated")

@@ -34,26 +34,29 @@ SEQUENCES = 1 << 33  # ids of sequences that one partition may give
 def choose_cuts(places: list[int], penalties: list[int], length: int, rest=None) -> list[int]:
     """Places of the cheapest cuts, the last place included. ``places`` ascend from above 0, with no gap over
     ``length``. ``rest(n)`` is what n tokens before the last place cost (their padding if not given)."""
-    best, back, at = [0], [0], [0, *places]
-    # the queue: best + place, ascending, and the places' numbers; what lies before the head is too far back
-    sums, numbers, head = [0], [0], 0
-    for i, penalty in enumerate(penalties, 1):
-        p = at[i]
+    at, keys, back = [0, *places], [0], [0]  # keys: least cost up to a place, and the place
+    # the queue: keys, ascending, and their places and numbers; what lies before the head is too far back
+    sums, spots, numbers, head = [0], [0], [0], 0
+    first, spot = 0, 0  # key and place of the head
+    for i, (p, penalty) in enumerate(zip(places, penalties), 1):
         low = p - length
-        while at[numbers[head]] < low:
-            head += 1
-        cost = sums[head] + length - p + penalty
-        best.append(cost)
+        if spot < low:
+            while spots[head] < low:
+                head += 1
+            first, spot = sums[head], spots[head]
+        key = first + length + penalty  # more than that of the head, which so stays
         back.append(numbers[head])
-        key = cost + p
-        while len(sums) > head and sums[-1] >= key:
+        keys.append(key)
+        while sums[-1] >= key:
             sums.pop()
+            spots.pop()
             numbers.pop()
         sums.append(key)
+        spots.append(p)
         numbers.append(i)
     i = len(at) - 1
     if rest:
-        back[i] = min(range(bisect_left(at, at[i] - length), i), key=lambda j: best[j] + rest(at[i] - at[j]))
+        back[i] = min(range(bisect_left(at, at[i] - length), i), key=lambda j: keys[j] - at[j] + rest(at[i] - at[j]))
     cuts = []
     while i:
         cuts.append(at[i])

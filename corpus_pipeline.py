@@ -1,7 +1,12 @@
 """From raw documents to packed sequences: quality rules, line dedup, near-duplicates, decontamination, packing.
 
 Each stage takes what the one before it kept, written as Parquet and read again, and its decisions take effect on the
-rows that it returns. All but the last return the columns of ``documents``.
+rows that it returns. All but the last return the columns of ``documents``, and any others that the table has, whatever their
+names.
+
+Null and empty texts, and texts under 50 words, go in the first stage; given to a later one, they stay as they are until the
+packing, where each is its end id alone. Rows without a doc_id stay, and count each for itself; of rows that repeat a doc_id
+the near-duplicate stage keeps one. Equal rows are judged alike. An empty table gives an empty one in every stage.
 """
 
 from __future__ import annotations
@@ -33,17 +38,17 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays."""
+    """One document of each group of near-duplicates stays, the one with the least id; documents without words all stay."""
     return minhash.keep_one(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a passage of the benchmark go."""
+    """Documents with a passage of the benchmark go; null and empty texts have none."""
     return decontaminate.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents in sequences, with their ids."""
+    """Pieces of documents in sequences, with their ids; every row is in some sequence, a null text by its end id."""
     return packing.pack(docs, BYTE_LEVEL, END_ID)
 
 

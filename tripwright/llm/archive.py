@@ -173,7 +173,11 @@ def read_token_files(spark: SparkSession, path: str, doc_ids: list[int] | None =
 
 
 def token_documents(spark: SparkSession, path: str) -> DataFrame:
-    """Every document of the files at ``path`` with ``start``, the ids of all documents before it."""
+    """doc_id, start (the ids of all documents before it), n_tokens and ids_crc32 of every document of the files at ``path``.
+
+    Each document that was written gives a row: a null or empty text its end id alone, a row without a doc_id a missing one,
+    repeated rows a row each, one after the other. Files of an empty table, or no files, give no rows.
+    """
     read = read_token_files(spark, path).select("block", "doc_id", "before", "n_tokens", F.crc32("ids").alias("ids_crc32"))
     found = materialize(read, "read")  # the files are unpacked once
     offsets = block_offsets(found.groupBy("block").agg(F.sum("n_tokens").alias("tokens")), "block", "tokens")

@@ -270,10 +270,10 @@ def duplicate_lines(docs: DataFrame, edits: int = EDITS) -> DataFrame:
         return members.distinct().withColumn("n", F.lit(0)), confirm, any_size
 
     def described(rest: DataFrame) -> DataFrame:
-        lines_of = wanted.select("id", "line", F.col("n").alias("size"))
+        lines_of = wanted.select("id", "line", F.col("n").alias("size"), _counts(F.col("line")).alias("counts"))  # once a line, not a key
         out = _left_out(F.col("line"), F.col("size"), F.col("n"), PARTS) if edits == 2 else F.struct(
             F.lit(None).cast("long").alias("first"), F.lit(None).cast("long").alias("second"))
-        return rest.join(lines_of, "id").select("key", "id", F.struct(_counts(F.col("line")).alias("counts"), out.alias("out")).alias("n"), "c")
+        return rest.join(lines_of, "id").select("key", "id", F.struct("counts", out.alias("out")).alias("n"), "c")
 
     def closer(x: str, y: str) -> Column:
         elsewhere = reduce(lambda a, b: a | b, (F.coalesce(F.col(f"{x}.out.{k}") == F.col(f"{y}.out.{k}"), F.lit(False)) for k in ("first", "second")))

@@ -1,6 +1,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
+from tripwright.llm import components as C
 from tripwright.llm import lines as L
 
 from .helpers import ODD, empty, table, untouched
@@ -215,3 +216,46 @@ def test_many_lines_with_a_word_replaced(spark):
         family.append(" ".join(x))
     texts = family + [edited(rng, x, 2) for x in family[::6]]
     assert result(spark, table(spark, texts)) == brute(texts)
+
+
+def test_long_lines_meet_by_few_keys(spark):
+    """Lines two edits apart share a key wherever the edits are and on whichever side of a class's border their lengths."""
+    rng = np.random.default_rng(21)
+    rows = []
+    for n in (30, 31, 32, 33, 34, 39, 40, 41, 95, 96, 97, 200, 255, 256, 257, 258, 300):
+        for _ in range(60):
+            a = "".join(rng.choice(list("abé日"), n))
+            rows.append((a, edited(rng, edited(rng, a, 1), 1)))
+    sides = [spark.createDataFrame([(i, r[k], len(r[k])) for i, r in enumerate(rows)], "id long, line string, n int") for k in (0, 1)]
+    keys = [L._keyed(side, 2).distinct() for side in sides]
+    assert keys[0].join(keys[1], ["id", "key"]).select("id").distinct().count() == len(rows)
+    # the three parts and the moved ones of every length took twelve; the middle of a class takes two, its ends one each
+    many = spark.createDataFrame([(i, "".join(rng.choice(list("abcdefgh"), 60 + i)), 60 + i) for i in range(200)], "id long, line string, n int")
+    assert L._keyed(many, 2).count() < 6 * 200
+
+
+def test_small_buckets_are_compared_as_they_are(spark):
+    """Buckets of a few unlike lines are not dealt anew by narrower keys, and their links are found."""
+    members = spark.createDataFrame([(k, i, 0) for k in range(5) for i in range(10 * k, 10 * k + 3 + k)], "key long, id long, n int")
+    linked = lambda pairs: pairs.where("floor(a / 10) = floor(b / 10) and b - a = 1 and a % 10 > 0")
+    offered = []
+
+    def confirm(pairs):
+        offered.extend((r.a, r.b) for r in pairs.collect())
+        return linked(pairs)
+
+    def refine(ids):
+        raise AssertionError("no bucket is large")
+
+    got = C.linked_members(members, confirm, lambda n, m: F.lit(True), refine, few=8)
+    assert {r.id: r.component for r in got.collect()} == {10 * k + i: 10 * k + 1 for k in range(5) for i in range(1, 3 + k)}
+    assert len(offered) == len(set(offered)) == sum((3 + k) * (2 + k) // 2 for k in range(5))
+
+
+def test_larger_buckets_go_on_to_narrower_ones(spark):
+    """What small buckets leave to the large ones is met there: lines of one beginning, more of them than are compared at once."""
+    rng = np.random.default_rng(22)
+    start = "a beginning that a good number of lines have in common, "
+    tails = ["".join(rng.choice(list("abcdefghijkl"), 40)) for _ in range(L.FEW + 9)]
+    texts = [start + t for t in tails] + [start + edited(rng, t, 2) for t in tails[3:9]] + [tails[0], tails[1] + "x"]
+    assert result(spark, table(spark, texts)) == brute(texts)

@@ -75,7 +75,8 @@ ROUNDS = (64, 8, 1)
 
 
 def linked_members(members: DataFrame, confirm: Callable[[DataFrame], DataFrame], may_link: Callable[[str, str], Column],
-                   refine: Callable[[DataFrame], tuple] | None = None, closer: tuple[Callable[[DataFrame], DataFrame], Callable[[str, str], Column]] | None = None) -> DataFrame:
+                   refine: Callable[[DataFrame], tuple] | None = None, closer: tuple[Callable[[DataFrame], DataFrame], Callable[[str, str], Column]] | None = None,
+                   few: int = 0) -> DataFrame:
     """(id, component) of the members that links reach, where two members of one bucket are linked if ``confirm``
     keeps their pair. ``members`` has (key, id, n) without repeated rows, n the size that ``may_link`` compares;
     ``confirm`` takes pairs (a, b) and returns those that hold.
@@ -85,12 +86,17 @@ def linked_members(members: DataFrame, confirm: Callable[[DataFrame], DataFrame]
     offered or lies within one component. A large group of alike members so costs one pair per member, not all
     pairs, and no link between components is missed. ``refine`` may give narrower buckets, in which all links
     meet as well, for the members (id) of the mixed ones, with a ``confirm`` and ``may_link`` of their own; it keeps
-    large buckets whose members are unlike apart. ``closer`` describes the members that are left then, (key, id, n, c) with an n
+    large buckets whose members are unlike apart. Buckets of up to ``few`` members offer the rest of their pairs before it,
+    at most half of ``few`` a member. ``closer`` describes the members that are left then, (key, id, n, c) with an n
     of its own, and has the ``may_link`` for it that the later rounds go by: what is too wide to go with every row of every
     bucket.
     """
     labels = materialize(components(materialize(_least_pairs(members, confirm, may_link), "links")), "labels")
     rest = _mixed(members, labels)
+    if few and not rest.isEmpty():
+        rest, pairs = _few(rest, few, may_link)
+        labels = joined(labels, materialize(confirm(pairs), "links"))
+        rest = _mixed(rest, labels)
     if refine and not rest.isEmpty():
         members, confirm, may_link = refine(rest.select("id").distinct())
         members = materialize(members, "refined")
@@ -121,6 +127,17 @@ def _least_pairs(members: DataFrame, confirm, may_link) -> DataFrame:
     return confirm(met.select(F.col("lo").alias("a"), F.col("id").alias("b")).distinct())
 
 
+def _few(rest: DataFrame, few: int, may_link) -> tuple[DataFrame, DataFrame]:
+    """The members (key, id, n) of buckets above ``few``, and the pairs of the others between components, without those of
+    a bucket's least member, which have been offered."""
+    sizes = rest.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("id").alias("least")).where("size > 2")
+    sized = materialize(rest.join(sizes, "key"), "sized")
+    others = sized.where((F.col("size") <= few) & (F.col("id") != F.col("least"))).drop("size", "least")
+    pairs = others.select("key", F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("c").alias("c_a")).join(others, "key")
+    pairs = pairs.where((F.col("a") < F.col("id")) & (F.col("c_a") != F.col("c")) & may_link("n_a", "n"))
+    return sized.where(F.col("size") > few).select("key", "id", "n"), pairs.select("a", F.col("id").alias("b")).distinct()
+
+
 def _mixed(members: DataFrame, labels: DataFrame) -> DataFrame:
     """Members, with their component c, of the buckets that hold several."""
     labelled = members.join(labels, "id", "left").select("key", "id", "n", F.coalesce("component", "id").alias("c"))

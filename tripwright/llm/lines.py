@@ -3,8 +3,9 @@
 Lines (blanks at both ends cut off) that are not empty are compared; two are linked when at most ``EDITS``
 single-character edits lead from one to the other, whatever their length. A line is split into EDITS + 1 segments, so at least
 one of them stands unchanged in any linked line. Segments are indexed by (length of the line, number, text); a line
-probes, for each length from its own down to EDITS less, the substrings that a segment can have moved to. What
-meets in the index is verified with a bit-parallel edit distance inside the band of EDITS diagonals.
+probes, for each length from its own down to EDITS less, the substrings that a segment can have moved to. For two edits,
+longer lines meet by the ends and the middle of a class of lengths instead, with a third of the keys. What meets is
+verified with a bit-parallel edit distance inside the band of EDITS diagonals.
 
 Of the lines that links connect, the first by document stays and the others are removed.
 """
@@ -23,6 +24,8 @@ from .components import linked_members, shared_buckets
 EDITS = 2
 #: Parts of a line, of which two edits leave all but two as they were, where its segments alone say too little.
 PARTS = 8
+#: Lines in a bucket up to which all pairs are compared as they are.
+FEW = 16
 LAST = 2**63 - 1  # order of a missing doc_id
 
 
@@ -62,6 +65,43 @@ def _probe_keys(line: Column, n: Column, edits: int, own: bool = True) -> list[C
     return keys
 
 
+#: Lines from this length on meet by the ends and the middle of a class of lengths.
+LONG = 32
+
+
+def _class(n: Column) -> Column:
+    """Least length of the class of a line of n characters."""
+    return n - n % F.when(n < 3 * LONG, LONG // 4).when(n < 8 * LONG, LONG // 2).otherwise(LONG)
+
+
+def _classes(n: Column) -> Column:
+    """Classes of a line: that of its length and that of two less, so lines that differ by two have one in common."""
+    return F.array_distinct(F.array(_class(n), F.when(n - 2 >= LONG, _class(n - 2)).otherwise(_class(n))))
+
+
+def _class_keys(line: Column, n: Column, low: Column) -> list[Column]:
+    """Keys of a line in a class of lengths from ``low`` on; any line of the class two edits away has one of them as well.
+
+    The least length is cut in a beginning, a middle and an end, the middle with a character to spare. Of two edits, one
+    must be in the beginning and one in the end to change both; the middle then stands unchanged, moved by one place at
+    most, so of its two substrings at neighbouring places one is the other line's at one of them."""
+    middle = F.floor(low / 3).cast("int")
+    front = F.floor((low - middle - 1) / 2).cast("int")
+    end = low - middle - 1 - front
+    parts = ((0, F.lit(1), front), (1, front + 1, middle), (1, front + 2, middle), (2, n - end + 1, end))
+    return [F.xxhash64(low, F.lit(i), F.substring(line, at, size)) for i, at, size in parts]
+
+
+def _keyed(lines: DataFrame, edits: int) -> DataFrame:
+    """(id, key) for keys of which two lines (id, line, n) at most ``edits`` apart share one."""
+    line, n = F.col("line"), F.col("n")
+    keys = _index_keys(line, n, edits) + _probe_keys(line, n, edits, own=False)
+    if edits != 2:
+        return _exploded(lines, keys)
+    long = lines.where(n >= LONG).select("id", "line", "n", F.explode(_classes(n)).alias("low"))
+    return _exploded(lines.where(n < LONG + edits), keys).unionAll(_exploded(long, _class_keys(line, n, F.col("low"))))
+
+
 def within_edits(a: Column, b: Column, edits: int) -> Column:
     """Whether the edit distance of two strings is at most ``edits``, by bit-parallel dynamic programming.
 
@@ -248,10 +288,10 @@ def duplicate_lines(docs: DataFrame, edits: int = EDITS) -> DataFrame:
     distinct = distinct.select("line", "first", "n_lines", F.length("line").alias("n"), *_key("line"))
     distinct = materialize(distinct.withColumn("id", F.monotonically_increasing_id()), "lines")
 
-    # a key holds the length, so the lengths in a bucket differ by ``edits`` at most; both uses of the keys read one exchange
-    keys = _index_keys(F.col("line"), F.col("n"), edits) + _probe_keys(F.col("line"), F.col("n"), edits, own=False)
-    found = shared_buckets(_exploded(distinct, keys).repartition("key")).withColumn("n", F.lit(0))
+    # both uses of the keys read one exchange
+    found = shared_buckets(_keyed(distinct, edits).repartition("key"))
     wanted = materialize(distinct.join(found.select("id").distinct(), "id").select("id", "line", "n"), "wanted")
+    found = materialize(found.join(wanted.select("id", "n"), "id").select("key", "id", "n"), "found")
 
     def confirm(pairs: DataFrame) -> DataFrame:
         both = pairs.join(wanted.select(F.col("id").alias("a"), F.col("line").alias("x")), "a")
@@ -270,7 +310,8 @@ def duplicate_lines(docs: DataFrame, edits: int = EDITS) -> DataFrame:
         return members.distinct().withColumn("n", F.lit(0)), confirm, any_size
 
     def described(rest: DataFrame) -> DataFrame:
-        lines_of = wanted.select("id", "line", F.col("n").alias("size"), _counts(F.col("line")).alias("counts"))  # once a line, not a key
+        left = materialize(wanted.join(rest.select("id").distinct(), "id"), "left")  # once a line that is left, not a key
+        lines_of = left.select("id", "line", F.col("n").alias("size"), _counts(F.col("line")).alias("counts"))
         out = _left_out(F.col("line"), F.col("size"), F.col("n"), PARTS) if edits == 2 else F.struct(
             F.lit(None).cast("long").alias("first"), F.lit(None).cast("long").alias("second"))
         return rest.join(lines_of, "id").select("key", "id", F.struct("counts", out.alias("out")).alias("n"), "c")
@@ -280,7 +321,8 @@ def duplicate_lines(docs: DataFrame, edits: int = EDITS) -> DataFrame:
         return _counts_allow(f"{x}.counts", f"{y}.counts", edits) & ~elsewhere
 
     any_size = lambda n, m: F.lit(True)
-    labels = linked_members(found, confirm, any_size, refine if edits <= 2 else None, (described, closer))
+    near_size = lambda n, m: F.abs(F.col(n) - F.col(m)) <= edits
+    labels = linked_members(found, confirm, near_size, refine if edits <= 2 else None, (described, closer), FEW)
     known = distinct.select("id", "k1", "k2", "first", "n_lines").join(labels, "id", "left").withColumn("c", F.coalesce("component", "id"))
     groups = known.groupBy("c").agg(F.min("first").alias("first"), F.sum("n_lines").alias("n_lines")).where("n_lines > 1")
     repeated = materialize(known.select("k1", "k2", "c").join(groups.select("c", "first"), "c"), "repeated")
